@@ -1,0 +1,304 @@
+"""Named results over the ``events`` table."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from functools import partial
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from salestrata.functions import json_text, json_value, safe_number, safe_timestamp, sales_day
+from salestrata.operators import (
+    classify_sales,
+    clean_rows,
+    extract_event,
+    reconcile_classified,
+    reject_rows,
+    rule_flags,
+    sales_rules,
+    strip_outer_array,
+)
+from salestrata.operators import reports
+from salestrata.plans import FolderTables, SalesLayers, report_book
+from salestrata.profiles import DOCUMENTED, LITERAL, Profile
+from salestrata.schema import EVENT_COLUMNS, MONEY_COLUMNS
+from salestrata.session import fresh_folder
+from salestrata.sources import ingest_jsonl, records_from_lines, write_jsonl
+from salestrata.sources.events_feed import (
+    INGESTION_TS,
+    NUMBER_FORMS,
+    TIME_FORMS,
+    messy_lines,
+    pick_form,
+    read_events,
+    sales_events,
+    sales_lines,
+)
+from salestrata.streaming import load_new_files
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+# The reports read the fact table, the histogram reads the rejects.
+REPORTS = {
+    "daily_summary": reports.daily_summary,
+    "q1_daily_revenue": reports.daily_revenue,
+    "q2_category_revenue": reports.category_revenue,
+    "q3_payment_methods": reports.payment_methods,
+    "q4_top_countries": reports.top_countries,
+    "q5_marketing_channels": reports.marketing_channels,
+}
+
+
+# --- the layers over the derived feed, nothing written ------------------------
+
+def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records_from_lines(sales_lines(read_events(spark, sf_dir)), INGESTION_TS)
+
+
+def classified(spark: SparkSession, sf_dir: str, profile: Profile) -> DataFrame:
+    return classify_sales(raw_sales(spark, sf_dir), profile)
+
+
+def clean(spark: SparkSession, sf_dir: str, profile: Profile) -> DataFrame:
+    return clean_rows(classified(spark, sf_dir, profile))
+
+
+def rejects(spark: SparkSession, sf_dir: str, profile: Profile) -> DataFrame:
+    return reject_rows(classified(spark, sf_dir, profile))
+
+
+def _raw_count(spark, sf_dir):
+    return reports.row_count(raw_sales(spark, sf_dir), "total_raw_rows")
+
+
+def _clean_count(spark, sf_dir, profile):
+    return reports.row_count(clean(spark, sf_dir, profile), "clean_rows")
+
+
+def _reject_count(spark, sf_dir, profile):
+    return reports.row_count(rejects(spark, sf_dir, profile), "reject_rows")
+
+
+def _fact_count(spark, sf_dir, profile):
+    return reports.row_count(clean(spark, sf_dir, profile), "fact_rows")
+
+
+def _reject_reasons(spark, sf_dir, profile):
+    return reports.reject_reasons(rejects(spark, sf_dir, profile))
+
+
+def _report(report, spark, sf_dir, profile):
+    return report(clean(spark, sf_dir, profile))
+
+
+def _reconciliation(spark, sf_dir, profile):
+    return reconcile_classified(classified(spark, sf_dir, profile))
+
+
+def _stg_sales_rejects(spark, sf_dir, profile):
+    """The payload goes out as its fields, as a variant cannot be compared."""
+    fields = [
+        (safe_number(json_text("raw", key), 2) if key in MONEY_COLUMNS
+         else json_text("raw", key)).alias(key)
+        for key in EVENT_COLUMNS
+    ]
+    return rejects(spark, sf_dir, profile).select("reason", *fields, "source_filename",
+                                                  "ingestion_ts")
+
+
+def _report_book(spark, sf_dir, profile):
+    return report_book(spark, clean(spark, sf_dir, profile))
+
+
+def _rule_flags(spark, sf_dir, profile):
+    return rule_flags(extract_event(raw_sales(spark, sf_dir), profile), sales_rules(profile))
+
+
+# --- single operators over values made from every event -----------------------
+
+def _json_access(spark, sf_dir):
+    """Absent key, JSON null, and text of strings, numbers, booleans, objects."""
+    lines = read_events(spark, sf_dir).selectExpr(
+        "event_id as row_id",
+        "case event_id % 3 when 0 then '{}' when 1 then '{\"a\": null}' "
+        "else '{\"a\": \"E' || event_id || '\"}' end as a",
+        "'{\"n\": ' || event_id || ', \"flag\": ' || (event_id % 2 = 0) "
+        "|| ', \"A\": 1, \"o\": ' || props || '}' as b")
+    parsed = lines.select("row_id", F.try_parse_json("a").alias("va"),
+                          F.try_parse_json("b").alias("vb"))
+    return parsed.select(
+        "row_id",
+        json_value("va", "a").isNull().alias("a_is_absent"),
+        json_text("va", "a").alias("a_text"),
+        json_text("vb", "n").alias("n_text"),
+        json_text("vb", "flag").alias("flag_text"),
+        json_value("vb", "a").isNull().alias("other_case_is_absent"),
+        json_text("vb", "o").alias("object_text"),
+    )
+
+
+def _strip_outer_array(spark, sf_dir):
+    """Lines with no, one or several elements, or an object without an array."""
+    lines = read_events(spark, sf_dir).selectExpr(
+        "event_id as row_id",
+        "case event_id % 4 when 3 then props "
+        "else '[' || repeat(props || ', ', cast(event_id % 4 as int)) || event_id || ']' end as value")
+    parsed = lines.select("row_id", F.try_parse_json("value").alias("parsed"))
+    records = strip_outer_array(parsed)
+    is_object = json_value("raw", "k").isNotNull()
+    return records.select(
+        "row_id", json_text("raw", "k").alias("k"),
+        F.when(~is_object, F.expr("variant_get(raw, '$', 'string')")).alias("scalar"))
+
+
+def _tolerant_load(spark, sf_dir):
+    records = records_from_lines(messy_lines(read_events(spark, sf_dir)), INGESTION_TS)
+    return records.groupBy(F.col("source_filename").alias("line_kind")).agg(
+        F.count(F.lit(1)).alias("n_records"),
+        F.count(json_text("raw", "event_id")).alias("n_with_id"),
+        F.max(json_text("raw", "event_id")).alias("last_id"))
+
+
+def _safe_timestamps(spark, sf_dir):
+    iso = "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\")"
+    texts = read_events(spark, sf_dir).selectExpr(
+        "event_id as row_id", f"{pick_form(TIME_FORMS, iso=iso)} as text")
+    parsed = safe_timestamp(F.col("text"))
+    return texts.select("row_id", "text", parsed.alias("event_ts"),
+                        sales_day(parsed).cast("timestamp_ntz").alias("day"))
+
+
+def _safe_numbers(spark, sf_dir):
+    parts = {"price": "cast(cast(value as decimal(10,2)) as string)",
+             "k": "get_json_object(props, '$.k')"}
+    texts = read_events(spark, sf_dir).selectExpr(
+        "event_id as row_id", f"{pick_form(NUMBER_FORMS, **parts)} as text")
+    return texts.select("row_id", "text",
+                        safe_number(F.col("text")).alias("whole"),
+                        safe_number(F.col("text"), 2).cast("decimal(10,2)").alias("money"))
+
+
+def _money_overflow(spark, sf_dir):
+    """Totals a million times the usual: those beyond the column are rejected."""
+    lines = sales_events(read_events(spark, sf_dir)).select(
+        F.to_json(F.struct(
+            "event_id", F.col("event_ts").cast("string").alias("event_ts"), "quantity",
+            "unit_price", (F.col("total_amount") * 1000000).alias("total_amount"))).alias("value"),
+        F.lit("feed").alias("source_filename"))
+    records = records_from_lines(lines, INGESTION_TS)
+    split = classify_sales(records, DOCUMENTED, on_overflow="reject")
+    return split.groupBy("reason").agg(F.count(F.lit(1)).alias("n"),
+                                       F.max(F.when(F.col("reason").isNull(), F.col("total_amount")))
+                                       .cast("decimal(10,2)").alias("largest_kept"))
+
+
+# --- the same with files and tables, in the shared folder ----------------------
+
+def _write_lines(lines: DataFrame, folder: str) -> None:
+    lines.select("value").write.text(folder)
+
+
+def _jsonl_sink(spark, sf_dir):
+    """Writes every event as JSON Lines, reads the folder back, sums it up."""
+    root = f"{fresh_folder(spark, 'sink')}/raw/sales"
+    events = sales_events(read_events(spark, sf_dir))
+    events = events.withColumn("event_id", F.when(F.col("fault") != 0, F.col("event_id")))
+    write_jsonl(events.drop("fault"), root, dt="20260101", max_records_per_file=5000)
+    raw = ingest_jsonl(spark, root, INGESTION_TS)
+    folder = F.regexp_extract("source_filename", r"(raw/sales/dt=[0-9]{8})/[^/]+$", 1)
+    records = extract_event(raw).withColumn("folder", folder)
+    no_id = F.col("event_id").isNull()
+    return records.groupBy("folder", "ingestion_ts").agg(
+        F.count(F.lit(1)).alias("n_records"),
+        F.count_if(no_id).alias("n_null_ids"),
+        F.count_if(json_value("raw", "event_id").isNull()).alias("n_absent_ids"),
+        F.min("event_ts").alias("first_ts"),
+        F.max("event_ts").alias("last_ts"),
+        F.sum(F.col("quantity").cast("bigint")).alias("units"),
+        F.sum("total_amount").cast("decimal(20,2)").alias("revenue"),
+    )
+
+
+def _written_layers(spark, sf_dir, profile) -> SalesLayers:
+    """Two loads of the feed, the second written twice, then both rebuilds."""
+    layers = SalesLayers(FolderTables(spark, fresh_folder(spark, "layers")), profile)
+    for load_id in ("first", "second", "second"):
+        layers.append_raw(raw_sales(spark, sf_dir), load_id)
+    layers.rebuild_staging()
+    layers.rebuild_fact()
+    return layers
+
+
+def _layer_tables(spark, sf_dir, profile):
+    return _written_layers(spark, sf_dir, profile).reconcile()
+
+
+def _layer_reports(spark, sf_dir, profile):
+    return reports.category_revenue(_written_layers(spark, sf_dir, profile).fact())
+
+
+def _incremental_layers(spark, sf_dir) -> SalesLayers:
+    """Lands the feed under two days and loads after each, plus once for nothing."""
+    root = fresh_folder(spark, "incremental")
+    layers = SalesLayers(FolderTables(spark, f"{root}/tables"))
+    lines = sales_lines(read_events(spark, sf_dir))
+    for day in ("20260101", None, "20260102"):
+        if day:
+            _write_lines(lines, f"{root}/landing/raw/sales/dt={day}")
+        load_new_files(layers, f"{root}/landing", f"{root}/checkpoint", ingestion_ts=INGESTION_TS)
+    return layers
+
+
+def _incremental_load(spark, sf_dir):
+    loads = _incremental_layers(spark, sf_dir).tables.read("raw_sales")
+    folder = F.regexp_extract("source_filename", r"(raw/sales/dt=[0-9]{8})/[^/]+$", 1)
+    return loads.groupBy(folder.alias("folder")).agg(
+        F.count(F.lit(1)).alias("n_records"),
+        F.size(F.collect_set("load_id")).alias("n_loads"))
+
+
+def _incremental_split(spark, sf_dir):
+    layers = _incremental_layers(spark, sf_dir)
+    staged = layers.clean().selectExpr("'clean' as outcome", "total_amount").unionAll(
+        layers.rejects().selectExpr("reason as outcome", "cast(null as decimal(10,2))"))
+    return staged.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"),
+                                         F.sum("total_amount").cast("decimal(20,2)").alias("revenue"))
+
+
+def queries() -> dict[str, Query]:
+    per_profile = {
+        "clean_count": _clean_count,
+        "reject_count": _reject_count,
+        "fact_count": _fact_count,
+        "reject_reasons": _reject_reasons,
+        **{name: partial(_report, report) for name, report in REPORTS.items()},
+        "reconciliation": _reconciliation,
+        "stg_sales_clean": clean,
+        "stg_sales_rejects": _stg_sales_rejects,
+        "fact_sales": clean,
+        "report_book": _report_book,
+        "rule_flags": _rule_flags,
+        "layer_tables": _layer_tables,
+        "layer_reports": _layer_reports,
+    }
+    named: dict[str, Query] = {"raw_count": _raw_count}
+    for suffix, profile in (("", DOCUMENTED), ("__literal", LITERAL)):
+        for name, build in per_profile.items():
+            named[name + suffix] = partial(build, profile=profile)
+    named |= {
+        "json_access": _json_access,
+        "strip_outer_array": _strip_outer_array,
+        "tolerant_load": _tolerant_load,
+        "safe_timestamps": _safe_timestamps,
+        "safe_numbers": _safe_numbers,
+        "money_overflow": _money_overflow,
+        "jsonl_sink": _jsonl_sink,
+        "incremental_load": _incremental_load,
+        "incremental_split": _incremental_split,
+    }
+    return named
+
+
+def entry_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.category_revenue(clean(spark, sf_dir, DOCUMENTED))
