@@ -1,6 +1,6 @@
 """Named results over the driver tables, each with its SQL counterpart."""
 
 from salestrata.catalog.oracles import oracle_sql
-from salestrata.catalog.queries import entry_query, queries
+from salestrata.catalog.results import entry_query, queries
 
 __all__ = ["entry_query", "oracle_sql", "queries"]

@@ -29,6 +29,7 @@ from salestrata.sources.events_feed import (
     INGESTION_TS,
     NUMBER_FORMS,
     TIME_FORMS,
+    iso_text,
     messy_lines,
     pick_form,
     read_events,
@@ -161,9 +162,8 @@ def _tolerant_load(spark, sf_dir):
 
 
 def _safe_timestamps(spark, sf_dir):
-    iso = "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\")"
     texts = read_events(spark, sf_dir).selectExpr(
-        "event_id as row_id", f"{pick_form(TIME_FORMS, iso=iso)} as text")
+        "event_id as row_id", f"{pick_form(TIME_FORMS, iso=iso_text('ts'))} as text")
     parsed = safe_timestamp(F.col("text"))
     return texts.select("row_id", "text", parsed.alias("event_ts"),
                         sales_day(parsed).cast("timestamp_ntz").alias("day"))

@@ -19,7 +19,14 @@ PAYMENT_METHODS = ("card", "paypal", "apple_pay", "bank_transfer")
 DEVICES = ("mobile", "desktop", "tablet")
 CHANNELS = ("organic", "paid_search", "email", "social", "affiliate")
 
-_ISO = "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\") || '+00:00'"
+
+
+def iso_text(ts: str) -> str:
+    """ISO text with six digits of a zone-free time.  ``date_format`` would take
+    it through the session zone and move times inside a clock change."""
+    text = f"cast({ts} as string)"
+    return (f"replace(substr({text}, 1, 19), ' ', 'T') || '.' "
+            f"|| rpad(substr({text}, 21), 6, '0')")
 
 
 def _pick(values: tuple[str, ...], index: str) -> str:
@@ -28,7 +35,12 @@ def _pick(values: tuple[str, ...], index: str) -> str:
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    """The events.  A small table arrives in fewer splits than there are cores
+    and is spread over them, as building and parsing the lines is the work; a
+    table of many splits is taken as it is, without a shuffle."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return events.repartition(cores) if events.rdd.getNumPartitions() < cores else events
 
 
 def sales_events(events: DataFrame) -> DataFrame:
@@ -59,7 +71,7 @@ def sales_events(events: DataFrame) -> DataFrame:
 
 def sales_lines(events: DataFrame) -> DataFrame:
     """``(value, source_filename)``: one JSON line per event, faults included."""
-    iso = _ISO.replace("ts,", "event_ts,")
+    iso = f"{iso_text('event_ts')} || '+00:00'"
     # What each fault puts in place of the valid JSON value.
     members = [
         "case fault when 0 then '\"event_id\": null, ' when 7 then '' "
@@ -98,6 +110,11 @@ MESSY_LINES = (
     ("null", "'null'"),
     ("non-ascii", "'{\"event_id\": \"é-日本-' || event_id || '\"}'"),
     ("empty array", "'[]'"),
+    ("two objects", "'{\"event_id\": \"E' || event_id || '\"} {\"event_id\": null}'"),
+    ("trailing text", "'{\"event_id\": \"E' || event_id || '\"} x'"),
+    ("trailing comma", "'{\"event_id\": \"E' || event_id || '\"},'"),
+    ("single quotes", "'{''event_id'': 1}'"),
+    ("not a number", "'{\"event_id\": NaN}'"),
 )
 
 

@@ -30,21 +30,36 @@ def ingest_time(ingestion_ts: datetime | str | None) -> Column:
     return F.lit(str(ingestion_ts)).cast("timestamp_ntz")
 
 
+def parse_lines(lines: DataFrame, text: str = "value", parsed: str = "parsed") -> DataFrame:
+    """Replaces ``text`` by the JSON value it holds, NULL unless it holds exactly one.
+
+    Parsed as an array of one: a parse of the bare text would stop after the
+    first value and lose the rest of two records run together on a line.  Two
+    steps, so that the text is parsed once and then looked at twice.
+    """
+    # Strict JSON, where the reader is lenient by default.
+    strict = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+    values = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<variant>", strict)
+    others = [c for c in lines.columns if c != text]
+    return (lines.select(*others, values.alias("values"))
+            .select(*others, F.when(F.size("values") == 1, F.get("values", F.lit(0))).alias(parsed)))
+
+
 def records_from_lines(lines: DataFrame, ingestion_ts: datetime | str | None = None,
                        observation: Observation | str | None = None) -> DataFrame:
     """RAW rows from ``(value, source_filename)`` lines.
 
-    A line that is no JSON, is blank, or repeats a key gives no row and the
-    load goes on.  ``observation`` counts them on the way, without a second
-    pass: ``n_lines``, ``n_blank`` and ``n_bad`` (blank ones not included).
+    A line that is not one JSON value, is blank, or repeats a key gives no row
+    and the load goes on.  ``observation`` counts them on the way, without a
+    second pass: ``n_lines``, ``n_blank`` and ``n_bad`` (blank not included).
     """
-    parsed = lines.select(F.try_parse_json("value").alias("parsed"), "source_filename",
-                          (F.trim("value") == "").alias("blank"))
+    blank = F.rlike("value", F.lit(r"^\s*$"))
+    parsed = parse_lines(lines.select("value", "source_filename", blank.alias("blank")))
     if observation is not None:
         parsed = parsed.observe(
             observation,
             F.count(F.lit(1)).alias("n_lines"),
-            F.count_if(F.col("blank")).alias("n_blank"),
+            F.count_if("blank").alias("n_blank"),
             F.count_if(F.col("parsed").isNull() & ~F.col("blank")).alias("n_bad"),
         )
     records = strip_outer_array(parsed.drop("blank"))
@@ -57,9 +72,9 @@ def ingest_jsonl(spark: SparkSession, path: str, ingestion_ts: datetime | str |
     """RAW rows of all files under ``path``: narrow, one stage, no shuffle.
 
     ``multi_line`` is for files that each hold one JSON value spread over
-    several lines, such as a pretty-printed array.  Such a file cannot be split
-    between tasks and is bounded by the size of one variant; a file that does
-    not parse gives no row.  Plain JSON Lines is the route for volume.
+    several lines, such as a pretty-printed array.  Such a file is one task and
+    one variant in memory; a file that does not parse gives no row.  Plain JSON
+    Lines, which Spark splits, is the route for volume.
     """
     if not multi_line:
         return records_from_lines(read_lines(spark, path), ingestion_ts, observation)

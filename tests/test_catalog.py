@@ -1,0 +1,86 @@
+"""Every named result against its SQL counterpart, and the published counts."""
+
+from __future__ import annotations
+
+import glob
+from datetime import datetime
+from decimal import Decimal
+from pathlib import Path
+
+import duckdb
+import pytest
+from conftest import TESTDATA
+from helpers import as_tuples
+
+import __spark_entry__ as contract
+
+QUERIES = contract.queries()
+ORACLES = contract.oracle_sql()
+D = Decimal
+
+
+@pytest.fixture(scope="module")
+def duck():
+    connection = duckdb.connect()
+    for path in glob.glob(f"{TESTDATA}/sf0.001/*.parquet"):
+        connection.execute(f"CREATE VIEW {Path(path).stem} AS SELECT * FROM '{path}'")
+    return connection
+
+
+def test_every_query_has_a_counterpart():
+    assert set(QUERIES) == set(ORACLES)
+
+
+_TYPES = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "TIMESTAMP": "timestamp_ntz",
+          "BOOLEAN": "boolean"}
+
+
+@pytest.mark.parametrize("name", QUERIES)
+def test_query_matches_its_counterpart(spark, duck, name):
+    rows = QUERIES[name](spark, f"{TESTDATA}/sf0.001")
+    expected = duck.execute(ORACLES[name])
+    types = {d[0]: _TYPES.get(str(d[1]), str(d[1]).lower()) for d in expected.description}
+    assert dict(rows.dtypes) == types
+    names = [d[0] for d in expected.description]
+    assert sorted(map(repr, as_tuples(rows.select(*names)))) == sorted(map(repr, expected.fetchall()))
+
+
+def test_entry(spark):
+    assert contract.entry(spark).count() == 5
+
+
+@pytest.fixture(scope="module")
+def at_sf001(spark):
+    return lambda name: as_tuples(QUERIES[name](spark, f"{TESTDATA}/sf0.01"))
+
+
+@pytest.mark.parametrize("suffix,raw,clean,missing", [("", 10000, 9500, 125),
+                                                       ("__literal", 10000, 9563, 62)])
+def test_known_counts(at_sf001, suffix, raw, clean, missing):
+    assert at_sf001(f"reconciliation{suffix}") == [(raw, clean, raw - clean, clean, True)]
+    assert dict(at_sf001(f"reject_reasons{suffix}")) == {
+        "Missing event_id": missing, "Invalid event_ts": 63, "Invalid quantity": 63,
+        "Non-positive quantity": 63, "Invalid total_amount": 124, "Negative total_amount": 62}
+
+
+def test_known_reports(at_sf001):
+    days = at_sf001("q1_daily_revenue")
+    assert len(days) == 30
+    assert days[0] == (datetime(2024, 1, 1), 345, D("53737.65"))
+    assert at_sf001("q1_daily_revenue__literal")[0] == (datetime(2024, 1, 1), 348, D("53883.00"))
+    assert at_sf001("daily_summary")[0][2] == 1071
+    assert at_sf001("q2_category_revenue") == [
+        ("signup", 1900, 5729, D("295802.35")), ("click", 1898, 5778, D("291122.69")),
+        ("error", 1912, 5728, D("282810.68")), ("purchase", 1912, 5790, D("279874.84")),
+        ("view", 1878, 5584, D("272619.31"))]
+    assert at_sf001("q3_payment_methods") == [
+        ("bank_transfer", 2428, D("361061.89")), ("card", 2360, D("365792.88")),
+        ("apple_pay", 2356, D("350525.83")), ("paypal", 2356, D("344849.27"))]
+    assert at_sf001("q4_top_countries")[:3] == [
+        ("C2", 832, D("124354.69")), ("C4", at_sf001("q4_top_countries")[1][1], D("117947.32")),
+        ("C6", at_sf001("q4_top_countries")[2][1], D("113863.18"))]
+    assert [r[0] for r in at_sf001("q4_top_countries__literal")[:3]] == ["C2", "C4", "C1"]
+    assert at_sf001("q5_marketing_channels") == [
+        ("affiliate", 1998, D("298912.86")), ("email", 2001, D("292461.17")),
+        ("paid_search", 1834, D("288123.21")), ("social", 1833, D("273816.73")),
+        ("organic", 1834, D("268915.90"))]
