@@ -226,7 +226,7 @@ SELECT 'raw/sales/dt=20260101' AS folder, TIMESTAMP '{INGESTION_TS}' AS ingestio
   CAST(sum(CAST(price * qty AS DECIMAL(10,2))) AS DECIMAL(20,2)) AS revenue
 FROM feed""",
     "incremental_load": """
-SELECT folder, count(*) AS n_records, 1 AS n_loads
+SELECT folder, count(*) AS n_records, CAST(1 AS BIGINT) AS n_loads
 FROM events, (VALUES ('raw/sales/dt=20260101'), ('raw/sales/dt=20260102')) AS days(folder)
 GROUP BY folder""",
     "incremental_split": _layers(literal=False) + """

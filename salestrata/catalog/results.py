@@ -204,7 +204,7 @@ def _jsonl_sink(spark, sf_dir):
     root = f"{fresh_folder(spark, 'sink')}/raw/sales"
     events = sales_events(read_events(spark, sf_dir))
     events = events.withColumn("event_id", F.when(F.col("fault") != 0, F.col("event_id")))
-    write_jsonl(events.drop("fault"), root, dt="20260101", max_records_per_file=5000)
+    write_jsonl(events.drop("fault"), root, dt="20260101", max_records_per_file=1_000_000)
     raw = ingest_jsonl(spark, root, INGESTION_TS)
     folder = F.regexp_extract("source_filename", r"(raw/sales/dt=[0-9]{8})/[^/]+$", 1)
     records = extract_event(raw).withColumn("folder", folder)
@@ -255,7 +255,7 @@ def _incremental_load(spark, sf_dir):
     folder = F.regexp_extract("source_filename", r"(raw/sales/dt=[0-9]{8})/[^/]+$", 1)
     return loads.groupBy(folder.alias("folder")).agg(
         F.count(F.lit(1)).alias("n_records"),
-        F.size(F.collect_set("load_id")).alias("n_loads"))
+        F.count_distinct("load_id").alias("n_loads"))
 
 
 def _incremental_split(spark, sf_dir):

@@ -49,12 +49,19 @@ def classify_sales(raw: DataFrame, profile: str | Profile = "documented",
     return classify(extract_event(raw, profile, keep), sales_rules(profile, on_overflow))
 
 
+def _require_ansi(rows: DataFrame) -> None:
+    # Without it a cast that overflows gives NULL, and the amount is lost.
+    if rows.sparkSession.conf.get("spark.sql.ansi.enabled") != "true":
+        raise ValueError("spark.sql.ansi.enabled must be on: amounts must not overflow to NULL")
+
+
 def _narrowed(name: str) -> Column:
     return F.col(name).cast(MONEY_TYPE) if name in MONEY_COLUMNS else F.col(name)
 
 
 def clean_rows(classified: DataFrame) -> DataFrame:
     """Rows without a reason.  An amount too large for its column is an error."""
+    _require_ansi(classified)
     return (classified.where(F.col("reason").isNull())
             .select(*[_narrowed(name).alias(name) for name in CLEAN_COLUMNS]))
 
@@ -71,6 +78,7 @@ def staged_rows(classified: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     two inserts take two; the columns of the other side are NULL and cost
     nothing in Parquet.
     """
+    _require_ansi(classified)
     is_clean = F.col("reason").isNull()
     columns = []
     for name in STAGED_COLUMNS:

@@ -55,6 +55,13 @@ class FolderTables:
         self.spark = spark
         self.root = root.rstrip("/")
 
+    def create(self) -> None:
+        """Empty tables, so that they can be read before the first load."""
+        for table, (_, columns, partitions) in _TABLES.items():
+            schema = ddl({**columns, **dict.fromkeys(partitions, "string")})
+            (self.spark.createDataFrame([], schema).write.mode("ignore")
+             .partitionBy(*partitions).parquet(self._path(table)))
+
     def _path(self, table: str) -> str:
         return f"{self.root}/{_TABLES[table][0]}/{table}"
 
@@ -84,7 +91,8 @@ class CatalogTables:
     """The tables in schemas ``raw``, ``staging`` and ``analytics``.
 
     ``stg_sales_clean`` and ``stg_sales_rejects`` are views, each one partition
-    value of ``stg_sales``.  ``prefix`` goes before the schema names.
+    value of ``stg_sales``.  ``prefix`` goes before the schema names.  A row
+    inserted into RAW by hand without an ingest time gets the current one.
     """
 
     def __init__(self, spark: SparkSession, prefix: str = ""):
@@ -98,6 +106,8 @@ class CatalogTables:
         for table, (layer, columns, partitions) in _TABLES.items():
             self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {self.prefix}{layer}")
             schema = ddl({**columns, **dict.fromkeys(partitions, "string")})
+            if table == RAW:
+                schema = schema.replace("timestamp_ntz", "timestamp_ntz DEFAULT localtimestamp()", 1)
             by = f"PARTITIONED BY ({', '.join(partitions)})" if partitions else ""
             self.spark.sql(
                 f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({schema}) USING parquet {by}")
@@ -120,7 +130,7 @@ class CatalogTables:
 
     def replace(self, table: str, rows: DataFrame) -> None:
         _, columns, partitions = _TABLES[table]
-        # Without a partition clause the old partitions of other loads go too.
+        # Whatever the overwrite mode, partitions that get no row must go too.
         self.spark.sql(f"TRUNCATE TABLE {self.name(table)}")
         self._insert(table, partitions, rows.select(*columns, *partitions))
 

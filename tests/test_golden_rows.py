@@ -111,6 +111,16 @@ def test_overflow_fails_or_is_rejected(spark, changes):
     assert clean_rows(classified).count() == 1
 
 
+def test_overflow_needs_ansi(spark):
+    classified = classify_sales(raw_rows(spark, [event()]))
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(ValueError, match="ansi"):
+            clean_rows(classified)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
 def test_column_types(spark):
     from salestrata.schema import CLEAN_COLUMNS
     clean = clean_rows(classify_sales(raw_rows(spark, [event()])))

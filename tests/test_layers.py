@@ -16,7 +16,10 @@ from salestrata.session import fresh_folder
 @pytest.fixture(params=["folders", "catalog"])
 def tables(request, spark):
     if request.param == "folders":
-        return FolderTables(spark, fresh_folder(spark, "tables"))
+        folders = FolderTables(spark, fresh_folder(spark, "tables"))
+        folders.create()
+        folders.create()
+        return folders
     catalog = CatalogTables(spark, f"t{uuid.uuid4().hex[:8]}_")
     catalog.create()
     catalog.create()
@@ -53,6 +56,11 @@ def test_append_and_rebuild(spark, tables):
     assert payload == "home"
 
 
+def test_tables_are_empty_before_the_first_load(tables):
+    assert counts(SalesLayers(tables)) == (0, 0, 0, 0)
+    assert rebuild(SalesLayers(tables)) == (0, 0, 0, 0)
+
+
 def test_same_load_again_replaces_it(spark, tables):
     layers = SalesLayers(tables)
     layers.append_raw(raw_rows(spark, [event()]), "kept")
@@ -117,6 +125,36 @@ def test_catalog_names(spark):
     assert spark.table(f"{tables.prefix}analytics.fact_sales").count() == 1
 
 
+def test_the_tables_answer_plain_sql(spark):
+    tables = CatalogTables(spark, f"t{uuid.uuid4().hex[:8]}_")
+    tables.create()
+    layers = SalesLayers(tables)
+    layers.append_raw(raw_rows(spark, [
+        event(), event(country="BR", total_amount=70), event(payment_method="paypal"),
+        event(event_ts="2026-01-09", category="beauty"), event(quantity="two")]))
+    rebuild(layers)
+    fact = f"{tables.prefix}analytics.fact_sales"
+    sales = "count(*) AS total_sales, sum(total_amount) AS total_revenue"
+    for key, order, report in (
+            ("country", "total_revenue", reports.top_countries),
+            ("payment_method", "total_sales", reports.payment_methods),
+            ("marketing_channel", "total_revenue", reports.marketing_channels)):
+        rows = spark.sql(f"SELECT {key}, {sales} FROM {fact} GROUP BY {key} ORDER BY {order} DESC")
+        assert rows.collect() == report(layers.fact()).collect()
+    days = spark.sql(f"SELECT cast(event_ts AS date), {sales} FROM {fact} GROUP BY 1 ORDER BY 1")
+    assert [tuple(r)[1:] for r in days.collect()] == [
+        tuple(r)[1:] for r in reports.daily_revenue(layers.fact()).collect()]
+
+
+def test_ingest_time_default_of_the_raw_table(spark):
+    tables = CatalogTables(spark, f"t{uuid.uuid4().hex[:8]}_")
+    tables.create()
+    spark.sql(f"INSERT INTO {tables.prefix}raw.raw_sales (source_filename, raw, load_id) "
+              f"SELECT 'by hand', parse_json('{event()}'), 'x'")
+    row = SalesLayers(tables).raw().select("source_filename", "ingestion_ts").first()
+    assert row.source_filename == "by hand" and row.ingestion_ts is not None
+
+
 def test_folder_rebuild_survives_dynamic_overwrite_mode(spark):
     layers = SalesLayers(FolderTables(spark, fresh_folder(spark, "tables")))
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
