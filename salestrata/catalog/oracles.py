@@ -189,8 +189,8 @@ SELECT event_id, NULL, CAST(event_id AS VARCHAR) FROM events WHERE event_id % 4
 WITH kinds AS (
   SELECT event_id,
     ['object', 'broken', 'blank', 'array', 'repeated key', 'number', 'null', 'non-ascii',
-     'empty array', 'two objects', 'trailing text', 'trailing comma', 'single quotes',
-     'not a number'][CAST(event_id % 14 AS INT) + 1] AS line_kind
+     'empty array', 'two objects', 'trailing text', 'trailing comma', 'two numbers',
+     'single quotes', 'not a number'][CAST(event_id % 15 AS INT) + 1] AS line_kind
   FROM events)
 SELECT line_kind,
   count(*) * CASE line_kind WHEN 'array' THEN 3 ELSE 1 END AS n_records,

@@ -30,6 +30,7 @@ from salestrata.schema import (
 )
 
 RAW, STAGED, FACT = "raw_sales", "stg_sales", "fact_sales"
+OUTCOMES = ("clean", "reject")
 
 # table: (layer, columns, partition columns)
 _TABLES = {
@@ -125,8 +126,11 @@ class CatalogTables:
 
     def _insert(self, table: str, partition: list[str], rows: DataFrame) -> None:
         into = f"PARTITION ({', '.join(partition)})" if partition else ""
-        self.spark.sql(
+        # A streaming batch has a session of its own, which knows its rows; this
+        # one has to be told that the files it may have listed are others now.
+        rows.sparkSession.sql(
             f"INSERT OVERWRITE TABLE {self.name(table)} {into} SELECT * FROM {{rows}}", rows=rows)
+        self.spark.catalog.refreshTable(self.name(table))
 
     def replace(self, table: str, rows: DataFrame) -> None:
         _, columns, partitions = _TABLES[table]
@@ -136,6 +140,12 @@ class CatalogTables:
 
     def replace_load(self, table: str, load_id: str, rows: DataFrame) -> None:
         _, columns, partitions = _TABLES[table]
+        # As above: an outcome the new rows do not have must not stay behind.
+        # Both are named, since not every catalog drops by a part of the key.
+        if partitions[1:]:
+            old = ", ".join(f"PARTITION (load_id = '{load_id}', outcome = '{outcome}')"
+                            for outcome in OUTCOMES)
+            self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS {old}")
         self._insert(table, [f"load_id = '{load_id}'", *partitions[1:]],
                      rows.select(*columns, *partitions[1:]))
 

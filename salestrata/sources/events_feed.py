@@ -113,6 +113,7 @@ MESSY_LINES = (
     ("two objects", "'{\"event_id\": \"E' || event_id || '\"} {\"event_id\": null}'"),
     ("trailing text", "'{\"event_id\": \"E' || event_id || '\"} x'"),
     ("trailing comma", "'{\"event_id\": \"E' || event_id || '\"},'"),
+    ("two numbers", "event_id || ', 7'"),
     ("single quotes", "'{''event_id'': 1}'"),
     ("not a number", "'{\"event_id\": NaN}'"),
 )

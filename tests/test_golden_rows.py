@@ -62,6 +62,8 @@ SAME = [
     (event(quantity="1e3"), {"quantity": D(1000)}),
     (event(total_amount=0), {"total_amount": D("0.00")}),
     (event(unit_price="x", customer_id="abc"), {"unit_price": None, "customer_id": None}),
+    (event(customer_id=9007199254740993, product_id="1" * 38),
+     {"customer_id": D(9007199254740993), "product_id": D("1" * 38)}),
     (event(category=ABSENT), {"category": None}),
     (event(country="Perú", category="日本"), {"country": "Perú", "category": "日本"}),
     (event(order_id=5, session_id=True), {"order_id": "5", "session_id": "true"}),

@@ -32,12 +32,12 @@ def test_bad_lines_are_skipped_and_counted(spark, tmp_path):
     land(tmp_path, "dt=20260101/a.jsonl", "\n".join([
         event(event_id="1"), "{bad", "", "  ", '[{"event_id": "2"}, {"event_id": "3"}]',
         '{"event_id": "x", "event_id": "y"}', event(event_id="ü"), "null", "5",
-        '{"event_id": "4"} {"event_id": "5"}', "[]",
+        '{"event_id": "4"} {"event_id": "5"}', '{"event_id": "6"}, {"event_id": "7"}', "[]",
     ]) + "\n")
     seen = Observation("lines")
     raw = ingest_jsonl(spark, str(tmp_path), TS, seen)
     assert ids(raw) == sorted(["1", "2", "3", "ü", "None", "None"])
-    assert seen.get == {"n_lines": 11, "n_blank": 2, "n_bad": 3}
+    assert seen.get == {"n_lines": 12, "n_blank": 2, "n_bad": 4}
 
 
 def test_columns_and_lineage(spark, tmp_path):

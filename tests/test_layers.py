@@ -155,13 +155,17 @@ def test_ingest_time_default_of_the_raw_table(spark):
     assert row.source_filename == "by hand" and row.ingestion_ts is not None
 
 
-def test_folder_rebuild_survives_dynamic_overwrite_mode(spark):
-    layers = SalesLayers(FolderTables(spark, fresh_folder(spark, "tables")))
+def test_loads_and_rebuilds_survive_dynamic_overwrite_mode(spark, tables):
+    layers = SalesLayers(tables)
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
         layers.append_raw(raw_rows(spark, [event(event_id=None)]), "a")
-        rebuild(layers)
+        layers.stage_load("a")
         layers.append_raw(raw_rows(spark, [event()]), "a")
-        assert rebuild(layers) == (1, 1, 0, 1)
+        layers.stage_load("a")
+        layers.rebuild_fact()
+        assert counts(layers) == (1, 1, 0, 1)
+        layers.append_raw(raw_rows(spark, [event(quantity=0)]), "a")
+        assert rebuild(layers) == (1, 0, 1, 0)
     finally:
         spark.conf.unset("spark.sql.sources.partitionOverwriteMode")

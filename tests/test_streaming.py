@@ -3,19 +3,23 @@
 from __future__ import annotations
 
 import os
+import uuid
 
 import pytest
 from helpers import event, raw_rows
 
-from salestrata.plans import FolderTables, SalesLayers
+from salestrata.plans import CatalogTables, FolderTables, SalesLayers
 from salestrata.session import fresh_folder
 from salestrata.streaming import load_new_files
 
 
-@pytest.fixture
-def place(spark, tmp_path):
+@pytest.fixture(params=["folders", "catalog"])
+def place(request, spark, tmp_path):
     root = fresh_folder(spark, "stream")
-    return SalesLayers(FolderTables(spark, f"{root}/tables")), tmp_path / "landing", f"{root}/checkpoint"
+    tables = (FolderTables(spark, f"{root}/tables") if request.param == "folders"
+              else CatalogTables(spark, f"t{uuid.uuid4().hex[:8]}_"))
+    tables.create()
+    return SalesLayers(tables), tmp_path / "landing", f"{root}/checkpoint"
 
 
 def land(landing, name, *lines):
