@@ -49,7 +49,7 @@ def arguments(argv: list[str] | None) -> argparse.Namespace:
 
 def main(argv: list[str] | None = None) -> None:
     args = arguments(argv)
-    spark = build_session(f"salestrata-{args.step}", conf=LOAD_CONF)
+    spark = build_session(f"salestrata-{args.step}", conf=LOAD_CONF if args.step == "load" else None)
     tables = FolderTables(spark, args.tables) if args.tables else CatalogTables(spark)
     tables.create()
     layers = SalesLayers(tables, args.profile, args.on_overflow)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from salestrata.sources.events_feed import (
     CHANNELS,
     DEVICES,
+    FILE_FORMS,
     INGESTION_TS,
     NUMBER_FORMS,
     PAYMENT_METHODS,
@@ -210,6 +211,15 @@ SELECT row_id, text, TRY_CAST(text AS DECIMAL(38,0)) AS whole,
 FROM (SELECT event_id AS row_id, {pick_form(
         NUMBER_FORMS, price="CAST(CAST(value AS DECIMAL(10,2)) AS VARCHAR)",
         k="json_extract_string(props, '$.k')")} AS text FROM events)""",
+    "store_paths": f"""
+SELECT event_id AS row_id, {pick_form(FILE_FORMS)} AS uri,
+  CASE event_id % 4
+    WHEN 0 THEN 'raw/sales/dt=20260101/' || event_id || '.jsonl'
+    WHEN 1 THEN 'raw/sales/dt=20260101/a b+' || event_id || '.jsonl'
+    WHEN 2 THEN 'raw/sales/é%' || event_id
+    WHEN 3 THEN 'raw//sales/' || event_id || ':1' END AS source_filename
+FROM events""",
+    "ingest_time": "SELECT count(*) AS n_records, count(*) AS n_recent, TRUE AS one_time FROM events",
     "money_overflow": f"""
 WITH {_FEED},
 totals AS (SELECT CAST(price * qty AS DECIMAL(10,2)) * 1000000 AS total FROM feed)

@@ -8,7 +8,14 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salestrata.functions import json_text, json_value, safe_number, safe_timestamp, sales_day
+from salestrata.functions import (
+    json_text,
+    json_value,
+    safe_number,
+    safe_timestamp,
+    sales_day,
+    store_path,
+)
 from salestrata.operators import (
     classify_sales,
     clean_rows,
@@ -26,6 +33,7 @@ from salestrata.schema import EVENT_COLUMNS, MONEY_COLUMNS
 from salestrata.session import fresh_folder
 from salestrata.sources import ingest_jsonl, records_from_lines, write_jsonl
 from salestrata.sources.events_feed import (
+    FILE_FORMS,
     INGESTION_TS,
     NUMBER_FORMS,
     TIME_FORMS,
@@ -179,6 +187,22 @@ def _safe_numbers(spark, sf_dir):
                         safe_number(F.col("text"), 2).cast("decimal(10,2)").alias("money"))
 
 
+def _store_paths(spark, sf_dir):
+    files = read_events(spark, sf_dir).selectExpr(
+        "event_id as row_id", f"{pick_form(FILE_FORMS)} as uri")
+    return files.select("row_id", "uri", store_path(F.col("uri")).alias("source_filename"))
+
+
+def _ingest_time(spark, sf_dir):
+    """Without a given ingest time all rows of a load carry the same current one."""
+    records = records_from_lines(sales_lines(read_events(spark, sf_dir)))
+    recent = F.col("ingestion_ts").between(F.localtimestamp() - F.expr("interval 1 day"),
+                                           F.localtimestamp())
+    return records.agg(F.count(F.lit(1)).alias("n_records"),
+                       F.count_if(recent).alias("n_recent"),
+                       (F.min("ingestion_ts") == F.max("ingestion_ts")).alias("one_time"))
+
+
 def _money_overflow(spark, sf_dir):
     """Totals a million times the usual: those beyond the column are rejected."""
     lines = sales_events(read_events(spark, sf_dir)).select(
@@ -292,6 +316,8 @@ def queries() -> dict[str, Query]:
         "tolerant_load": _tolerant_load,
         "safe_timestamps": _safe_timestamps,
         "safe_numbers": _safe_numbers,
+        "store_paths": _store_paths,
+        "ingest_time": _ingest_time,
         "money_overflow": _money_overflow,
         "jsonl_sink": _jsonl_sink,
         "incremental_load": _incremental_load,

@@ -128,8 +128,8 @@ def messy_lines(events: DataFrame) -> DataFrame:
                              f"case event_id % {n} {kinds} end as source_filename")
 
 
-# Forms a time or a number may arrive in, as SQL over an event.
-# The SQL counterparts use the same texts.
+# Forms a time, a file name or a number may arrive in, as SQL over
+# an event.  The SQL counterparts use the same texts.
 TIME_FORMS = (
     "{iso} || '+00:00'",
     "{iso} || '-05:00'",
@@ -146,6 +146,12 @@ TIME_FORMS = (
     "substr({iso}, 1, 11) || '25:00:00'",
     "''",
 )
+FILE_FORMS = (
+    "'s3a://bucket/raw/sales/dt=20260101/' || event_id || '.jsonl'",
+    "'file:///raw/sales/dt=20260101/a%20b+' || event_id || '.jsonl'",
+    "'file:/raw/sales/%C3%A9%25' || event_id",
+    "'hdfs://node:8020/raw//sales/' || event_id || ':1'",
+)
 NUMBER_FORMS = (
     "{price}",
     "'-' || {price}",
