@@ -52,8 +52,12 @@ def sales_rules(profile: str | Profile = "documented", on_overflow: str = "fail"
 
 
 def first_broken(rules: Sequence[Rule]) -> Column:
-    branches = " ".join(f"WHEN {rule.broken} THEN '{rule.reason}'" for rule in rules)
-    return F.expr(f"CASE {branches} END") if rules else F.lit(None).cast("string")
+    if not rules:
+        return F.lit(None).cast("string")
+    reason = F
+    for rule in rules:
+        reason = reason.when(F.expr(rule.broken), F.lit(rule.reason))
+    return reason
 
 
 def classify(rows: DataFrame, rules: Sequence[Rule]) -> DataFrame:

@@ -22,7 +22,8 @@ def load_new_files(layers: SalesLayers, landing: str, checkpoint: str, *, stage:
     back from there and, with ``stage``, classified into its own partition of
     STAGING.  The load is named after the query and the batch, so a batch that
     Spark runs again replaces what its first run left behind.  A new checkpoint
-    starts a new query and loads all files again.
+    starts a new query and loads all files again.  Loads taken in without
+    ``stage`` reach STAGING with the next rebuild.
 
     A file is known by its path: one rewritten in place is not read again.  The
     files seen are remembered without an age limit, since a file that arrives

@@ -47,6 +47,8 @@ GOLDEN = [
      "Missing event_id", {}, {}),
     (event(quantity=0, total_amount=None), "Non-positive quantity", "Non-positive quantity",
      {}, {}),
+    (event(quantity=0, total_amount=100000000, unit_price=1e12), "Non-positive quantity",
+     "Non-positive quantity", {}, {}),
     (event(event_id=ABSENT, Event_ID="E1"), "Missing event_id", "Missing event_id", {}, {}),
     ("5", "Missing event_id", "Missing event_id", {}, {}),
     ("null", "Missing event_id", "Missing event_id", {}, {}),

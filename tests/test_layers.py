@@ -98,6 +98,12 @@ def test_empty_load(spark, tables):
     assert reports.category_revenue(layers.fact()).collect() == []
 
 
+def test_an_amount_too_large_in_a_reject_does_no_harm(spark, tables):
+    layers = SalesLayers(tables)
+    layers.append_raw(raw_rows(spark, [event(), event(quantity=0, total_amount=1e12, unit_price=1e12)]))
+    assert rebuild(layers) == (2, 1, 1, 1)
+
+
 def test_overflow_fails_the_rebuild_or_goes_to_rejects(spark, tables):
     layers = SalesLayers(tables)
     layers.append_raw(raw_rows(spark, [event(), event(total_amount=100000000)]))
@@ -108,6 +114,18 @@ def test_overflow_fails_the_rebuild_or_goes_to_rejects(spark, tables):
     assert rejecting.rejects().first().reason == "Unknown validation error"
 
 
+@pytest.mark.parametrize("load_id", ["0007", "2026-01-01", "1e3", "1.0"])
+def test_load_id_is_text_whatever_it_looks_like(spark, tables, load_id):
+    layers = SalesLayers(tables)
+    layers.append_raw(raw_rows(spark, [event()]), load_id)
+    layers.append_raw(raw_rows(spark, [event(quantity=0)]), "other")
+    rebuild(layers)
+    layers.stage_load(load_id)
+    layers.rebuild_fact()
+    assert counts(layers) == (2, 1, 1, 1)
+    assert tables.read("stg_sales").where("outcome = 'clean'").first().load_id == load_id
+
+
 def test_load_id_is_checked(spark, tables):
     with pytest.raises(ValueError):
         SalesLayers(tables).append_raw(raw_rows(spark, [event()]), "a/b' OR 1=1")
