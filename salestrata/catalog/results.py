@@ -20,6 +20,7 @@ from salestrata.operators import (
     classify_sales,
     clean_rows,
     extract_event,
+    parse_text,
     reconcile_classified,
     reject_rows,
     rule_flags,
@@ -153,8 +154,7 @@ def _strip_outer_array(spark, sf_dir):
         "event_id as row_id",
         "case event_id % 4 when 3 then props "
         "else '[' || repeat(props || ', ', cast(event_id % 4 as int)) || event_id || ']' end as value")
-    parsed = lines.select("row_id", F.try_parse_json("value").alias("parsed"))
-    records = strip_outer_array(parsed)
+    records = strip_outer_array(parse_text(lines))
     is_object = json_value("raw", "k").isNotNull()
     return records.select(
         "row_id", json_text("raw", "k").alias("k"),

@@ -2,7 +2,7 @@
 
 from salestrata.operators.quality import Rule, classify, rule_flags, sales_rules, split
 from salestrata.operators.reconcile import reconcile_classified, reconcile_layers
-from salestrata.operators.records import strip_outer_array
+from salestrata.operators.records import parse_text, strip_outer_array
 from salestrata.operators.staging import (
     classify_sales,
     clean_rows,
@@ -17,6 +17,7 @@ __all__ = [
     "classify_sales",
     "clean_rows",
     "extract_event",
+    "parse_text",
     "reconcile_classified",
     "reconcile_layers",
     "reject_rows",

@@ -1,21 +1,47 @@
-"""From parsed JSON values to records."""
+"""From JSON text to records."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Strict JSON, where the reader is lenient by default.
+_STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
-def strip_outer_array(parsed: DataFrame, value: str = "parsed", record: str = "raw") -> DataFrame:
-    """One row per element of a top-level array, one row for any other value.
 
-    A NULL ``value`` (text that did not parse) gives no row.  The explode also
-    keeps later filters above it: pushed below, they would parse the text once
-    per predicate.
+def parse_text(texts: DataFrame, text: str = "value") -> DataFrame:
+    """Replaces ``text`` by its parsed values, for ``records`` to look at.
+
+    The text is parsed as the content of an array: a parse of the bare text
+    would stop after the first value and lose the rest of two records run
+    together on a line.  A top-level array is parsed straight into its elements,
+    as the size of one variant would bound the array as a whole.
     """
-    elements = F.coalesce(
-        F.try_variant_get(value, "$", "array<variant>"),
-        F.when(F.col(value).isNotNull(), F.array(value)),
+    enclosed = F.concat(F.lit("["), text, F.lit("]"))
+    is_array = F.rlike(text, F.lit(r"^\s*\["))
+    others = [c for c in texts.columns if c != text]
+    return texts.select(
+        *others,
+        F.when(is_array, F.from_json(enclosed, "array<array<variant>>", _STRICT)).alias("elements"),
+        F.when(~is_array, F.from_json(enclosed, "array<variant>", _STRICT)).alias("single"),
+    )
+
+
+def records() -> Column:
+    """The records of a parsed text: the elements of a top-level array, else the
+    value itself.  NULL unless the text is exactly one JSON value."""
+    return F.coalesce(
+        F.when(F.size("elements") == 1, F.get("elements", F.lit(0))),
+        F.when(F.size("single") == 1, F.col("single")),
     )
-    others = [c for c in parsed.columns if c != value]
-    return parsed.select(*others, F.explode(elements).alias(record))
+
+
+def strip_outer_array(parsed: DataFrame, record: str = "raw") -> DataFrame:
+    """One row per record of the parsed texts; a text that is no JSON gives none.
+
+    The explode keeps later filters above it: pushed below, they would parse
+    the text once per predicate.  It takes the expression, not a column of it,
+    for else Spark adds such a filter by itself.
+    """
+    others = [c for c in parsed.columns if c not in ("elements", "single")]
+    return parsed.select(*others, F.explode(records()).alias(record))

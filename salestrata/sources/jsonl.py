@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from salestrata.functions import store_path
-from salestrata.operators.records import strip_outer_array
+from salestrata.operators.records import parse_text, records, strip_outer_array
 from salestrata.schema import RAW_COLUMNS
 
 
@@ -24,27 +24,19 @@ def read_lines(spark: SparkSession, path: str, streaming: bool = False,
     return lines.select("value", store_path(F.col("_metadata.file_path")).alias("source_filename"))
 
 
+def read_files(spark: SparkSession, path: str) -> DataFrame:
+    """The same with the whole text of a file as one value."""
+    files = read_lines(spark, path, wholetext="true")
+    # Spark drops a byte order mark from lines, but not from a whole file.
+    return files.withColumn("value", F.regexp_replace("value", "^\ufeff", ""))
+
+
 def ingest_time(ingestion_ts: datetime | str | None) -> Column:
     if ingestion_ts is None:
         return F.localtimestamp()
     return F.lit(str(ingestion_ts)).cast("timestamp_ntz")
 
 
-def parse_lines(lines: DataFrame, text: str = "value", parsed: str = "parsed") -> DataFrame:
-    """Replaces ``text`` by the JSON value it holds, NULL unless it holds exactly one.
-
-    Parsed as an array of one: a parse of the bare text would stop after the
-    first value and lose the rest of two records run together on a line.  Two
-    steps, so that the text is parsed once and then looked at twice.
-    """
-    # Strict JSON, where the reader is lenient by default.
-    strict = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
-    values = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<variant>", strict)
-    others = [c for c in lines.columns if c != text]
-    return (lines.select(*others, values.alias("values"))
-            .select(*others, F.when(F.size("values") == 1, F.get("values", F.lit(0))).alias(parsed)))
-
-
 def records_from_lines(lines: DataFrame, ingestion_ts: datetime | str | None = None,
                        observation: Observation | str | None = None) -> DataFrame:
     """RAW rows from ``(value, source_filename)`` lines.
@@ -54,16 +46,16 @@ def records_from_lines(lines: DataFrame, ingestion_ts: datetime | str | None = N
     second pass: ``n_lines``, ``n_blank`` and ``n_bad`` (blank not included).
     """
     blank = F.rlike("value", F.lit(r"^\s*$"))
-    parsed = parse_lines(lines.select("value", "source_filename", blank.alias("blank")))
+    parsed = parse_text(lines.select("value", "source_filename", blank.alias("blank")))
     if observation is not None:
         parsed = parsed.observe(
             observation,
             F.count(F.lit(1)).alias("n_lines"),
             F.count_if("blank").alias("n_blank"),
-            F.count_if(F.col("parsed").isNull() & ~F.col("blank")).alias("n_bad"),
+            F.count_if(records().isNull() & ~F.col("blank")).alias("n_bad"),
         )
-    records = strip_outer_array(parsed.drop("blank"))
-    return records.withColumn("ingestion_ts", ingest_time(ingestion_ts)).select(*RAW_COLUMNS)
+    raw = strip_outer_array(parsed.drop("blank"))
+    return raw.withColumn("ingestion_ts", ingest_time(ingestion_ts)).select(*RAW_COLUMNS)
 
 
 def ingest_jsonl(spark: SparkSession, path: str, ingestion_ts: datetime | str | None = None,
@@ -73,22 +65,9 @@ def ingest_jsonl(spark: SparkSession, path: str, ingestion_ts: datetime | str |
 
     ``multi_line`` is for files that each hold one JSON value spread over
     several lines, such as a pretty-printed array.  Such a file is one task and
-    one variant in memory; a file that does not parse gives no row.  Plain JSON
-    Lines, which Spark splits, is the route for volume.
+    one text in memory, 2 GB at most; a file that is not one JSON value gives
+    no row and counts as a bad line.  Plain JSON Lines, which Spark splits, is
+    the route for volume.
     """
-    if not multi_line:
-        return records_from_lines(read_lines(spark, path), ingestion_ts, observation)
-    documents = (
-        spark.read.option("recursiveFileLookup", "true").option("multiLine", "true")
-        .option("singleVariantColumn", "parsed").format("json").load(path)
-        .select("parsed", store_path(F.col("_metadata.file_path")).alias("source_filename"))
-    )
-    if observation is not None:
-        documents = documents.observe(
-            observation,
-            F.count(F.lit(1)).alias("n_lines"),
-            F.lit(0).cast("bigint").alias("n_blank"),
-            F.count_if(F.col("parsed").isNull()).alias("n_bad"),
-        )
-    records = strip_outer_array(documents)
-    return records.withColumn("ingestion_ts", ingest_time(ingestion_ts)).select(*RAW_COLUMNS)
+    texts = read_files(spark, path) if multi_line else read_lines(spark, path)
+    return records_from_lines(texts, ingestion_ts, observation)

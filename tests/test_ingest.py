@@ -82,17 +82,34 @@ def test_compressed_files(spark, tmp_path):
     assert ids(ingest_jsonl(spark, str(tmp_path), TS)) == ["1"]
 
 
+def test_an_array_beyond_the_size_of_a_variant(spark, tmp_path):
+    one = json.dumps({"event_id": "e", "pad": "x" * 100_000})
+    land(tmp_path, "line.jsonl", "[" + ",".join([one] * 1400) + "]")
+    for multi_line in (False, True):
+        raw = ingest_jsonl(spark, str(tmp_path), TS, multi_line=multi_line)
+        assert raw.select(json_text("raw", "event_id").alias("id")).where("id = 'e'").count() == 1400
+
+
+def test_json_nulls_are_records(spark, tmp_path):
+    land(tmp_path, "a.jsonl", "null\n[null, null]\n")
+    raw = ingest_jsonl(spark, str(tmp_path), TS)
+    assert [r[0] for r in raw.select(F.to_json("raw")).collect()] == ["null"] * 3
+
+
 def test_array_spread_over_lines(spark, tmp_path):
     land(tmp_path, "dt=20260101/a b.json",
          json.dumps([{**VALID, "event_id": str(i)} for i in range(3)], indent=2))
     land(tmp_path, "dt=20260102/one.json", json.dumps(VALID, indent=2))
     land(tmp_path, "dt=20260102/bad.json", "[{")
+    land(tmp_path, "dt=20260102/two.json", json.dumps(VALID, indent=2) * 2)
+    land(tmp_path, "dt=20260102/mark.json",
+         b"\xef\xbb\xbf" + json.dumps({**VALID, "event_id": "m"}, indent=2).encode())
     seen = Observation("documents")
     raw = ingest_jsonl(spark, str(tmp_path), TS, seen, multi_line=True)
-    assert ids(raw) == ["0", "1", "2", "e-1"]
-    assert seen.get == {"n_lines": 3, "n_blank": 0, "n_bad": 1}
+    assert ids(raw) == ["0", "1", "2", "e-1", "m"]
+    assert seen.get == {"n_lines": 5, "n_blank": 0, "n_bad": 2}
     assert any(r.source_filename.endswith("dt=20260101/a b.json") for r in raw.collect())
-    assert clean_rows(classify_sales(raw)).count() == 4
+    assert clean_rows(classify_sales(raw)).count() == 5
 
 
 def test_sink_writes_one_object_per_line(spark, tmp_path):
