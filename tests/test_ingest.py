@@ -90,6 +90,30 @@ def test_an_array_beyond_the_size_of_a_variant(spark, tmp_path):
         assert raw.select(json_text("raw", "event_id").alias("id")).where("id = 'e'").count() == 1400
 
 
+@pytest.mark.parametrize("line", [
+    '{"a": 1}]', '{"a": 1}] {"b": 2}', '{"a": 1}, {"b": 2}]', '[{"a": 1},', '[{"a": 1}]]', ']', ',',
+    '{"a": 1},', '[1] [2]', '[1], [2]', '[1], [2]]', '1, 2', '1 2', '"a" "b"', '{"a": 1}}', "[", "{",
+    '"open', '["open]', "tru", "[1, 2", "{'a': 1}", "NaN", "[NaN]", "01", '{"a": 1, "a": 2}',
+])
+def test_a_line_is_one_value_or_bad(spark, tmp_path, line):
+    land(tmp_path, "a.jsonl", line + "\n")
+    seen = Observation("lines")
+    assert ingest_jsonl(spark, str(tmp_path), TS, seen).collect() == []
+    assert seen.get == {"n_lines": 1, "n_blank": 0, "n_bad": 1}
+
+
+@pytest.mark.parametrize("line,records", [
+    ('{"a": 1}', ['{"a":1}']), (' {"a": "]}"} ', ['{"a":"]}"}']), ("\t[1, [2], {}]\t", ["1", "[2]", "{}"]),
+    ("[]", []), ("[[]]", ["[]"]), ("5", ["5"]), ('"x"', ['"x"']), ('"[1]"', ['"[1]"']),
+    ("true", ["true"]), ("null", ["null"]), ('"end of text"', ['"end of text"']),
+    ('["end of text"]', ['"end of text"']),
+])
+def test_the_records_of_a_line(spark, tmp_path, line, records):
+    land(tmp_path, "a.jsonl", line + "\n")
+    raw = ingest_jsonl(spark, str(tmp_path), TS)
+    assert [r[0] for r in raw.select(F.to_json("raw")).collect()] == records
+
+
 def test_json_nulls_are_records(spark, tmp_path):
     land(tmp_path, "a.jsonl", "null\n[null, null]\n")
     raw = ingest_jsonl(spark, str(tmp_path), TS)
