@@ -5,9 +5,12 @@ from __future__ import annotations
 import uuid
 
 import pytest
+from conftest import TESTDATA
 from helpers import event, raw_rows
+from pyspark.sql import functions as F
 
-from salestrata.operators import reports
+from salestrata.catalog.results import raw_sales
+from salestrata.operators import classify_sales, clean_rows, reject_rows, reports
 from salestrata.plans import CatalogTables, FolderTables, SalesLayers
 from salestrata.schema import CLEAN_COLUMNS, FACT_COLUMNS, RAW_COLUMNS, REJECT_COLUMNS
 from salestrata.session import fresh_folder
@@ -61,6 +64,21 @@ def test_tables_are_empty_before_the_first_load(tables):
     assert rebuild(SalesLayers(tables)) == (0, 0, 0, 0)
 
 
+def test_written_layers_hold_what_the_frames_hold(spark, tables):
+    raw = raw_sales(spark, f"{TESTDATA}/sf0.001")
+    layers = SalesLayers(tables)
+    layers.append_raw(raw)
+    assert rebuild(layers)[0] == 1000
+
+    def payloads(rows):
+        return sorted(rows.select("reason", F.to_json("raw"), "source_filename").collect())
+
+    classified = classify_sales(raw)
+    assert payloads(layers.rejects()) == payloads(reject_rows(classified))
+    assert sorted(map(str, layers.fact().collect())) == sorted(
+        map(str, clean_rows(classified).collect()))
+
+
 def test_same_load_again_replaces_it(spark, tables):
     layers = SalesLayers(tables)
     layers.append_raw(raw_rows(spark, [event()]), "kept")
