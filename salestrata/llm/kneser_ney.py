@@ -7,6 +7,10 @@ finished model is a few sorted hash arrays: a key is the first ``slot_bits`` bit
 hash of language and n-gram, so no order has more than ``2 ** slot_bits`` entries
 however large the corpus is, and the model may be broadcast.  Where two n-grams
 meet in one slot, the more frequent one's values stand for both.
+
+An n-gram of two bytes or more that the whole corpus has once is counted, but
+its probability is left to the lower order: it is no evidence about the one text
+that holds it, which would otherwise be scored by itself.
 """
 
 from __future__ import annotations
@@ -77,23 +81,27 @@ def count_grams(texts: DataFrame) -> DataFrame:
 
 
 def _discounts(level: DataFrame) -> DataFrame:
-    """The three discounts of a level per language, from its counts of counts."""
+    """The three discounts of a level per language, from its counts of counts; half
+    the count where a small corpus lacks one of those."""
     of = [F.sum(F.when(F.col("n") == i, 1).otherwise(0)).cast("double").alias(f"t{i}")
           for i in (1, 2, 3, 4)]
     y = F.expr("if(t1 > 0, t1 / (t1 + 2 * t2), 0D)")
-    discount = [F.least(F.greatest(F.expr(f"if(t{i} > 0, {i} - {i + 1} * y * t{i + 1} / t{i}, {i} * 0.5D)"),
-                                   F.lit(0.0)), F.lit(float(i))).alias(f"d{i}") for i in (1, 2, 3)]
+    whole = "least(t1, t2, t3, t4) > 0"
+    discount = [F.expr(f"if({whole}, least(greatest({i} - {i + 1} * y * t{i + 1} / nullif(t{i}, 0), 0D), {i}D), {i} * 0.5D)")
+                .alias(f"d{i}") for i in (1, 2, 3)]
     return level.groupBy("lang").agg(*of).withColumn("y", y).select("lang", *discount)
 
 
 def _probabilities(level: DataFrame, lower: DataFrame | None, order: int) -> DataFrame:
-    """``(lang, gram, n, context, p, rest)`` of the n-grams of ``order`` bytes; ``rest``
-    is what the n-gram's context leaves to the next lower order."""
+    """``(lang, gram, n, own, context, p, rest)`` of the n-grams of ``order`` bytes; ``own``
+    is whether the probability is its own, ``rest`` what its context leaves to the next lower order."""
+    own = "seen > 1" if order > 1 else "true"
     discounted = (level.join(_discounts(level), "lang")
-                  .withColumn("d", F.expr("case when n = 1 then d1 when n = 2 then d2 else d3 end"))
+                  .withColumn("own", F.expr(own))
+                  .withColumn("left", F.expr("if(own, n - case when n = 1 then d1 when n = 2 then d2 else d3 end, 0D)"))
                   .withColumn("context", F.expr("gram >> 8")))
     contexts = discounted.groupBy("lang", "context").agg(
-        F.sum("n").alias("total"), (F.sum("d") / F.sum("n")).alias("rest"))
+        F.sum("n").alias("total"), (1 - F.sum("left") / F.sum("n")).alias("rest"))
     joined = discounted.join(contexts, ["lang", "context"])
     if lower is None:
         below = joined.withColumn("below", F.lit(1.0 / BYTES))
@@ -102,8 +110,8 @@ def _probabilities(level: DataFrame, lower: DataFrame | None, order: int) -> Dat
         places = F.lit((1 << (8 * (order - 1))) - 1)
         below = (joined.withColumn("suffix", F.col("gram").bitwiseAND(places))
                  .join(suffix, ["lang", "suffix"]))
-    return below.select("lang", "gram", "n", "context",
-                        F.expr("(n - d) / total + rest * below").alias("p"), "rest")
+    return below.select("lang", "gram", "n", "own", "context",
+                        F.expr("left / total + rest * below").alias("p"), "rest")
 
 
 @dataclass
@@ -153,19 +161,19 @@ def _table(entries: DataFrame, length: int, slot_bits: int) -> tuple[SortedHashT
 
 def fit(texts: DataFrame, slot_bits: int = SLOT_BITS) -> Model:
     """The model of all rows of ``(lang, text)``."""
-    levels: list[DataFrame] = [cut(count_grams(texts))]
+    levels: list[DataFrame] = [cut(count_grams(texts).withColumn("seen", F.col("n")))]
     for order in range(ORDER - 1, 0, -1):
         suffix = F.col("gram").bitwiseAND(F.lit((1 << (8 * order)) - 1))
         levels.insert(0, cut(levels[0].groupBy("lang", suffix.alias("gram"))
-                             .agg(F.count("*").alias("n"))))
+                             .agg(F.count("*").alias("n"), F.sum("seen").alias("seen"))))
     model = Model(slot_bits, [], [])
     lower = None
     for order, level in enumerate(levels, start=1):
         probabilities = cut(_probabilities(level, lower, order))
-        model.grams.append(_table(probabilities.select(
+        model.grams.append(_table(probabilities.where("own").select(
             "lang", F.col("gram").alias("key"), "n", F.log("p").alias("value")), order, slot_bits))
         model.contexts.append(_table(probabilities.groupBy("lang", F.col("context").alias("key")).agg(
-            F.sum("n").alias("n"), F.log(F.max("rest")).alias("value")), order - 1, slot_bits))
+            F.sum("n").alias("n"), F.log(F.greatest(F.max("rest"), F.lit(1e-12))).alias("value")), order - 1, slot_bits))
         lower = probabilities
     return model
 

@@ -4,11 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from salestrata.llm import quality_rules, simhash
+from salestrata.llm import decontaminate, pieces, quality_rules, simhash, toxicity
 from salestrata.llm.shared import documents
 
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(documents(spark, sf_dir))
@@ -18,11 +26,45 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.token_digests(documents(spark, sf_dir), PIECES)
+
+
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.decontaminate(documents(spark, sf_dir),
+                                        spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items",
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op4_quality_rules, op5_simhash,
+        op3_toxicity, op4_quality_rules, op5_simhash, op7_pieces, op9_decontaminate,
     )}
 
 
+_WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+_DECONTAMINATE = f"""
+WITH items AS (SELECT DISTINCT item_id, {_WORDS} AS w FROM benchmark),
+windows AS (
+    SELECT DISTINCT item_id, len(w[i:i + 9]) AS n, array_to_string(w[i:i + 9], ' ') AS win
+    FROM items, range(1, greatest(len(w) - 9, 1) + 1) AS r(i) WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT n FROM windows),
+docs AS (SELECT doc_id, coalesce({_WORDS}, []) AS w FROM documents),
+found AS (
+    SELECT d.doc_id, p.i, s.n, item_id
+    FROM docs d, sizes s, range(1, len(d.w) - s.n + 2) AS p(i)
+    JOIN windows x ON x.n = s.n AND x.win = array_to_string(d.w[p.i:p.i + s.n - 1], ' ')),
+words AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM found, range(i, i + n) AS q(j) GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS listed
+          FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item_id FROM found) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(listed, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN words USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_decontaminate": _DECONTAMINATE}

@@ -267,22 +267,20 @@ def keep_one(docs: DataFrame, distance: int = MAX_DISTANCE) -> DataFrame:
     found = cut(near_duplicates(docs, distance))
     kept = (found.where("doc_id = component_id").groupBy(F.col("doc_id").alias("kept_id"))
             .agg(F.count("*").alias("rows")))
-    same = F.col("doc_id").cast("long") == F.col("kept_id")
-    least = F.min(F.struct(*[F.col(f"`{name}`") for name in docs.columns])).alias("row")
+    whole = docs.select(F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"))
+    same = F.col("row.doc_id").cast("long") == F.col("kept_id")
+    least = F.min("row").alias("row")
     repeated = kept.where("rows > 1")
     if repeated.isEmpty():
-        result = docs.join(kept, same, "left_semi")
+        result = whole.join(kept, same, "left_semi")
     else:
-        result = docs.join(kept.where("rows = 1"), same, "left_semi").union(
-            docs.join(repeated, same, "left_semi").groupBy("doc_id").agg(least).select("row.*"))
+        result = whole.join(kept.where("rows = 1"), same, "left_semi").union(
+            whole.join(repeated, same, "left_semi").groupBy("row.doc_id").agg(least).select("row"))
     nameless = (found.where("component_id is null")
                 .select(F.conv("fingerprint", 16, -10).cast("long").alias("of_print"), "component").distinct())
-    if nameless.isEmpty():
-        return result
-    without = docs.where("doc_id is null").select(F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"),
-                                                  "text")
-    printed = in_tasks(without, _fingerprints,
-                       StructType([StructField("row", docs.schema), StructField("fingerprint", LongType())]))
-    one = (printed.join(nameless, F.col("fingerprint") == F.col("of_print"))
-           .groupBy("component").agg(F.min("row").alias("row")).select("row.*"))
-    return result.union(one)
+    if not nameless.isEmpty():
+        printed = in_tasks(whole.where("row.doc_id is null").select("row", "row.text"), _fingerprints,
+                           StructType([StructField("row", docs.schema), StructField("fingerprint", LongType())]))
+        result = result.union(printed.join(nameless, F.col("fingerprint") == F.col("of_print"))
+                              .groupBy("component").agg(least).select("row"))
+    return result.select("row.*")
