@@ -8,11 +8,39 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salestrata.llm import decontaminate, pieces, quality_rules, simhash, toxicity
-from salestrata.llm.shared import documents
-
+from salestrata.llm import (
+    chat,
+    decontaminate,
+    language_id,
+    license_scan,
+    pieces,
+    quality_rules,
+    simhash,
+    token_files,
+    toxicity,
+    weak_quality,
+)
+from salestrata.llm.shared import cut, documents, new_folder, remove
+
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
+# A conversation more, of control strings only.
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
+
+
+def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "token-files")
+    token_files.write(documents(spark, sf_dir), BYTE_BPE, folder)
+    found = cut(token_files.digests(spark, folder))  # all that is asked of the files
+    remove(spark, folder)
+    return found
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.language_id(documents(spark, sf_dir))
+
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -26,6 +54,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op6_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weak_quality.weak_quality(documents(spark, sf_dir))
+
+
 def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.token_digests(documents(spark, sf_dir), PIECES)
 
@@ -37,9 +69,22 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = spark.createDataFrame([(-1, 0, "user", CONTROL_TEXT), (-1, 1, "assistant", CONTROL_TEXT)],
+                                "conv_id long, turn long, role string, text string")
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select(*own.columns).union(own)
+    pages = chat.format_chats(rows, BYTE_RANKS, public_tokenizers.PATTERN)
+    return chat.chat_digests(pages, BYTE_RANKS, public_tokenizers.PATTERN)
+
+
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_scan(documents(spark, sf_dir)).drop("detections")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op3_toxicity, op4_quality_rules, op5_simhash, op7_pieces, op9_decontaminate,
+        op1_token_files, op2_language_id, op3_toxicity, op4_quality_rules, op5_simhash,
+        op6_weak_quality, op7_pieces, op8_chat, op9_decontaminate, op10_license_scan,
     )}
 
 
@@ -66,5 +111,34 @@ FROM docs LEFT JOIN words USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
 
+# Escaped as the template says: markers of control strings that stand in texts.
+_TAILS = "s>|/s>|INST\\]|/INST\\]|<SYS>>|ROLE\\]|/ROLE\\]"
+
+
+def _escaped(column: str) -> str:
+    return rf"regexp_replace(replace({column}, '\', '\\'), '([<\[])({_TAILS})', '\1\\\2', 'g')"
+
+
+_CHAT = f"""
+WITH rows AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL VALUES (-1, 0, 'user', '{CONTROL_TEXT}'), (-1, 1, 'assistant', '{CONTROL_TEXT}')),
+sized AS (
+    SELECT *, length({_escaped("text")}) + CASE role
+        WHEN 'system' THEN length('<<SYS>></s>') WHEN 'user' THEN length('[INST][/INST]')
+        WHEN 'assistant' THEN length('<s></s>')
+        ELSE length('[ROLE][/ROLE]</s>') + length({_escaped("role")}) END AS n
+    FROM rows),
+told AS (
+    SELECT conv_id, count(*) AS n_turns, sum(n)::BIGINT AS formatted_chars,
+        string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS turns,
+        coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '') AS learnt
+    FROM sized GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(learnt) AS loss_chars,
+    sha256(learnt) AS loss_sha256, formatted_chars
+FROM told
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op9_decontaminate": _DECONTAMINATE}
+    return {"op8_chat": _CHAT, "op9_decontaminate": _DECONTAMINATE}

@@ -1,0 +1,75 @@
+from __future__ import annotations
+
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from cases import DATA, EDGE_TEXTS, frame, with_clashes
+from salestrata.llm import language_id
+
+
+def test_counts_equal_brute_force():
+    import re
+
+    import pyarrow as pa
+    texts = ["ab", "", "Ab, a-B", None, "é1é", "...", "x" * 700, "Ünter den"]
+    found = np.concatenate([c for _, c in language_id.counts_of(pa.array(texts))])
+    for row, text in zip(found, texts):
+        runs = re.findall(rb"[a-zA-Z\x80-\xff]+", (text or "").lower().encode())
+        spaced = b" " + b" ".join(runs) + b" " if runs else b""
+        grams = Counter(spaced[i:i + n] for n in (1, 2, 3) for i in range(len(spaced) - n + 1))
+        # hashing may join buckets but loses no n-gram
+        assert row.sum() in (sum(grams.values()), sum(grams.values()) + 1)
+        assert sorted(row[row > 0])[-1:] >= sorted(grams.values())[-1:]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(f"{DATA}/sf0.01/documents.parquet")
+
+
+def test_held_out_accuracy(spark, docs):
+    found = language_id.language_id(docs).join(docs.select("doc_id", "lang"), "doc_id").toPandas()
+    assert len(found) == docs.count()
+    assert (found.held_out == [zlib.crc32(str(i).encode()) % 4 == 2 for i in found.doc_id]).all()
+    held = found[found.held_out]
+    assert len(held) > 100 and (held.lang_pred == held.lang).mean() >= 0.97
+    assert found.score.between(0, 1).all()
+    assert found.rejected.mean() < 0.1
+
+
+def test_language_and_id_are_no_inputs_of_a_prediction(spark, docs):
+    model = language_id.fit(docs)
+    one = {r.doc_id: (r.lang_pred, r.score) for r in language_id.identify(docs, model).collect()}
+    other = docs.withColumn("lang", F.lit("en")).withColumn("doc_id", F.col("doc_id") + 7_000_000)
+    two = {r.doc_id - 7_000_000: (r.lang_pred, r.score) for r in language_id.identify(other, model).collect()}
+    assert one == two
+    changed = docs.withColumn("text", F.when(F.expr(language_id.HELD_OUT), F.lit("zzz")).otherwise(F.col("text")))
+    again = language_id.fit(changed)
+    assert again.languages == model.languages and np.allclose(again.vectors, model.vectors, atol=1e-6)
+
+
+def test_edges(spark, docs):
+    model = language_id.fit(docs)
+    assert set(model.languages) == {"de", "en", "es", "fr"}
+    new = with_clashes(frame(spark, EDGE_TEXTS + ["汉字 汉字", "١٢٣", "Ω"]), ["score", "held_out", "lang_pred"])
+    found = {r.doc_id: r for r in language_id.identify(new, model).collect()}
+    texts = EDGE_TEXTS + ["汉字 汉字", "١٢٣", "Ω"]
+    assert len(found) == len(texts)
+    for i, text in enumerate(texts):
+        lettered = any(c.isalpha() for c in text or "")
+        assert (found[i].lang_pred != "und") == lettered, repr(text)
+        assert lettered or found[i].score == 0
+    assert found[len(EDGE_TEXTS)].rejected
+    noise = "qzxj vkqp xxzq jjqk zzvx qqqw " * 5
+    assert language_id.identify(frame(spark, [noise]), model).first().rejected
+
+
+def test_nothing_to_learn_and_an_empty_table(spark, docs):
+    for none in (docs.limit(0), docs.where(language_id.HELD_OUT), docs.withColumn("lang", F.lit(None).cast("string"))):
+        found = language_id.language_id(none)
+        assert all(r.lang_pred == "und" for r in found.collect())
+    assert language_id.language_id(frame(spark, [None, "ab"], ids=[None, None], langs=["en", "en"])).count() == 2
