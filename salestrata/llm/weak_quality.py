@@ -10,7 +10,8 @@ judges what the labellers leave open.
 
 Votes and their patterns are counted over all documents; there are at most
 3 ** len(LABELLERS) patterns.  The scorer is fitted on a bounded sample: about ``SAMPLE``
-documents, half of them of posterior below one half, chosen by a hash of the text.
+documents, half of them of posterior below one half, chosen by a hash of the text
+and weighted by how many they stand for.
 
 A null or empty text gets the votes of a text without words; its n-gram vector is zero.
 If all votes agree, the labels are the posteriors of that one pattern.  Repeated rows are
@@ -40,24 +41,28 @@ from salestrata.llm.textkit import (
     words_of,
 )
 
-# name: (measure, bad from, good to); a vote is bad at or above the first bound and good at or below the second.
-LABELLERS = {
-    "symbols": ("symbols", 0.10, 0.02),
-    "repeats": ("repeats", 0.20, 0.00),
-    "same words": ("sameness", 0.80, 0.60),
-    "capitals": ("capitals", 0.50, 0.12),
-    "marks": ("marks", 0.30, 0.05),
-    "lines": ("lines", 0.30, 0.00),
-    "letters": ("other", 0.30, 0.15),
-    "brevity": ("brevity", 0.05, 0.02),
-    "word length": ("stretch", 0.60, 0.40),
+# Labellers of one fault: the measure from which they vote bad.  They never vote good.
+FAULTS = {
+    "symbols": 0.10,
+    "repeats": 0.35,
+    "same words": 0.60,
+    "capitals": 0.30,
+    "marks": 0.30,
+    "lines": 0.40,
+    "other characters": 0.20,
 }
+# Labellers of plain text: they vote good if every measure is at most this.
+PLAIN = {
+    "ordinary": {"symbols": 0.02, "repeats": 0.30, "same words": 0.50, "capitals": 0.12, "marks": 0.05, "lines": 0.35},
+    "even": {"stretch": 0.30, "other characters": 0.10, "symbols": 0.02, "marks": 0.05},
+}
+LABELLERS = (*FAULTS, *PLAIN)
 BAD, NONE, GOOD = 0, 1, 2
 SIGNS = "-0+"
 SAMPLE = 4000
 ROUNDS = 200
-STEPS = 150
-PENALTY = 1e-4
+STEPS = 400
+PENALTY = 2e-5
 _UPPER = np.zeros(256, dtype=bool)
 _UPPER[0x41:0x5B] = True
 _LETTER = _UPPER.copy()
@@ -83,12 +88,11 @@ def measures(column) -> dict[str, np.ndarray]:
     return {
         "symbols": base["n_symbols"] / n,
         "repeats": base["n_repeat_words"] / n,
-        "sameness": 1 - distinct / n,
+        "same words": 1 - distinct / n,
         "capitals": row_sums(_UPPER[data], texts.offsets) / np.maximum(letters, 1),
         "marks": row_sums(_MARK[data], texts.offsets) / n,
         "lines": base["n_dup_lines"] / lines,
-        "other": 1 - letters / ink,
-        "brevity": 1 / n,
+        "other characters": 1 - letters / ink,
         "stretch": np.abs(length - 6) / 6,
     }
 
@@ -96,8 +100,10 @@ def measures(column) -> dict[str, np.ndarray]:
 def votes(column) -> np.ndarray:
     """A row per text, a column per labeller."""
     found = measures(column)
-    return np.stack([np.where(found[name] >= bad, BAD, np.where(found[name] <= good, GOOD, NONE))
-                     for name, bad, good in LABELLERS.values()], axis=1)
+    bad = [np.where(found[name] >= least, BAD, NONE) for name, least in FAULTS.items()]
+    good = [np.where(np.all([found[m] <= most for m, most in limits.items()], axis=0), GOOD, NONE)
+            for limits in PLAIN.values()]
+    return np.stack(bad + good, axis=1)
 
 
 def pattern(votes_: np.ndarray) -> np.ndarray:
@@ -125,7 +131,7 @@ class LabelModel:
 
 def estimate(votes_: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS) -> LabelModel:
     """Expectation-maximisation over distinct vote patterns and their counts."""
-    # the start: a bad vote weighs more than a good one, as most labellers see one fault only
+    # the start: a bad vote weighs more than a good one, as a labeller of faults sees one kind only
     good = np.where((votes_ == BAD).any(axis=1), 0.2, 0.9)
     for _ in range(rounds):
         weight = np.stack(((1 - good) * counts, good * counts))
@@ -139,15 +145,18 @@ def estimate(votes_: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS) -> La
     return model
 
 
-def fit_linear(rows: np.ndarray, target: np.ndarray, steps: int = STEPS, penalty: float = PENALTY) -> np.ndarray:
-    """Weights, a constant last, of a logistic fit to soft targets by accelerated steps."""
+def fit_linear(rows: np.ndarray, target: np.ndarray, weight: np.ndarray | float = 1.0,
+               steps: int = STEPS, penalty: float = PENALTY) -> np.ndarray:
+    """Weights, a constant last, of a logistic fit to soft targets by accelerated
+    steps; ``weight`` says how many rows each stands for."""
+    weight = np.broadcast_to(np.asarray(weight, dtype=rows.dtype), len(rows)) / np.mean(weight)
     rows = np.hstack([rows, np.ones((len(rows), 1), dtype=rows.dtype)])
-    step = 1 / (0.25 * float((rows * rows).sum(axis=1).mean()) + penalty)
+    step = 1 / (0.25 * float((weight * (rows * rows).sum(axis=1)).mean()) + penalty)
     weights = ahead = np.zeros(rows.shape[1], dtype=rows.dtype)
     pace = 1.0
     for _ in range(steps):
         error = 1 / (1 + np.exp(-(rows @ ahead))) - target
-        new = ahead - step * (rows.T @ error.astype(rows.dtype) / len(rows) + penalty * ahead)
+        new = ahead - step * (rows.T @ (weight * error.astype(rows.dtype)) / len(rows) + penalty * ahead)
         next_pace = (1 + np.sqrt(1 + 4 * pace * pace)) / 2
         ahead = new + (pace - 1) / next_pace * (new - weights)
         weights, pace = new, next_pace
@@ -201,13 +210,11 @@ def _labelling(model: LabelModel):
 
 def scorer(docs: DataFrame, model: LabelModel, sample: int = SAMPLE) -> np.ndarray:
     """The weights of the linear scorer, fitted to the posteriors of a sample."""
-    # Three times the share of each half that fills it, for the labels, then the vectors of the chosen.
     pick = F.expr("pmod(xxhash64(text), 1000000)")
     labels = cut(in_tasks(docs.select(pick.alias("pick"), "text"), _labelling(model), "pick long, good double"))
     sizes = labels.agg(F.sum(F.expr("int(good < 0.5)")).alias("bad"), F.sum(F.expr("int(good >= 0.5)")).alias("good")).first()
     share = {k: min(1.0, sample / 2 / n) if (n := sizes[k] or 0) else 0.0 for k in ("bad", "good")}
-    # A hash of the text alone decides, so which class it has need not be joined: the larger share is
-    # read, and rows of the other class are thinned to their own.
+    # A hash of the text picks the larger share; of those, the class with the smaller is thinned to its own.
     most = max(share.values())
     taken = in_tasks(docs.select(pick.alias("pick"), "text").where(F.col("pick") < most * 1_000_000),
                      _training_picked(model, share), "good double, vector binary").toArrow()  # SAMPLE rows, about
@@ -215,7 +222,8 @@ def scorer(docs: DataFrame, model: LabelModel, sample: int = SAMPLE) -> np.ndarr
         return np.zeros(BUCKETS + 1, dtype=np.float32)
     order = np.lexsort((np.array(taken.column("vector").to_pylist(), dtype=object), taken.column("good").to_numpy()))
     rows = np.frombuffer(b"".join(taken.column("vector").to_pylist()), dtype="<f2").reshape(-1, BUCKETS)[order].astype(np.float32)
-    return fit_linear(rows, taken.column("good").to_numpy()[order].astype(np.float32))
+    good = taken.column("good").to_numpy()[order].astype(np.float32)
+    return fit_linear(rows, good, np.where(good < 0.5, 1 / max(share["bad"], 1e-9), 1 / max(share["good"], 1e-9)))
 
 
 def _training_picked(model: LabelModel, share: dict[str, float]):
