@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # A block of rows holds at most so many text bytes, or a single row.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 4 << 20
 
 _MIX_1 = np.uint64(0x9E3779B97F4A7C15)
 _MIX_2 = np.uint64(0xBF58476D1CE4E5B9)
