@@ -1,9 +1,9 @@
-"""Byte-level BPE over distinct chunks of a block of texts.
+"""Byte-level BPE over the distinct chunks of texts.
 
 The pattern in front of the merges never has white space after another character
 in one piece, so a text falls apart in front of each ASCII white space that
-follows a character that is no white space.  Each distinct chunk of a block is encoded once
-with the library; the ids of a text are those of its chunks in order.
+follows a character that is no white space.  Each distinct chunk that a task meets is
+encoded once with the library; the ids of a text are those of its chunks in order.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from tokenizers import Tokenizer
 
+from salestrata.llm.chunk_table import ChunkTable
 from salestrata.llm.textkit import texts_of
 
 _SPACE = np.zeros(256, dtype=bool)
@@ -31,6 +32,7 @@ class ChunkTokenizer:
         self.bytes_of = np.zeros(self.size, dtype=np.int64)
         for piece, number in self.tokenizer.get_vocab().items():
             self.bytes_of[number] = len(piece)
+        self.table = ChunkTable(self._encode_distinct)
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -80,8 +82,6 @@ class ChunkTokenizer:
         chunks = pa.Array.from_buffers(pa.large_binary(), len(starts),
                                        [None, pa.py_buffer(bounds), pa.py_buffer(texts.data)]).dictionary_encode()
         codes = chunks.indices.to_numpy(zero_copy_only=False)
-        ids, lengths = self._encode_distinct(chunks.dictionary.to_pylist())
-        offsets = np.concatenate(([0], np.cumsum(lengths)))
-        joined = pa.LargeListArray.from_arrays(offsets, ids).take(pa.array(codes)).flatten().to_numpy()
-        total = np.concatenate(([0], np.cumsum(lengths[codes])))[np.searchsorted(starts, texts.offsets)]
+        joined, lengths = self.table.joined(self.table.rows(chunks.dictionary.to_pylist())[codes])
+        total = np.concatenate(([0], np.cumsum(lengths)))[np.searchsorted(starts, texts.offsets)]
         return joined, np.diff(total)

@@ -4,7 +4,7 @@ No piece has a space marker after another character.  So a text falls apart, in
 of spaces, into marked words that are segmented independently.  Each block of
 documents is cut into such chunks, every distinct chunk is encoded once with the
 library, and a document's ids are those of its chunks, joined by their position.
-Nothing is shuffled; the table lives as long as its block.
+The table of distinct chunks is a task's own, of bounded size, so nothing is shuffled.
 
 The result is that of the library's ``encode`` of the whole text with an end id,
 and of its ``decode`` of all ids.  The model must not change, trim or join what it
@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,12 +25,12 @@ import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 
+from salestrata.llm.chunk_table import ChunkTable
 from salestrata.llm.shared import in_tasks
 from salestrata.llm.textkit import Texts, row_blocks, texts_of
 
 MARK = "▁"
 _MARK_BYTES = MARK.encode()
-BLOCK_BYTES = 24 << 20
 
 
 def load(model: str) -> sentencepiece.SentencePieceProcessor:
@@ -58,8 +59,20 @@ def chunk_starts(texts: Texts) -> np.ndarray:
     return np.flatnonzero(cut)
 
 
-def encode_block(processor: sentencepiece.SentencePieceProcessor, column) -> pa.ListArray:
-    """The ids of every text, an end id last."""
+def chunk_table(processor: sentencepiece.SentencePieceProcessor) -> ChunkTable:
+    """The ids of chunks without the space that their mark stands for."""
+    mark = processor.piece_to_id(MARK)
+
+    def encode(chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        # an empty chunk is the mark alone, which the library does not set in an empty text
+        found = [ids or [mark] for ids in processor.encode([c.decode() for c in chunks], num_threads=1)]
+        lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+        return np.fromiter(chain.from_iterable(found), dtype=np.uint32, count=int(lengths.sum())), lengths
+    return ChunkTable(encode)
+
+
+def encode_block(table: ChunkTable, end: int, column) -> pa.ListArray:
+    """The ids of every text, the end id last."""
     texts = texts_of(column)
     starts = chunk_starts(texts)
     # The chunks as Arrow binaries over the block's own bytes.
@@ -75,23 +88,18 @@ def encode_block(processor: sentencepiece.SentencePieceProcessor, column) -> pa.
             chunk = first_of[row]
             codes[chunk] = len(distinct)
             distinct.append(texts.data[bounds[chunk]:bounds[chunk + 1]].tobytes())
-    table = processor.encode([raw.decode() for raw in distinct], num_threads=1)
-    mark = processor.piece_to_id(MARK)
-    table = [ids if ids else [mark] for ids in table]  # nothing but the mark
-    lengths = np.fromiter(map(len, table), dtype=np.int64, count=len(table))
-    ids = np.fromiter((i for chunk in table for i in chunk), dtype=np.int32, count=int(lengths.sum()))
-    offsets = np.concatenate(([0], np.cumsum(lengths)))
-    joined = pa.LargeListArray.from_arrays(offsets, ids).take(pa.array(codes)).flatten().to_numpy()
-    total = np.concatenate(([0], np.cumsum(lengths[codes])))[first_of]
-    with_end = np.insert(joined, total[1:], processor.eos_id())
+    joined, lengths = table.joined(table.rows(distinct)[codes])
+    total = np.concatenate(([0], np.cumsum(lengths)))[first_of]
+    with_end = np.insert(joined.astype(np.int32), total[1:], end)
     return pa.ListArray.from_arrays((total + np.arange(len(total))).astype(np.int32), with_end)
 
 
 def _encoded(model: str, decode: bool):
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         processor = load(model)
-        for block in row_blocks(parts, limit=BLOCK_BYTES):
-            ids = encode_block(processor, block.column("text"))
+        table = chunk_table(processor)
+        for block in row_blocks(parts):
+            ids = encode_block(table, processor.eos_id(), block.column("text"))
             columns = {"doc_id": block.column("doc_id"), "ids": ids}
             if decode:
                 flat, offsets = ids.values.to_numpy().tolist(), ids.offsets.to_numpy().tolist()
