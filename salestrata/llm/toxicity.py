@@ -96,8 +96,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, bound: int) -> DataFrame:
     share = labelled.groupBy("toxic").agg(F.least(F.lit(1.0), F.lit(bound / 2) / F.count("*")).alias("share"))
     chosen = (labelled.join(share.withColumnRenamed("toxic", "of"), F.col("toxic") == F.col("of"))
               .where("pmod(xxhash64(labelled_id), 1000000) < share * 1000000").select("labelled_id", "toxic"))
+    # about ``bound`` rows of two numbers, sent to the texts rather than the texts to them
     texts = docs.select(F.col("doc_id").alias("text_id"), "text").join(
-        chosen, F.col("text_id") == F.col("labelled_id")).select(F.expr("int(toxic > 0)").alias("toxic"), "text")
+        F.broadcast(chosen), F.col("text_id") == F.col("labelled_id")).select(F.expr("int(toxic > 0)").alias("toxic"), "text")
     return cut(in_tasks(texts, _word_lists, "toxic int, words array<long>"))
 
 
