@@ -4,8 +4,9 @@
     run_layers.py rebuild --tables URI
     run_layers.py report  --tables URI --out URI
 
-``load`` takes in the files not loaded before and splits them into clean rows
-and rejects; ``rebuild`` replaces STAGING and the fact table from RAW;
+``load`` takes in the files not loaded before, prints what each held, splits them
+into clean rows and rejects and adds the clean ones to the fact table; ``rebuild``
+replaces STAGING and the fact table from RAW;
 ``report`` writes every report as one folder of JSON Lines.  Without
 ``--tables`` the layers are catalog tables.
 """
@@ -14,18 +15,37 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from salestrata import files
 from salestrata.operators import reports
-from salestrata.plans import CatalogTables, FolderTables, SalesLayers
-from salestrata.session import LOAD_CONF, build_session
+from salestrata.plans import CatalogTables, FolderTables, SalesLayers, report_book
+from salestrata.session import LOAD_CONF, build_session, fresh_folder
 from salestrata.streaming import load_new_files
 
+def _of_book(report: str, key: str, measures: dict[str, str], rank: str | None, top: int | None = None):
+    """A report out of the book: its key under its own name, ranked or in the order of the key."""
+    def take(book: DataFrame) -> DataFrame:
+        value = F.col("key").cast("timestamp_ntz") if key == "day" else F.col("key")
+        rows = book.where(F.col("report") == report).select(
+            value.alias(key), *[F.col(column).alias(name) for name, column in measures.items()])
+        ordered = rows.orderBy(F.desc(rank), F.asc_nulls_last(key)) if rank else rows.orderBy(key)
+        return ordered.limit(top) if top else ordered
+    return take
+
+
+_SALES = {"total_sales": "total_sales"}
+_UNITS = {"total_units": "total_units"}
+_REVENUE = {"total_revenue": "total_revenue"}
 REPORTS = {
-    "daily_summary": reports.daily_summary,
-    "daily_revenue": reports.daily_revenue,
-    "category_revenue": reports.category_revenue,
-    "payment_methods": reports.payment_methods,
-    "top_countries": reports.top_countries,
-    "marketing_channels": reports.marketing_channels,
+    "daily_summary": _of_book("daily", "day", {"events": "total_sales", "units": "total_units",
+                                               "revenue": "total_revenue"}, None),
+    "daily_revenue": _of_book("daily", "day", _SALES | _REVENUE, None),
+    "category_revenue": _of_book("category", "category", _SALES | _UNITS | _REVENUE, "total_revenue"),
+    "payment_methods": _of_book("payment_method", "payment_method", _SALES | _REVENUE, "total_sales"),
+    "top_countries": _of_book("country", "country", _SALES | _REVENUE, "total_revenue", 10),
+    "marketing_channels": _of_book("marketing_channel", "marketing_channel", _SALES | _REVENUE, "total_revenue"),
 }
 
 
@@ -54,17 +74,37 @@ def main(argv: list[str] | None = None) -> None:
     tables.create()
     layers = SalesLayers(tables, args.profile, args.on_overflow)
     if args.step == "load":
-        load_new_files(layers, args.landing, args.checkpoint,
-                       max_files_per_batch=args.max_files_per_batch)
+        loads = []
+        try:
+            loads = load_new_files(layers, args.landing, args.checkpoint,
+                                   max_files_per_batch=args.max_files_per_batch, stage=False)
+        finally:
+            layers.load_log().where(F.col("load_id").isin(loads)).orderBy("load_id", "source_filename").show(100, False)
+        layers.stage_pending()
+        layers.publish_pending()
     elif args.step == "rebuild":
         layers.rebuild_staging()
         layers.rebuild_fact()
     else:
-        for name, report in REPORTS.items():
-            report(layers.fact()).write.mode("overwrite").json(f"{args.out}/{name}")
-        reports.reject_reasons(layers.rejects()).write.mode("overwrite").json(
-            f"{args.out}/reject_reasons")
-        layers.reconcile().write.mode("overwrite").json(f"{args.out}/reconciliation")
+        write_reports(layers, args.out)
+
+
+def write_reports(layers: SalesLayers, out: str) -> None:
+    """Every report as a folder of JSON Lines; a NULL key is written as such.
+
+    The five reports by one key come from one scan of the fact, through the
+    sums of ``report_book``; those sums are what is read once per report."""
+    def put(rows, name: str) -> None:
+        rows.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{out}/{name}")
+
+    book = fresh_folder(layers.tables.spark, "book")
+    report_book(layers.tables.spark, layers.fact()).write.parquet(book)
+    sums = layers.tables.spark.read.parquet(book)
+    for name, report in REPORTS.items():
+        put(report(sums), name)
+    put(reports.reject_reasons(layers.rejects()), "reject_reasons")
+    put(layers.reconcile(), "reconciliation")
+    files.remove(layers.tables.spark, book)
 
 
 if __name__ == "__main__":

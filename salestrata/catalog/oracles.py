@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from salestrata.sources.events_feed import (
+from salestrata.catalog.events_feed import (
     CHANNELS,
     DEVICES,
     FILE_FORMS,
@@ -123,8 +123,9 @@ def _per_profile() -> dict[str, str]:
                                ("Negative total_amount", "total_amount < 0")))
     layer_counts = ("SELECT {n} * count(*) AS raw_rows, {n} * count(*) FILTER (WHERE reason IS NULL) "
                     "AS clean_rows, {n} * count(*) FILTER (WHERE reason IS NOT NULL) AS reject_rows, "
-                    "{n} * count(*) FILTER (WHERE reason IS NULL) AS fact_rows, "
-                    "TRUE AS balanced FROM classified")
+                    "{n} * count(*) FILTER (WHERE reason IS NULL) AS fact_rows FROM classified")
+    layer_counts = (f"SELECT *, raw_rows = clean_rows + reject_rows AND fact_rows = clean_rows AS balanced "
+                    f"FROM ({layer_counts})")
     return {
         "clean_count": "SELECT count(*) AS clean_rows FROM fact",
         "reject_count": "SELECT count(*) AS reject_rows FROM classified WHERE reason IS NOT NULL",
@@ -163,6 +164,25 @@ def _per_profile() -> dict[str, str]:
     }
 
 
+# kind of line: records of one, whether it is blank, whether it is bad
+_KINDS = """
+WITH kinds AS (
+  SELECT ['object', 'broken', 'blank', 'array', 'repeated key', 'number', 'null', 'non-ascii',
+     'empty array', 'two objects', 'trailing text', 'trailing comma', 'two numbers',
+     'single quotes', 'not a number'][CAST(event_id % 15 AS INT) + 1] AS kind
+  FROM events),
+files AS (
+  SELECT kind AS source_filename, count(*) AS n_lines,
+    count(*) * CASE WHEN kind = 'array' THEN 3 WHEN kind IN ('object', 'number', 'null', 'non-ascii') THEN 1 ELSE 0 END AS n_records,
+    count(*) FILTER (WHERE kind = 'blank') AS n_blank,
+    count(*) FILTER (WHERE kind IN ('broken', 'repeated key', 'two objects', 'trailing text', 'trailing comma',
+                                    'two numbers', 'single quotes', 'not a number')) AS n_bad
+  FROM kinds GROUP BY kind)
+SELECT '20260101' AS load_day, '20260101-messy' AS load_id, * FROM files
+UNION ALL
+SELECT '20260101', '20260101-messy', NULL, CAST(sum(n_lines) AS BIGINT), CAST(sum(n_records) AS BIGINT),
+  CAST(sum(n_blank) AS BIGINT), CAST(sum(n_bad) AS BIGINT) FROM files"""
+
 _ISO = "strftime(ts, '%Y-%m-%dT%H:%M:%S.%f')"
 # A time keeps its wall clock: the offset is cut off before the cast.
 _SAFE_TIME = (f"CASE WHEN regexp_matches(trim(text), '{_SHAPE}') THEN TRY_CAST("
@@ -239,6 +259,20 @@ FROM feed""",
 SELECT folder, count(*) AS n_records, CAST(1 AS BIGINT) AS n_loads
 FROM events, (VALUES ('raw/sales/dt=20260101'), ('raw/sales/dt=20260102')) AS days(folder)
 GROUP BY folder""",
+    "load_counts": _KINDS,
+    "rebuild_after_failure": _layers(literal=False) + """
+SELECT TRUE AS failed, count(*) FILTER (WHERE reason IS NULL) AS clean_rows,
+  count(*) FILTER (WHERE reason IS NOT NULL) AS reject_rows, count(*) FILTER (WHERE reason IS NULL) AS fact_rows
+FROM classified""",
+    "incremental_fact": _layers(literal=False) + """
+SELECT category, 2 * count(*) AS total_sales, CAST(2 * sum(quantity) AS BIGINT) AS total_units,
+  CAST(2 * sum(total_amount) AS DECIMAL(20,2)) AS total_revenue, TRUE AS first_load_kept
+FROM fact GROUP BY category""",
+    "catalog_tables": _layers(literal=False) + """
+SELECT unnest(['raw.raw_sales', 'staging.stg_sales_clean', 'staging.stg_sales_rejects', 'analytics.fact_sales']) AS table_name,
+  unnest([count(*), count(*) FILTER (WHERE reason IS NULL), count(*) FILTER (WHERE reason IS NOT NULL),
+          count(*) FILTER (WHERE reason IS NULL)]) AS n_rows
+FROM classified""",
     "incremental_split": _layers(literal=False) + """
 SELECT coalesce(reason, 'clean') AS outcome, 2 * count(*) AS n,
   CAST(2 * sum(CASE WHEN reason IS NULL THEN total_amount END) AS DECIMAL(20,2)) AS revenue

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import partial
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from salestrata import files
 from salestrata.functions import (
     json_text,
     json_value,
@@ -21,19 +24,18 @@ from salestrata.operators import (
     clean_rows,
     extract_event,
     parse_text,
-    reconcile_classified,
     reject_rows,
     rule_flags,
     sales_rules,
     strip_outer_array,
 )
 from salestrata.operators import reports
-from salestrata.plans import FolderTables, SalesLayers, report_book
+from salestrata.plans import CatalogTables, FolderTables, SalesLayers, report_book
 from salestrata.profiles import DOCUMENTED, LITERAL, Profile
 from salestrata.schema import EVENT_COLUMNS, MONEY_COLUMNS
 from salestrata.session import fresh_folder
 from salestrata.sources import ingest_jsonl, records_from_lines, write_jsonl
-from salestrata.sources.events_feed import (
+from salestrata.catalog.events_feed import (
     FILE_FORMS,
     INGESTION_TS,
     NUMBER_FORMS,
@@ -90,10 +92,6 @@ def _reject_count(spark, sf_dir, profile):
     return reports.row_count(rejects(spark, sf_dir, profile), "reject_rows")
 
 
-def _fact_count(spark, sf_dir, profile):
-    return reports.row_count(clean(spark, sf_dir, profile), "fact_rows")
-
-
 def _reject_reasons(spark, sf_dir, profile):
     return reports.reject_reasons(rejects(spark, sf_dir, profile))
 
@@ -102,10 +100,6 @@ def _report(report, spark, sf_dir, profile):
     return report(clean(spark, sf_dir, profile))
 
 
-def _reconciliation(spark, sf_dir, profile):
-    return reconcile_classified(classified(spark, sf_dir, profile))
-
-
 def _stg_sales_rejects(spark, sf_dir, profile):
     """The payload goes out as its fields, as a variant cannot be compared."""
     fields = [
@@ -244,28 +238,48 @@ def _jsonl_sink(spark, sf_dir):
     )
 
 
-def _written_layers(spark, sf_dir, profile) -> SalesLayers:
-    """Two loads of the feed, the second written twice, then both rebuilds."""
+def _written_layers(spark, sf_dir, profile, load_ids=("20260101-first",)) -> SalesLayers:
+    """Loads of the feed, each the same, then both rebuilds."""
     layers = SalesLayers(FolderTables(spark, fresh_folder(spark, "layers")), profile)
-    for load_id in ("first", "second", "second"):
-        layers.append_raw(raw_sales(spark, sf_dir), load_id)
+    layers.tables.create()
+    rows = raw_sales(spark, sf_dir)
+    for load_id in load_ids:
+        layers.append_raw(rows, load_id)
+        rows = layers.tables.read_load("raw_sales", load_ids[0])
     layers.rebuild_staging()
     layers.rebuild_fact()
     return layers
 
 
-def _layer_tables(spark, sf_dir, profile):
+def _reconciliation(spark, sf_dir, profile):
     return _written_layers(spark, sf_dir, profile).reconcile()
 
 
+def _fact_count(spark, sf_dir, profile):
+    return reports.row_count(_written_layers(spark, sf_dir, profile).fact(), "fact_rows")
+
+
+def _fact_sales(spark, sf_dir, profile):
+    return _written_layers(spark, sf_dir, profile).fact()
+
+
+# The second load is written twice.
+_TWO_LOADS = ("20260101-first", "20260102-second", "20260102-second")
+
+
+def _layer_tables(spark, sf_dir, profile):
+    return _written_layers(spark, sf_dir, profile, _TWO_LOADS).reconcile()
+
+
 def _layer_reports(spark, sf_dir, profile):
-    return reports.category_revenue(_written_layers(spark, sf_dir, profile).fact())
+    return reports.category_revenue(_written_layers(spark, sf_dir, profile, _TWO_LOADS).fact())
 
 
 def _incremental_layers(spark, sf_dir) -> SalesLayers:
     """Lands the feed under two days and loads after each, plus once for nothing."""
     root = fresh_folder(spark, "incremental")
     layers = SalesLayers(FolderTables(spark, f"{root}/tables"))
+    layers.tables.create()
     lines = sales_lines(read_events(spark, sf_dir))
     for day in ("20260101", None, "20260102"):
         if day:
@@ -290,6 +304,58 @@ def _incremental_split(spark, sf_dir):
                                          F.sum("total_amount").cast("decimal(20,2)").alias("revenue"))
 
 
+def _rebuild_after_failure(spark, sf_dir):
+    """A rebuild that fails, on an amount its column cannot hold: the tables are as before."""
+    layers = _written_layers(spark, sf_dir, DOCUMENTED)
+    too_large = sales_lines(read_events(spark, sf_dir)).select(
+        F.regexp_replace("value", '"total_amount": [0-9.]+', '"total_amount": 100000000').alias("value"),
+        "source_filename")
+    layers.append_raw(records_from_lines(too_large, INGESTION_TS), "20260102-too-large")
+    try:
+        layers.rebuild_staging()
+        failed = False
+    except PySparkException as error:
+        failed = "NUMERIC_VALUE_OUT_OF_RANGE" in str(error)
+    return layers.reconcile().select(F.lit(failed).alias("failed"), "clean_rows", "reject_rows", "fact_rows")
+
+
+def _load_counts(spark, sf_dir):
+    """The load log of the feed with all kinds of lines; a kind is a file here."""
+    layers = SalesLayers(FolderTables(spark, fresh_folder(spark, "log")))
+    layers.append_lines(messy_lines(read_events(spark, sf_dir)), "20260101-messy", INGESTION_TS)
+    return layers.load_log()
+
+
+def _incremental_fact(spark, sf_dir):
+    """Two loads published one by one; the second leaves the first one's files alone."""
+    root = fresh_folder(spark, "fact")
+    layers = SalesLayers(FolderTables(spark, root))
+    layers.tables.create()
+    seen = []
+    for load_id in _TWO_LOADS[:2]:
+        layers.append_raw(raw_sales(spark, sf_dir), load_id)
+        layers.stage_pending()
+        layers.publish_pending()
+        seen.append(files.data_files(spark, f"{root}/analytics/fact_sales/load_day=20260101"))
+    return reports.category_revenue(layers.fact()).withColumn("first_load_kept", F.lit(seen[0] == seen[1]))
+
+
+def _catalog_tables(spark, sf_dir):
+    """The layers as catalog tables, read back by their names in SQL."""
+    tables = CatalogTables(spark, f"layers_{uuid.uuid4().hex[:8]}_")
+    tables.create()
+    layers = SalesLayers(tables)
+    layers.append_raw(raw_sales(spark, sf_dir), "20260101-first")
+    layers.rebuild_staging()
+    layers.rebuild_fact()
+    named = ("raw.raw_sales", "staging.stg_sales_clean", "staging.stg_sales_rejects", "analytics.fact_sales")
+    counted = spark.sql(" UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, count(*) AS n_rows FROM {tables.prefix}{name}" for name in named)).collect()
+    for layer in ("raw", "staging", "analytics"):
+        spark.sql(f"DROP SCHEMA {tables.prefix}{layer} CASCADE")
+    return spark.createDataFrame(counted, "table_name string, n_rows long")
+
+
 def queries() -> dict[str, Query]:
     per_profile = {
         "clean_count": _clean_count,
@@ -300,7 +366,7 @@ def queries() -> dict[str, Query]:
         "reconciliation": _reconciliation,
         "stg_sales_clean": clean,
         "stg_sales_rejects": _stg_sales_rejects,
-        "fact_sales": clean,
+        "fact_sales": _fact_sales,
         "report_book": _report_book,
         "rule_flags": _rule_flags,
         "layer_tables": _layer_tables,
@@ -322,6 +388,10 @@ def queries() -> dict[str, Query]:
         "jsonl_sink": _jsonl_sink,
         "incremental_load": _incremental_load,
         "incremental_split": _incremental_split,
+        "incremental_fact": _incremental_fact,
+        "rebuild_after_failure": _rebuild_after_failure,
+        "load_counts": _load_counts,
+        "catalog_tables": _catalog_tables,
     }
     return named
 

@@ -14,17 +14,6 @@ def _with_verdict(counts: DataFrame) -> DataFrame:
     return counts.withColumn("balanced", balanced)
 
 
-def reconcile_classified(classified: DataFrame) -> DataFrame:
-    """Counts from one pass over classified rows; the fact is the clean side."""
-    is_clean = F.col("reason").isNull()
-    return _with_verdict(classified.agg(
-        F.count(F.lit(1)).alias("raw_rows"),
-        F.count_if(is_clean).alias("clean_rows"),
-        F.count_if(~is_clean).alias("reject_rows"),
-        F.count_if(is_clean).alias("fact_rows"),
-    ))
-
-
 def reconcile_layers(raw: DataFrame, clean: DataFrame, rejects: DataFrame,
                      fact: DataFrame) -> DataFrame:
     """Counts of four written tables.  Each is a count without columns, which

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salestrata.functions import json_text, safe_number, safe_timestamp
-from salestrata.operators.quality import classify, sales_rules
+from salestrata.operators.quality import classify, sales_rules, split
 from salestrata.profiles import Profile, resolve_profile
 from salestrata.schema import (
     CLEAN_COLUMNS,
@@ -62,13 +62,13 @@ def _narrowed(name: str) -> Column:
 def clean_rows(classified: DataFrame) -> DataFrame:
     """Rows without a reason.  An amount too large for its column is an error."""
     _require_ansi(classified)
-    return (classified.where(F.col("reason").isNull())
+    return (split(classified)[0]
             .select(*[_narrowed(name).alias(name) for name in CLEAN_COLUMNS]))
 
 
 def reject_rows(classified: DataFrame) -> DataFrame:
     """Rows with a reason: the reason, the record as it came, its lineage."""
-    return classified.where(F.col("reason").isNotNull()).select(*REJECT_COLUMNS)
+    return split(classified)[1].select(*REJECT_COLUMNS)
 
 
 def staged_rows(classified: DataFrame, keep: Sequence[str] = ()) -> DataFrame:

@@ -1,54 +1,83 @@
 """RAW, STAGING and ANALYTICS as Parquet tables.
 
-RAW and STAGING are partitioned by ``load_id``.  A load replaces exactly its
-own partition, so a load that failed half way, or a streaming batch that Spark
-runs again, can be repeated without duplicates.  STAGING is one table for both
-sides of the split, partitioned further by ``outcome``: one scan of RAW writes
-both.  Nothing is cached; each step reads what the step before has written, so
-a lost executor costs its running tasks and nothing else.
+All tables are partitioned by ``load_day`` and ``load_id``; the day is the date that
+the load's name begins with.  STAGING is one table for both sides of the split,
+partitioned further by ``outcome``: one scan of RAW writes both.
+
+A write replaces the partitions it has rows for.  Spark writes the new files
+beside the old ones and puts them in their place when all of them are whole, so a
+write that fails leaves the table as it was.  Partitions that were to be replaced
+and got no row are dropped after that.  A load that failed half way, or a streaming
+batch that Spark runs again, can be repeated without duplicates.  Nothing is cached; each step
+reads what the step before has written, so a lost executor costs its running tasks
+and nothing else.
 """
 
 from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from datetime import datetime, timezone
 from typing import Protocol
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from salestrata import files
 from salestrata.operators.reconcile import reconcile_layers
 from salestrata.operators.staging import classify_sales, staged_rows
 from salestrata.profiles import Profile, resolve_profile
 from salestrata.schema import (
     CLEAN_COLUMNS,
     FACT_COLUMNS,
+    LOG_COLUMNS,
     RAW_COLUMNS,
     REJECT_COLUMNS,
     STAGED_COLUMNS,
     ddl,
 )
+from salestrata.sources.jsonl import file_counts, records_from_lines
 
-RAW, STAGED, FACT = "raw_sales", "stg_sales", "fact_sales"
-OUTCOMES = ("clean", "reject")
+RAW, STAGED, FACT, LOG = "raw_sales", "stg_sales", "fact_sales", "load_log"
+LOAD = ("load_day", "load_id")
+UNDATED = "undated"
 
 # table: (layer, columns, partition columns)
 _TABLES = {
-    RAW: ("raw", RAW_COLUMNS, ["load_id"]),
-    STAGED: ("staging", STAGED_COLUMNS, ["load_id", "outcome"]),
-    FACT: ("analytics", FACT_COLUMNS, []),
+    RAW: ("raw", RAW_COLUMNS, [*LOAD]),
+    LOG: ("raw", LOG_COLUMNS, [*LOAD]),
+    STAGED: ("staging", STAGED_COLUMNS, [*LOAD, "outcome"]),
+    FACT: ("analytics", FACT_COLUMNS, [*LOAD]),
 }
 
 
+def load_day(load_id: str) -> str:
+    """The day a load's name begins with, as in ``20260101-...``."""
+    named = re.match(r"([0-9]{8})-", load_id)
+    return named[1] if named else UNDATED
+
+
 class Tables(Protocol):
     spark: SparkSession
 
     def read(self, table: str) -> DataFrame: ...
     def read_load(self, table: str, load_id: str) -> DataFrame: ...
+    def loads(self, table: str, outcome: str | None = None) -> set[str]: ...
     def replace(self, table: str, rows: DataFrame) -> None: ...
     def replace_load(self, table: str, load_id: str, rows: DataFrame) -> None: ...
 
 
+def _of_load(rows: DataFrame, load_id: str) -> DataFrame:
+    return rows.withColumns({"load_day": F.lit(load_day(load_id)), "load_id": F.lit(load_id)})
+
+
+def _unreplaced(before: dict[str, frozenset[str]], after: dict[str, frozenset[str]]) -> list[str]:
+    """Partition folders that a write of their table left alone."""
+    return [folder for folder, names in before.items() if after.get(folder) == names]
+
+
 class FolderTables:
     """The tables as folders ``root/<layer>/<table>``, without a catalog."""
 
@@ -58,34 +87,65 @@ class FolderTables:
 
     def create(self) -> None:
         """Empty tables, so that they can be read before the first load."""
-        for table, (_, columns, partitions) in _TABLES.items():
-            schema = ddl({**columns, **dict.fromkeys(partitions, "string")})
-            (self.spark.createDataFrame([], schema).write.mode("ignore")
-             .partitionBy(*partitions).parquet(self._path(table)))
+        for table in _TABLES:
+            if not files.exists(self.spark, self._path(table)):
+                self._write(table, self.spark.createDataFrame([], self._schema(table)))
 
     def _path(self, table: str) -> str:
         return f"{self.root}/{_TABLES[table][0]}/{table}"
 
-    def read(self, table: str) -> DataFrame:
+    def _schema(self, table: str, skipped: int = 0) -> str:
         _, columns, partitions = _TABLES[table]
-        schema = ddl({**columns, **dict.fromkeys(partitions, "string")})
-        return self.spark.read.schema(schema).parquet(self._path(table))
+        return ddl({**columns, **dict.fromkeys(partitions[skipped:], "string")})
+
+    def _write(self, table: str, rows: DataFrame) -> None:
+        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*_TABLES[table][2]).parquet(self._path(table)))
+
+    def _replace(self, table: str, rows: DataFrame, folder: str) -> None:
+        before = files.data_files(self.spark, folder)
+        self._write(table, rows)
+        for left in _unreplaced(before, files.data_files(self.spark, folder)):
+            files.remove(self.spark, left)
+
+    def _load_folder(self, table: str, load_id: str) -> str:
+        return f"{self._path(table)}/load_day={load_day(load_id)}/load_id={load_id}"
+
+    def read(self, table: str) -> DataFrame:
+        return self.spark.read.schema(self._schema(table)).parquet(self._path(table))
 
     def read_load(self, table: str, load_id: str) -> DataFrame:
         # The folder itself: no listing of the loads before it.
-        _, columns, partitions = _TABLES[table]
-        schema = ddl({**columns, **dict.fromkeys(partitions[1:], "string")})
-        return self.spark.read.schema(schema).parquet(f"{self._path(table)}/load_id={load_id}")
-
-    def _write(self, rows: DataFrame, path: str, partitions: list[str]) -> None:
-        (rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
-         .partitionBy(*partitions).parquet(path))
+        folder, schema = self._load_folder(table, load_id), self._schema(table, skipped=len(LOAD))
+        if not files.exists(self.spark, folder):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(folder)
+
+    def loads(self, table: str, outcome: str | None = None) -> set[str]:
+        """The loads that have a partition, from the names of the folders."""
+        root = self._path(table)
+        found = {f"{root}/{day}/{load}" for day, _ in files.children(self.spark, root) if "=" in day
+                 for load, _ in files.children(self.spark, f"{root}/{day}")}
+        if outcome:
+            found = {f for f in found if files.exists(self.spark, f"{f}/outcome={outcome}")}
+        return {folder.rpartition("load_id=")[2] for folder in found}
 
     def replace(self, table: str, rows: DataFrame) -> None:
-        self._write(rows, self._path(table), _TABLES[table][2])
+        self._replace(table, rows, self._path(table))
 
     def replace_load(self, table: str, load_id: str, rows: DataFrame) -> None:
-        self._write(rows, f"{self._path(table)}/load_id={load_id}", _TABLES[table][2][1:])
+        self._replace(table, _of_load(rows, load_id), self._load_folder(table, load_id))
+
+
+@contextmanager
+def _dynamic_overwrite(session: SparkSession) -> Iterator[None]:
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = session.conf.get(key)
+    session.conf.set(key, "dynamic")
+    try:
+        yield
+    finally:
+        session.conf.set(key, before)
 
 
 class CatalogTables:
@@ -109,9 +169,8 @@ class CatalogTables:
             schema = ddl({**columns, **dict.fromkeys(partitions, "string")})
             if table == RAW:
                 schema = schema.replace("timestamp_ntz", "timestamp_ntz DEFAULT localtimestamp()", 1)
-            by = f"PARTITIONED BY ({', '.join(partitions)})" if partitions else ""
-            self.spark.sql(
-                f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({schema}) USING parquet {by}")
+            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({schema}) USING parquet "
+                           f"PARTITIONED BY ({', '.join(partitions)})")
         for view, columns, outcome in (("stg_sales_clean", CLEAN_COLUMNS, "clean"),
                                        ("stg_sales_rejects", REJECT_COLUMNS, "reject")):
             self.spark.sql(
@@ -122,32 +181,47 @@ class CatalogTables:
         return self.spark.table(self.name(table))
 
     def read_load(self, table: str, load_id: str) -> DataFrame:
-        return self.read(table).where(F.col("load_id") == load_id).drop("load_id")
+        return (self.read(table).where((F.col("load_day") == load_day(load_id)) & (F.col("load_id") == load_id))
+                .drop(*LOAD))
+
+    def loads(self, table: str, outcome: str | None = None) -> set[str]:
+        named = [row[0] for row in self.spark.sql(f"SHOW PARTITIONS {self.name(table)}").collect()]
+        wanted = f"/outcome={outcome}" if outcome else ""
+        return {re.search("load_id=([^/]+)", name)[1] for name in named if name.endswith(wanted)}
 
-    def _insert(self, table: str, partition: list[str], rows: DataFrame) -> None:
-        into = f"PARTITION ({', '.join(partition)})" if partition else ""
+    def _location(self, table: str) -> str:
+        described = self.spark.sql(f"DESCRIBE FORMATTED {self.name(table)}")
+        return described.where("col_name = 'Location'").first().data_type
+
+    def _replace(self, table: str, rows: DataFrame, inside: str) -> None:
+        _, columns, partitions = _TABLES[table]
+        root = self._location(table)
+        before = files.data_files(self.spark, root + inside)
         # A streaming batch has a session of its own, which knows its rows; this
         # one has to be told that the files it may have listed are others now.
-        rows.sparkSession.sql(
-            f"INSERT OVERWRITE TABLE {self.name(table)} {into} SELECT * FROM {{rows}}", rows=rows)
+        with _dynamic_overwrite(rows.sparkSession):
+            rows.select(*columns, *partitions).sparkSession.sql(
+                f"INSERT OVERWRITE TABLE {self.name(table)} PARTITION ({', '.join(partitions)}) "
+                "SELECT * FROM {rows}", rows=rows.select(*columns, *partitions))
+        for left in _unreplaced(before, files.data_files(self.spark, root + inside)):
+            values = dict(part.split("=", 1) for part in left[len(root):].strip("/").split("/"))
+            named = ", ".join(f"{key} = '{value}'" for key, value in values.items())
+            self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS PARTITION ({named})")
         self.spark.catalog.refreshTable(self.name(table))
 
     def replace(self, table: str, rows: DataFrame) -> None:
-        _, columns, partitions = _TABLES[table]
-        # Whatever the overwrite mode, partitions that get no row must go too.
-        self.spark.sql(f"TRUNCATE TABLE {self.name(table)}")
-        self._insert(table, partitions, rows.select(*columns, *partitions))
+        self._replace(table, rows, "")
 
     def replace_load(self, table: str, load_id: str, rows: DataFrame) -> None:
-        _, columns, partitions = _TABLES[table]
-        # As above: an outcome the new rows do not have must not stay behind.
-        # Both are named, since not every catalog drops by a part of the key.
-        if partitions[1:]:
-            old = ", ".join(f"PARTITION (load_id = '{load_id}', outcome = '{outcome}')"
-                            for outcome in OUTCOMES)
-            self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS {old}")
-        self._insert(table, [f"load_id = '{load_id}'", *partitions[1:]],
-                     rows.select(*columns, *partitions[1:]))
+        self._replace(table, _of_load(rows, load_id), f"/load_day={load_day(load_id)}/load_id={load_id}")
+
+
+class LoadsFailed(RuntimeError):
+    """Some loads failed a step; the others have passed it."""
+
+    def __init__(self, failed: dict[str, Exception], done: list[str]):
+        super().__init__("; ".join(f"{load_id}: {error}" for load_id, error in failed.items()))
+        self.failed, self.done = failed, done
 
 
 class SalesLayers:
@@ -161,29 +235,78 @@ class SalesLayers:
 
     def append_raw(self, rows: DataFrame, load_id: str | None = None) -> str:
         """Adds a load to RAW.  The same ``load_id`` again replaces that load."""
-        load_id = load_id or uuid.uuid4().hex
+        load_id = load_id or f"{datetime.now(timezone.utc):%Y%m%d}-{uuid.uuid4().hex}"
         if not re.fullmatch(r"[A-Za-z0-9_.\-]+", load_id):
             raise ValueError(f"load_id may hold letters, digits, '_', '.', '-': {load_id!r}")
         self.tables.replace_load(RAW, load_id, rows.select(*RAW_COLUMNS))
         return load_id
 
-    def _staged(self, raw: DataFrame) -> DataFrame:
-        return staged_rows(classify_sales(raw, self.profile, self.on_overflow))
+    def append_lines(self, lines: DataFrame, load_id: str | None = None,
+                     ingestion_ts: datetime | str | None = None) -> str:
+        """Adds a load of ``(value, source_filename)`` lines to RAW, and to the load
+        log what each file held: its lines, records, blank and bad lines.  The
+        lines are counted in the pass that writes RAW."""
+        seen = Observation()
+        load_id = self.append_raw(records_from_lines(lines, ingestion_ts, seen, by_file=True), load_id)
+        lines_of_file = self.tables.spark.createDataFrame(
+            file_counts(seen.get), "source_filename string, n_lines bigint, n_blank bigint, n_bad bigint")
+        records = (self.tables.read_load(RAW, load_id).groupBy(F.col("source_filename").alias("file"))
+                   .agg(F.count(F.lit(1)).alias("n_records")))
+        total = records.agg(F.lit(None).cast("string").alias("file"), F.sum("n_records").alias("n_records"))
+        log = lines_of_file.join(records.where("file is not null").union(total),
+                                 F.col("source_filename").eqNullSafe(F.col("file")), "left")
+        self.tables.replace_load(LOG, load_id, log.select(
+            "source_filename", "n_lines", F.coalesce("n_records", F.lit(0)).cast("bigint").alias("n_records"),
+            "n_blank", "n_bad"))
+        return load_id
+
+    def _staged(self, raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+        return staged_rows(classify_sales(raw, self.profile, self.on_overflow, keep), keep)
 
     def stage_load(self, load_id: str) -> None:
-        """Classifies one load of RAW into its partition of STAGING."""
+        """Classifies one load of RAW into its partitions of STAGING."""
         self.tables.replace_load(STAGED, load_id,
                                  self._staged(self.tables.read_load(RAW, load_id)))
 
+    def stage_pending(self) -> list[str]:
+        """Stages the loads that are in RAW and not in STAGING.  One that fails, as on an
+        amount too large, keeps no other from being staged; the failures are raised at the end."""
+        return self._each(self.stage_load, self.tables.loads(RAW) - self.tables.loads(STAGED))
+
+    def publish_load(self, load_id: str) -> None:
+        """Puts the clean side of one load into its partition of the fact table."""
+        clean = self.tables.read_load(STAGED, load_id).where(F.col("outcome") == "clean")
+        self.tables.replace_load(FACT, load_id, clean.select(*FACT_COLUMNS))
+
+    def publish_pending(self) -> list[str]:
+        """Publishes the loads that have clean rows in STAGING and no fact."""
+        return self._each(self.publish_load, self.tables.loads(STAGED, "clean") - self.tables.loads(FACT))
+
+    @staticmethod
+    def _each(step, load_ids: set[str]) -> list[str]:
+        done, failed = [], {}
+        for load_id in sorted(load_ids):
+            try:
+                step(load_id)
+                done.append(load_id)
+            except Exception as error:  # the next load must not wait for this one
+                failed[load_id] = error
+        if failed:
+            raise LoadsFailed(failed, done)
+        return done
+
     def rebuild_staging(self) -> None:
         """Replaces STAGING from all of RAW."""
-        raw = self.tables.read(RAW)
-        classified = classify_sales(raw, self.profile, self.on_overflow, keep=["load_id"])
-        self.tables.replace(STAGED, staged_rows(classified, keep=["load_id"]))
+        self.tables.replace(STAGED, self._staged(self.tables.read(RAW), LOAD))
 
     def rebuild_fact(self) -> None:
         """Replaces the fact table from the clean side of STAGING."""
-        self.tables.replace(FACT, self.clean())
+        clean = self.tables.read(STAGED).where(F.col("outcome") == "clean")
+        self.tables.replace(FACT, clean.select(*FACT_COLUMNS, *LOAD))
+
+    def load_log(self) -> DataFrame:
+        """One row per load and file; the whole load's numbers where ``source_filename`` is NULL."""
+        return self.tables.read(LOG).select(*LOAD, *LOG_COLUMNS)
 
     def raw(self) -> DataFrame:
         return self.tables.read(RAW).select(*RAW_COLUMNS)

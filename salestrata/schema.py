@@ -31,6 +31,10 @@ FACT_COLUMNS = CLEAN_COLUMNS
 # One staged dataset holds both sides of the split, told apart by ``outcome``.
 STAGED_COLUMNS = {**EVENT_COLUMNS, "reason": "string", "raw": "variant", **LINEAGE_COLUMNS}
 
+# One row per load and file.
+LOG_COLUMNS = {"source_filename": "string", "n_lines": "bigint", "n_records": "bigint",
+               "n_blank": "bigint", "n_bad": "bigint"}
+
 MONEY_TYPE = "decimal(10,2)"
 MONEY_COLUMNS = tuple(name for name, kind in EVENT_COLUMNS.items() if kind == MONEY_TYPE)
 

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+from salestrata import files
+
 # timeZone: results do not depend on it (all times are zone-free), but the
 #   default of the ingest time does.
 # ansi: an amount too large for its column must fail the write, not turn NULL.
@@ -47,7 +49,8 @@ def build_session(app: str = "salestrata", master: str | None = None,
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors see, as the cluster names it.
 
-    Only a local-mode session without the setting gets a folder of its own.
+    Only a local-mode session without the setting gets a folder of its own; a
+    cluster's session without it is refused.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -60,4 +63,8 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def fresh_folder(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """A name for a new folder in the shared one.  What is written there is removed
+    when the driver ends, if not before."""
+    parent = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    files.remove_at_exit(spark, parent)
+    return f"{parent}/data"

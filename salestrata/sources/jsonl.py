@@ -7,17 +7,25 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from salestrata import files
 from salestrata.functions import store_path
 from salestrata.operators.records import parse_text, records, strip_outer_array
 from salestrata.schema import RAW_COLUMNS
 
 
+# Files of a load that are counted one by one.
+LOGGED_FILES = 10_000
+_TRACKED = 100_000
+
+
 def read_lines(spark: SparkSession, path: str, streaming: bool = False,
                **options: str) -> DataFrame:
     """Every line of every file under ``path``, with the file it is from.
 
     The recursive lookup reads all folders and keeps ``dt=`` from turning into
-    a column; ``dt`` is the day of the load, not of the sale.
+    a column; ``dt`` is the day of the load, not of the sale.  Names that begin
+    with ``_`` or ``.`` are not read, as by every file source of Spark:
+    ``skipped_names`` lists them.
     """
     reader = spark.readStream if streaming else spark.read
     lines = reader.options(recursiveFileLookup="true", **options).format("text").load(path)
@@ -38,26 +46,58 @@ def ingest_time(ingestion_ts: datetime | str | None) -> Column:
 
 
 def records_from_lines(lines: DataFrame, ingestion_ts: datetime | str | None = None,
-                       observation: Observation | str | None = None) -> DataFrame:
+                       observation: Observation | str | None = None,
+                       by_file: bool = False) -> DataFrame:
     """RAW rows from ``(value, source_filename)`` lines.
 
     A line that is not one JSON value, is blank, or repeats a key gives no row
     and the load goes on.  ``observation`` counts them on the way, without a
-    second pass: ``n_lines``, ``n_blank`` and ``n_bad`` (blank not included).
+    second pass: ``n_lines``, ``n_blank`` and ``n_bad`` (blank not included);
+    ``by_file`` adds the same by file, for ``file_counts``.
     """
     blank = F.rlike("value", F.lit(r"^\s*$"))
     parsed = parse_text(lines.select("value", "source_filename", blank.alias("blank")))
     if observation is not None:
+        kinds = {"n_lines": F.lit(True), "n_blank": F.col("blank"),
+                 "n_bad": records().isNull() & ~F.col("blank")}
         parsed = parsed.observe(
             observation,
-            F.count(F.lit(1)).alias("n_lines"),
-            F.count_if("blank").alias("n_blank"),
-            F.count_if(records().isNull() & ~F.col("blank")).alias("n_bad"),
+            *[F.count_if(kind).alias(name) for name, kind in kinds.items()],
+            *[F.call_function("approx_top_k", F.when(kind, F.col("source_filename")), F.lit(LOGGED_FILES),
+                              F.lit(_TRACKED)).alias(f"{name}_by_file") for name, kind in kinds.items() if by_file],
         )
     raw = strip_outer_array(parsed.drop("blank"))
     return raw.withColumn("ingestion_ts", ingest_time(ingestion_ts)).select(*RAW_COLUMNS)
 
 
+def file_counts(observed: dict) -> list[tuple[str | None, int, int, int]]:
+    """``(file, lines, blank, bad)`` of what ``records_from_lines`` has observed, one
+    row per file and one without a file for all.  Over ``LOGGED_FILES`` files the
+    row for all is the only one."""
+    names = ("n_lines", "n_blank", "n_bad")
+    by_file = {name: {row["item"]: row["count"] for row in observed[f"{name}_by_file"] or []} for name in names}
+    whole = (None, *(observed[name] for name in names))
+    found = sorted(file for file in by_file["n_lines"] if file is not None)
+    # The sketch counts exactly as long as it holds every file.
+    if sum(by_file["n_lines"][file] for file in found) != observed["n_lines"]:
+        return [whole]
+    return [whole, *((file, *(by_file[name].get(file, 0) for name in names)) for file in found)]
+
+
+def skipped_names(spark: SparkSession, path: str) -> list[str]:
+    """The files and folders under ``path`` that Spark's sources pass over: those with a
+    name that begins with ``_`` or ``.``; a names-only listing."""
+    found, waiting = [], [path.rstrip("/")]
+    while waiting:
+        at = waiting.pop()
+        for name, is_folder in files.children(spark, at):
+            if files.hidden(name):
+                found.append(f"{at}/{name}")
+            elif is_folder:
+                waiting.append(f"{at}/{name}")
+    return sorted(found)
+
+
 def ingest_jsonl(spark: SparkSession, path: str, ingestion_ts: datetime | str | None = None,
                  observation: Observation | str | None = None,
                  multi_line: bool = False) -> DataFrame:

@@ -2,53 +2,81 @@
 
 from __future__ import annotations
 
+import logging
+import re
 from datetime import datetime
 
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StreamingQuery
 
+from salestrata import files
 from salestrata.plans.layers import SalesLayers
-from salestrata.sources.jsonl import read_lines, records_from_lines
+from salestrata.sources.jsonl import read_lines, skipped_names
 
 _QUERY_ID = "sql.streaming.queryId"
+# Everything in a folder but the ``dt=`` folders and what Spark passes over.
+_UNDATED = "{[^d_.]*,d[^t]*,dt[^=]*}"
+
+log = logging.getLogger(__name__)
+
+
+def landing_days(layers: SalesLayers, landing: str) -> dict[str, str]:
+    """The ``dt=`` folders by day; the rest of the landing folder under the empty day."""
+    names = files.children(layers.tables.spark, landing)
+    dated = {m[1]: f"{landing}/{name}" for name, is_folder in names
+             if is_folder and (m := re.fullmatch(r"dt=([0-9]{8})", name))}
+    rest = any(not name.startswith("dt=") and not files.hidden(name) for name, _ in names)
+    return {**({"": f"{landing}/{_UNDATED}"} if rest else {}), **dict(sorted(dated.items()))}
 
 
 def load_new_files(layers: SalesLayers, landing: str, checkpoint: str, *, stage: bool = True,
                    ingestion_ts: datetime | str | None = None,
-                   max_files_per_batch: int | None = None) -> StreamingQuery:
-    """Loads the files of ``landing`` that ``checkpoint`` has not seen, then stops.
+                   max_files_per_batch: int | None = None, days: list[str] | None = None) -> list[str]:
+    """Loads the files of ``landing`` that ``checkpoint`` has not seen; the names of the loads.
 
-    Every batch becomes one load: written to its own partition of RAW, read
-    back from there and, with ``stage``, classified into its own partition of
-    STAGING.  The load is named after the query and the batch, so a batch that
-    Spark runs again replaces what its first run left behind.  A new checkpoint
-    starts a new query and loads all files again.  Loads taken in without
-    ``stage`` reach STAGING with the next rebuild.
+    Each ``dt=`` folder is a stream of its own with a checkpoint of its own, so what the
+    driver lists and remembers at a time is the files of one day.  ``days``
+    names those to look at (``""`` for files outside of any); without it all are looked at,
+    as a file may arrive late in any.
+
+    Every batch becomes one load of RAW, named after the day, the query and the
+    batch, so a batch that Spark runs again replaces what its first run left
+    behind.  What its files held is in the load log.  A new checkpoint starts new
+    queries and loads all files again.  The streams write RAW only.  With
+    ``stage`` the loads not staged yet are then classified into STAGING, each by
+    itself: one that fails is raised at the end and holds up no other.
 
     A file is known by its path: one rewritten in place is not read again.  The
     files seen are remembered without an age limit, since a file that arrives
     late with an old time would otherwise be skipped.  ``max_files_per_batch``
     bounds a batch; the backlog is then worked off in several batches.
-
-    The counts of lines, blank lines and bad lines of each batch are in the
-    query's progress, under the observed metrics named ``lines``.
+    Files that Spark passes over by their names are logged as a warning.
     """
     spark = layers.tables.spark
+    landing, checkpoint = landing.rstrip("/"), checkpoint.rstrip("/")
     options = {"maxFileAge": "36500d"}
     if max_files_per_batch:
         options["maxFilesPerTrigger"] = str(max_files_per_batch)
-    lines = read_lines(spark, landing, streaming=True, **options)
-    records = records_from_lines(lines, ingestion_ts, observation="lines")
-
-    def load(batch: DataFrame, batch_id: int) -> None:
-        query_id = batch.sparkSession.sparkContext.getLocalProperty(_QUERY_ID)
-        load_id = layers.append_raw(batch, f"{query_id}-{batch_id:010d}")
-        if stage:
-            layers.stage_load(load_id)
-
-    query = (records.writeStream.foreachBatch(load)
-             .option("checkpointLocation", checkpoint)
-             .trigger(availableNow=True)
-             .start())
-    query.awaitTermination()
-    return query
+    loaded: list[str] = []
+
+    for day, folder in landing_days(layers, landing).items():
+        if days is not None and day not in days:
+            continue
+        if skipped := skipped_names(spark, folder if day else landing):
+            shown = [name for name in skipped if day or "/dt=" not in name]
+            if shown:
+                log.warning("%d names begin with '_' or '.' and are not read: %s", len(shown), shown[:10])
+
+        def load(batch: DataFrame, batch_id: int, day: str = day) -> None:
+            query_id = batch.sparkSession.sparkContext.getLocalProperty(_QUERY_ID)
+            name = f"{query_id}-{batch_id:010d}"
+            loaded.append(layers.append_lines(batch, f"{day}-{name}" if day else f"undated-{name}", ingestion_ts))
+
+        query = (read_lines(spark, folder, streaming=True, **options).writeStream.foreachBatch(load)
+                 .option("checkpointLocation", f"{checkpoint}/{f'dt={day}' if day else 'undated'}")
+                 .trigger(availableNow=True)
+                 .start())
+        query.awaitTermination()
+
+    if stage:
+        layers.stage_pending()
+    return loaded

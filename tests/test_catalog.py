@@ -13,9 +13,10 @@ from conftest import TESTDATA
 from helpers import as_tuples
 
 import __spark_entry__ as contract
+from salestrata import catalog
 
-QUERIES = contract.queries()
-ORACLES = contract.oracle_sql()
+QUERIES = catalog.queries()
+ORACLES = catalog.oracle_sql()
 D = Decimal
 
 
@@ -29,6 +30,7 @@ def duck():
 
 def test_every_query_has_a_counterpart():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
 
 
 _TYPES = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "TIMESTAMP": "timestamp_ntz",

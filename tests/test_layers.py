@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from salestrata.catalog.results import raw_sales
 from salestrata.operators import classify_sales, clean_rows, reject_rows, reports
 from salestrata.plans import CatalogTables, FolderTables, SalesLayers
+from salestrata.plans.layers import LoadsFailed
 from salestrata.schema import CLEAN_COLUMNS, FACT_COLUMNS, RAW_COLUMNS, REJECT_COLUMNS
 from salestrata.session import fresh_folder
 
@@ -35,6 +36,10 @@ def counts(layers):
     return row.raw_rows, row.clean_rows, row.reject_rows, row.fact_rows
 
 
+def counted(layers):
+    return tuple(layers.reconcile().first())[:4]
+
+
 def rebuild(layers):
     layers.rebuild_staging()
     layers.rebuild_fact()
@@ -127,11 +132,80 @@ def test_overflow_fails_the_rebuild_or_goes_to_rejects(spark, tables):
     layers.append_raw(raw_rows(spark, [event(), event(total_amount=100000000)]))
     with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE"):
         layers.rebuild_staging()
+    assert counted(layers) == (2, 0, 0, 0)
     rejecting = SalesLayers(tables, on_overflow="reject")
     assert rebuild(rejecting) == (2, 1, 1, 1)
     assert rejecting.rejects().first().reason == "Unknown validation error"
 
 
+def test_a_rebuild_that_fails_leaves_the_tables_as_they_were(spark, tables):
+    layers = SalesLayers(tables)
+    layers.append_raw(raw_rows(spark, [event(), event(quantity=0)]), "a")
+    assert rebuild(layers) == (2, 1, 1, 1)
+    layers.append_raw(raw_rows(spark, [event(total_amount=100000000)]), "b")
+    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE"):
+        layers.rebuild_staging()
+    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE"):
+        layers.stage_load("b")
+    assert counted(layers) == (3, 1, 1, 1)
+
+
+def test_a_load_that_fails_holds_up_no_other(spark, tables):
+    layers = SalesLayers(tables)
+    for load_id, line in (("20260101-a", event()), ("20260101-b", event(total_amount=100000000)), ("20260102-c", event())):
+        layers.append_raw(raw_rows(spark, [line]), load_id)
+    with pytest.raises(LoadsFailed, match="20260101-b"):
+        layers.stage_pending()
+    assert tables.loads("stg_sales") == {"20260101-a", "20260102-c"}
+    assert layers.publish_pending() == ["20260101-a", "20260102-c"]
+    rejecting = SalesLayers(tables, on_overflow="reject")
+    assert rejecting.stage_pending() == ["20260101-b"]
+    assert rejecting.stage_pending() == [] == rejecting.publish_pending()
+    assert counts(layers) == (3, 2, 1, 2)
+
+
+def test_publishing_a_load_touches_its_partition_only(spark, tables):
+    layers = SalesLayers(tables)
+    layers.append_raw(raw_rows(spark, [event(), event(quantity=0)]), "20260101-a")
+    layers.append_raw(raw_rows(spark, [event(category="beauty")]), "20260102-b")
+    layers.stage_pending()
+    layers.publish_load("20260101-a")
+    first = set(layers.tables.read("fact_sales").select("_metadata.file_path").distinct().collect())
+    layers.publish_load("20260102-b")
+    assert first < set(layers.tables.read("fact_sales").select("_metadata.file_path").distinct().collect())
+    published = reports.category_revenue(layers.fact()).collect()
+    layers.rebuild_fact()
+    assert reports.category_revenue(layers.fact()).collect() == published
+
+
+def test_a_fact_that_lacks_a_row_does_not_balance(spark, tables):
+    layers = SalesLayers(tables)
+    layers.append_raw(raw_rows(spark, [event(event_id="1"), event(event_id="2")]), "a")
+    assert rebuild(layers) == (2, 2, 0, 2)
+    lacking = SalesLayers(tables)
+    tables.replace_load("fact_sales", "a", layers.clean().where("event_id = '1'"))
+    row = lacking.reconcile().first()
+    assert (row.clean_rows, row.fact_rows, row.balanced) == (2, 1, False)
+
+
+def test_load_log(spark, tables):
+    layers = SalesLayers(tables)
+    lines = [("a", event()), ("a", "{bad"), ("a", " "), ("b", "[]"), ("b", f"[{event()}, {event()}]"), (None, event())]
+    frame = spark.createDataFrame([(v, f) for f, v in lines], "value string, source_filename string")
+    layers.append_lines(frame, "20260101-a")
+    wanted = [(None, 6, 4, 1, 1), ("a", 3, 1, 1, 1), ("b", 2, 2, 0, 0)]
+
+    def logged(load_id):
+        rows = layers.load_log().where(f"load_id = '{load_id}'").collect()
+        return sorted((tuple(r)[2:] for r in rows), key=str)
+    # a line without a file name is in the whole load's row only, and then that is the only row
+    assert logged("20260101-a") == [wanted[0]]
+    layers.append_lines(frame.where("source_filename is not null"), "20260101-b")
+    assert logged("20260101-b") == sorted([(None, 5, 3, 1, 1), *wanted[1:]], key=str)
+    layers.append_lines(frame.limit(0), "20260101-b")
+    assert logged("20260101-b") == [(None, 0, 0, 0, 0)]
+
+
 @pytest.mark.parametrize("load_id", ["0007", "2026-01-01", "1e3", "1.0"])
 def test_load_id_is_text_whatever_it_looks_like(spark, tables, load_id):
     layers = SalesLayers(tables)

@@ -6,6 +6,7 @@ import pytest
 from conftest import TESTDATA
 from helpers import event, explained, raw_rows
 
+from salestrata import catalog
 from salestrata.catalog.results import raw_sales
 from salestrata.operators import classify_sales, clean_rows, reject_rows, reports, staged_rows
 from salestrata.plans import FolderTables, SalesLayers, report_book
@@ -68,6 +69,12 @@ def test_report_book_scans_once(spark, layers):
     assert plan.count("Expand") == 2
 
 
+@pytest.mark.parametrize("name", catalog.queries())
+def test_no_rows_are_dealt_round_robin(spark, name):
+    plan = explained(catalog.queries()[name](spark, f"{TESTDATA}/sf0.001"))
+    assert "RoundRobinPartitioning" not in plan
+
+
 def test_no_python_in_any_plan(spark):
     plan = explained(reports.category_revenue(clean_rows(classify_sales(
         raw_sales(spark, f"{TESTDATA}/sf0.001")))))

@@ -16,14 +16,14 @@ from salestrata.operators import (
     classify_sales,
     clean_rows,
     extract_event,
-    reconcile_classified,
+    reconcile_layers,
     reject_rows,
     rule_flags,
     sales_rules,
     split,
 )
 from salestrata.profiles import resolve_profile
-from salestrata.sources.events_feed import read_events, sales_lines
+from salestrata.catalog.events_feed import read_events, sales_lines
 from salestrata.sources.jsonl import records_from_lines
 
 SF = f"{TESTDATA}/sf0.01"
@@ -74,7 +74,8 @@ def test_every_row_is_on_exactly_one_side(spark, changes, profile):
     assert clean | set(rejects) == {str(i) for i in range(len(texts))}
     assert not clean & set(rejects)
     assert set(rejects.values()) <= REASONS
-    counts = reconcile_classified(classified).first()
+    sides = clean_rows(classified), reject_rows(classified)
+    counts = reconcile_layers(classified, *sides, sides[0]).first()
     assert counts.balanced and counts.raw_rows == len(texts)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pytest
 
+from salestrata import files
 from salestrata.session import SESSION_CONF, fresh_folder, shared_folder
 
 
@@ -17,8 +18,12 @@ class Session:
 def test_the_folder_the_cluster_names():
     spark = Session(spark_checkpoint_dir="s3a://bucket/shared/", spark_master="yarn")
     assert shared_folder(spark) == "s3a://bucket/shared"
-    assert fresh_folder(spark, "x").startswith("s3a://bucket/shared/x-")
-    assert fresh_folder(spark, "x") != fresh_folder(spark, "x")
+
+
+def test_fresh_folders(spark):
+    one, two = fresh_folder(spark, "x"), fresh_folder(spark, "x")
+    assert one.startswith(f"{shared_folder(spark)}/x-") and one != two
+    assert not files.exists(spark, one) and files.exists(spark, one.rpartition("/")[0])
 
 
 def test_a_folder_of_its_own_in_local_mode_only():

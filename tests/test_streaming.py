@@ -9,7 +9,9 @@ import pytest
 from helpers import event, raw_rows
 
 from salestrata.plans import CatalogTables, FolderTables, SalesLayers
+from salestrata.plans.layers import LoadsFailed
 from salestrata.session import fresh_folder
+from salestrata.sources.jsonl import skipped_names
 from salestrata.streaming import load_new_files
 
 
@@ -36,10 +38,12 @@ def totals(layers):
 def test_only_new_files_are_loaded(place):
     layers, landing, checkpoint = place
     first = land(landing, "dt=20260101/a b.jsonl", event(), event(quantity=0), "{bad", "")
-    query = load_new_files(layers, str(landing), checkpoint)
+    loaded = load_new_files(layers, str(landing), checkpoint)
     assert totals(layers) == (2, 1, 1)
-    seen = query.lastProgress.observedMetrics["lines"]
-    assert (seen.n_lines, seen.n_blank, seen.n_bad) == (4, 1, 1)
+    seen = layers.load_log().collect()
+    assert [(r.load_day, r.load_id) for r in seen] == [("20260101", loaded[0])] * 2
+    assert [tuple(r)[3:] for r in seen] == [(4, 2, 1, 1)] * 2
+    assert sum((r.source_filename or "").endswith("a b.jsonl") for r in seen) == 1
     assert layers.raw().first().source_filename.endswith("dt=20260101/a b.jsonl")
 
     load_new_files(layers, str(landing), checkpoint)
@@ -79,13 +83,13 @@ def test_a_batch_that_failed_half_way_is_repeated_without_duplicates(place):
     land(landing, "a.jsonl", event(), event(quantity=0))
 
     class Stops(SalesLayers):
-        def stage_load(self, load_id):
-            super().stage_load(load_id)
+        def append_raw(self, rows, load_id=None):
+            super().append_raw(rows, load_id)
             raise RuntimeError("lost between two steps")
 
     with pytest.raises(Exception, match="lost between two steps"):
         load_new_files(Stops(layers.tables), str(landing), checkpoint)
-    assert totals(layers) == (2, 1, 1)
+    assert totals(layers) == (2, 0, 0)
     land(landing, "b.jsonl", event())
     load_new_files(layers, str(landing), checkpoint)
     assert totals(layers) == (3, 2, 1)
@@ -117,3 +121,44 @@ def test_batch_and_stream_loads_share_the_tables(spark, place):
     layers.rebuild_fact()
     counts = layers.reconcile().first()
     assert counts.balanced and counts.fact_rows == 2
+
+
+def test_an_amount_too_large_stops_no_other_file(place):
+    layers, landing, checkpoint = place
+    land(landing, "dt=20260101/a.jsonl", event(total_amount=100000000))
+    for _ in range(2):
+        with pytest.raises(LoadsFailed):
+            load_new_files(layers, str(landing), checkpoint)
+        land(landing, "dt=20260102/b.jsonl", event())
+    assert totals(layers) == (2, 1, 0)
+    rejecting = SalesLayers(layers.tables, on_overflow="reject")
+    assert load_new_files(rejecting, str(landing), checkpoint) == []
+    assert totals(layers) == (2, 1, 1)
+
+
+def test_each_day_has_a_checkpoint_of_its_own(place):
+    layers, landing, checkpoint = place
+    land(landing, "dt=20260101/a.jsonl", event())
+    land(landing, "dt=20260102/a.jsonl", event())
+    land(landing, "loose.jsonl", event())
+    land(landing, "other/deep.jsonl", event())
+    loads = load_new_files(layers, str(landing), checkpoint)
+    assert sorted(load_id.split("-")[0] for load_id in loads) == ["20260101", "20260102", "undated"]
+    assert totals(layers) == (4, 4, 0)
+    late = land(landing, "dt=20260101/late.jsonl", event())
+    os.utime(late, (1_000_000_000, 1_000_000_000))
+    land(landing, "dt=20260102/b.jsonl", event())
+    assert len(load_new_files(layers, str(landing), checkpoint, days=["20260101"])) == 1
+    assert len(load_new_files(layers, str(landing), checkpoint)) == 1
+    assert totals(layers) == (6, 6, 0)
+
+
+def test_names_that_spark_passes_over_are_reported(spark, place, caplog):
+    layers, landing, checkpoint = place
+    for name in ("a.jsonl", "_b.jsonl", ".c.jsonl", "_x/d.jsonl"):
+        land(landing, name, event())
+    with caplog.at_level("WARNING"):
+        load_new_files(layers, str(landing), checkpoint)
+    assert totals(layers) == (1, 1, 0)
+    assert [name.rpartition("/")[2] for name in skipped_names(spark, str(landing))] == [".c.jsonl", "_b.jsonl", "_x"]
+    assert "3 names" in caplog.text
