@@ -1,16 +1,20 @@
-"""Operator 3, toxicity: a cumulative-link ordinal regression on words.
+"""Operator 3, toxicity: a cumulative-link ordinal regression on words and stems.
+
+A text's features are its words, runs of ASCII letters and digits and of
+non-ASCII characters with A-Z lowered, and the first ``STEMS`` bytes of them, as
+an inflected word is seen too seldom to be known by itself.
 
 Grades run from 0 (not toxic) to 3.  The labels say toxic or not; of the toxic
-training texts, the grade is by how many distinct marker words they hold.
-Markers are learnt: words in at least ``MARKER_SHARE`` of the toxic training texts, and
+training texts, the grade is by how many distinct markers they hold.  Markers are
+learnt: stems of ``STEMS[0]`` bytes in at least ``MARKER_SHARE`` of the toxic training texts, and
 ``MARKER_ODDS`` times as frequent there as in the others.  One weight vector over
-the presence of words serves all thresholds: P(grade > k) = s(w.x - t_k) with
+the presence of features serves all thresholds: P(grade > k) = s(w.x - t_k) with
 t_0 <= t_1 <= t_2, fitted by accelerated proximal steps on the likelihood with an
 L1 penalty, so most weights are zero.  A text's score is the expected grade; it is
 toxic if P(grade > 0) is at least ``CUTOFF``.
 
 Training uses a bounded sample: about ``LABELLED`` labelled documents, half of
-either class, chosen by a hash of their id, and ``FEATURES`` words.  Scoring reads
+either class, chosen by a hash of their id, and ``FEATURES`` features.  Scoring reads
 all documents whole.
 
 A null or empty text has no words and is scored by the thresholds alone.  Labels
@@ -33,6 +37,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from salestrata.llm.shared import cut, in_tasks
 from salestrata.llm.textkit import (
     ALNUM,
+    mix,
     row_blocks,
     span_hashes,
     texts_of,
@@ -42,17 +47,21 @@ from salestrata.llm.textkit import (
 LABELLED = 20_000
 FEATURES = 512
 LEAST_DOCUMENTS = 5
-MARKER_SHARE = 0.1
+STEMS = (4, 5)
+MARKER_SHARE = 0.05
 MARKER_ODDS = 20.0
 GRADE_FROM = (1, 2, 4)  # distinct markers from which a toxic text has grade 1, 2, 3
-PENALTY = 2e-3
-STEPS = 300
-CUTOFF = 0.5
+PENALTY = 2e-4
+STEPS = 1000
+CUTOFF = 0.6
+
+
+_KINDS = 3  # the bits that tell words (0) and the stems
 
 
 @dataclass
 class Ordinal:
-    words: np.ndarray  # sorted hashes of the words with a weight
+    words: np.ndarray  # sorted hashes of the features with a weight
     weights: np.ndarray
     thresholds: np.ndarray
 
@@ -68,11 +77,24 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * x))
 
 
-def distinct_words(column) -> tuple[np.ndarray, np.ndarray]:
-    """``(row, word hash)``, each once."""
+def features(column) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """``(row, hash)`` of the words of a block, then of their stems by length."""
     texts = texts_of(column, lower=True)
     words = words_of(texts, ALNUM)
-    hashes, rows = span_hashes(texts.data, words.starts, words.ends), words.rows()
+    rows = words.rows()
+    yield rows, span_hashes(texts.data, words.starts, words.ends)
+    for n in STEMS:
+        long = words.ends - words.starts >= n
+        starts = words.starts[long]
+        hashes = mix(span_hashes(texts.data, starts, starts + n) + np.uint64(n))
+        # the last bits tell stems by length
+        yield rows[long], hashes & ~np.uint64(_KINDS) | np.uint64(STEMS.index(n) + 1)
+
+
+def distinct_features(column) -> tuple[np.ndarray, np.ndarray]:
+    """``(row, hash)``, each once, by row."""
+    found = [(rows, hashes if i else hashes & ~np.uint64(_KINDS)) for i, (rows, hashes) in enumerate(features(column))]
+    rows, hashes = (np.concatenate(x) for x in zip(*found))
     order = np.lexsort((hashes, rows))
     hashes, rows = hashes[order], rows[order]
     new = np.ones(len(rows), dtype=bool)
@@ -82,7 +104,7 @@ def distinct_words(column) -> tuple[np.ndarray, np.ndarray]:
 
 def _word_lists(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for block in row_blocks(parts):
-        rows, hashes = distinct_words(block.column("text"))
+        rows, hashes = distinct_features(block.column("text"))
         offsets = np.searchsorted(rows, np.arange(block.num_rows + 1)).astype(np.int32)
         yield pa.RecordBatch.from_arrays(
             [block.column("toxic"), pa.ListArray.from_arrays(offsets, hashes.view(np.int64))],
@@ -120,7 +142,7 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = LABELLED) -> Ordinal:
     hashes = np.array([r["word"] for r in chosen], dtype=np.int64)
     share = np.array([r["t"] for r in chosen]) / n_toxic
     odds = (share + 1e-9) / ((np.array([r["o"] for r in chosen]) + 0.5) / n_other)
-    marker = (share >= MARKER_SHARE) & (odds >= MARKER_ODDS)
+    marker = (share >= MARKER_SHARE) & (odds >= MARKER_ODDS) & (hashes & _KINDS == 1)
     # At most FEATURES ids a row, and about as many rows as the bound says.
     wanted = F.array(*[F.lit(int(h)) for h in hashes])
     table = rows.select("toxic", F.array_intersect("words", wanted).alias("words")).toArrow()
@@ -184,19 +206,19 @@ def fit_ordinal(row: np.ndarray, column: np.ndarray, grade: np.ndarray, features
 def _scoring(broadcast):
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = broadcast.value
+        bits = np.zeros(1 << 16, dtype=bool)
+        bits[model.words >> np.uint64(48)] = True
         for block in row_blocks(parts):
-            texts = texts_of(block.column("text"), lower=True)
-            words = words_of(texts, ALNUM)
             score = np.zeros(block.num_rows)
             if len(model.words):
-                hashes = span_hashes(texts.data, words.starts, words.ends)
-                bits = np.zeros(1 << 16, dtype=bool)
-                bits[model.words & np.uint64(0xFFFF)] = True
-                at = np.flatnonzero(bits[hashes & np.uint64(0xFFFF)])
-                feature = np.minimum(np.searchsorted(model.words, hashes[at]), len(model.words) - 1)
-                hit = model.words[feature] == hashes[at]
-                row = np.searchsorted(words.first, at[hit], side="right") - 1
-                pair = np.unique(row * np.int64(len(model.words)) + feature[hit])
+                pairs = []
+                for i, (rows, hashes) in enumerate(features(block.column("text"))):
+                    hashes = hashes if i else hashes & ~np.uint64(_KINDS)
+                    at = np.flatnonzero(bits[hashes >> np.uint64(48)])
+                    feature = np.minimum(np.searchsorted(model.words, hashes[at]), len(model.words) - 1)
+                    hit = model.words[feature] == hashes[at]
+                    pairs.append(rows[at[hit]] * np.int64(len(model.words)) + feature[hit])
+                pair = np.unique(np.concatenate(pairs))
                 score = np.bincount(pair // len(model.words), weights=model.weights[pair % len(model.words)],
                                     minlength=block.num_rows)
             above = model.above(score)
