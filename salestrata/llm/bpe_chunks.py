@@ -1,14 +1,17 @@
 """Byte-level BPE over the distinct chunks of texts.
 
 The pattern in front of the merges never has white space after another character
-in one piece, so a text falls apart in front of each ASCII white space that
-follows a character that is no white space.  Each distinct chunk that a task meets is
-encoded once with the library; the ids of a text are those of its chunks in order.
+in one piece, nor a letter and a mark other than an apostrophe.  So a text falls
+apart in front of each ASCII white space that follows a character that is no
+white space, and in front of ASCII marks after a letter.  Each distinct chunk
+that a worker meets is encoded once with the library; the ids of a text are
+those of its chunks in order.
 """
 
 from __future__ import annotations
 
 import os
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -17,9 +20,27 @@ from tokenizers import Tokenizer
 from salestrata.llm.chunk_table import ChunkTable
 from salestrata.llm.textkit import texts_of
 
-_SPACE = np.zeros(256, dtype=bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
-_TOGETHER = 512  # chunks in one call to the library
+# Kinds of bytes, and the pairs of kinds with a cut between them.
+_OTHER, _WHITE, _LETTER, _MARK, _PRINTED, _HIGH = range(6)
+_KIND = np.full(256, _OTHER, dtype=np.uint8)
+_KIND[0x21:0x7F] = _PRINTED
+_KIND[[0x20, *range(0x09, 0x0E)]] = _WHITE
+_KIND[0x41:0x5B] = _KIND[0x61:0x7B] = _LETTER
+_KIND[list(b"!\"#$%&()*+,-./:;<=>?@[]{}|~")] = _MARK
+_KIND[0x80:] = _HIGH
+_CUT = np.zeros(64, dtype=bool)
+_CUT[[8 * _LETTER + _WHITE, 8 * _MARK + _WHITE, 8 * _PRINTED + _WHITE]] = True
+_CUT[8 * _LETTER + _MARK] = True  # an apostrophe is no mark: it may begin a piece with letters of its own
+_LATIN = 0xC3  # first byte of U+00C0 to U+00FF, none of which is white space
+BLOCK_BYTES = 8 << 20
+_TOGETHER = 256  # chunks in one text for the library
+_TEXTS = 32  # texts in one call
+
+
+@lru_cache(1)
+def chunk_tokenizer(path: str) -> ChunkTokenizer:
+    """One for all tasks of a worker, so that its table serves all of them."""
+    return ChunkTokenizer(path)
 
 
 class ChunkTokenizer:
@@ -42,20 +63,23 @@ class ChunkTokenizer:
         lengths = np.zeros(len(chunks), dtype=np.int64)
         parts: list[tuple[np.ndarray, np.ndarray]] = []
         # Chunks that begin with ASCII white space and end otherwise may follow each other.
-        joint = [i for i, c in enumerate(chunks) if _SPACE[c[0]] and 0x21 <= c[-1] < 0x7F]
-        for low in range(0, len(joint), _TOGETHER):
-            group = joint[low:low + _TOGETHER]
-            ids = np.array(self._ids([b"".join([chunks[i] for i in group]).decode()])[0], dtype=np.uint32)
-            ends = np.cumsum(self.bytes_of[ids])
-            wanted = np.cumsum([len(chunks[i]) for i in group])
-            at = np.searchsorted(ends, wanted) + 1
-            if len(ends) and ends[-1] == wanted[-1] and (ends[at - 1] == wanted).all():
-                lengths[group] = np.diff(np.concatenate(([0], at)))
+        joint = [i for i, c in enumerate(chunks) if _KIND[c[0]] == _WHITE and 0x21 <= c[-1] < 0x7F]
+        groups = [joint[low:low + _TOGETHER] for low in range(0, len(joint), _TOGETHER)]
+        for low in range(0, len(groups), _TEXTS):
+            some = groups[low:low + _TEXTS]
+            for group, found in zip(some, self._ids([b"".join([chunks[i] for i in g]).decode() for g in some])):
+                ids = np.array(found, dtype=np.uint32)
+                ends = np.cumsum(self.bytes_of[ids])
+                wanted = np.cumsum([len(chunks[i]) for i in group])
+                at = np.searchsorted(ends, wanted) + 1
+                if ends[-1] != wanted[-1] or (ends[at - 1] != wanted).any():
+                    raise ValueError("this tokenizer's pieces cross chunks")
+                lengths[group] = np.diff(at, prepend=0)
                 parts.append((np.array(group), ids))
-            else:
-                raise ValueError("this tokenizer's pieces cross chunks")
-        alone = np.setdiff1d(np.arange(len(chunks)), joint)
-        each = self._ids([chunks[i].decode() for i in alone])
+        is_alone = np.ones(len(chunks), dtype=bool)
+        is_alone[joint] = False
+        alone = np.flatnonzero(is_alone)
+        each = self._ids([chunks[i].decode() for i in alone.tolist()])
         lengths[alone] = [len(x) for x in each]
         parts.append((alone, np.array([i for x in each for i in x], dtype=np.uint32)))
         offsets = np.concatenate(([0], np.cumsum(lengths)))
@@ -69,12 +93,11 @@ class ChunkTokenizer:
         """The ids of a block of texts, one after the other, and how many each has."""
         texts = texts_of(column)
         data = texts.data[:texts.offsets[-1]]
-        space = _SPACE[data]
+        kind = _KIND[data]
         cut = np.zeros(len(data) + 1, dtype=bool)
-        # After printable ASCII, or a character of two bytes from U+00C0 to U+00FF.
-        before = data[:-1]
-        cut[1:-1] = space[1:] & (before >= 0x21) & (before < 0x7F)
-        cut[2:-1] |= space[2:] & (data[1:-1] >= 0x80) & (data[:-2] == 0xC3)
+        cut[1:-1] = _CUT[(kind[:-1] << 3) | kind[1:]]
+        high = np.flatnonzero((kind[1:] == _WHITE) & (kind[:-1] == _HIGH)) + 1
+        cut[high[data[high - 2] == _LATIN]] = True
         cut[texts.offsets] = True
         cut[-1] = False
         starts = np.flatnonzero(cut)

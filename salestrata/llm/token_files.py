@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salestrata.llm import huffman
-from salestrata.llm.bpe_chunks import ChunkTokenizer
+from salestrata.llm.bpe_chunks import BLOCK_BYTES, chunk_tokenizer
 from salestrata.llm.shared import in_tasks, new_folder, remove
 from salestrata.llm.textkit import row_blocks
 
@@ -54,11 +54,11 @@ def _with_end(ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
 def _tokenizing(path: str):
     """Plain chunks of a part's texts, in their order."""
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = ChunkTokenizer(path)
+        tokenizer = chunk_tokenizer(path)
         # Sixteen bits are enough for most vocabularies.
         width = np.dtype("<u2") if tokenizer.size <= 1 << 16 else np.dtype("<u4")
         part, seq, before = TaskContext.get().partitionId(), 0, 0
-        for block in row_blocks(parts):
+        for block in row_blocks(parts, limit=BLOCK_BYTES):
             ids, counts = _with_end(*tokenizer.encode(block.column("text")))
             ends = np.cumsum(counts)
             low = 0
