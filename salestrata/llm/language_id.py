@@ -10,7 +10,8 @@ centroid than the centroid's own sample: 1 - cosine over ``SLACK`` times the
 
 Learning reads documents with a text and a language whose crc32 of doc_id, modulo
 4, is not 2.  Document frequencies come from all of them.  The clustering uses a bounded
-sample: about ``SAMPLE`` texts per language, chosen by a hash of the id.
+sample: about ``SAMPLE`` texts per language, chosen by a hash of the id, of the
+``LANGUAGES`` languages with the most texts.
 
 A null text, or one without a letter, is ``und`` with score 0.  A text whose
 letters share no n-gram with any language gets the first language by name, with
@@ -39,6 +40,7 @@ from salestrata.llm.textkit import plain_array, row_blocks
 UNKNOWN = "und"
 CENTROIDS = 4
 SAMPLE = 400
+LANGUAGES = 1000
 ROUNDS = 8
 RADIUS = 0.99
 SLACK = 1.5
@@ -130,9 +132,11 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Centroids | None:
     if not n[0]:
         return None
     weights = np.log((1 + n[0]) / (1 + n[1:])) + 1
-    share = train.groupBy(F.col("lang").alias("of")).agg(
-        F.least(F.lit(1.0), F.lit(float(sample)) / F.count("*")).alias("share"))
-    chosen = (train.join(share, F.col("lang") == F.col("of"))
+    share = (train.groupBy(F.col("lang").alias("of")).agg(F.count("*").alias("n"))
+             .orderBy(F.desc("n"), "of").limit(LANGUAGES)
+             .select("of", F.least(F.lit(1.0), F.lit(float(sample)) / F.col("n")).alias("share")))
+    # LANGUAGES rows at most, sent to the texts rather than the texts to them
+    chosen = (train.join(F.broadcast(share), F.col("lang") == F.col("of"))
               .where("pmod(xxhash64(of_id), 1000000) < share * 1000000").select("lang", "text"))
     found = (in_tasks(chosen, _sampled, "lang string, counts binary").groupBy("lang")
              .applyInPandas(_clustering(weights), "lang string, vector binary, radius double").toPandas())
