@@ -2,22 +2,23 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import shutil
 import tempfile
-import uuid
 from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 import salestrata
+from salestrata import files
 
-from salestrata.session import shared_folder
+from salestrata.session import fresh_folder, shared_folder
 
 
-def new_folder(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+new_folder = fresh_folder
+remove = files.remove
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -26,7 +27,8 @@ def ship_package(spark: SparkSession) -> None:
     if getattr(context, "_salestrata_shipped", False):
         return
     root = Path(salestrata.__file__).resolve().parent
-    folder = tempfile.mkdtemp(prefix="salestrata-package-")  # Spark serves it to the executors
+    folder = tempfile.mkdtemp(prefix="salestrata-package-")  # on the driver; Spark serves it to the executors
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     archive = shutil.make_archive(os.path.join(folder, "salestrata_package"), "zip",
                                   root.parent, root.name)
     context.addPyFile(archive)
@@ -42,18 +44,17 @@ def in_tasks(frame: DataFrame, function: Callable, schema) -> DataFrame:
 def cut(frame: DataFrame) -> DataFrame:
     """The frame's rows, kept in the checkpoint folder: later steps neither repeat
     the work nor depend on the executors that did it.  Spark removes the files
-    with the frame if ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set."""
+    with the frame if ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set,
+    and in any case they go with the driver."""
     spark = frame.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(spark))
+    if not getattr(context, "_salestrata_checkpoints", False):
+        files.remove_at_exit(spark, context.getCheckpointDir())  # a folder of this application alone
+        context._salestrata_checkpoints = True
     return frame.checkpoint()
 
 
-def remove(spark: SparkSession, folder: str) -> None:
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
