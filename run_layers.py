@@ -56,7 +56,8 @@ def arguments(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--landing", help="folder the JSON Lines files land in")
     parser.add_argument("--checkpoint", help="folder that remembers the files loaded")
     parser.add_argument("--out", help="folder the reports go to")
-    parser.add_argument("--profile", default="documented", choices=["documented", "literal"])
+    parser.add_argument("--profile", choices=["documented", "literal"],
+                        help="the one STAGING was made with, or documented, without it")
     parser.add_argument("--on-overflow", default="fail", choices=["fail", "reject"])
     parser.add_argument("--max-files-per-batch", type=int)
     args = parser.parse_args(argv)

@@ -54,3 +54,22 @@ def remove_at_exit(spark: SparkSession, folder: str) -> None:
     system, path = _opened(spark, folder)
     system.mkdirs(path)
     system.deleteOnExit(path)
+
+
+def write_text(spark: SparkSession, file: str, text: str) -> None:
+    system, path = _opened(spark, file)
+    stream = system.create(path, True)
+    stream.write(text.encode())
+    stream.close()
+
+
+def read_text(spark: SparkSession, file: str) -> str | None:
+    system, path = _opened(spark, file)
+    if not system.exists(path):
+        return None
+    size = int(system.getFileStatus(path).getLen())
+    stream = system.open(path)
+    try:
+        return bytes(stream.readNBytes(size)).decode()
+    finally:
+        stream.close()

@@ -43,6 +43,7 @@ from salestrata.sources.jsonl import file_counts, records_from_lines
 RAW, STAGED, FACT, LOG = "raw_sales", "stg_sales", "fact_sales", "load_log"
 LOAD = ("load_day", "load_id")
 UNDATED = "undated"
+_PROFILE = "salestrata.profile"
 
 # table: (layer, columns, partition columns)
 _TABLES = {
@@ -67,6 +68,8 @@ class Tables(Protocol):
     def loads(self, table: str, outcome: str | None = None) -> set[str]: ...
     def replace(self, table: str, rows: DataFrame) -> None: ...
     def replace_load(self, table: str, load_id: str, rows: DataFrame) -> None: ...
+    def profile(self) -> str | None: ...
+    def set_profile(self, name: str) -> None: ...
 
 
 def _of_load(rows: DataFrame, load_id: str) -> DataFrame:
@@ -137,6 +140,14 @@ class FolderTables:
         self._replace(table, _of_load(rows, load_id), self._load_folder(table, load_id))
 
 
+    def profile(self) -> str | None:
+        """The profile that STAGING was made with, as the tables remember it."""
+        return files.read_text(self.spark, f"{self._path(STAGED)}/_profile")
+
+    def set_profile(self, name: str) -> None:
+        files.write_text(self.spark, f"{self._path(STAGED)}/_profile", name)
+
+
 @contextmanager
 def _dynamic_overwrite(session: SparkSession) -> Iterator[None]:
     key = "spark.sql.sources.partitionOverwriteMode"
@@ -216,6 +227,15 @@ class CatalogTables:
         self._replace(table, _of_load(rows, load_id), f"/load_day={load_day(load_id)}/load_id={load_id}")
 
 
+    def profile(self) -> str | None:
+        """The profile that STAGING was made with, as the tables remember it."""
+        shown = self.spark.sql(f"SHOW TBLPROPERTIES {self.name(STAGED)}").where(F.col("key") == _PROFILE).first()
+        return shown.value if shown else None
+
+    def set_profile(self, name: str) -> None:
+        self.spark.sql(f"ALTER TABLE {self.name(STAGED)} SET TBLPROPERTIES ('{_PROFILE}' = '{name}')")
+
+
 class LoadsFailed(RuntimeError):
     """Some loads failed a step; the others have passed it."""
 
@@ -225,14 +245,21 @@ class LoadsFailed(RuntimeError):
 
 
 class SalesLayers:
-    """The load steps over a set of tables."""
+    """The load steps over a set of tables.
 
-    def __init__(self, tables: Tables, profile: str | Profile = "documented",
+    Without a ``profile`` it is the one that STAGING was made with, or the
+    documented one.  Loads are staged with that one only; another takes a rebuild."""
+
+    def __init__(self, tables: Tables, profile: str | Profile | None = None,
                  on_overflow: str = "fail"):
         self.tables = tables
-        self.profile = resolve_profile(profile)
+        self._profile = resolve_profile(profile) if profile else None
         self.on_overflow = on_overflow
 
+    @property
+    def profile(self) -> Profile:
+        return self._profile or resolve_profile(self.tables.profile() or "documented")
+
     def append_raw(self, rows: DataFrame, load_id: str | None = None) -> str:
         """Adds a load to RAW.  The same ``load_id`` again replaces that load."""
         load_id = load_id or f"{datetime.now(timezone.utc):%Y%m%d}-{uuid.uuid4().hex}"
@@ -265,8 +292,13 @@ class SalesLayers:
 
     def stage_load(self, load_id: str) -> None:
         """Classifies one load of RAW into its partitions of STAGING."""
+        made_with = self.tables.profile()
+        if made_with and made_with != self.profile.name:
+            raise ValueError(f"STAGING is of profile {made_with!r}; another takes a rebuild")
         self.tables.replace_load(STAGED, load_id,
                                  self._staged(self.tables.read_load(RAW, load_id)))
+        if not made_with:
+            self.tables.set_profile(self.profile.name)
 
     def stage_pending(self) -> list[str]:
         """Stages the loads that are in RAW and not in STAGING.  One that fails, as on an
@@ -297,7 +329,9 @@ class SalesLayers:
 
     def rebuild_staging(self) -> None:
         """Replaces STAGING from all of RAW."""
+        profile = self.profile
         self.tables.replace(STAGED, self._staged(self.tables.read(RAW), LOAD))
+        self.tables.set_profile(profile.name)
 
     def rebuild_fact(self) -> None:
         """Replaces the fact table from the clean side of STAGING."""

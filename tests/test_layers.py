@@ -188,6 +188,19 @@ def test_a_fact_that_lacks_a_row_does_not_balance(spark, tables):
     assert (row.clean_rows, row.fact_rows, row.balanced) == (2, 1, False)
 
 
+def test_the_profile_is_remembered(spark, tables):
+    layers = SalesLayers(tables, profile="literal")
+    layers.append_raw(raw_rows(spark, [event(event_id=None)]), "a")
+    layers.stage_pending()
+    assert tables.profile() == "literal"
+    assert rebuild(SalesLayers(tables)) == (1, 1, 0, 1)
+    layers.append_raw(raw_rows(spark, [event(event_id=None)]), "b")
+    with pytest.raises(LoadsFailed, match="profile 'literal'"):
+        SalesLayers(tables, profile="documented").stage_pending()
+    assert rebuild(SalesLayers(tables, profile="documented")) == (2, 0, 2, 0)
+    assert rebuild(SalesLayers(tables)) == (2, 0, 2, 0)
+
+
 def test_load_log(spark, tables):
     layers = SalesLayers(tables)
     lines = [("a", event()), ("a", "{bad"), ("a", " "), ("b", "[]"), ("b", f"[{event()}, {event()}]"), (None, event())]
