@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salestrata.llm.hash_table import SortedHashTable
-from salestrata.llm.shared import cut, in_tasks
+from salestrata.llm.shared import cut, in_tasks, small_side
 from salestrata.llm.textkit import BLOCK_BYTES, Texts, mix, row_blocks, texts_of
 
 ORDER = 4
@@ -96,7 +96,7 @@ def _probabilities(level: DataFrame, lower: DataFrame | None, order: int) -> Dat
     """``(lang, gram, n, own, context, p, rest)`` of the n-grams of ``order`` bytes; ``own``
     is whether the probability is its own, ``rest`` what its context leaves to the next lower order."""
     own = "seen > 1" if order > 1 else "true"
-    discounted = (level.join(_discounts(level), "lang")
+    discounted = (level.join(small_side(_discounts(level)), "lang")
                   .withColumn("own", F.expr(own))
                   .withColumn("left", F.expr("if(own, n - case when n = 1 then d1 when n = 2 then d2 else d3 end, 0D)"))
                   .withColumn("context", F.expr("gram >> 8")))

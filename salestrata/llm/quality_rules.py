@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from salestrata.llm import kneser_ney
-from salestrata.llm.shared import cut, in_tasks
+from salestrata.llm.shared import in_tasks, small_side, stored
 from salestrata.llm.textkit import (
     NON_SPACE,
     Texts,
@@ -129,9 +129,9 @@ def judge(docs: DataFrame, carry: list[str]) -> DataFrame:
     schema = StructType([StructField("document", wanted.schema), StructField("measured", _MEASURED)])
     scored = in_tasks(wanted, _measuring(model), schema)
     kept_columns = F.struct(*[F.col("document")[name].alias(name) for name in carry]).alias("document")
-    scored = cut(scored.select(kept_columns, "measured", F.expr(
+    scored = stored(scored.select(kept_columns, "measured", F.expr(
         f"measured.n_words < {MIN_WORDS} or 100 * measured.n_repeat_words"
-        f" > {MAX_REPEAT_PERCENT} * measured.n_words").alias("base_failed")))
+        f" > {MAX_REPEAT_PERCENT} * measured.n_words").alias("base_failed")), "measured")
     quartiles = (scored.where("not base_failed and measured.perplexity is not null")
                  .groupBy(F.col("measured.language").alias("of_language"))
                  .agg(F.expr("percentile_approx(ln(measured.perplexity), array(0.25, 0.5, 0.75), 2000)").alias("q")))
@@ -139,7 +139,7 @@ def judge(docs: DataFrame, carry: list[str]) -> DataFrame:
     bands = quartiles.selectExpr("of_language",
                                  f"exp(q[1] - {BAND_WIDTH} * {spread}) as band_low",
                                  f"exp(q[1] + {BAND_WIDTH} * {spread}) as band_high")
-    return scored.join(bands, F.col("measured.language") == F.col("of_language"), "left").select(
+    return scored.join(small_side(bands), F.col("measured.language") == F.col("of_language"), "left").select(
         "document", "measured", "band_low", "band_high", "base_failed",
         F.expr("not base_failed and coalesce(measured.perplexity between band_low and band_high, true)").alias("kept"))
 

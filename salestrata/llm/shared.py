@@ -10,6 +10,7 @@ from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import salestrata
 from salestrata import files
@@ -35,9 +36,18 @@ def ship_package(spark: SparkSession) -> None:
     context._salestrata_shipped = True
 
 
+# What goes to a Python worker at a time; Spark's default is eight times as much.
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH = "8m"
+
+
 def in_tasks(frame: DataFrame, function: Callable, schema) -> DataFrame:
-    """``mapInArrow`` with this package at hand in the tasks."""
-    ship_package(frame.sparkSession)
+    """``mapInArrow`` with this package at hand in the tasks.  Sessions that do not say how
+    large an Arrow batch may be get ``BATCH``, as batches are held in Python beside Spark's own memory."""
+    spark = frame.sparkSession
+    ship_package(spark)
+    if spark.conf.get(_BATCH_BYTES, None) is None:
+        spark.conf.set(_BATCH_BYTES, BATCH)
     return frame.mapInArrow(function, schema)
 
 
@@ -56,5 +66,23 @@ def cut(frame: DataFrame) -> DataFrame:
     return frame.checkpoint()
 
 
+def stored(frame: DataFrame, label: str) -> DataFrame:
+    """The same for rows with texts: written as Parquet, which shrinks them."""
+    folder = fresh_folder(frame.sparkSession, label)
+    frame.write.option("compression", "zstd").parquet(folder)
+    return frame.sparkSession.read.schema(frame.schema).parquet(folder)
+
+
+# Rows of a few numbers that may be sent to all executors.
+SMALL = 10_000
+
+
+def small_side(frame: DataFrame) -> DataFrame:
+    """A side of a join, marked for broadcast if it has ``SMALL`` rows at most.  It is
+    counted first; a larger one is joined by its key."""
+    frame = cut(frame)
+    return F.broadcast(frame) if frame.count() <= SMALL else frame
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
