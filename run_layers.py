@@ -3,12 +3,13 @@
     run_layers.py load    --landing URI --tables URI --checkpoint URI
     run_layers.py rebuild --tables URI
     run_layers.py report  --tables URI --out URI
+    run_layers.py compact --tables URI --day YYYYMMDD
 
 ``load`` takes in the files not loaded before, prints what each held, splits them
 into clean rows and rejects and adds the clean ones to the fact table; ``rebuild``
 replaces STAGING and the fact table from RAW;
-``report`` writes every report as one folder of JSON Lines.  Without
-``--tables`` the layers are catalog tables.
+``report`` writes every report as one folder of JSON Lines; ``compact`` makes one
+load of a day's loads.  Without ``--tables`` the layers are catalog tables.
 """
 
 from __future__ import annotations
@@ -51,7 +52,7 @@ REPORTS = {
 
 def arguments(argv: list[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(description=__doc__.splitlines()[0])
-    parser.add_argument("step", choices=["load", "rebuild", "report"])
+    parser.add_argument("step", choices=["load", "rebuild", "report", "compact"])
     parser.add_argument("--tables", help="root folder of the tables; catalog tables without it")
     parser.add_argument("--landing", help="folder the JSON Lines files land in")
     parser.add_argument("--checkpoint", help="folder that remembers the files loaded")
@@ -59,9 +60,11 @@ def arguments(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--profile", choices=["documented", "literal"],
                         help="the one STAGING was made with, or documented, without it")
     parser.add_argument("--on-overflow", default="fail", choices=["fail", "reject"])
+    parser.add_argument("--day", help="the past day whose loads become one")
     parser.add_argument("--max-files-per-batch", type=int)
     args = parser.parse_args(argv)
-    needed = {"load": ["landing", "checkpoint"], "rebuild": [], "report": ["out"]}[args.step]
+    needed = {"load": ["landing", "checkpoint"], "rebuild": [], "report": ["out"],
+              "compact": ["tables", "day"]}[args.step]
     missing = [f"--{name}" for name in needed if not getattr(args, name)]
     if missing:
         parser.error(f"{args.step} needs {' and '.join(missing)}")
@@ -83,6 +86,8 @@ def main(argv: list[str] | None = None) -> None:
             layers.load_log().where(F.col("load_id").isin(loads)).orderBy("load_id", "source_filename").show(100, False)
         layers.stage_pending()
         layers.publish_pending()
+    elif args.step == "compact":
+        tables.compact_day(args.day)
     elif args.step == "rebuild":
         layers.rebuild_staging()
         layers.rebuild_fact()

@@ -44,6 +44,14 @@ def data_files(spark: SparkSession, folder: str) -> dict[str, frozenset[str]]:
     return {at: frozenset(names) for at, names in found.items()}
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    system, path = _opened(spark, source)
+    _, to = _opened(spark, target)
+    system.mkdirs(to.getParent())
+    if not system.rename(path, to):
+        raise OSError(f"cannot move {source} to {target}")
+
+
 def remove(spark: SparkSession, folder: str) -> None:
     system, path = _opened(spark, folder)
     system.delete(path, True)

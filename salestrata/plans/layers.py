@@ -44,6 +44,8 @@ RAW, STAGED, FACT, LOG = "raw_sales", "stg_sales", "fact_sales", "load_log"
 LOAD = ("load_day", "load_id")
 UNDATED = "undated"
 _PROFILE = "salestrata.profile"
+COMPACTED = "compacted"
+_COMPACTED_TABLES = (RAW, STAGED, FACT)
 
 # table: (layer, columns, partition columns)
 _TABLES = {
@@ -140,6 +142,47 @@ class FolderTables:
         self._replace(table, _of_load(rows, load_id), self._load_folder(table, load_id))
 
 
+    def compact_day(self, day: str) -> None:
+        """Makes one load of all loads of a past day, table by table.
+
+        The new files are written aside and noted as ready before anything is
+        removed; ``recover`` takes a compaction that was cut short to its end.  The load
+        log keeps its rows, by which a load that is run again later is known.  Readers
+        should wait: between the removal and the move a day is missing.
+        """
+        self.recover()
+        pending = {i for i in self.loads(RAW) - self.loads(STAGED) if load_day(i) == day}
+        if pending:
+            raise ValueError(f"loads of {day} are not staged yet: {sorted(pending)}")
+        merged = f"{day}-{COMPACTED}"
+        for table in _COMPACTED_TABLES:
+            _, columns, partitions = _TABLES[table]
+            rows = self.read(table).where(F.col("load_day") == day).select(*columns, *partitions[len(LOAD):])
+            if any(load_day(i) == day for i in self.loads(table)):
+                (rows.write.mode("overwrite").partitionBy(*partitions[len(LOAD):])
+                 .parquet(f"{self.root}/_compact/{table}/{day}"))
+        files.write_text(self.spark, f"{self.root}/_compact/{day}.ready", merged)
+        self.recover()
+
+    def recover(self) -> None:
+        """Puts compacted days that are whole in the place of their loads."""
+        for name, _ in files.children(self.spark, f"{self.root}/_compact"):
+            if not name.endswith(".ready"):
+                continue
+            day = name.removesuffix(".ready")
+            for table in _COMPACTED_TABLES:
+                written = f"{self.root}/_compact/{table}/{day}"
+                if files.exists(self.spark, written):
+                    files.remove(self.spark, f"{self._path(table)}/load_day={day}")
+                    files.move(self.spark, written, self._load_folder(table, f"{day}-{COMPACTED}"))
+            files.remove(self.spark, f"{self.root}/_compact/{name}")
+
+    def is_compacted(self, load_id: str) -> bool:
+        return (f"{load_day(load_id)}-{COMPACTED}" != load_id
+                and files.exists(self.spark, self._load_folder(RAW, f"{load_day(load_id)}-{COMPACTED}"))
+                and files.exists(self.spark, self._load_folder(LOG, load_id))
+                and not files.exists(self.spark, self._load_folder(RAW, load_id)))
+
     def profile(self) -> str | None:
         """The profile that STAGING was made with, as the tables remember it."""
         return files.read_text(self.spark, f"{self._path(STAGED)}/_profile")
@@ -273,6 +316,8 @@ class SalesLayers:
         """Adds a load of ``(value, source_filename)`` lines to RAW, and to the load
         log what each file held: its lines, records, blank and bad lines.  The
         lines are counted in the pass that writes RAW."""
+        if load_id and isinstance(self.tables, FolderTables) and self.tables.is_compacted(load_id):
+            return load_id  # a batch run again after its load has become part of its day
         seen = Observation()
         load_id = self.append_raw(records_from_lines(lines, ingestion_ts, seen, by_file=True), load_id)
         lines_of_file = self.tables.spark.createDataFrame(

@@ -9,6 +9,7 @@ from conftest import TESTDATA
 from helpers import event, raw_rows
 from pyspark.sql import functions as F
 
+from salestrata import files
 from salestrata.catalog.results import raw_sales
 from salestrata.operators import classify_sales, clean_rows, reject_rows, reports
 from salestrata.plans import CatalogTables, FolderTables, SalesLayers
@@ -292,3 +293,43 @@ def test_loads_and_rebuilds_survive_dynamic_overwrite_mode(spark, tables):
         assert rebuild(layers) == (1, 0, 1, 0)
     finally:
         spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+
+
+def test_a_day_becomes_one_load(spark, monkeypatch):
+    tables = FolderTables(spark, fresh_folder(spark, "compact"))
+    tables.create()
+    layers = SalesLayers(tables)
+
+    def lines(*texts):
+        return spark.createDataFrame([(t, "f") for t in texts], "value string, source_filename string")
+    for load_id, text in (("20260101-a", event(event_id="1")), ("20260101-b", event(quantity=0)), ("20260102-c", event(event_id="3"))):
+        layers.append_lines(lines(text), load_id)
+    with pytest.raises(ValueError, match="20260101-a"):
+        tables.compact_day("20260101")
+    layers.stage_pending()
+    layers.publish_pending()
+    before = counts(layers)
+    # cut short when the first table is in place: the rest is put there by the next call
+    moved = files.move
+
+    def move_once(*args):
+        moved(*args)
+        raise OSError("lost")
+    monkeypatch.setattr(files, "move", move_once)
+    with pytest.raises(OSError, match="lost"):
+        tables.compact_day("20260101")
+    monkeypatch.setattr(files, "move", moved)
+    tables.recover()
+    assert counts(layers) == before == (3, 2, 1, 2)
+    for table in ("raw_sales", "stg_sales", "fact_sales"):
+        assert tables.loads(table) == {"20260101-compacted", "20260102-c"}
+    assert layers.stage_pending() == [] == layers.publish_pending()
+    # a batch that is run again after that adds nothing, a late load does
+    layers.append_lines(lines(event(event_id="1")), "20260101-a")
+    layers.append_lines(lines(event(event_id="4")), "20260101-late")
+    layers.stage_pending()
+    tables.compact_day("20260101")
+    assert tables.loads("raw_sales") == {"20260101-compacted", "20260102-c"}
+    layers.rebuild_fact()
+    assert counts(layers) == (4, 3, 1, 3)
+    assert sorted(r.event_id for r in layers.fact().collect()) == ["1", "3", "4"]
