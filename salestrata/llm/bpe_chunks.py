@@ -35,6 +35,7 @@ _LATIN = 0xC3  # first byte of U+00C0 to U+00FF, none of which is white space
 BLOCK_BYTES = 8 << 20
 _TOGETHER = 256  # chunks in one text for the library
 _TEXTS = 32  # texts in one call
+MOST = 600_000
 
 
 @lru_cache(1)
@@ -53,7 +54,9 @@ class ChunkTokenizer:
         self.bytes_of = np.zeros(self.size, dtype=np.int64)
         for piece, number in self.tokenizer.get_vocab().items():
             self.bytes_of[number] = len(piece)
-        self.table = ChunkTable(self._encode_distinct)
+        # Sixteen bits are enough for most vocabularies.
+        self.dtype = np.dtype("<u2") if self.size <= 1 << 16 else np.dtype("<u4")
+        self.table = ChunkTable(self._encode_distinct, MOST, self.dtype)
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -68,7 +71,7 @@ class ChunkTokenizer:
         for low in range(0, len(groups), _TEXTS):
             some = groups[low:low + _TEXTS]
             for group, found in zip(some, self._ids([b"".join([chunks[i] for i in g]).decode() for g in some])):
-                ids = np.array(found, dtype=np.uint32)
+                ids = np.array(found, dtype=self.dtype)
                 ends = np.cumsum(self.bytes_of[ids])
                 wanted = np.cumsum([len(chunks[i]) for i in group])
                 at = np.searchsorted(ends, wanted) + 1
@@ -81,9 +84,9 @@ class ChunkTokenizer:
         alone = np.flatnonzero(is_alone)
         each = self._ids([chunks[i].decode() for i in alone.tolist()])
         lengths[alone] = [len(x) for x in each]
-        parts.append((alone, np.array([i for x in each for i in x], dtype=np.uint32)))
+        parts.append((alone, np.array([i for x in each for i in x], dtype=self.dtype)))
         offsets = np.concatenate(([0], np.cumsum(lengths)))
-        out = np.zeros(int(offsets[-1]), dtype=np.uint32)
+        out = np.zeros(int(offsets[-1]), dtype=self.dtype)
         for members, ids in parts:
             n = lengths[members]
             out[np.repeat(offsets[members] - (np.cumsum(n) - n), n) + np.arange(len(ids))] = ids

@@ -15,10 +15,10 @@ class ChunkTable:
     table holds ``most`` chunks, those looked up least are dropped; they would be
     encoded again, with the same ids.  That bounds its memory and changes no result."""
 
-    def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], most: int = MOST):
+    def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], most: int = MOST, dtype=np.uint32):
         self.encode, self.most = encode, most
         self.known: dict[bytes, int] = {}
-        self.ids = np.zeros(1 << 16, dtype=np.uint32)
+        self.ids = np.zeros(1 << 16, dtype=dtype)
         self.offsets = np.zeros(1 << 14, dtype=np.int64)
         self.uses = np.zeros(1 << 14, dtype=np.int32)
 

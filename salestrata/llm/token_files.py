@@ -55,8 +55,6 @@ def _tokenizing(path: str):
     """Plain chunks of a part's texts, in their order."""
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = chunk_tokenizer(path)
-        # Sixteen bits are enough for most vocabularies.
-        width = np.dtype("<u2") if tokenizer.size <= 1 << 16 else np.dtype("<u4")
         part, seq, before = TaskContext.get().partitionId(), 0, 0
         for block in row_blocks(parts, limit=BLOCK_BYTES):
             ids, counts = _with_end(*tokenizer.encode(block.column("text")))
@@ -71,7 +69,7 @@ def _tokenizing(path: str):
                     "ids_before": pa.array([before], pa.int64()),
                     "doc_ids": pa.array([block.column("doc_id").slice(low, high - low).to_pylist()], pa.list_(pa.int64())),
                     "n_ids": pa.array([counts[low:high]], pa.list_(pa.int64())),
-                    "ids": pa.array([ids[base:base + n].astype(width).tobytes()], pa.binary()),
+                    "ids": pa.array([ids[base:base + n].tobytes()], pa.binary()),
                 })
                 seq, before, low = seq + 1, before + n, high
     return batches
