@@ -4,7 +4,7 @@ No piece has a space marker after another character.  So a text falls apart, in
 of spaces, into marked words that are segmented independently.  Each block of
 documents is cut into such chunks, every distinct chunk is encoded once with the
 library, and a document's ids are those of its chunks, joined by their position.
-The table of distinct chunks is a worker's own, of bounded size, so nothing is shuffled.
+The table of distinct chunks is a task's own, of bounded size, so nothing is shuffled.
 
 The result is that of the library's ``encode`` of the whole text with an end id,
 and of its ``decode`` of all ids.  The model must not change, trim or join what it
@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -32,6 +31,9 @@ from salestrata.llm.textkit import Texts, row_blocks, texts_of
 
 MARK = "▁"
 _MARK_BYTES = MARK.encode()
+# Ids pass through the library as lists of Python numbers, some fifty bytes for a byte of text.
+BLOCK_BYTES = 1 << 20
+CHUNKS = 200_000
 
 
 def load(model: str) -> sentencepiece.SentencePieceProcessor:
@@ -69,7 +71,7 @@ def chunk_table(processor: sentencepiece.SentencePieceProcessor) -> ChunkTable:
         found = [ids or [mark] for ids in processor.encode([c.decode() for c in chunks], num_threads=1)]
         lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
         return np.fromiter(chain.from_iterable(found), dtype=np.uint32, count=int(lengths.sum())), lengths
-    return ChunkTable(encode)
+    return ChunkTable(encode, CHUNKS)
 
 
 def encode_block(table: ChunkTable, end: int, column) -> pa.ListArray:
@@ -95,17 +97,11 @@ def encode_block(table: ChunkTable, end: int, column) -> pa.ListArray:
     return pa.ListArray.from_arrays((total + np.arange(len(total))).astype(np.int32), with_end)
 
 
-@lru_cache(1)
-def _of_worker(model: str) -> tuple[sentencepiece.SentencePieceProcessor, ChunkTable]:
-    """One of each for all tasks of a worker, so that its table serves all of them."""
-    processor = load(model)
-    return processor, chunk_table(processor)
-
-
 def _encoded(model: str, decode: bool):
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        processor, table = _of_worker(model)
-        for block in row_blocks(parts):
+        processor = load(model)
+        table = chunk_table(processor)
+        for block in row_blocks(parts, limit=BLOCK_BYTES):
             ids = encode_block(table, processor.eos_id(), block.column("text"))
             columns = {"doc_id": block.column("doc_id"), "ids": ids}
             if decode:

@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # A block of rows holds at most so many text bytes, or a single row.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 
 _MIX_1 = np.uint64(0x9E3779B97F4A7C15)
 _MIX_2 = np.uint64(0xBF58476D1CE4E5B9)
@@ -97,6 +97,7 @@ def row_blocks(batches: Iterable[pa.RecordBatch], text: str = "text",
             end = max(start + 1, int(np.searchsorted(total, before + limit, side="right")))
             yield batch.slice(start, end - start)
             start = end
+    pa.default_memory_pool().release_unused()  # the worker lives on after the task
 
 
 def words_of(texts: Texts, word_bytes: np.ndarray) -> Words:
