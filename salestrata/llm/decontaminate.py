@@ -39,7 +39,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from salestrata.llm.shared import in_tasks
+from salestrata.llm.shared import columns, in_tasks
 from salestrata.llm.textkit import (
     ALNUM,
     Texts,
@@ -277,11 +277,11 @@ def hits(docs: DataFrame, benchmark: DataFrame, carry: list[str], block: int = B
     spark = docs.sparkSession
     windows = benchmark_windows(benchmark)
     blocks = -(-windows.count() // block)
-    fields = docs.select(*carry).schema
+    fields = docs.select(*columns(carry)).schema
     schema = StructType([StructField("document", fields), StructField("text", StringType()),
                          StructField("n_words", LongType()), StructField("spans", _SPANS),
                          StructField("items", ArrayType(StringType()))])
-    found = docs.select(F.struct(*[F.col(f"`{name}`") for name in carry]).alias("document"), "text",
+    found = docs.select(F.struct(*columns(carry)).alias("document"), "text",
                         F.lit(0).cast("long").alias("n_words"),
                         F.array().cast(_SPANS).alias("spans"), F.array().cast("array<string>").alias("items"))
     if not blocks:

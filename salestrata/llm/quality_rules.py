@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from salestrata.llm import kneser_ney
-from salestrata.llm.shared import in_tasks, small_side, stored
+from salestrata.llm.shared import columns, in_tasks, small_side, stored
 from salestrata.llm.textkit import (
     NON_SPACE,
     Texts,
@@ -106,16 +106,17 @@ def measure(column) -> dict[str, np.ndarray]:
 
 def _measuring(model):
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in row_blocks(parts):
+        documents = (pa.RecordBatch.from_struct_array(part.column("document")) for part in parts)
+        for block in row_blocks(documents):
             column = block.column("text")
             counts = measure(column)
             names = block.column("lang").cast(pa.string()).fill_null(kneser_ney.NO_LANGUAGE)
             coded = names.dictionary_encode()
             seeds = kneser_ney.language_seeds(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
             score = np.exp(-kneser_ney.mean_log_probability(model.value, texts_of(column), seeds))
-            columns = [pa.array(counts[name].astype(np.int64)) for name in MEASURES]
-            columns += [pa.array(score, from_pandas=True), names]
-            measured = pa.StructArray.from_arrays(columns, names=_MEASURED.names)
+            fields = [pa.array(counts[name].astype(np.int64)) for name in MEASURES]
+            fields += [pa.array(score, from_pandas=True), names]
+            measured = pa.StructArray.from_arrays(fields, names=_MEASURED.names)
             yield pa.RecordBatch.from_arrays([block.to_struct_array(), measured], names=["document", "measured"])
     return batches
 
@@ -125,8 +126,8 @@ def judge(docs: DataFrame, carry: list[str]) -> DataFrame:
     band_high, base_failed, kept)`` for every row."""
     spark = docs.sparkSession
     model = spark.sparkContext.broadcast(kneser_ney.fit(docs.select("lang", "text")))
-    wanted = docs.select(*dict.fromkeys([*carry, "lang", "text"]))
-    schema = StructType([StructField("document", wanted.schema), StructField("measured", _MEASURED)])
+    wanted = docs.select(F.struct(*columns(dict.fromkeys([*carry, "lang", "text"]))).alias("document"))
+    schema = StructType([*wanted.schema.fields, StructField("measured", _MEASURED)])
     scored = in_tasks(wanted, _measuring(model), schema)
     kept_columns = F.struct(*[F.col("document")[name].alias(name) for name in carry]).alias("document")
     scored = stored(scored.select(kept_columns, "measured", F.expr(

@@ -6,10 +6,10 @@ import atexit
 import os
 import shutil
 import tempfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import salestrata
@@ -84,5 +84,10 @@ def small_side(frame: DataFrame) -> DataFrame:
     return F.broadcast(frame) if frame.count() <= SMALL else frame
 
 
+def columns(names: Iterable[str]) -> list[Column]:
+    """The columns of these names as they stand, dots and all."""
+    return [F.col(f"`{name}`") for name in names]
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from salestrata.llm.shared import cut, in_tasks
+from salestrata.llm.shared import columns, cut, in_tasks
 from salestrata.llm.textkit import NON_SPACE, row_blocks, texts_of, words_of
 
 SHINGLE = 4
@@ -267,7 +267,7 @@ def keep_one(docs: DataFrame, distance: int = MAX_DISTANCE) -> DataFrame:
     found = cut(near_duplicates(docs, distance))
     kept = (found.where("doc_id = component_id").groupBy(F.col("doc_id").alias("kept_id"))
             .agg(F.count("*").alias("rows")))
-    whole = docs.select(F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"))
+    whole = docs.select(F.struct(*columns(docs.columns)).alias("row"))
     same = F.col("row.doc_id").cast("long") == F.col("kept_id")
     least = F.min("row").alias("row")
     repeated = kept.where("rows > 1")

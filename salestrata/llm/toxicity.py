@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from salestrata.llm.shared import cut, in_tasks
+from salestrata.llm.shared import columns, cut, in_tasks
 from salestrata.llm.textkit import (
     ALNUM,
     mix,
@@ -230,9 +230,9 @@ def _scoring(broadcast):
 
 def judge(docs: DataFrame, model: Ordinal, carry: list[str]) -> DataFrame:
     """``(document struct of the carried columns, severity, p_toxic)`` per row."""
-    schema = StructType([StructField("document", docs.select(*carry).schema),
+    schema = StructType([StructField("document", docs.select(*columns(carry)).schema),
                          StructField("severity", DoubleType()), StructField("p_toxic", DoubleType())])
-    rows = docs.select(F.struct(*[F.col(f"`{name}`") for name in carry]).alias("document"), "text")
+    rows = docs.select(F.struct(*columns(carry)).alias("document"), "text")
     return in_tasks(rows, _scoring(docs.sparkSession.sparkContext.broadcast(model)), schema)
 
 

@@ -50,7 +50,7 @@ def test_edges_of_every_stage(spark, stage):
     ids = [None, *range(1, len(texts) - 2), 3, 3]  # a null, and one id three times
     docs = with_clashes(frame(spark, texts, ids=ids), [
         "document", "measured", "kept", "row", "component", "fingerprint", "spans", "items", "n_words", "ids",
-        "n_tokens", "p_toxic", "severity", "kept_id", "rows", "language"])
+        "n_tokens", "p_toxic", "severity", "kept_id", "rows", "language", "with.dot", "with space"])
     function = corpus_pipeline.STAGES[stage][1]
     found = function(spark, docs, SF)
     if stage < 4:
