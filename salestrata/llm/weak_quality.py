@@ -20,6 +20,7 @@ judged each, other columns are not looked at, and an empty table gives an empty
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 
 from salestrata.llm import ngram_vectors, quality_rules
 from salestrata.llm.ngram_vectors import BUCKETS
-from salestrata.llm.shared import cut, in_tasks
+from salestrata.llm.shared import in_tasks
 from salestrata.llm.textkit import (
     NON_SPACE,
     mix,
@@ -149,15 +150,17 @@ def fit_linear(rows: np.ndarray, target: np.ndarray, weight: np.ndarray | float
                steps: int = STEPS, penalty: float = PENALTY) -> np.ndarray:
     """Weights, a constant last, of a logistic fit to soft targets by accelerated
     steps; ``weight`` says how many rows each stands for."""
-    weight = np.broadcast_to(np.asarray(weight, dtype=rows.dtype), len(rows)) / np.mean(weight)
+    # all in the rows' own type: a wider number would copy the matrix at every step
+    weight = (np.broadcast_to(weight, len(rows)) / np.mean(weight)).astype(rows.dtype)
+    target = np.asarray(target, dtype=rows.dtype)
     rows = np.hstack([rows, np.ones((len(rows), 1), dtype=rows.dtype)])
     step = 1 / (0.25 * float((weight * (rows * rows).sum(axis=1)).mean()) + penalty)
     weights = ahead = np.zeros(rows.shape[1], dtype=rows.dtype)
     pace = 1.0
     for _ in range(steps):
         error = 1 / (1 + np.exp(-(rows @ ahead))) - target
-        new = ahead - step * (rows.T @ (weight * error.astype(rows.dtype)) / len(rows) + penalty * ahead)
-        next_pace = (1 + np.sqrt(1 + 4 * pace * pace)) / 2
+        new = ahead - step * (rows.T @ (weight * error) / len(rows) + penalty * ahead)
+        next_pace = (1 + math.sqrt(1 + 4 * pace * pace)) / 2
         ahead = new + (pace - 1) / next_pace * (new - weights)
         weights, pace = new, next_pace
     return weights
@@ -181,12 +184,16 @@ def _pattern_votes(patterns: np.ndarray) -> np.ndarray:
     return patterns[:, None] // (3 ** np.arange(len(LABELLERS)))[None, :] % 3
 
 
-def label_model(docs: DataFrame) -> LabelModel | None:
+def label_model(docs: DataFrame) -> tuple[LabelModel, dict[str, float]] | None:
+    """The model, and how many documents it takes for bad and for good."""
     counted = (in_tasks(docs.select("text"), _patterns, "pattern long, n long")
                .groupBy("pattern").agg(F.sum("n").alias("n")).orderBy("pattern").toArrow())  # 3 ** 9 rows at most
     if not counted.num_rows:
         return None
-    return estimate(_pattern_votes(counted.column("pattern").to_numpy()), counted.column("n").to_numpy().astype(float))
+    said, n = _pattern_votes(counted.column("pattern").to_numpy()), counted.column("n").to_numpy().astype(float)
+    model = estimate(said, n)
+    is_bad = model.posterior(said) < 0.5
+    return model, {"bad": float(n[is_bad].sum()), "good": float(n[~is_bad].sum())}
 
 
 def _training(model: LabelModel):
@@ -200,20 +207,10 @@ def _training(model: LabelModel):
     return batches
 
 
-def _labelling(model: LabelModel):
-    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in row_blocks(parts):
-            yield pa.RecordBatch.from_arrays([block.column("pick"), pa.array(model.posterior(votes(block.column("text"))))],
-                                             names=["pick", "good"])
-    return batches
-
-
-def scorer(docs: DataFrame, model: LabelModel, sample: int = SAMPLE) -> np.ndarray:
+def scorer(docs: DataFrame, model: LabelModel, sizes: dict[str, float], sample: int = SAMPLE) -> np.ndarray:
     """The weights of the linear scorer, fitted to the posteriors of a sample."""
     pick = F.expr("pmod(xxhash64(text), 1000000)")
-    labels = cut(in_tasks(docs.select(pick.alias("pick"), "text"), _labelling(model), "pick long, good double"))
-    sizes = labels.agg(F.sum(F.expr("int(good < 0.5)")).alias("bad"), F.sum(F.expr("int(good >= 0.5)")).alias("good")).first()
-    share = {k: min(1.0, sample / 2 / n) if (n := sizes[k] or 0) else 0.0 for k in ("bad", "good")}
+    share = {k: min(1.0, sample / 2 / n) if n else 0.0 for k, n in sizes.items()}
     # A hash of the text picks the larger share; of those, the class with the smaller is thinned to its own.
     most = max(share.values())
     taken = in_tasks(docs.select(pick.alias("pick"), "text").where(F.col("pick") < most * 1_000_000),
@@ -254,8 +251,9 @@ def _scoring(broadcast):
 def weak_quality(docs: DataFrame) -> DataFrame:
     """One row per document: its votes in the order of ``LABELLERS``, the posterior of
     their pattern, the scorer's probability that it is good, and the verdict."""
-    model = label_model(docs)
-    weights = scorer(docs, model) if model else None
+    found = label_model(docs)
+    model = found[0] if found else None
+    weights = scorer(docs, *found) if found else None
     shared = docs.sparkSession.sparkContext.broadcast((model, weights))
     return in_tasks(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), _scoring(shared),
                     "doc_id long, votes string, posterior double, score double, good boolean")
