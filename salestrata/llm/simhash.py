@@ -252,7 +252,8 @@ def near_duplicates(docs: DataFrame, distance: int = MAX_DISTANCE) -> DataFrame:
     found = components(links(distinct.select("fingerprint"), distance))
     rooted = (distinct.join(found, F.col("fingerprint") == F.col("node"), "left")
               .select("fingerprint", "first_id", F.coalesce("root", "fingerprint").alias("root")))
-    named = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    # Kept, so that the join below deals its own sides out and a large component can be split.
+    named = cut(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")))
     of_print = rooted.join(named, "root").select(F.col("fingerprint").alias("of_print"),
                                                  "component_id", F.col("root").alias("component"))
     return (prints.join(of_print, F.col("fingerprint") == F.col("of_print"))
