@@ -6,28 +6,28 @@ import numpy as np
 
 
 class SortedHashTable:
-    """Sorted ``uint32`` keys below ``2 ** key_bits``, each with a row number.
+    """Sorted ``uint64`` keys, each with a row number.
 
     The directory holds where each run of equal leading bits begins, so that a
     lookup starts next to its key.  Keys are hashes, evenly spread, and there is
     about one to a bucket.
     """
 
-    def __init__(self, keys: np.ndarray, key_bits: int):
+    def __init__(self, keys: np.ndarray):
         if len(keys) > 1 and not (keys[1:] > keys[:-1]).all():
             raise ValueError("keys must rise")
-        self.keys = keys.astype(np.uint32)
-        bits = min(key_bits, max(1, int(len(keys)).bit_length()))
-        self.shift = np.uint32(key_bits - bits)
-        edges = np.arange((1 << bits) + 1, dtype=np.uint64) << np.uint64(self.shift)
-        self.begins = np.searchsorted(self.keys, edges).astype(np.int32)
+        self.keys = keys.astype(np.uint64)
+        bits = max(1, int(len(keys)).bit_length())
+        self.shift = np.uint64(64 - bits)
+        edges = np.arange(1 << bits, dtype=np.uint64) << self.shift
+        self.begins = np.append(np.searchsorted(self.keys, edges), len(keys)).astype(np.int32)
 
     def find(self, wanted: np.ndarray) -> np.ndarray:
         """The row of each wanted key, -1 where it is not in the table."""
-        wanted = wanted.astype(np.uint32, copy=False)
+        wanted = wanted.astype(np.uint64, copy=False)
         if not len(self.keys):
             return np.full(len(wanted), -1, dtype=np.int32)
-        bucket = wanted >> self.shift
+        bucket = (wanted >> self.shift).astype(np.int64)
         at = self.begins[bucket]
         last = len(self.keys) - 1
         found = np.where(self.keys[np.minimum(at, last)] == wanted, at, np.int32(-1))

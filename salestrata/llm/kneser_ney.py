@@ -3,10 +3,13 @@
 N-grams are ``ORDER`` consecutive bytes of one text, in one model per language.
 Their exact counts over all rows, the continuation counts of the lower orders,
 the discounts and the interpolated probabilities are Spark aggregations.  The
-finished model is a few sorted hash arrays: a key is the first ``slot_bits`` bits of a
-hash of language and n-gram, so no order has more than ``2 ** slot_bits`` entries
-however large the corpus is, and the model may be broadcast.  Where two n-grams
-meet in one slot, the more frequent one's values stand for both.
+finished tables are keyed by a 64-bit hash of language and n-gram, one to one within a
+language, and grow with the corpus: no n-gram stands for another.
+
+``fit`` gives all orders as arrays, for any text.  ``scores`` is for the texts that were
+counted: each of their n-grams has its probability in the table of the highest order,
+which is broadcast as far as ``HELD`` entries go, the most frequent first.  The
+n-grams beyond are joined to the texts' distinct ones in Spark (``open_sums``).
 
 An n-gram of two bytes or more that the whole corpus has once is counted, but
 its probability is left to the lower order: it is no evidence about the one text
@@ -16,7 +19,7 @@ that holds it, which would otherwise be scored by itself.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,7 +32,8 @@ from salestrata.llm.shared import cut, in_tasks, small_side
 from salestrata.llm.textkit import BLOCK_BYTES, Texts, mix, row_blocks, texts_of
 
 ORDER = 4
-SLOT_BITS = 22
+# Entries of a table that a worker holds, 16 bytes each and a directory.
+HELD = 1 << 22
 BYTES = 256
 NO_LANGUAGE = "und"
 
@@ -58,10 +62,17 @@ def _language_codes(column) -> tuple[np.ndarray, list[str]]:
     return coded.indices.to_numpy(zero_copy_only=False), coded.dictionary.to_pylist()
 
 
-def _count_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _counting(order: int, view: Callable[[Texts], Texts] | None):
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _count_blocks(parts, order, view or (lambda texts: texts))
+    return batches
+
+
+def _count_blocks(batches: Iterator[pa.RecordBatch], order: int,
+                  view: Callable[[Texts], Texts]) -> Iterator[pa.RecordBatch]:
     for block in row_blocks(batches, limit=BLOCK_BYTES):
         codes, names = _language_codes(block.column("lang"))
-        packed, counts = grams(texts_of(block.column("text")), ORDER)
+        packed, counts = grams(view(texts_of(block.column("text"))), order)
         keyed = np.sort(packed.astype(np.uint64)
                         | np.repeat(codes.astype(np.uint64) << np.uint64(32), counts))
         first = np.flatnonzero(np.concatenate(([True], keyed[1:] != keyed[:-1]))) if len(keyed) else np.zeros(0, int)
@@ -73,10 +84,10 @@ def _count_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         ], names=["lang", "gram", "n"])
 
 
-def count_grams(texts: DataFrame) -> DataFrame:
+def count_grams(texts: DataFrame, order: int = ORDER, view: Callable[[Texts], Texts] | None = None) -> DataFrame:
     """``(lang, gram, n)``: exact counts over all rows of ``(lang, text)``.  Each
     block of rows is counted in its task first; only its sums are shuffled."""
-    return (in_tasks(texts.select("lang", "text"), _count_blocks, "lang string, gram long, n long")
+    return (in_tasks(texts.select("lang", "text"), _counting(order, view), "lang string, gram long, n long")
             .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
 
 
@@ -119,7 +130,6 @@ class Model:
     """Per order from 1: the table of n-grams with their log probabilities; per
     context length from 0: the table of contexts with the log of what they leave."""
 
-    slot_bits: int
     grams: list[tuple[SortedHashTable, np.ndarray]]
     contexts: list[tuple[SortedHashTable, np.ndarray]]
 
@@ -129,55 +139,111 @@ def language_seeds(names: list[str]) -> np.ndarray:
                     dtype=np.uint64)
 
 
-def slots(packed: np.ndarray, length: int, seeds: np.ndarray, slot_bits: int) -> np.ndarray:
-    """The slots of n-grams of ``length`` bytes; ``seeds`` is their languages' seed."""
-    mixed = mix(packed.astype(np.uint64) ^ seeds ^ np.uint64(length << 61))
-    return (mixed >> np.uint64(64 - slot_bits)).astype(np.uint32)
+def hash_keys(packed: np.ndarray, length: int, seeds: np.ndarray) -> np.ndarray:
+    """The 64-bit keys of n-grams of ``length`` bytes; ``seeds`` is their languages' seed."""
+    return mix(packed.astype(np.uint64) ^ seeds ^ np.uint64(length << 61))
 
 
-def _slot_batches(length: int, slot_bits: int):
+def _keyed(length: int):
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             codes, names = _language_codes(part.column("lang"))
             seeds = language_seeds(names)[codes]
-            slot = slots(part.column("key").to_numpy(zero_copy_only=False), length, seeds, slot_bits)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(slot.astype(np.int32)), part.column("n"), part.column("value")],
-                names=["slot", "n", "value"])
+            keys = hash_keys(part.column("key").to_numpy(zero_copy_only=False), length, seeds)
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), part.column("value").cast(pa.float32())],
+                                             names=["key", "value"])
     return batches
 
 
-def _table(entries: DataFrame, length: int, slot_bits: int) -> tuple[SortedHashTable, np.ndarray]:
-    """Entries ``(lang, key, n, value)`` as sorted arrays: at most ``2 ** slot_bits`` of them."""
-    slotted = (in_tasks(entries, _slot_batches(length, slot_bits), "slot int, n long, value double")
-               .groupBy("slot")
-               .agg(F.max(F.struct("n", "value")).alias("best"))
-               .select("slot", F.col("best.value").cast("float").alias("value")))
-    table = slotted.toArrow()
-    slot = table.column("slot").to_numpy()
-    order = np.argsort(slot)
-    return (SortedHashTable(slot[order], slot_bits), table.column("value").to_numpy()[order])
+def _table(entries: DataFrame, length: int) -> tuple[SortedHashTable, np.ndarray]:
+    """Entries ``(lang, key, value)`` as sorted arrays."""
+    table = in_tasks(entries.select("lang", "key", "value"), _keyed(length), "key long, value float").toArrow()
+    keys, order = np.unique(table.column("key").to_numpy().view(np.uint64), return_index=True)
+    return SortedHashTable(keys), table.column("value").to_numpy()[order]
 
 
-def fit(texts: DataFrame, slot_bits: int = SLOT_BITS) -> Model:
-    """The model of all rows of ``(lang, text)``."""
-    levels: list[DataFrame] = [cut(count_grams(texts).withColumn("seen", F.col("n")))]
-    for order in range(ORDER - 1, 0, -1):
-        suffix = F.col("gram").bitwiseAND(F.lit((1 << (8 * order)) - 1))
+def _levels(counted: DataFrame, order: int) -> Iterator[tuple[int, DataFrame]]:
+    """The probabilities of each order, from the counts of the highest."""
+    levels: list[DataFrame] = [cut(counted.withColumn("seen", F.col("n")))]
+    for lower_order in range(order - 1, 0, -1):
+        suffix = F.col("gram").bitwiseAND(F.lit((1 << (8 * lower_order)) - 1))
         levels.insert(0, cut(levels[0].groupBy("lang", suffix.alias("gram"))
                              .agg(F.count("*").alias("n"), F.sum("seen").alias("seen"))))
-    model = Model(slot_bits, [], [])
     lower = None
-    for order, level in enumerate(levels, start=1):
-        probabilities = cut(_probabilities(level, lower, order))
+    for at, level in enumerate(levels, start=1):
+        lower = cut(_probabilities(level, lower, at))
+        yield at, lower
+
+
+def fit(texts: DataFrame) -> Model:
+    """The model of all rows of ``(lang, text)``."""
+    model = Model([], [])
+    for order, probabilities in _levels(count_grams(texts), ORDER):
         model.grams.append(_table(probabilities.where("own").select(
-            "lang", F.col("gram").alias("key"), "n", F.log("p").alias("value")), order, slot_bits))
+            "lang", F.col("gram").alias("key"), F.log("p").alias("value")), order))
         model.contexts.append(_table(probabilities.groupBy("lang", F.col("context").alias("key")).agg(
-            F.sum("n").alias("n"), F.log(F.greatest(F.max("rest"), F.lit(1e-12))).alias("value")), order - 1, slot_bits))
-        lower = probabilities
+            F.log(F.greatest(F.max("rest"), F.lit(1e-12))).alias("value")), order - 1))
     return model
 
 
+@dataclass
+class Scores:
+    """The log probabilities of all n-grams of the counted texts.  ``held`` is for the
+    workers; the entries beyond it are ``(lang, gram, value)`` in ``beyond``, if there are any."""
+
+    order: int
+    held: tuple[SortedHashTable, np.ndarray]
+    beyond: DataFrame | None
+
+
+def scores(texts: DataFrame, order: int = ORDER, view: Callable[[Texts], Texts] | None = None,
+           held: int = HELD) -> Scores:
+    """The scores of all rows of ``(lang, text)``, seen through ``view`` if there is one."""
+    for _, last in _levels(count_grams(texts, order, view), order):
+        pass
+    entries = last.select("lang", "gram", "n", F.log("p").alias("value"))
+    # whole doublings of the count, at most 64 rows: the least count of which all n-grams fit
+    sizes = {r["doublings"]: r["size"] for r in entries.groupBy(F.expr("int(floor(log2(n)))").alias("doublings"))
+             .agg(F.count("*").alias("size")).collect()}
+    least, room = 64, held
+    while least and sizes.get(least - 1, 0) <= room:
+        least -= 1
+        room -= sizes.get(least, 0)
+    often = F.expr("int(floor(log2(n)))") >= least
+    table = _table(entries.where(often).withColumnRenamed("gram", "key"), order)
+    return Scores(order, table, entries.where(~often).select("lang", "gram", "value") if least else None)
+
+
+def held_sums(order: int, held: tuple[SortedHashTable, np.ndarray], texts: Texts,
+              seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray, pa.ListArray]:
+    """Per row: the sum over its n-grams that are held, the number of all its n-grams,
+    and the others, each once: ``(gram, times)``."""
+    packed, counts = grams(texts, order)
+    table, values = held
+    row = table.find(hash_keys(packed, order, np.repeat(seeds, counts)))
+    missing = np.flatnonzero(row < 0)
+    each = values[np.maximum(row, 0)] if len(values) else np.zeros(len(packed), dtype=np.float32)
+    each[missing] = 0
+    total = np.concatenate(([0.0], np.cumsum(each, dtype=np.float64)))
+    last = np.cumsum(counts)
+    owner = np.repeat(np.arange(len(counts), dtype=np.uint64), counts)[missing]
+    open_, times = np.unique(owner << np.uint64(32) | packed[missing].astype(np.uint64), return_counts=True)
+    offsets = np.searchsorted(open_ >> np.uint64(32), np.arange(len(counts) + 1, dtype=np.uint64)).astype(np.int32)
+    pairs = pa.StructArray.from_arrays([pa.array((open_ & np.uint64(0xFFFFFFFF)).astype(np.int64)),
+                                        pa.array(times.astype(np.int64))], names=["gram", "times"])
+    return total[last] - total[last - counts], counts, pa.ListArray.from_arrays(offsets, pairs)
+
+
+OPEN = "array<struct<gram: bigint, times: bigint>>"
+
+
+def open_sums(rows: DataFrame, model: Scores) -> DataFrame:
+    """``(row, found)``: the sums over the n-grams that are not held, of rows
+    ``(row, lang, open)``.  No n-gram among them is frequent, so no key is hot."""
+    return (rows.select("row", "lang", F.inline("open")).join(model.beyond, ["lang", "gram"])
+            .groupBy("row").agg(F.sum(F.col("times") * F.col("value")).alias("found")))
+
+
 def log_probabilities(model: Model, packed: np.ndarray, seeds: np.ndarray) -> np.ndarray:
     """The log probability of each n-gram's last byte after the bytes before it."""
     result = np.zeros(len(packed), dtype=np.float32)
@@ -186,7 +252,7 @@ def log_probabilities(model: Model, packed: np.ndarray, seeds: np.ndarray) -> np
         part = packed if open_ is None else packed[open_]
         seed = seeds if open_ is None else seeds[open_]
         table, values = model.grams[order - 1]
-        row = table.find(slots(part & np.uint32((1 << (8 * order)) - 1), order, seed, model.slot_bits))
+        row = table.find(hash_keys(part & np.uint32((1 << (8 * order)) - 1), order, seed))
         hit = row >= 0
         if open_ is None:
             result[hit] += values[row[hit]]
@@ -198,17 +264,7 @@ def log_probabilities(model: Model, packed: np.ndarray, seeds: np.ndarray) -> np
             return result
         context, rest = model.contexts[order - 1]
         before = (packed[open_] >> np.uint32(8)) & np.uint32((1 << (8 * (order - 1))) - 1)
-        row = context.find(slots(before, order - 1, seeds[open_], model.slot_bits))
+        row = context.find(hash_keys(before, order - 1, seeds[open_]))
         result[open_] += np.where(row >= 0, rest[np.maximum(row, 0)] if len(rest) else 0, 0)
     result[open_] -= np.float32(np.log(BYTES))
     return result
-
-
-def mean_log_probability(model: Model, texts: Texts, seeds: np.ndarray) -> np.ndarray:
-    """Per row, over its n-grams; NaN for a text of fewer than ``ORDER`` bytes."""
-    packed, counts = grams(texts, ORDER)
-    each = log_probabilities(model, packed, np.repeat(seeds, counts))
-    total = np.concatenate(([0.0], np.cumsum(each, dtype=np.float64)))
-    last = np.cumsum(counts)
-    with np.errstate(invalid="ignore"):
-        return (total[last] - total[last - counts]) / np.where(counts > 0, counts, np.nan)

@@ -24,10 +24,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from salestrata.llm import kneser_ney
-from salestrata.llm.shared import columns, in_tasks, small_side, stored
+from salestrata.llm.shared import columns, cut, in_tasks, small_side, stored
 from salestrata.llm.textkit import (
     NON_SPACE,
     Texts,
@@ -52,7 +52,6 @@ LEAST_SPREAD = 0.2
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 _MEASURED = StructType([*(StructField(name, LongType()) for name in MEASURES),
-                        StructField("perplexity", DoubleType()),
                         StructField("language", StringType())])
 _SYMBOL = np.zeros(256, dtype=bool)
 _SYMBOL[list(SYMBOLS)] = True
@@ -104,8 +103,9 @@ def measure(column) -> dict[str, np.ndarray]:
     }
 
 
-def _measuring(model):
+def _measuring(shared):
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        order, held = shared.value
         documents = (pa.RecordBatch.from_struct_array(part.column("document")) for part in parts)
         for block in row_blocks(documents):
             column = block.column("text")
@@ -113,43 +113,52 @@ def _measuring(model):
             names = block.column("lang").cast(pa.string()).fill_null(kneser_ney.NO_LANGUAGE)
             coded = names.dictionary_encode()
             seeds = kneser_ney.language_seeds(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
-            score = np.exp(-kneser_ney.mean_log_probability(model.value, texts_of(column), seeds))
+            total, n_grams, open_ = kneser_ney.held_sums(order, held, texts_of(column), seeds)
             fields = [pa.array(counts[name].astype(np.int64)) for name in MEASURES]
-            fields += [pa.array(score, from_pandas=True), names]
-            measured = pa.StructArray.from_arrays(fields, names=_MEASURED.names)
-            yield pa.RecordBatch.from_arrays([block.to_struct_array(), measured], names=["document", "measured"])
+            measured = pa.StructArray.from_arrays([*fields, names], names=_MEASURED.names)
+            yield pa.RecordBatch.from_arrays(
+                [block.to_struct_array(), measured, pa.array(total), pa.array(n_grams.astype(np.int64)), open_],
+                names=["document", "measured", "total", "n_grams", "open"])
     return batches
 
 
-def judge(docs: DataFrame, carry: list[str]) -> DataFrame:
-    """``(document struct of the carried columns, measured struct, band_low,
-    band_high, base_failed, kept)`` for every row."""
+def judge(docs: DataFrame, carry: list[str], held: int = kneser_ney.HELD) -> DataFrame:
+    """``(document struct of the carried columns, measured struct, perplexity, band_low,
+    band_high, base_failed, kept)`` for every row; workers hold ``held`` n-grams."""
     spark = docs.sparkSession
-    model = spark.sparkContext.broadcast(kneser_ney.fit(docs.select("lang", "text")))
+    model = kneser_ney.scores(docs.select("lang", "text"), held=held)
+    shared = spark.sparkContext.broadcast((model.order, model.held))
     wanted = docs.select(F.struct(*columns(dict.fromkeys([*carry, "lang", "text"]))).alias("document"))
-    schema = StructType([*wanted.schema.fields, StructField("measured", _MEASURED)])
-    scored = in_tasks(wanted, _measuring(model), schema)
+    schema = StructType([*wanted.schema.fields, StructField("measured", _MEASURED),
+                         *StructType.fromDDL(f"total double, n_grams long, open {kneser_ney.OPEN}").fields])
+    scored = in_tasks(wanted, _measuring(shared), schema)
     kept_columns = F.struct(*[F.col("document")[name].alias(name) for name in carry]).alias("document")
-    scored = stored(scored.select(kept_columns, "measured", F.expr(
+    scored = stored(scored.select(kept_columns, "measured", "total", "n_grams", "open", F.expr(
         f"measured.n_words < {MIN_WORDS} or 100 * measured.n_repeat_words"
-        f" > {MAX_REPEAT_PERCENT} * measured.n_words").alias("base_failed")), "measured")
-    quartiles = (scored.where("not base_failed and measured.perplexity is not null")
+        f" > {MAX_REPEAT_PERCENT} * measured.n_words").alias("base_failed"),
+        F.monotonically_increasing_id().alias("row")), "measured")
+    if model.beyond is not None:
+        found = kneser_ney.open_sums(scored.select("row", F.col("measured.language").alias("lang"), "open"), model)
+        scored = scored.join(cut(found), "row", "left").withColumn("total", F.expr("total + coalesce(found, 0D)"))
+    scored = scored.select("document", "measured", "base_failed",
+                           F.expr("exp(-total / nullif(n_grams, 0))").alias("perplexity"))
+    quartiles = (scored.where("not base_failed and perplexity is not null")
                  .groupBy(F.col("measured.language").alias("of_language"))
-                 .agg(F.expr("percentile_approx(ln(measured.perplexity), array(0.25, 0.5, 0.75), 2000)").alias("q")))
+                 .agg(F.expr("percentile_approx(ln(perplexity), array(0.25, 0.5, 0.75), 2000)").alias("q")))
     spread = f"greatest((q[2] - q[0]) / 2, {LEAST_SPREAD})"
     bands = quartiles.selectExpr("of_language",
                                  f"exp(q[1] - {BAND_WIDTH} * {spread}) as band_low",
                                  f"exp(q[1] + {BAND_WIDTH} * {spread}) as band_high")
     return scored.join(small_side(bands), F.col("measured.language") == F.col("of_language"), "left").select(
-        "document", "measured", "band_low", "band_high", "base_failed",
-        F.expr("not base_failed and coalesce(measured.perplexity between band_low and band_high, true)").alias("kept"))
+        "document", "measured", "perplexity", "band_low", "band_high", "base_failed",
+        F.expr("not base_failed and coalesce(perplexity between band_low and band_high, true)").alias("kept"))
 
 
 def quality_rules(docs: DataFrame) -> DataFrame:
     """One row per document: the counts, the perplexity with its band, the verdicts."""
     return judge(docs, ["doc_id"]).select(
         "document.doc_id", *[f"measured.{name}" for name in MEASURES], "base_failed", "kept",
-        "measured.perplexity", "band_low", "band_high", "measured.language")
+        "perplexity", "band_low", "band_high", "measured.language")
 
 
 def keep_good(docs: DataFrame) -> DataFrame:

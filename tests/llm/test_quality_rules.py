@@ -86,3 +86,34 @@ def test_repeated_rows_null_ids_and_an_empty_table(spark):
     assert quality_rules.quality_rules(docs).count() == 3
     assert quality_rules.quality_rules(docs.limit(0)).collect() == []
     assert quality_rules.keep_good(docs.limit(0)).columns == docs.columns
+
+
+def test_no_ngram_stands_for_another_and_perplexities_are_exact(spark, texts):
+    docs = frame(spark, texts)
+    model = kneser_ney.fit(docs)
+    grams = kneser_ney.count_grams(docs)
+    assert len(model.grams[-1][0].keys) == grams.where("n > 1").count()
+    seeds = dict(zip(("en", "und"), kneser_ney.language_seeds(["en", "und"])))
+    want = {}
+    for r in docs.collect():
+        data = (r.text or "").encode()
+        packed = np.array([int.from_bytes(data[i:i + 4], "big") for i in range(len(data) - 3)], dtype=np.uint32)
+        if len(packed):
+            each = kneser_ney.log_probabilities(model, packed, np.full(len(packed), seeds[r.lang or "und"]))
+            want[r.doc_id] = np.exp(-each.astype(float).mean())
+    for held in (1 << 22, 300, 0):  # all held by the workers, the frequent ones, none
+        assert (kneser_ney.scores(docs, held=held).beyond is None) == (held > 300)
+        rows = quality_rules.judge(docs, ["doc_id"], held=held).select("document.doc_id", "perplexity").collect()
+        assert len(rows) == len(texts)
+        for r in rows:
+            assert (r.perplexity is None) == (r.doc_id not in want)
+            assert r.perplexity is None or r.perplexity == pytest.approx(want[r.doc_id], rel=1e-4)
+
+
+def test_keys_of_a_large_table_are_all_found():
+    keys = np.unique(kneser_ney.hash_keys(np.arange(5_000_000, dtype=np.uint32), 4, kneser_ney.language_seeds(["x"])))
+    assert len(keys) == 5_000_000
+    table = kneser_ney.SortedHashTable(keys)
+    assert (table.find(keys) == np.arange(len(keys))).all()
+    others = kneser_ney.hash_keys(np.arange(100_000, dtype=np.uint32), 4, kneser_ney.language_seeds(["y"]))
+    assert (table.find(others) == -1).all()
