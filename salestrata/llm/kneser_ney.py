@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from salestrata.llm.hash_table import SortedHashTable
 from salestrata.llm.shared import cut, in_tasks, small_side
@@ -234,7 +235,7 @@ def held_sums(order: int, held: tuple[SortedHashTable, np.ndarray], texts: Texts
     return total[last] - total[last - counts], counts, pa.ListArray.from_arrays(offsets, pairs)
 
 
-OPEN = "array<struct<gram: bigint, times: bigint>>"
+OPEN = ArrayType(StructType([StructField("gram", LongType()), StructField("times", LongType())]))
 
 
 def open_sums(rows: DataFrame, model: Scores) -> DataFrame:

@@ -9,10 +9,18 @@ above its language's band: the median of the logarithm, plus and minus
 ``BAND_WIDTH`` times the spread (half the distance of the quartiles, at least
 ``LEAST_SPREAD``: a document in another language than its label says stays).
 
+A second model of the same kind sees the texts as shapes: runs of letters as one
+letter, of digits as one digit, all else as it stands, in n-grams of ``SHAPE_ORDER``.
+These reach across word borders, and prose has one shape in any language, so it
+tells junk from mixed languages, which the first model cannot.  They are so short
+that none holds the marks of two words: one mark does not foretell the next.
+Its bands follow the same rule with ``LEAST_SHAPE_SPREAD``; both come from all rows
+that pass the base rules.
+
 A null or empty text has no words and fails the base rules; its perplexity is
-null.  A null language counts as ``und``.  Repeated rows are judged alike, each
-on its own row.  Other columns of the input are not looked at, whatever their
-names.  An empty table gives an empty result.
+null.  A text too short for a model is not judged by it.  A null language counts as
+``und``.  Repeated rows are judged alike, each on its own row.  Other columns of the
+input are not looked at, whatever their names.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -24,7 +32,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from salestrata.llm import kneser_ney
 from salestrata.llm.shared import columns, cut, in_tasks, small_side, stored
@@ -49,12 +57,19 @@ MAX_REPEAT_PERCENT = 30
 SYMBOLS = b"#*$%&|<>"
 BAND_WIDTH = 6.0
 LEAST_SPREAD = 0.2
+SHAPE_ORDER = 3
+LEAST_SHAPE_SPREAD = 0.05
+BANDS = ("band", "shape")
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 _MEASURED = StructType([*(StructField(name, LongType()) for name in MEASURES),
                         StructField("language", StringType())])
 _SYMBOL = np.zeros(256, dtype=bool)
 _SYMBOL[list(SYMBOLS)] = True
+_LETTER, _DIGIT = 0x61, 0x30
+_SHAPE = np.arange(256, dtype=np.uint8)
+_SHAPE[0x41:0x5B] = _SHAPE[0x61:0x7B] = _SHAPE[0x80:] = _LETTER
+_SHAPE[0x30:0x3A] = _DIGIT
 _TAIL_BYTE = np.zeros(256, dtype=bool)  # bytes of a character after its first
 _TAIL_BYTE[0x80:0xC0] = True
 
@@ -103,62 +118,92 @@ def measure(column) -> dict[str, np.ndarray]:
     }
 
 
+def shapes(texts: Texts) -> Texts:
+    """The texts with every run of letters as one letter and of digits as one digit."""
+    size = int(texts.offsets[-1])
+    data = _SHAPE[texts.data[:size]]
+    kept = np.ones(size, dtype=bool)
+    kept[1:] = (data[1:] != data[:-1]) | ((data[1:] != _LETTER) & (data[1:] != _DIGIT))
+    first = texts.offsets[:-1]
+    kept[first[first < size]] = True  # a run ends with its text
+    before = np.concatenate(([0], np.cumsum(kept, dtype=np.int64)))
+    return Texts(np.concatenate((data[kept], np.zeros(8, dtype=np.uint8))), before[texts.offsets])
+
+
+# The models: what a text is seen as, n-gram length, least spread of the logarithm.
+MODELS = {"perplexity": (None, kneser_ney.ORDER, LEAST_SPREAD), "shape_perplexity": (shapes, SHAPE_ORDER, LEAST_SHAPE_SPREAD)}
+_SUMS = StructType([StructField(f"{name}_{part}", kind) for name in MODELS for part, kind in (
+    ("total", DoubleType()), ("n", LongType()), ("open", kneser_ney.OPEN))])
+
+
 def _measuring(shared):
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        order, held = shared.value
         documents = (pa.RecordBatch.from_struct_array(part.column("document")) for part in parts)
         for block in row_blocks(documents):
             column = block.column("text")
-            counts = measure(column)
+            counts, texts = measure(column), texts_of(column)
             names = block.column("lang").cast(pa.string()).fill_null(kneser_ney.NO_LANGUAGE)
             coded = names.dictionary_encode()
             seeds = kneser_ney.language_seeds(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
-            total, n_grams, open_ = kneser_ney.held_sums(order, held, texts_of(column), seeds)
             fields = [pa.array(counts[name].astype(np.int64)) for name in MEASURES]
             measured = pa.StructArray.from_arrays([*fields, names], names=_MEASURED.names)
-            yield pa.RecordBatch.from_arrays(
-                [block.to_struct_array(), measured, pa.array(total), pa.array(n_grams.astype(np.int64)), open_],
-                names=["document", "measured", "total", "n_grams", "open"])
+            sums = []
+            for name, (view, order, _) in MODELS.items():
+                seen = view(texts) if view else texts
+                total, n_grams, open_ = kneser_ney.held_sums(order, shared[name].value, seen, seeds)
+                sums += [pa.array(total), pa.array(n_grams.astype(np.int64)), open_]
+            yield pa.RecordBatch.from_arrays([block.to_struct_array(), measured, *sums],
+                                             names=["document", "measured", *_SUMS.names])
     return batches
 
 
 def judge(docs: DataFrame, carry: list[str], held: int = kneser_ney.HELD) -> DataFrame:
-    """``(document struct of the carried columns, measured struct, perplexity, band_low,
-    band_high, base_failed, kept)`` for every row; workers hold ``held`` n-grams."""
+    """``(document struct of the carried columns, measured struct, each model's perplexity and
+    band, base_failed, kept)`` for every row; workers hold ``held`` n-grams of a model."""
     spark = docs.sparkSession
-    model = kneser_ney.scores(docs.select("lang", "text"), held=held)
-    shared = spark.sparkContext.broadcast((model.order, model.held))
+    corpus = docs.select("lang", "text")
+    models = {name: kneser_ney.scores(corpus, order, view, held) for name, (view, order, _) in MODELS.items()}
+    shared = {name: spark.sparkContext.broadcast(model.held) for name, model in models.items()}
     wanted = docs.select(F.struct(*columns(dict.fromkeys([*carry, "lang", "text"]))).alias("document"))
-    schema = StructType([*wanted.schema.fields, StructField("measured", _MEASURED),
-                         *StructType.fromDDL(f"total double, n_grams long, open {kneser_ney.OPEN}").fields])
+    schema = StructType([*wanted.schema.fields, StructField("measured", _MEASURED), *_SUMS.fields])
     scored = in_tasks(wanted, _measuring(shared), schema)
     kept_columns = F.struct(*[F.col("document")[name].alias(name) for name in carry]).alias("document")
-    scored = stored(scored.select(kept_columns, "measured", "total", "n_grams", "open", F.expr(
+    scored = stored(scored.select(kept_columns, "measured", *_SUMS.names, F.expr(
         f"measured.n_words < {MIN_WORDS} or 100 * measured.n_repeat_words"
         f" > {MAX_REPEAT_PERCENT} * measured.n_words").alias("base_failed"),
         F.monotonically_increasing_id().alias("row")), "measured")
-    if model.beyond is not None:
-        found = kneser_ney.open_sums(scored.select("row", F.col("measured.language").alias("lang"), "open"), model)
-        scored = scored.join(cut(found), "row", "left").withColumn("total", F.expr("total + coalesce(found, 0D)"))
-    scored = scored.select("document", "measured", "base_failed",
-                           F.expr("exp(-total / nullif(n_grams, 0))").alias("perplexity"))
-    quartiles = (scored.where("not base_failed and perplexity is not null")
-                 .groupBy(F.col("measured.language").alias("of_language"))
-                 .agg(F.expr("percentile_approx(ln(perplexity), array(0.25, 0.5, 0.75), 2000)").alias("q")))
-    spread = f"greatest((q[2] - q[0]) / 2, {LEAST_SPREAD})"
-    bands = quartiles.selectExpr("of_language",
-                                 f"exp(q[1] - {BAND_WIDTH} * {spread}) as band_low",
-                                 f"exp(q[1] + {BAND_WIDTH} * {spread}) as band_high")
-    return scored.join(small_side(bands), F.col("measured.language") == F.col("of_language"), "left").select(
-        "document", "measured", "perplexity", "band_low", "band_high", "base_failed",
-        F.expr("not base_failed and coalesce(perplexity between band_low and band_high, true)").alias("kept"))
+    whole = scored
+    for name, model in models.items():
+        if model.beyond is not None:
+            found = cut(kneser_ney.open_sums(scored.select(
+                "row", F.col("measured.language").alias("lang"), F.col(f"{name}_open").alias("open")), model))
+            whole = whole.join(found, "row", "left").withColumn(
+                f"{name}_total", F.expr(f"{name}_total + coalesce(found, 0D)")).drop("found")
+    whole = whole.select("document", "measured", "base_failed", *[
+        F.expr(f"exp(-{name}_total / nullif({name}_n, 0))").alias(name) for name in MODELS])
+    quartiles = (whole.where("not base_failed").groupBy(F.col("measured.language").alias("of_language"))
+                 .agg(*[F.expr(f"percentile_approx(ln({name}), array(0.25, 0.5, 0.75), 2000)").alias(name)
+                        for name in MODELS]))
+    edges = []
+    for (name, (_, _, least)), band in zip(MODELS.items(), BANDS):
+        spread = f"greatest(({name}[2] - {name}[0]) / 2, {least})"
+        edges += [f"exp({name}[1] {sign} {BAND_WIDTH} * {spread}) as {band}_{edge}"
+                  for edge, sign in (("low", "-"), ("high", "+"))]
+    bands = small_side(quartiles.selectExpr("of_language", *edges))
+    inside = " and ".join(f"coalesce({name} between {band}_low and {band}_high, true)"
+                          for name, band in zip(MODELS, BANDS))
+    return whole.join(bands, F.col("measured.language") == F.col("of_language"), "left").select(
+        "document", "measured", "base_failed", *[c for name, band in zip(MODELS, BANDS)
+                                                 for c in (name, f"{band}_low", f"{band}_high")],
+        F.expr(f"not base_failed and {inside}").alias("kept"))
 
 
 def quality_rules(docs: DataFrame) -> DataFrame:
     """One row per document: the counts, the perplexity with its band, the verdicts."""
     return judge(docs, ["doc_id"]).select(
         "document.doc_id", *[f"measured.{name}" for name in MEASURES], "base_failed", "kept",
-        "perplexity", "band_low", "band_high", "measured.language")
+        "perplexity", "band_low", "band_high", "measured.language",
+        "shape_perplexity", "shape_low", "shape_high")
 
 
 def keep_good(docs: DataFrame) -> DataFrame:

@@ -1,11 +1,12 @@
 from __future__ import annotations
 
+import re
 from collections import Counter
 
 import numpy as np
 import pytest
 
-from cases import EDGE_TEXTS, frame, some_texts, spaced_words, with_clashes
+from cases import DATA, EDGE_TEXTS, frame, some_texts, spaced_words, with_clashes
 from salestrata.llm import kneser_ney, quality_rules
 
 
@@ -117,3 +118,21 @@ def test_keys_of_a_large_table_are_all_found():
     assert (table.find(keys) == np.arange(len(keys))).all()
     others = kneser_ney.hash_keys(np.arange(100_000, dtype=np.uint32), 4, kneser_ney.language_seeds(["y"]))
     assert (table.find(others) == -1).all()
+
+
+def test_shapes_equal_their_definition(texts):
+    import pyarrow as pa
+    found = quality_rules.shapes(quality_rules.texts_of(pa.array(texts)))
+    for i, text in enumerate(texts):
+        letters = re.sub(rb"[A-Za-z\x80-\xff]+", b"a", (text or "").encode())
+        assert found.text(i) == re.sub(rb"[0-9]+", b"0", letters)
+
+
+def test_labelled_junk_is_rejected_and_clean_text_kept(spark):
+    docs = spark.read.parquet(f"{DATA}/sf0.01/documents.parquet")
+    labels = spark.read.parquet(f"{DATA}/sf0.01/labels.parquet")
+    verdicts = quality_rules.quality_rules(docs).where("not base_failed").join(labels, "doc_id").collect()
+    junk, clean = ([r.kept for r in verdicts if r.quality == q] for q in (0, 1))
+    assert len(junk) > 20 and len(clean) > 300
+    assert sum(junk) <= 0.1 * len(junk)
+    assert sum(clean) >= 0.99 * len(clean)
