@@ -6,9 +6,10 @@ import atexit
 import os
 import shutil
 import tempfile
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,6 +74,25 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(folder)
 
 
+def _first_of_task(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    seen: set[int] = set()
+    for part in parts:
+        new = []
+        for i, key in enumerate(part.column("key").to_pylist()):
+            if key not in seen:
+                seen.add(key)
+                new.append(i)
+        if new:
+            yield part.take(pa.array(new))
+
+
+def one_text_each(rows: DataFrame) -> DataFrame:
+    """``(key, text)`` with each key once, of ``(key, text)`` rows that have a bounded number
+    of keys, which are hashes of their texts; copies do not leave their task."""
+    rows = rows.select("key", "text")
+    return in_tasks(rows, _first_of_task, rows.schema).groupBy("key").agg(F.min("text").alias("text"))
+
+
 # Rows of a few numbers that may be sent to all executors.
 SMALL = 10_000
 

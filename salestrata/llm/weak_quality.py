@@ -9,9 +9,11 @@ fitted to these labels.  The scorer's verdict holds for all texts, so it also
 judges what the labellers leave open.
 
 Votes and their patterns are counted over all documents; there are at most
-3 ** len(LABELLERS) patterns.  The scorer is fitted on a bounded sample: about ``SAMPLE``
-documents, half of them of posterior below one half, chosen by a hash of the text
-and weighted by how many they stand for.
+3 ** len(LABELLERS) patterns.  The scorer is fitted on a bounded sample: at most ``SAMPLE``
+distinct texts, half of them of posterior below one half.  Copies of a text are one
+row with a count.  Its priority is the count over a number in (0, 1) hashed from the text;
+the highest are taken, and each weighs as much as the first that is not taken, or
+its count if that is more.  So a text of many copies is in for certain, with its own count.
 
 A null or empty text gets the votes of a text without words; its n-gram vector is zero.
 If all votes agree, the labels are the posteriors of that one pattern.  Repeated rows are
@@ -31,7 +33,7 @@ from pyspark.sql import functions as F
 
 from salestrata.llm import ngram_vectors, quality_rules
 from salestrata.llm.ngram_vectors import BUCKETS
-from salestrata.llm.shared import in_tasks
+from salestrata.llm.shared import cut, in_tasks, one_text_each
 from salestrata.llm.textkit import (
     NON_SPACE,
     mix,
@@ -61,6 +63,7 @@ LABELLERS = (*FAULTS, *PLAIN)
 BAD, NONE, GOOD = 0, 1, 2
 SIGNS = "-0+"
 SAMPLE = 4000
+SALT = 6
 ROUNDS = 200
 STEPS = 400
 PENALTY = 2e-5
@@ -176,61 +179,72 @@ def _vectors(column) -> Iterator[tuple[int, np.ndarray]]:
 
 def _patterns(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for block in row_blocks(parts):
-        values, counts = np.unique(pattern(votes(block.column("text"))), return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(values.astype(np.int64)), pa.array(counts.astype(np.int64))], names=["pattern", "n"])
+        keys, first, counts = np.unique(block.column("key").to_numpy(), return_index=True, return_counts=True)
+        said = pattern(votes(block.column("text").take(pa.array(first))))
+        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(said.astype(np.int64)), pa.array(counts.astype(np.int64))],
+                                         names=["key", "pattern", "n"])
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    return docs.select(F.xxhash64(text).alias("key"), text.alias("text"))
+
+
+def distinct_texts(docs: DataFrame) -> DataFrame:
+    """``(key, pattern, n)``: the distinct texts by a hash, their votes, how many rows have them."""
+    return cut(in_tasks(_keyed(docs), _patterns, "key long, pattern long, n long")
+               .groupBy("key").agg(F.min("pattern").alias("pattern"), F.sum("n").alias("n")))
 
 
 def _pattern_votes(patterns: np.ndarray) -> np.ndarray:
     return patterns[:, None] // (3 ** np.arange(len(LABELLERS)))[None, :] % 3
 
 
-def label_model(docs: DataFrame) -> tuple[LabelModel, dict[str, float]] | None:
-    """The model, and how many documents it takes for bad and for good."""
-    counted = (in_tasks(docs.select("text"), _patterns, "pattern long, n long")
-               .groupBy("pattern").agg(F.sum("n").alias("n")).orderBy("pattern").toArrow())  # 3 ** 9 rows at most
+def label_model(texts: DataFrame) -> LabelModel | None:
+    """The model of all rows, from their distinct texts."""
+    counted = texts.groupBy("pattern").agg(F.sum("n").alias("n")).orderBy("pattern").toArrow()  # 3 ** 9 rows at most
     if not counted.num_rows:
         return None
-    said, n = _pattern_votes(counted.column("pattern").to_numpy()), counted.column("n").to_numpy().astype(float)
-    model = estimate(said, n)
-    is_bad = model.posterior(said) < 0.5
-    return model, {"bad": float(n[is_bad].sum()), "good": float(n[~is_bad].sum())}
+    return estimate(_pattern_votes(counted.column("pattern").to_numpy()), counted.column("n").to_numpy().astype(float))
 
 
-def _training(model: LabelModel):
+def _grading(model: LabelModel):
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in row_blocks(parts):
-            good = model.posterior(votes(block.column("text")))
-            for first, rows in _vectors(block.column("text")):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(good[first:first + len(rows)]), pa.array([r.astype("<f2").tobytes() for r in rows], pa.binary())],
-                    names=["good", "vector"])
+        for part in parts:
+            good = model.posterior(_pattern_votes(part.column("pattern").to_numpy()))
+            yield pa.RecordBatch.from_arrays([part.column("key"), part.column("n"), pa.array(good)], names=["key", "n", "good"])
     return batches
 
 
-def scorer(docs: DataFrame, model: LabelModel, sizes: dict[str, float], sample: int = SAMPLE) -> np.ndarray:
+def training_texts(texts: DataFrame, model: LabelModel, sample: int = SAMPLE) -> list[tuple[int, float, float]]:
+    """``(key, good, weight)`` of at most ``sample`` distinct texts, half of either class."""
+    even = F.expr(f"(pmod(xxhash64(key, {SALT}), {1 << 52}) + 0.5D) / {1 << 52}D")
+    graded = in_tasks(texts, _grading(model), "key long, n long, good double").withColumn("priority", F.col("n") / even)
+    most, chosen = sample // 2, []
+    for of_class in ("good < 0.5", "good >= 0.5"):
+        ranked = graded.where(of_class).orderBy(F.desc("priority"), "key").limit(most + 1).collect()
+        edge = ranked[most]["priority"] if len(ranked) > most else 0.0
+        chosen += [(r["key"], r["good"], max(float(r["n"]), edge)) for r in ranked[:most]]
+    return chosen
+
+
+def _training(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for block in row_blocks(parts):
+        for first, rows in _vectors(block.column("text")):
+            yield pa.RecordBatch.from_arrays(
+                [block.column("key").slice(first, len(rows)), pa.array([r.astype("<f2").tobytes() for r in rows], pa.binary())],
+                names=["key", "vector"])
+
+
+def scorer(docs: DataFrame, texts: DataFrame, model: LabelModel, sample: int = SAMPLE) -> np.ndarray:
     """The weights of the linear scorer, fitted to the posteriors of a sample."""
-    pick = F.expr("pmod(xxhash64(text), 1000000)")
-    share = {k: min(1.0, sample / 2 / n) if n else 0.0 for k, n in sizes.items()}
-    # A hash of the text picks the larger share; of those, the class with the smaller is thinned to its own.
-    most = max(share.values())
-    taken = in_tasks(docs.select(pick.alias("pick"), "text").where(F.col("pick") < most * 1_000_000),
-                     _training_picked(model, share), "good double, vector binary").toArrow()  # SAMPLE rows, about
-    if not taken.num_rows:
-        return np.zeros(BUCKETS + 1, dtype=np.float32)
-    order = np.lexsort((np.array(taken.column("vector").to_pylist(), dtype=object), taken.column("good").to_numpy()))
-    rows = np.frombuffer(b"".join(taken.column("vector").to_pylist()), dtype="<f2").reshape(-1, BUCKETS)[order].astype(np.float32)
-    good = taken.column("good").to_numpy()[order].astype(np.float32)
-    return fit_linear(rows, good, np.where(good < 0.5, 1 / max(share["bad"], 1e-9), 1 / max(share["good"], 1e-9)))
-
-
-def _training_picked(model: LabelModel, share: dict[str, float]):
-    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in row_blocks(parts):
-            good = model.posterior(votes(block.column("text")))
-            limit = np.where(good < 0.5, share["bad"], share["good"]) * 1_000_000
-            keep = pa.array(block.column("pick").to_numpy() < limit)
-            yield from _training(model)([block.filter(keep)])
-    return batches
+    chosen = sorted(training_texts(texts, model, sample))
+    wanted = docs.sparkSession.createDataFrame([(key,) for key, _, _ in chosen], "key long")
+    found = in_tasks(one_text_each(_keyed(docs).join(F.broadcast(wanted), "key")), _training,
+                     "key long, vector binary").toArrow()  # ``sample`` rows at most
+    vectors = dict(zip(found.column("key").to_pylist(), found.column("vector").to_pylist()))
+    rows = np.frombuffer(b"".join(vectors[key] for key, _, _ in chosen), dtype="<f2").reshape(-1, BUCKETS).astype(np.float32)
+    return fit_linear(rows, np.array([good for _, good, _ in chosen], dtype=np.float32), np.array([weight for *_, weight in chosen]))
 
 
 def _scoring(broadcast):
@@ -251,9 +265,9 @@ def _scoring(broadcast):
 def weak_quality(docs: DataFrame) -> DataFrame:
     """One row per document: its votes in the order of ``LABELLERS``, the posterior of
     their pattern, the scorer's probability that it is good, and the verdict."""
-    found = label_model(docs)
-    model = found[0] if found else None
-    weights = scorer(docs, *found) if found else None
+    texts = distinct_texts(docs)
+    model = label_model(texts)
+    weights = scorer(docs, texts, model) if model else None
     shared = docs.sparkSession.sparkContext.broadcast((model, weights))
     return in_tasks(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), _scoring(shared),
                     "doc_id long, votes string, posterior double, score double, good boolean")

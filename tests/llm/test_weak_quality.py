@@ -50,3 +50,20 @@ def test_edges_repeated_rows_and_an_empty_table(spark):
     assert len(found) == len(texts)
     assert all(len(r.votes) == len(weak_quality.LABELLERS) for r in found)
     assert weak_quality.weak_quality(docs.limit(0)).collect() == []
+
+
+def test_sample_is_bounded_and_copies_are_one_weighted_row(spark):
+    ordinary = [t for t in spark.read.parquet(f"{DATA}/sf0.01/documents.parquet").toPandas().text if t]
+    many = ordinary[0]
+    docs = frame(spark, ordinary + [None] * 4000 + [many] * 3000)
+    texts = weak_quality.distinct_texts(docs)
+    assert texts.count() == len(set(ordinary)) + 1
+    assert texts.agg({"n": "sum"}).first()[0] == len(ordinary) + 7000
+    chosen = weak_quality.training_texts(texts, weak_quality.label_model(texts), sample=200)
+    weights = {key: weight for key, _, weight in chosen}
+    assert len(weights) == len(chosen) <= 200
+    sizes = {r.key: r.n for r in texts.collect()}
+    for key, n in sizes.items():
+        if n >= 3000:
+            assert weights[key] == n
+    assert sum(weights.values()) == pytest.approx(sum(sizes.values()), rel=0.1)
