@@ -13,19 +13,29 @@ from salestrata.plans.layers import SalesLayers
 from salestrata.sources.jsonl import read_lines, skipped_names
 
 _QUERY_ID = "sql.streaming.queryId"
-# Everything in a folder but the ``dt=`` folders and what Spark passes over.
-_UNDATED = "{[^d_.]*,d[^t]*,dt[^=]*}"
+# Everything in a folder but names that begin with ``dt=``, ``_`` or ``.``; those of the
+# latter that are no folder of a day and that Spark reads are added by name.
+_UNDATED = "[^d_.]*,d,d[^t]*,dt,dt[^=]*"
 
 log = logging.getLogger(__name__)
 
 
+def _literal(name: str) -> str:
+    """A name as a glob that matches it alone."""
+    return re.sub(r"([\\*?\[\]{},])", r"\\\1", name)
+
+
 def landing_days(layers: SalesLayers, landing: str) -> dict[str, str]:
-    """The ``dt=`` folders by day; the rest of the landing folder under the empty day."""
-    names = files.children(layers.tables.spark, landing)
-    dated = {m[1]: f"{landing}/{name}" for name, is_folder in names
-             if is_folder and (m := re.fullmatch(r"dt=([0-9]{8})", name))}
-    rest = any(not name.startswith("dt=") and not files.hidden(name) for name, _ in names)
-    return {**({"": f"{landing}/{_UNDATED}"} if rest else {}), **dict(sorted(dated.items()))}
+    """The ``dt=`` folders by what follows the sign, be it a day or not; the rest of the
+    landing folder under the empty name."""
+    names = [(name, is_folder) for name, is_folder in files.children(layers.tables.spark, landing)
+             if not files.hidden(name)]
+    dated = {name[3:]: f"{landing}/{_literal(name)}" for name, is_folder in names
+             if is_folder and name.startswith("dt=") and name != "dt="}
+    rest = [name for name, _ in names if name[3:] not in dated or not name.startswith("dt=")]
+    by_name = sorted(_literal(name) for name in rest if name.startswith(("dt=", "_", ".")))
+    undated = {"": f"{landing}/{{{','.join([_UNDATED, *by_name])}}}"} if rest else {}
+    return {**undated, **dict(sorted(dated.items()))}
 
 
 def load_new_files(layers: SalesLayers, landing: str, checkpoint: str, *, stage: bool = True,
@@ -61,7 +71,7 @@ def load_new_files(layers: SalesLayers, landing: str, checkpoint: str, *, stage:
     for day, folder in landing_days(layers, landing).items():
         if days is not None and day not in days:
             continue
-        if skipped := skipped_names(spark, folder if day else landing):
+        if skipped := skipped_names(spark, f"{landing}/dt={day}" if day else landing):
             shown = [name for name in skipped if day or "/dt=" not in name]
             if shown:
                 log.warning("%d names begin with '_' or '.' and are not read: %s", len(shown), shown[:10])
@@ -69,7 +79,8 @@ def load_new_files(layers: SalesLayers, landing: str, checkpoint: str, *, stage:
         def load(batch: DataFrame, batch_id: int, day: str = day) -> None:
             query_id = batch.sparkSession.sparkContext.getLocalProperty(_QUERY_ID)
             name = f"{query_id}-{batch_id:010d}"
-            loaded.append(layers.append_lines(batch, f"{day}-{name}" if day else f"undated-{name}", ingestion_ts))
+            prefix = re.sub(r"[^A-Za-z0-9_.\-]", "_", day) or "undated"
+            loaded.append(layers.append_lines(batch, f"{prefix}-{name}", ingestion_ts))
 
         query = (read_lines(spark, folder, streaming=True, **options).writeStream.foreachBatch(load)
                  .option("checkpointLocation", f"{checkpoint}/{f'dt={day}' if day else 'undated'}")

@@ -162,3 +162,20 @@ def test_names_that_spark_passes_over_are_reported(spark, place, caplog):
     assert totals(layers) == (1, 1, 0)
     assert [name.rpartition("/")[2] for name in skipped_names(spark, str(landing))] == [".c.jsonl", "_b.jsonl", "_x"]
     assert "3 names" in caplog.text
+
+
+def test_every_name_in_the_landing_folder_is_loaded(place):
+    layers, landing, checkpoint = place
+    names = ["dt=20260101/a.jsonl", "dt=2026-01-05/a.jsonl", "dt=20260105_late/a.jsonl", "dt=backfill/x/a.jsonl",
+             "dt=a [1]/a.jsonl", "dt=x.jsonl", "dt=y,z.jsonl", "dt=/a.jsonl", "d", "dt", "da", "dtx", "plain.jsonl", "_a=b/a.jsonl"]
+    for name in names:
+        land(landing, name, event())
+    loaded = load_new_files(layers, str(landing), checkpoint)
+    found = {r.source_filename.partition("landing/")[2] for r in layers.raw().collect()}
+    assert found == set(names)
+    assert totals(layers) == (len(names), len(names), 0)
+    assert len(loaded) == 6  # a stream for each named folder, one for the rest
+    assert load_new_files(layers, str(landing), checkpoint) == []
+    land(landing, "dt=late.jsonl", event())
+    load_new_files(layers, str(landing), checkpoint)
+    assert layers.raw().count() == len(names) + 1
