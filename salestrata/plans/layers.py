@@ -22,7 +22,7 @@ from contextlib import contextmanager
 from datetime import datetime, timezone
 from typing import Protocol
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salestrata import files
@@ -38,6 +38,7 @@ from salestrata.schema import (
     STAGED_COLUMNS,
     ddl,
 )
+from salestrata.session import fresh_folder
 from salestrata.sources.jsonl import file_counts, records_from_lines
 
 RAW, STAGED, FACT, LOG = "raw_sales", "stg_sales", "fact_sales", "load_log"
@@ -314,14 +315,21 @@ class SalesLayers:
     def append_lines(self, lines: DataFrame, load_id: str | None = None,
                      ingestion_ts: datetime | str | None = None) -> str:
         """Adds a load of ``(value, source_filename)`` lines to RAW, and to the load
-        log what each file held: its lines, records, blank and bad lines.  The
-        lines are counted in the pass that writes RAW."""
+        log what each file held: its lines, records, blank and bad lines.  These are
+        counted by file in a second scan, however many files there are; the row for the
+        whole load is their sum, and the only one if a line is of no file."""
         if load_id and isinstance(self.tables, FolderTables) and self.tables.is_compacted(load_id):
             return load_id  # a batch run again after its load has become part of its day
-        seen = Observation()
-        load_id = self.append_raw(records_from_lines(lines, ingestion_ts, seen, by_file=True), load_id)
-        lines_of_file = self.tables.spark.createDataFrame(
-            file_counts(seen.get), "source_filename string, n_lines bigint, n_blank bigint, n_bad bigint")
+        load_id = self.append_raw(records_from_lines(lines, ingestion_ts), load_id)
+        by_file = file_counts(lines)
+        folder = fresh_folder(self.tables.spark, "counts")
+        by_file.write.parquet(folder)
+        by_file = self.tables.spark.read.schema(by_file.schema).parquet(folder)
+        counts = ("n_lines", "n_blank", "n_bad")
+        whole = by_file.agg(*[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in counts]).select(
+            F.lit(None).cast("string").alias("source_filename"), *counts)
+        unnamed = not by_file.where("source_filename is null").isEmpty()
+        lines_of_file = whole if unnamed else whole.union(by_file)
         records = (self.tables.read_load(RAW, load_id).groupBy(F.col("source_filename").alias("file"))
                    .agg(F.count(F.lit(1)).alias("n_records")))
         total = records.agg(F.lit(None).cast("string").alias("file"), F.sum("n_records").alias("n_records"))

@@ -13,11 +13,6 @@ from salestrata.operators.records import parse_text, records, strip_outer_array
 from salestrata.schema import RAW_COLUMNS
 
 
-# Files of a load that are counted one by one.
-LOGGED_FILES = 10_000
-_TRACKED = 100_000
-
-
 def read_lines(spark: SparkSession, path: str, streaming: bool = False,
                **options: str) -> DataFrame:
     """Every line of every file under ``path``, with the file it is from.
@@ -45,43 +40,35 @@ def ingest_time(ingestion_ts: datetime | str | None) -> Column:
     return F.lit(str(ingestion_ts)).cast("timestamp_ntz")
 
 
+def _parsed(lines: DataFrame) -> DataFrame:
+    blank = F.rlike("value", F.lit(r"^\s*$"))
+    return parse_text(lines.select("value", "source_filename", blank.alias("blank")))
+
+
+def _kinds() -> dict[str, Column]:
+    return {"n_lines": F.lit(True), "n_blank": F.col("blank"), "n_bad": records().isNull() & ~F.col("blank")}
+
+
 def records_from_lines(lines: DataFrame, ingestion_ts: datetime | str | None = None,
-                       observation: Observation | str | None = None,
-                       by_file: bool = False) -> DataFrame:
+                       observation: Observation | str | None = None) -> DataFrame:
     """RAW rows from ``(value, source_filename)`` lines.
 
     A line that is not one JSON value, is blank, or repeats a key gives no row
     and the load goes on.  ``observation`` counts them on the way, without a
-    second pass: ``n_lines``, ``n_blank`` and ``n_bad`` (blank not included);
-    ``by_file`` adds the same by file, for ``file_counts``.
+    second pass: ``n_lines``, ``n_blank`` and ``n_bad`` (blank not included).
+    ``file_counts`` has them by file.
     """
-    blank = F.rlike("value", F.lit(r"^\s*$"))
-    parsed = parse_text(lines.select("value", "source_filename", blank.alias("blank")))
+    parsed = _parsed(lines)
     if observation is not None:
-        kinds = {"n_lines": F.lit(True), "n_blank": F.col("blank"),
-                 "n_bad": records().isNull() & ~F.col("blank")}
-        parsed = parsed.observe(
-            observation,
-            *[F.count_if(kind).alias(name) for name, kind in kinds.items()],
-            *[F.call_function("approx_top_k", F.when(kind, F.col("source_filename")), F.lit(LOGGED_FILES),
-                              F.lit(_TRACKED)).alias(f"{name}_by_file") for name, kind in kinds.items() if by_file],
-        )
+        parsed = parsed.observe(observation, *[F.count_if(kind).alias(name) for name, kind in _kinds().items()])
     raw = strip_outer_array(parsed.drop("blank"))
     return raw.withColumn("ingestion_ts", ingest_time(ingestion_ts)).select(*RAW_COLUMNS)
 
 
-def file_counts(observed: dict) -> list[tuple[str | None, int, int, int]]:
-    """``(file, lines, blank, bad)`` of what ``records_from_lines`` has observed, one
-    row per file and one without a file for all.  Over ``LOGGED_FILES`` files the
-    row for all is the only one."""
-    names = ("n_lines", "n_blank", "n_bad")
-    by_file = {name: {row["item"]: row["count"] for row in observed[f"{name}_by_file"] or []} for name in names}
-    whole = (None, *(observed[name] for name in names))
-    found = sorted(file for file in by_file["n_lines"] if file is not None)
-    # The sketch counts exactly as long as it holds every file.
-    if sum(by_file["n_lines"][file] for file in found) != observed["n_lines"]:
-        return [whole]
-    return [whole, *((file, *(by_file[name].get(file, 0) for name in names)) for file in found)]
+def file_counts(lines: DataFrame) -> DataFrame:
+    """``(source_filename, n_lines, n_blank, n_bad)`` of all files, in a scan of its own."""
+    return _parsed(lines).groupBy("source_filename").agg(
+        *[F.count_if(kind).alias(name) for name, kind in _kinds().items()])
 
 
 def skipped_names(spark: SparkSession, path: str) -> list[str]:

@@ -333,3 +333,14 @@ def test_a_day_becomes_one_load(spark, monkeypatch):
     layers.rebuild_fact()
     assert counts(layers) == (4, 3, 1, 3)
     assert sorted(r.event_id for r in layers.fact().collect()) == ["1", "3", "4"]
+
+
+def test_load_log_has_every_file_of_a_large_load(spark, tables):
+    layers = SalesLayers(tables)
+    text = F.expr("if(id % 1000 = 7, '{bad', '{}')").alias("value")
+    layers.append_lines(spark.range(12_000).select(text, F.format_string("f%05d", "id").alias("source_filename")), "20260101-many")
+    log = layers.load_log()
+    assert log.where("source_filename is not null and n_lines = 1").count() == 12_000
+    bad = [r.source_filename for r in log.where("source_filename is not null and n_bad = 1").collect()]
+    assert sorted(bad) == [f"f{i:05d}" for i in range(7, 12_000, 1000)]
+    assert [(r.n_lines, r.n_bad) for r in log.where("source_filename is null").collect()] == [(12_000, 12)]
