@@ -165,7 +165,7 @@ ogl | open government | open government licen[cs]e
 dl-de-by-2.0 | datenlizenz | datenlizenz deutschland namensnennung (version )?2\.0
 llama-3 | llama 3 | (meta )?llama 3(\.\d)? community license
 llama-2 | llama 2 | llama 2 community license
-openrail | openrail | (creativeml )?open ?rail( m)?( license)?
+openrail | rail | (creativeml )?open ?rail( m)?( license)?
 bigscience-rail | bigscience | bigscience rail license
 gemma | gemma | gemma terms of use
 proprietary | proprietary | proprietary license
@@ -191,11 +191,11 @@ mit | free of charge | permission is hereby granted free of charge to any person
 isc | permission to use | permission to use copy modify and or distribute this software for any purpose
 bsd | redistribution and use | redistribution and use in source and binary forms with or without modification
 bsd-3-clause | endorse or promote | neither the name of .{1,80}? may be used to endorse or promote products
-apache-2.0 | apache\.org | https? www apache org licenses license 2 0
-gpl | free software foundation | redistribute it and or modify it under the terms of the gnu general public license
+apache-2.0 | apache org | https? www apache org licenses license 2 0
+gpl | redistribute it | redistribute it and or modify it under the terms of the gnu general public license
 gpl-or-later | any later version | either version \d(\.\d)? of the license or at your option any later version
-lgpl | free software foundation | under the terms of the gnu lesser general public license
-mpl-2.0 | mozilla\.org | https? mozilla org mpl 2 0
+lgpl | lesser general public | under the terms of the gnu lesser general public license
+mpl-2.0 | mozilla org | https? mozilla org mpl 2 0
 zlib | as is | this software is provided as is without any express or implied warranty
 unlicense | unencumbered | this is free and unencumbered software released into the public domain
 bsl-1.0 | boost | distributed under the boost software license

@@ -82,3 +82,48 @@ def test_repeated_rows_null_ids_and_an_empty_table(spark):
     docs = frame(spark, ["mit license", "mit license", None], ids=[None, 1, 1])
     assert sorted((r.doc_id or 0, r.labels) for r in license_scan.license_scan(docs).collect()) == [(0, "mit"), (1, ""), (1, "mit")]
     assert license_scan.license_scan(docs.limit(0)).collect() == []
+
+
+def expansions(pattern):
+    """Texts that a line's pattern takes, with every optional part in and out, " ?" as a space or nothing."""
+    import re._parser as parser
+
+    def of(items):
+        found = [""]
+        for kind, value in items:
+            name = str(kind)
+            if name == "LITERAL":
+                parts = [chr(value)]
+            elif name in ("MAX_REPEAT", "MIN_REPEAT"):
+                low, _, body = value
+                inner = of(body)
+                parts = [x * max(low, 1) for x in inner] + [""] * (low == 0)
+            elif name == "SUBPATTERN":
+                parts = of(value[3])
+            elif name == "BRANCH":
+                parts = [x for branch in value[1] for x in of(branch)]
+            elif name == "IN":
+                parts = ["1" if str(k) == "CATEGORY" else chr(v) for k, v in value]
+            else:
+                assert name == "ANY"
+                parts = ["x"]
+            found = [a + b for a in found for b in parts]
+        return found
+    return of(parser.parse(pattern))
+
+
+def test_every_expansion_of_a_pattern_has_its_keyword():
+    lost = []
+    for label, keyword, pattern in license_rules._lines(license_rules.NAMES) + license_rules._lines(license_rules.NOTICES):
+        compiled, keyword = license_rules._compiled(pattern), keyword.replace("\\", "")
+        for text in expansions(pattern):
+            for written in (text, text.replace(" ", "-"), text.replace(" ", "\n")):
+                assert compiled.search(written), (pattern, written)
+                if keyword not in license_scan.found_keywords(written.encode()):
+                    lost.append((label, keyword, written))
+    assert not lost
+
+
+@pytest.mark.parametrize("text", ["CreativeML Open RAIL-M License", "Licensed under the OpenRAIL license", "open rail", "OpenRAIL-M"])
+def test_openrail_in_every_spelling(text):
+    assert {d[2] for d in license_scan.detect(lowered(text).encode())} == {"openrail"}
