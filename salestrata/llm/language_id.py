@@ -10,8 +10,9 @@ centroid than the centroid's own sample: 1 - cosine over ``SLACK`` times the
 
 Learning reads documents with a text and a language whose crc32 of doc_id, modulo
 4, is not 2.  Document frequencies come from all of them.  The clustering uses a bounded
-sample: about ``SAMPLE`` texts per language, chosen by a hash of the id, of the
-``LANGUAGES`` languages with the most texts.
+sample of the ``LANGUAGES`` languages with the most texts: rows of one id, language and text
+are one, and at most ``SAMPLE`` per language are taken, those with the smallest
+salted hash of all three.
 
 A null text, or one without a letter, is ``und`` with score 0.  A text whose
 letters share no n-gram with any language gets the first language by name, with
@@ -29,17 +30,18 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from salestrata.llm import ngram_vectors
 from salestrata.llm.ngram_vectors import BUCKETS
-from salestrata.llm.shared import in_tasks
+from salestrata.llm.shared import cut, in_tasks, one_text_each
 from salestrata.llm.textkit import plain_array, row_blocks
 
 UNKNOWN = "und"
 CENTROIDS = 4
 SAMPLE = 400
+SALT = 2
 LANGUAGES = 1000
 ROUNDS = 8
 RADIUS = 0.99
@@ -121,6 +123,23 @@ def _clustering(weights: np.ndarray):
     return of_language
 
 
+def training_sample(train: DataFrame, sample: int) -> DataFrame:
+    """``(lang, text)``, at most ``sample`` of a language, of rows ``(of_id, lang, text)``."""
+    keyed = train.select(F.xxhash64(F.lit(SALT), "of_id", "lang", "text").alias("key"), "lang", "text")
+    distinct = cut(keyed.select("lang", "key").distinct())
+    # rows of two hashes; a little more than the sample passes, so that it is full and no language is sorted whole
+    share = (distinct.groupBy(F.col("lang").alias("of")).agg(F.count("*").alias("n"))
+             .orderBy(F.desc("n"), "of").limit(LANGUAGES)
+             .select("of", F.least(F.lit(1.0), F.lit(float(2 * sample + 100)) / F.col("n")).alias("share")))
+    near = (distinct.join(F.broadcast(share), F.col("lang") == F.col("of"))
+            .where(f"pmod(key, {1 << 52}) <= share * {1 << 52}"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.expr(f"pmod(key, {1 << 52})"), "key"))
+    # ``LANGUAGES * sample`` rows at most, sent to the texts rather than the texts to them
+    chosen = cut(near.withColumn("place", place).where(F.col("place") <= sample).select("key", "lang"))
+    texts = one_text_each(keyed.select("key", "text").join(F.broadcast(chosen.select("key")), "key"))
+    return texts.join(chosen, "key").select("lang", "text")
+
+
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Centroids | None:
     """The centroids of the documents that are not held out."""
     train = docs.where(f"text is not null and lang is not null and not {HELD_OUT}").select(
@@ -132,13 +151,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Centroids | None:
     if not n[0]:
         return None
     weights = np.log((1 + n[0]) / (1 + n[1:])) + 1
-    share = (train.groupBy(F.col("lang").alias("of")).agg(F.count("*").alias("n"))
-             .orderBy(F.desc("n"), "of").limit(LANGUAGES)
-             .select("of", F.least(F.lit(1.0), F.lit(float(sample)) / F.col("n")).alias("share")))
-    # LANGUAGES rows at most, sent to the texts rather than the texts to them
-    chosen = (train.join(F.broadcast(share), F.col("lang") == F.col("of"))
-              .where("pmod(xxhash64(of_id), 1000000) < share * 1000000").select("lang", "text"))
-    found = (in_tasks(chosen, _sampled, "lang string, counts binary").groupBy("lang")
+    found = (in_tasks(training_sample(train, sample), _sampled, "lang string, counts binary").groupBy("lang")
              .applyInPandas(_clustering(weights), "lang string, vector binary, radius double").toPandas())
     found = found.sort_values(["lang", "radius", "vector"])  # CENTROIDS rows per language
     if not len(found):

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from salestrata.llm.shared import columns, cut, in_tasks
+from salestrata.llm.shared import columns, cut, in_tasks, one_text_each
 from salestrata.llm.textkit import (
     ALNUM,
     mix,
@@ -45,6 +45,7 @@ from salestrata.llm.textkit import (
 )
 
 LABELLED = 20_000
+SALT = 3
 FEATURES = 512
 LEAST_DOCUMENTS = 5
 STEMS = (4, 5)
@@ -112,16 +113,22 @@ def _word_lists(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, bound: int) -> DataFrame:
-    """``(toxic, words)`` of about ``bound`` labelled documents, half of either class."""
+    """``(toxic, words)`` of at most ``bound`` labelled texts, half of either class; rows of one
+    id and text are one.  Those with the smallest salted hash of id and text are taken."""
     labelled = (labels.where("doc_id is not null and toxic is not null")
                 .groupBy(F.col("doc_id").alias("labelled_id")).agg(F.max("toxic").alias("toxic")))
-    share = labelled.groupBy("toxic").agg(F.least(F.lit(1.0), F.lit(bound / 2) / F.count("*")).alias("share"))
-    chosen = (labelled.join(share.withColumnRenamed("toxic", "of"), F.col("toxic") == F.col("of"))
-              .where("pmod(xxhash64(labelled_id), 1000000) < share * 1000000").select("labelled_id", "toxic"))
-    # about ``bound`` rows of two numbers, sent to the texts rather than the texts to them
-    texts = docs.select(F.col("doc_id").alias("text_id"), "text").join(
-        F.broadcast(chosen), F.col("text_id") == F.col("labelled_id")).select(F.expr("int(toxic > 0)").alias("toxic"), "text")
-    return cut(in_tasks(texts, _word_lists, "toxic int, words array<long>"))
+    keyed = docs.where("doc_id is not null").select(
+        F.col("doc_id").alias("text_id"), F.xxhash64(F.lit(SALT), "doc_id", "text").alias("key"), "text")
+    # two hashes a row are joined, no text; a repeated id is one row per text of its own
+    pairs = cut(keyed.select("text_id", "key").distinct().join(labelled, F.col("text_id") == F.col("labelled_id"))
+                .select("key", F.expr("int(toxic > 0)").alias("toxic")))
+    most = bound // 2
+    chosen = cut(pairs.where("toxic > 0").orderBy("key").limit(most)
+                 .union(pairs.where("toxic <= 0").orderBy("key").limit(most)))
+    # ``bound`` rows of two numbers, sent to the texts rather than the texts to them
+    texts = one_text_each(keyed.select("key", "text").join(F.broadcast(chosen.select("key")), "key"))
+    return cut(in_tasks(texts.join(F.broadcast(chosen), "key").select("toxic", "text"), _word_lists,
+                        "toxic int, words array<long>"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, bound: int = LABELLED) -> Ordinal:

@@ -73,3 +73,11 @@ def test_nothing_to_learn_and_an_empty_table(spark, docs):
         found = language_id.language_id(none)
         assert all(r.lang_pred == "und" for r in found.collect())
     assert language_id.language_id(frame(spark, [None, "ab"], ids=[None, None], langs=["en", "en"])).count() == 2
+
+
+def test_a_repeated_id_does_not_fill_the_sample(spark, docs):
+    many = spark.range(3000).selectExpr("null as of_id", "'en' as lang", "if(id < 2000, 'over and over', 'text ' || id) as text")
+    train = docs.selectExpr("doc_id as of_id", "lang", "text").union(many)
+    rows = language_id.training_sample(train, 50).collect()
+    assert Counter(r.lang for r in rows) == dict.fromkeys(["de", "en", "es", "fr"], 50)
+    assert sum(r.text == "over and over" for r in rows) <= 1

@@ -64,3 +64,12 @@ def test_without_both_classes_nothing_is_toxic(spark, labelled):
     assert len(found) == 3
     assert all(r.severity == 0 and not r.toxic for r in found)
     assert toxicity.toxicity(docs.limit(0), labels).collect() == []
+
+
+def test_a_repeated_id_does_not_fill_the_sample(spark):
+    docs = frame(spark, ["same text"] * 500 + [f"text {i}" for i in range(500)] + [f"bad {i}" for i in range(300)],
+                 ids=[0] * 1000 + list(range(1, 301)))
+    labels = spark.createDataFrame([(i, 1, int(i > 0)) for i in range(301)], "doc_id long, quality int, toxic int")
+    rows = toxicity.training_rows(docs, labels, bound=200).collect()
+    assert sorted(r.toxic for r in rows) == [0] * 100 + [1] * 100
+    assert len({tuple(r.words) for r in rows}) > 150
