@@ -5,7 +5,8 @@ in one piece, nor a letter and a mark other than an apostrophe.  So a text falls
 apart in front of each ASCII white space that follows a character that is no
 white space, and in front of ASCII marks after a letter.  Each distinct chunk
 that a worker meets is encoded once with the library; the ids of a text are
-those of its chunks in order.
+those of its chunks in order.  The string of a special token in a text is text:
+the library's ``encode_special_tokens`` is set, which is not its default.
 """
 
 from __future__ import annotations
