@@ -14,6 +14,7 @@ from salestrata.llm import (
     language_id,
     license_scan,
     pieces,
+    prefix_trie,
     quality_rules,
     simhash,
     token_files,
@@ -81,10 +82,16 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_scan(documents(spark, sf_dir)).drop("detections")
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.turns(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return prefix_trie.prefix_trie(prefix_trie.regrafted(turns, every=20, most=4)).drop("k1", "k2")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_token_files, op2_language_id, op3_toxicity, op4_quality_rules, op5_simhash,
         op6_weak_quality, op7_pieces, op8_chat, op9_decontaminate, op10_license_scan,
+        op12_prefix_trie,
     )}
 
 
@@ -140,5 +147,46 @@ FROM told
 """
 
 
+# crc32 of an id's decimal digits, a bit at a time: -1 stands for the eight steps behind a byte.
+_CRC32 = """
+xor(list_reduce(list_concat([4294967295], flatten(list_transform(range(1, length(d) + 1),
+        i -> [ascii(d[i])::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    (crc, x) -> CASE WHEN x >= 0 THEN xor(crc, x) ELSE xor(crc >> 1, 3988292384 * (crc & 1)) END), 4294967295)
+"""
+
+_PREFIX_TRIE = f"""
+WITH own AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS p
+    FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (SELECT conv_id, conv_id - conv_id % 20 AS base, {_CRC32} % 4 AS h
+          FROM (SELECT DISTINCT conv_id, conv_id::VARCHAR AS d FROM own)),
+rebuilt AS (
+    SELECT c.conv_id, 0 AS side, p, role, text FROM convs c JOIN own o ON o.conv_id = base AND p <= h
+    UNION ALL
+    SELECT conv_id, 1, p, role, text FROM convs JOIN own USING (conv_id) WHERE p > h),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY side, p) AS d FROM rebuilt),
+paths AS (
+    SELECT conv_id, d, text, string_agg(md5(length(role) || ':' || role || text), '')
+        OVER (PARTITION BY conv_id ORDER BY d) AS k FROM numbered
+    UNION ALL SELECT conv_id, 0, '', '' FROM convs),
+nodes AS (
+    SELECT k, any_value(d) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+        (count(*) - 1) * len(regexp_extract_all(any_value(text), '[^\x20\x09-\x0D]+')) AS saved
+    FROM paths GROUP BY k),
+children AS (SELECT left(k, length(k) - 32) AS k, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL),
+below AS (
+    SELECT a.k, sum((c.n IS NULL)::INT) AS n_leaves, sum(saved) AS saved_tokens
+    FROM nodes v LEFT JOIN children c USING (k) JOIN paths a ON a.conv_id = v.conv_id AND a.d <= v.depth GROUP BY a.k),
+ends AS (
+    SELECT k, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids FROM paths
+    JOIN (SELECT conv_id, max(d) AS d FROM paths GROUP BY conv_id) USING (conv_id, d) GROUP BY k)
+SELECT v.conv_id, v.depth::BIGINT AS depth, u.conv_id AS parent_conv_id, v.n_convs, coalesce(n, 0)::BIGINT AS n_children,
+    n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM nodes v JOIN below USING (k) LEFT JOIN children USING (k) LEFT JOIN ends USING (k)
+LEFT JOIN nodes u ON v.depth > 0 AND u.k = left(v.k, length(v.k) - 32)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op8_chat": _CHAT, "op9_decontaminate": _DECONTAMINATE}
+    return {"op8_chat": _CHAT, "op9_decontaminate": _DECONTAMINATE, "op12_prefix_trie": _PREFIX_TRIE}
