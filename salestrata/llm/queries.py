@@ -150,8 +150,8 @@ FROM told
 # crc32 of an id's decimal digits, a bit at a time: -1 stands for the eight steps behind a byte.
 _CRC32 = """
 xor(list_reduce(list_concat([4294967295], flatten(list_transform(range(1, length(d) + 1),
-        i -> [ascii(d[i])::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
-    (crc, x) -> CASE WHEN x >= 0 THEN xor(crc, x) ELSE xor(crc >> 1, 3988292384 * (crc & 1)) END), 4294967295)
+        lambda i: [ascii(d[i])::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda crc, x: CASE WHEN x >= 0 THEN xor(crc, x) ELSE xor(crc >> 1, 3988292384 * (crc & 1)) END), 4294967295)
 """
 
 _PREFIX_TRIE = f"""
