@@ -5,13 +5,16 @@ in one piece, nor a letter and a mark other than an apostrophe.  So a text falls
 apart in front of each ASCII white space that follows a character that is no
 white space, and in front of ASCII marks after a letter.  Each distinct chunk
 that a worker meets is encoded once with the library; the ids of a text are
-those of its chunks in order.  The string of a special token in a text is text:
-the library's ``encode_special_tokens`` is set, which is not its default.
+those of its chunks in order.  The string of an added token in a text is that token, as
+for the library: texts are cut in front of and behind it first.  With ``plain`` it is
+text like any other (the library's ``encode_special_tokens``).
 """
 
 from __future__ import annotations
 
+import json
 import os
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -40,16 +43,26 @@ MOST = 600_000
 
 
 @lru_cache(1)
-def chunk_tokenizer(path: str) -> ChunkTokenizer:
+def chunk_tokenizer(path: str, plain: bool = False) -> ChunkTokenizer:
     """One for all tasks of a worker, so that its table serves all of them."""
-    return ChunkTokenizer(path)
+    return ChunkTokenizer(path, plain)
+
+
+def _added(tokenizer: Tokenizer) -> re.Pattern | None:
+    """The strings of the added tokens, the longest of those that begin at one place."""
+    tokens = json.loads(tokenizer.to_str())["added_tokens"]
+    if any(t["lstrip"] or t["rstrip"] or t["single_word"] or (t["normalized"] and tokenizer.normalizer) for t in tokens):
+        raise ValueError("this tokenizer's added tokens reach beyond their strings")
+    strings = sorted((t["content"].encode() for t in tokens if t["content"]), key=len, reverse=True)
+    return re.compile(b"|".join(map(re.escape, strings))) if strings else None
 
 
 class ChunkTokenizer:
-    def __init__(self, path: str):
+    def __init__(self, path: str, plain: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks run side by side already
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are text
+        self.added = None if plain else _added(self.tokenizer)
+        self.tokenizer.encode_special_tokens = plain
         self.size = self.tokenizer.get_vocab_size()
         # A byte is one character of a piece of a byte-level vocabulary.
         self.bytes_of = np.zeros(self.size, dtype=np.int64)
@@ -93,6 +106,13 @@ class ChunkTokenizer:
             out[np.repeat(offsets[members] - (np.cumsum(n) - n), n) + np.arange(len(ids))] = ids
         return out, lengths
 
+    def _added_in(self, texts) -> list[tuple[int, int]]:
+        """Where the strings of added tokens stand; none begins in one text and ends in another."""
+        if self.added is None or not self.added.search(texts.data):
+            return []
+        at = texts.offsets.tolist()
+        return [(m.start(), m.end()) for a, b in zip(at[:-1], at[1:]) for m in self.added.finditer(texts.data, a, b)]
+
     def encode(self, column) -> tuple[np.ndarray, np.ndarray]:
         """The ids of a block of texts, one after the other, and how many each has."""
         texts = texts_of(column)
@@ -102,6 +122,9 @@ class ChunkTokenizer:
         cut[1:-1] = _CUT[(kind[:-1] << 3) | kind[1:]]
         high = np.flatnonzero((kind[1:] == _WHITE) & (kind[:-1] == _HIGH)) + 1
         cut[high[data[high - 2] == _LATIN]] = True
+        for low, end in self._added_in(texts):
+            cut[low:end] = False
+            cut[[low, end]] = True
         cut[texts.offsets] = True
         cut[-1] = False
         starts = np.flatnonzero(cut)

@@ -4,7 +4,7 @@ No piece has a space marker after another character.  So a text falls apart, in
 of spaces, into marked words that are segmented independently.  Each block of
 documents is cut into such chunks, every distinct chunk is encoded once with the
 library, and a document's ids are those of its chunks, joined by their position.
-The table of distinct chunks is a task's own, of bounded size, so nothing is shuffled.
+The table of distinct chunks is a Python worker's own, of bounded size, so nothing is shuffled.
 
 The result is that of the library's ``encode`` of the whole text with an end id,
 and of its ``decode`` of all ids.  The model must not change, trim or join what it
@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -74,8 +75,15 @@ def chunk_table(processor: sentencepiece.SentencePieceProcessor) -> ChunkTable:
     return ChunkTable(encode, CHUNKS)
 
 
-def encode_block(table: ChunkTable, end: int, column) -> pa.ListArray:
-    """The ids of every text, the end id last."""
+@lru_cache(1)
+def piece_encoder(model: str) -> tuple[sentencepiece.SentencePieceProcessor, ChunkTable]:
+    """One for all tasks of a worker."""
+    processor = load(model)
+    return processor, chunk_table(processor)
+
+
+def ids_of(table: ChunkTable, column) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of every text one after the other, and where each text's begin; the last place is their number."""
     texts = texts_of(column)
     starts = chunk_starts(texts)
     # The chunks as Arrow binaries over the block's own bytes.
@@ -92,15 +100,19 @@ def encode_block(table: ChunkTable, end: int, column) -> pa.ListArray:
             codes[chunk] = len(distinct)
             distinct.append(texts.data[bounds[chunk]:bounds[chunk + 1]].tobytes())
     joined, lengths = table.joined(table.rows(distinct)[codes])
-    total = np.concatenate(([0], np.cumsum(lengths)))[first_of]
+    return joined, np.concatenate(([0], np.cumsum(lengths)))[first_of]
+
+
+def encode_block(table: ChunkTable, end: int, column) -> pa.ListArray:
+    """The ids of every text, the end id last."""
+    joined, total = ids_of(table, column)
     with_end = np.insert(joined.astype(np.int32), total[1:], end)
     return pa.ListArray.from_arrays((total + np.arange(len(total))).astype(np.int32), with_end)
 
 
 def _encoded(model: str, decode: bool):
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        processor = load(model)
-        table = chunk_table(processor)
+        processor, table = piece_encoder(model)
         for block in row_blocks(parts, limit=BLOCK_BYTES):
             ids = encode_block(table, processor.eos_id(), block.column("text"))
             columns = {"doc_id": block.column("doc_id"), "ids": ids}

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salestrata.llm import (
+    alignment,
     chat,
     decontaminate,
     language_id,
@@ -82,6 +83,10 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_scan(documents(spark, sf_dir)).drop("detections")
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment(documents(spark, sf_dir), BYTE_BPE, PIECES)
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = prefix_trie.turns(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
     return prefix_trie.prefix_trie(prefix_trie.regrafted(turns, every=20, most=4)).drop("k1", "k2")
@@ -91,7 +96,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_token_files, op2_language_id, op3_toxicity, op4_quality_rules, op5_simhash,
         op6_weak_quality, op7_pieces, op8_chat, op9_decontaminate, op10_license_scan,
-        op12_prefix_trie,
+        op11_alignment, op12_prefix_trie,
     )}
 
 

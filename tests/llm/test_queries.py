@@ -23,6 +23,8 @@ COLUMNS = {
                           "items_sha256": "string", "contaminated": "boolean"},
     "op10_license_scan": {"doc_id": "bigint", "n_words": "bigint", "n_base": "bigint", "first_word": "bigint",
                           "last_word": "bigint", "base_labels": "string", "labels": "string", "score": "double"},
+    "op11_alignment": {**dict.fromkeys(("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"), "bigint"),
+                       "groups_sha256": "string"},
     "op12_prefix_trie": {**dict.fromkeys(("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves",
                                           "saved_tokens"), "bigint"), "ends_sha256": "string"},
 }

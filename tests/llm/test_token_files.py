@@ -16,14 +16,13 @@ from salestrata.llm import huffman, token_files
 from salestrata.llm.shared import new_folder
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
-MORE = ["é\xa0 b", "a   b", "x　 y", "a\x85 b", "  \n a", "tab\t\tx", "end \n", "ß é ü  ", "中 文", "\x1f a"]
+MORE = ["é\xa0 b", "a   b", "x　 y", "a\x85 b", "  \n a", "tab\t\tx", "end \n", "ß é ü  ", "中 文", "\x1f a",
+        "end <|endoftext|> x", "<|endoftext|>", "a<|endoftext|><|endoftext|>b", " \n<|endoftext|>\n ", "<|endoftext|", "<<|endoftext|>>"]
 
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    own = Tokenizer.from_file(PATH)
-    own.encode_special_tokens = True
-    return own
+    return Tokenizer.from_file(PATH)
 
 
 def cost(counts):
@@ -104,3 +103,10 @@ def test_repeated_rows_null_ids_and_an_empty_table(spark):
     token_files.write(docs.limit(0), PATH, folder)
     assert token_files.digests(spark, folder).collect() == []
     assert token_files.read(spark, folder).collect() == []
+
+
+def test_the_string_of_an_added_token_is_that_token(spark, tokenizer):
+    assert tokenizer.encode("end <|endoftext|> x", add_special_tokens=False).ids == [437, 220, 50256, 2124]
+    folder = new_folder(spark, "tokens")
+    token_files.write(frame(spark, ["end <|endoftext|> x"]), PATH, folder)
+    assert token_files.read(spark, folder).first().ids == [437, 220, 50256, 2124, 0]
