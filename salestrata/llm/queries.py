@@ -15,6 +15,7 @@ from salestrata.llm import (
     language_id,
     license_scan,
     pieces,
+    pii,
     prefix_trie,
     quality_rules,
     simhash,
@@ -92,11 +93,16 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(prefix_trie.regrafted(turns, every=20, most=4)).drop("k1", "k2")
 
 
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(documents(spark, sf_dir))
+    return found.withColumn("base_sha256", F.sha2("base_spans", 256)).drop("base_spans")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_token_files, op2_language_id, op3_toxicity, op4_quality_rules, op5_simhash,
         op6_weak_quality, op7_pieces, op8_chat, op9_decontaminate, op10_license_scan,
-        op11_alignment, op12_prefix_trie,
+        op11_alignment, op12_prefix_trie, op13_pii,
     )}
 
 

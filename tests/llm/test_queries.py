@@ -27,6 +27,8 @@ COLUMNS = {
                        "groups_sha256": "string"},
     "op12_prefix_trie": {**dict.fromkeys(("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves",
                                           "saved_tokens"), "bigint"), "ends_sha256": "string"},
+    "op13_pii": {**dict.fromkeys(("doc_id", "n_email", "n_ip", "n_card", "n_phone"), "bigint"), "base_sha256": "string",
+                 "spans": "string"},
 }
 
 
