@@ -12,16 +12,17 @@ and ``seq`` give its place, ``ids_before`` the ids of its part in front of it, `
 little-endian 64-bit numbers.  A reader may start at any checkpoint.
 
 Parts, chunks in a part and documents in a chunk are in ascending order of doc_id
-(null first; rows of one id by a hash of their text, then by the text).  Each document's ids end with ``END``.
+(null first; rows of one id by a hash of their text, then by its ids).  Each document's ids end with ``END``.
 
-Writing: texts are sorted into ranges of doc_id and encoded once; the ids are kept as
-plain chunks until the counts of all of them have given the code, and are then written
-as codes.  The range bounds use the text's hash as well, so one id with many rows is spread over
+Writing: texts are encoded where they lie and their ids written, with the counts of all ids of a
+task, in one pass.  The summed counts give the code; then the ids, not the texts, are sorted into ranges of
+doc_id and coded.  The range bounds use the text's hash as well, so one id with many rows is spread over
 parts.  Only the counts (at most one row per id of the vocabulary) and the sizes
 of the parts reach the driver.
 
 A null or empty text is the end id alone.  Repeated rows are written each, other
-columns are not looked at, and an empty table gives an empty codebook and no chunks.
+columns are not looked at, and an empty table gives an empty codebook and no chunks.  A long text
+takes some twenty times its size in the task that encodes it, and is one row and one chunk.
 """
 
 from __future__ import annotations
@@ -42,44 +43,34 @@ from salestrata.llm.textkit import row_blocks
 
 END = 0
 CHUNK = 1 << 20
-_PLAIN = ("part int, seq int, ids_before long, doc_ids array<long>, n_ids array<long>, ids binary")
+_IDS = "doc_id long, hash long, ids binary, seen array<int>, times array<long>"
 _CODED = ("part int, seq int, ids_before long, doc_ids array<long>, n_ids array<long>, "
           "stream binary, checkpoints binary")
 
 
-def _with_end(ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return np.insert(ids, np.cumsum(counts), END), counts + 1
-
-
 def _tokenizing(path: str):
-    """Plain chunks of a part's texts, in their order."""
+    """The ids of each text as one binary value; last, in a row of its own, the counts of all ids of the task."""
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = chunk_tokenizer(path)
-        part, seq, before = TaskContext.get().partitionId(), 0, 0
+        total = np.zeros(max(tokenizer.size, END + 1), dtype=np.int64)
         for block in row_blocks(parts, limit=BLOCK_BYTES):
-            ids, counts = _with_end(*tokenizer.encode(block.column("text")))
-            ends = np.cumsum(counts)
-            low = 0
-            while low < len(counts):
-                base = ends[low - 1] if low else 0
-                high = max(low + 1, int(np.searchsorted(ends, base + CHUNK, side="right")))
-                n = int(ends[high - 1] - base)
-                yield pa.RecordBatch.from_pydict({
-                    "part": pa.array([part], pa.int32()), "seq": pa.array([seq], pa.int32()),
-                    "ids_before": pa.array([before], pa.int64()),
-                    "doc_ids": pa.array([block.column("doc_id").slice(low, high - low).to_pylist()], pa.list_(pa.int64())),
-                    "n_ids": pa.array([counts[low:high]], pa.list_(pa.int64())),
-                    "ids": pa.array([ids[base:base + n].tobytes()], pa.binary()),
-                })
-                seq, before, low = seq + 1, before + n, high
+            ids, counts = tokenizer.encode(block.column("text"))
+            total += np.bincount(ids, minlength=len(total))
+            total[END] += len(counts)
+            none = pa.nulls(len(counts), pa.list_(pa.int32())), pa.nulls(len(counts), pa.list_(pa.int64()))
+            bounds = np.concatenate(([0], np.cumsum(counts))) * ids.dtype.itemsize
+            yield pa.RecordBatch.from_arrays(
+                [block.column("doc_id"), block.column("hash"),
+                 pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(ids)]),
+                 *none], names=["doc_id", "hash", "ids", "seen", "times"])
+        seen = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays(
+            [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()),
+             pa.array([seen], pa.list_(pa.int32())), pa.array([total[seen]], pa.list_(pa.int64()))],
+            names=["doc_id", "hash", "ids", "seen", "times"])
     return batches
 
 
-def _plain_ids(row) -> np.ndarray:
-    raw, n = row["ids"], sum(row["n_ids"])
-    return np.frombuffer(raw, dtype="<u2" if len(raw) == 2 * n else "<u4")
-
-
 def _rows(parts: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     """Row by row: a chunk is as much as a task holds at a time."""
     for part in parts:
@@ -87,30 +78,29 @@ def _rows(parts: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             yield part.slice(i, 1).to_pylist()[0]
 
 
-def _counting(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(0, dtype=np.int64)
-    for row in _rows(parts):
-        counts = np.bincount(_plain_ids(row))
-        if len(counts) > len(total):
-            total, counts = counts, total
-        total[:len(counts)] += counts
-    seen = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32)), pa.array(total[seen])], names=["id", "n"])
-
-
-def _coding(broadcast):
+def _coding(broadcast, dtype: str):
+    """Chunks of whole documents from rows in order."""
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         book = broadcast.value
-        for row in _rows(parts):
-            stream, checkpoints = huffman.encode(book, _plain_ids(row))
+        width = np.dtype(dtype).itemsize
+        part, seq, before = TaskContext.get().partitionId(), 0, 0
+        for block in row_blocks(parts, "ids", CHUNK * width):
+            column = block.column("ids")
+            bounds = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1]
+            raw = column.buffers()[2]
+            plain = np.frombuffer(raw[int(bounds[0]):int(bounds[-1])] if raw else b"", dtype)
+            ends = (bounds[1:] - bounds[0]) // width
+            counts = np.diff(ends, prepend=0).astype(np.int64) + 1
+            stream, checkpoints = huffman.encode(book, np.insert(plain, ends, END))
             yield pa.RecordBatch.from_pydict({
-                "part": pa.array([row["part"]], pa.int32()), "seq": pa.array([row["seq"]], pa.int32()),
-                "ids_before": pa.array([row["ids_before"]], pa.int64()),
-                "doc_ids": pa.array([row["doc_ids"]], pa.list_(pa.int64())),
-                "n_ids": pa.array([row["n_ids"]], pa.list_(pa.int64())),
+                "part": pa.array([part], pa.int32()), "seq": pa.array([seq], pa.int32()),
+                "ids_before": pa.array([before], pa.int64()),
+                "doc_ids": pa.array([block.column("doc_id").to_pylist()], pa.list_(pa.int64())),
+                "n_ids": pa.array([counts], pa.list_(pa.int64())),
                 "stream": pa.array([stream], pa.binary()),
                 "checkpoints": pa.array([checkpoints.astype("<u8").tobytes()], pa.binary()),
             })
+            seq, before = seq + 1, before + int(counts.sum())
     return batches
 
 
@@ -118,21 +108,22 @@ def write(docs: DataFrame, tokenizer: str, folder: str) -> None:
     """Writes the documents' ids to ``folder``."""
     spark = docs.sparkSession
     plain = new_folder(spark, "plain-ids")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    order = ["doc_id", F.xxhash64("text"), "text"]
-    _compact(in_tasks(texts.repartitionByRange(*order[:2]).sortWithinPartitions(*order),
-                      _tokenizing(tokenizer), _PLAIN), plain)
-    chunks = spark.read.schema(_PLAIN).parquet(plain)
-    counted = (in_tasks(chunks.select("n_ids", "ids"), _counting, "id int, n long")
-               .groupBy("id").agg(F.sum("n").alias("n")).toArrow())  # a row per id of the vocabulary
-    ids = counted.column("id").to_numpy()
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("hash"), "text")
+    in_tasks(texts, _tokenizing(tokenizer), _IDS).write.option("compression", "zstd").parquet(plain)
+    rows = spark.read.schema(_IDS).parquet(plain)
+    counted = (rows.where("seen is not null").select(F.explode(F.arrays_zip("seen", "times")).alias("x"))
+               .groupBy("x.seen").agg(F.sum("x.times").alias("n")).toArrow())  # a row per id of the vocabulary
+    ids = counted.column("seen").to_numpy()
     counts = np.zeros(int(ids.max(initial=-1)) + 1, dtype=np.int64)
     counts[ids] = counted.column("n").to_numpy()
     lengths = huffman.code_lengths(counts)
     spark.createDataFrame([(int(i), int(lengths[i])) for i in np.flatnonzero(lengths)],
                           "id int, length int").coalesce(1).write.parquet(f"{folder}/codebook")
     book = spark.sparkContext.broadcast(huffman.Codebook(lengths))
-    _compact(in_tasks(chunks, _coding(book), _CODED), f"{folder}/chunks")
+    order = ["doc_id", "hash", "ids"]
+    ranged = rows.where("seen is null").select(*order).repartitionByRange(*order[:2]).sortWithinPartitions(*order)
+    _compact(in_tasks(ranged.select("doc_id", "ids"), _coding(book, chunk_tokenizer(tokenizer).dtype.str), _CODED),
+             f"{folder}/chunks")
     remove(spark, plain)
 
 
