@@ -220,7 +220,8 @@ def components(edges: DataFrame) -> DataFrame:
 
     def star(e: DataFrame, larger: bool) -> DataFrame:
         near = both(e) if larger else e.selectExpr("greatest(a, b) as a", "least(a, b) as b")
-        least = near.groupBy("a").agg(F.min("b").alias("m")).selectExpr("a as of", "least(a, m) as m")
+        # kept, so that the join deals both sides out and splits the root of a large component
+        least = cut(near.groupBy("a").agg(F.min("b").alias("m")).selectExpr("a as of", "least(a, m) as m"))
         joined = near.join(least, F.col("a") == F.col("of"))
         if larger:
             moved = joined.where("b > a").selectExpr("b as a", "m as b")
@@ -266,22 +267,23 @@ def keep_one(docs: DataFrame, distance: int = MAX_DISTANCE) -> DataFrame:
     smallest id, and of rows with that same id, or of rows in a component without
     ids, the least by their columns."""
     found = cut(near_duplicates(docs, distance))
-    kept = (found.where("doc_id = component_id").groupBy(F.col("doc_id").alias("kept_id"))
-            .agg(F.count("*").alias("rows")))
+    heads = found.where("doc_id <=> component_id")
+    repeated = cut(found.where("doc_id is not null").groupBy(F.col("doc_id").alias("of_id")).agg(F.count("*").alias("n"))
+                   .where("n > 1").select("of_id"))
     whole = docs.select(F.struct(*columns(docs.columns)).alias("row"))
-    same = F.col("row.doc_id").cast("long") == F.col("kept_id")
+    own_id = F.col("row.doc_id").cast("long")
+    once = heads.where("doc_id is not null").join(repeated, F.col("doc_id") == F.col("of_id"), "left_anti")
+    result = whole.join(once.select("doc_id"), own_id == F.col("doc_id"), "left_semi")
+    # Rows that their id does not tell apart are told apart by their fingerprint.
+    unclear = heads.where("doc_id is null").union(heads.join(repeated, F.col("doc_id") == F.col("of_id"), "left_semi"))
+    if unclear.isEmpty():
+        return result.select("row.*")
+    some = whole.where("row.doc_id is null").union(whole.join(repeated, own_id == F.col("of_id"), "left_semi"))
+    printed = in_tasks(some.select("row", "row.text"), _fingerprints,
+                       StructType([StructField("row", docs.schema), StructField("fingerprint", LongType())]))
     least = F.min("row").alias("row")
-    repeated = kept.where("rows > 1")
-    if repeated.isEmpty():
-        result = whole.join(kept, same, "left_semi")
-    else:
-        result = whole.join(kept.where("rows = 1"), same, "left_semi").union(
-            whole.join(repeated, same, "left_semi").groupBy("row.doc_id").agg(least).select("row"))
-    nameless = (found.where("component_id is null")
-                .select(F.conv("fingerprint", 16, -10).cast("long").alias("of_print"), "component").distinct())
-    if not nameless.isEmpty():
-        printed = in_tasks(whole.where("row.doc_id is null").select("row", "row.text"), _fingerprints,
-                           StructType([StructField("row", docs.schema), StructField("fingerprint", LongType())]))
-        result = result.union(printed.join(nameless, F.col("fingerprint") == F.col("of_print"))
-                              .groupBy("component").agg(least).select("row"))
-    return result.select("row.*")
+    printed = printed.groupBy("fingerprint", F.col("row.doc_id").cast("long").alias("own_id")).agg(least)
+    of_print = unclear.select(F.conv("fingerprint", 16, -10).cast("long").alias("of_print"), "doc_id", "component").distinct()
+    chosen = printed.join(of_print, (F.col("fingerprint") == F.col("of_print"))
+                          & F.col("own_id").eqNullSafe(F.col("doc_id"))).groupBy("component").agg(least)
+    return result.union(chosen.select("row")).select("row.*")

@@ -102,6 +102,33 @@ def test_documents_without_an_id(spark):
         (-1, "quite"), (5, "alpha"), (9, "third")]
 
 
+def test_repeated_ids_lose_no_component(spark):
+    one, same, other, third = ("alpha beta gamma delta epsilon", "alpha beta  gamma delta epsilon",
+                               "quite another text with other words in it", "a third unrelated sentence stands here alone")
+    for rows, want in (
+            ([(3, one), (3, other), (9, third)], [(3, one), (3, other), (9, third)]),  # across two components
+            ([(3, one), (3, other), (3, third)], [(3, one), (3, other), (3, third)]),  # across three
+            ([(3, one), (3, same), (4, one)], [(3, same)]),  # within one: the least row
+            ([(1, one), (3, same), (3, other)], [(1, one), (3, other)]),  # named by another id in one of them
+            ([(None, one), (None, other), (3, other), (3, third)], [(None, one), (3, other), (3, third)]),
+            ([(None, one), (5, one), (5, other), (None, third), (None, third)], [(5, one), (5, other), (None, third)])):
+        docs = frame(spark, [t for _, t in rows], ids=[i for i, _ in rows], langs=["en"] * len(rows))
+        kept = sorted(((r.doc_id, r.text) for r in simhash.keep_one(docs).collect()), key=str)
+        assert kept == sorted(want, key=str), rows
+
+
+def test_a_tenth_of_the_ids_repeated(spark, texts):
+    ids = [i if i % 10 else i // 20 * 20 for i in range(len(texts))]
+    kept = simhash.keep_one(frame(spark, texts, ids=ids)).collect()
+    components = brute_components([fingerprint(t) for t in texts])
+    of = dict(zip(texts, components))
+    assert len(kept) == len(set(components)) == len({of[r.text] for r in kept})
+    least = {}
+    for i, c in zip(ids, components):
+        least[c] = min(i, least.get(c, i))
+    assert all(r.doc_id == least[of[r.text]] for r in kept)
+
+
 def test_empty_table(spark):
     docs = frame(spark, ["a"]).limit(0)
     assert simhash.near_duplicates(docs).collect() == []
