@@ -10,13 +10,14 @@ centroid than the centroid's own sample: 1 - cosine over ``SLACK`` times the
 
 Learning reads documents with a text and a language whose crc32 of doc_id, modulo
 4, is not 2.  Document frequencies come from all of them.  The clustering uses a bounded
-sample of the ``LANGUAGES`` languages with the most texts: rows of one id, language and text
-are one, and at most ``SAMPLE`` per language are taken, those with the smallest
-salted hash of all three.
+sample: rows of one id, language and text are one, and at most ``SAMPLE`` per language are taken,
+those with the smallest salted hash of all three.  The centroids of all languages go to the
+tasks; more than ``MOST`` of them are refused, none is left out.
 
 A null text, or one without a letter, is ``und`` with score 0.  A text whose
 letters share no n-gram with any language gets the first language by name, with
-score 0, and is rejected.  If nothing can be learnt, every text is ``und``.  A null doc_id is held out
+score 0, and is rejected; of equally near centroids the one of the first language by name, then of the least
+radius, counts.  If nothing can be learnt, every text is ``und``.  A null doc_id is held out
 by no remainder: it is in the training part.  Repeated rows are judged each, other
 columns are not looked at, and an empty table gives an empty result.
 """
@@ -35,14 +36,15 @@ from pyspark.sql import functions as F
 
 from salestrata.llm import ngram_vectors
 from salestrata.llm.ngram_vectors import BUCKETS
-from salestrata.llm.shared import cut, in_tasks, one_text_each
+from salestrata.llm.shared import cut, in_tasks, one_text_each, small_side
 from salestrata.llm.textkit import plain_array, row_blocks
 
 UNKNOWN = "und"
 CENTROIDS = 4
 SAMPLE = 400
 SALT = 2
-LANGUAGES = 1000
+MOST = 1 << 15  # centroids, half a gigabyte
+_KEYS = 1 << 20  # of sampled texts, sent to all tasks
 ROUNDS = 8
 RADIUS = 0.99
 SLACK = 1.5
@@ -129,14 +131,13 @@ def training_sample(train: DataFrame, sample: int) -> DataFrame:
     distinct = cut(keyed.select("lang", "key").distinct())
     # rows of two hashes; a little more than the sample passes, so that it is full and no language is sorted whole
     share = (distinct.groupBy(F.col("lang").alias("of")).agg(F.count("*").alias("n"))
-             .orderBy(F.desc("n"), "of").limit(LANGUAGES)
              .select("of", F.least(F.lit(1.0), F.lit(float(2 * sample + 100)) / F.col("n")).alias("share")))
-    near = (distinct.join(F.broadcast(share), F.col("lang") == F.col("of"))
+    near = (distinct.join(small_side(share), F.col("lang") == F.col("of"))
             .where(f"pmod(key, {1 << 52}) <= share * {1 << 52}"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.expr(f"pmod(key, {1 << 52})"), "key"))
-    # ``LANGUAGES * sample`` rows at most, sent to the texts rather than the texts to them
+    # ``sample`` rows a language at most, sent to the texts rather than the texts to them if they are few
     chosen = cut(near.withColumn("place", place).where(F.col("place") <= sample).select("key", "lang"))
-    texts = one_text_each(keyed.select("key", "text").join(F.broadcast(chosen.select("key")), "key"))
+    texts = one_text_each(keyed.select("key", "text").join(small_side(chosen.select("key"), _KEYS), "key"))
     return texts.join(chosen, "key").select("lang", "text")
 
 
@@ -151,8 +152,11 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Centroids | None:
     if not n[0]:
         return None
     weights = np.log((1 + n[0]) / (1 + n[1:])) + 1
-    found = (in_tasks(training_sample(train, sample), _sampled, "lang string, counts binary").groupBy("lang")
-             .applyInPandas(_clustering(weights), "lang string, vector binary, radius double").toPandas())
+    centroids = cut(in_tasks(training_sample(train, sample), _sampled, "lang string, counts binary").groupBy("lang")
+                    .applyInPandas(_clustering(weights), "lang string, vector binary, radius double"))
+    if (many := centroids.count()) > MOST:
+        raise ValueError(f"{many} centroids are more than a worker should hold")
+    found = centroids.toPandas()
     found = found.sort_values(["lang", "radius", "vector"])  # CENTROIDS rows per language
     if not len(found):
         return None

@@ -97,11 +97,11 @@ def one_text_each(rows: DataFrame) -> DataFrame:
 SMALL = 10_000
 
 
-def small_side(frame: DataFrame) -> DataFrame:
-    """A side of a join, marked for broadcast if it has ``SMALL`` rows at most.  It is
+def small_side(frame: DataFrame, most: int = SMALL) -> DataFrame:
+    """A side of a join, marked for broadcast if it has ``most`` rows at most.  It is
     counted first; a larger one is joined by its key."""
     frame = cut(frame)
-    return F.broadcast(frame) if frame.count() <= SMALL else frame
+    return F.broadcast(frame) if frame.count() <= most else frame
 
 
 def columns(names: Iterable[str]) -> list[Column]:
