@@ -36,6 +36,7 @@ ORDER = 4
 # Entries of a table that a worker holds, 16 bytes each and a directory.
 HELD = 1 << 22
 BYTES = 256
+UNIT = 1_000_000  # logarithms are kept as whole millionths
 NO_LANGUAGE = "und"
 
 
@@ -145,20 +146,25 @@ def hash_keys(packed: np.ndarray, length: int, seeds: np.ndarray) -> np.ndarray:
     return mix(packed.astype(np.uint64) ^ seeds ^ np.uint64(length << 61))
 
 
+def _whole(logarithm: str):
+    """A logarithm as a whole number, so that sums are the same in any order."""
+    return F.round(F.col(logarithm) * UNIT).cast("int").alias(logarithm)
+
+
 def _keyed(length: int):
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             codes, names = _language_codes(part.column("lang"))
             seeds = language_seeds(names)[codes]
             keys = hash_keys(part.column("key").to_numpy(zero_copy_only=False), length, seeds)
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), part.column("value").cast(pa.float32())],
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), part.column("value")],
                                              names=["key", "value"])
     return batches
 
 
 def _table(entries: DataFrame, length: int) -> tuple[SortedHashTable, np.ndarray]:
-    """Entries ``(lang, key, value)`` as sorted arrays."""
-    table = in_tasks(entries.select("lang", "key", "value"), _keyed(length), "key long, value float").toArrow()
+    """Entries ``(lang, key, value)`` as sorted arrays; logarithms as whole ``UNIT``-ths."""
+    table = in_tasks(entries.select("lang", "key", _whole("value")), _keyed(length), "key long, value int").toArrow()
     keys, order = np.unique(table.column("key").to_numpy().view(np.uint64), return_index=True)
     return SortedHashTable(keys), table.column("value").to_numpy()[order]
 
@@ -212,20 +218,20 @@ def scores(texts: DataFrame, order: int = ORDER, view: Callable[[Texts], Texts]
         room -= sizes.get(least, 0)
     often = F.expr("int(floor(log2(n)))") >= least
     table = _table(entries.where(often).withColumnRenamed("gram", "key"), order)
-    return Scores(order, table, entries.where(~often).select("lang", "gram", "value") if least else None)
+    return Scores(order, table, entries.where(~often).select("lang", "gram", _whole("value")) if least else None)
 
 
 def held_sums(order: int, held: tuple[SortedHashTable, np.ndarray], texts: Texts,
               seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray, pa.ListArray]:
-    """Per row: the sum over its n-grams that are held, the number of all its n-grams,
+    """Per row: the sum over its n-grams that are held, in ``UNIT``-ths, the number of all its n-grams,
     and the others, each once: ``(gram, times)``."""
     packed, counts = grams(texts, order)
     table, values = held
     row = table.find(hash_keys(packed, order, np.repeat(seeds, counts)))
     missing = np.flatnonzero(row < 0)
-    each = values[np.maximum(row, 0)] if len(values) else np.zeros(len(packed), dtype=np.float32)
+    each = values[np.maximum(row, 0)] if len(values) else np.zeros(len(packed), dtype=np.int32)
     each[missing] = 0
-    total = np.concatenate(([0.0], np.cumsum(each, dtype=np.float64)))
+    total = np.concatenate(([0], np.cumsum(each, dtype=np.int64)))
     last = np.cumsum(counts)
     owner = np.repeat(np.arange(len(counts), dtype=np.uint64), counts)[missing]
     open_, times = np.unique(owner << np.uint64(32) | packed[missing].astype(np.uint64), return_counts=True)
@@ -256,16 +262,16 @@ def log_probabilities(model: Model, packed: np.ndarray, seeds: np.ndarray) -> np
         row = table.find(hash_keys(part & np.uint32((1 << (8 * order)) - 1), order, seed))
         hit = row >= 0
         if open_ is None:
-            result[hit] += values[row[hit]]
+            result[hit] += values[row[hit]] / UNIT
             open_ = np.flatnonzero(~hit)
         else:
-            result[open_[hit]] += values[row[hit]]
+            result[open_[hit]] += values[row[hit]] / UNIT
             open_ = open_[~hit]
         if not len(open_):
             return result
         context, rest = model.contexts[order - 1]
         before = (packed[open_] >> np.uint32(8)) & np.uint32((1 << (8 * (order - 1))) - 1)
         row = context.find(hash_keys(before, order - 1, seeds[open_]))
-        result[open_] += np.where(row >= 0, rest[np.maximum(row, 0)] if len(rest) else 0, 0)
+        result[open_] += np.where(row >= 0, rest[np.maximum(row, 0)] / UNIT if len(rest) else 0, 0)
     result[open_] -= np.float32(np.log(BYTES))
     return result

@@ -32,7 +32,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from salestrata.llm import kneser_ney
 from salestrata.llm.shared import columns, cut, in_tasks, small_side, stored
@@ -60,6 +60,7 @@ LEAST_SPREAD = 0.2
 SHAPE_ORDER = 3
 LEAST_SHAPE_SPREAD = 0.05
 BANDS = ("band", "shape")
+ROUNDED = 0.001
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 _MEASURED = StructType([*(StructField(name, LongType()) for name in MEASURES),
@@ -133,7 +134,7 @@ def shapes(texts: Texts) -> Texts:
 # The models: what a text is seen as, n-gram length, least spread of the logarithm.
 MODELS = {"perplexity": (None, kneser_ney.ORDER, LEAST_SPREAD), "shape_perplexity": (shapes, SHAPE_ORDER, LEAST_SHAPE_SPREAD)}
 _SUMS = StructType([StructField(f"{name}_{part}", kind) for name in MODELS for part, kind in (
-    ("total", DoubleType()), ("n", LongType()), ("open", kneser_ney.OPEN))])
+    ("total", LongType()), ("n", LongType()), ("open", kneser_ney.OPEN))])
 
 
 def _measuring(shared):
@@ -157,6 +158,18 @@ def _measuring(shared):
     return batches
 
 
+def _quartiles(rows: DataFrame) -> DataFrame:
+    """``(of_language, ...)``: per model the exact quartiles of the logarithms, rounded to ``ROUNDED``,
+    from their counts; there are some ten thousand different ones at most."""
+    values = F.explode(F.array(*[F.struct(F.lit(name).alias("model"), F.round(F.log(name) / ROUNDED).alias("step"))
+                                 for name in MODELS])).alias("at")
+    counted = (rows.select(F.col("measured.language").alias("of_language"), values)
+               .groupBy("of_language", "at.model", "at.step").agg(F.count("*").alias("n")))
+    return counted.groupBy("of_language").agg(*[
+        F.expr(f"percentile(step * {ROUNDED}, array(0.25, 0.5, 0.75), n) filter (where model = '{name}')").alias(name)
+        for name in MODELS])
+
+
 def judge(docs: DataFrame, carry: list[str], held: int = kneser_ney.HELD) -> DataFrame:
     """``(document struct of the carried columns, measured struct, each model's perplexity and
     band, base_failed, kept)`` for every row; workers hold ``held`` n-grams of a model."""
@@ -178,12 +191,10 @@ def judge(docs: DataFrame, carry: list[str], held: int = kneser_ney.HELD) -> Dat
             found = cut(kneser_ney.open_sums(scored.select(
                 "row", F.col("measured.language").alias("lang"), F.col(f"{name}_open").alias("open")), model))
             whole = whole.join(found, "row", "left").withColumn(
-                f"{name}_total", F.expr(f"{name}_total + coalesce(found, 0D)")).drop("found")
+                f"{name}_total", F.expr(f"{name}_total + coalesce(found, 0)")).drop("found")
     whole = whole.select("document", "measured", "base_failed", *[
-        F.expr(f"exp(-{name}_total / nullif({name}_n, 0))").alias(name) for name in MODELS])
-    quartiles = (whole.where("not base_failed").groupBy(F.col("measured.language").alias("of_language"))
-                 .agg(*[F.expr(f"percentile_approx(ln({name}), array(0.25, 0.5, 0.75), 2000)").alias(name)
-                        for name in MODELS]))
+        F.expr(f"exp(-{name}_total / {kneser_ney.UNIT}D / nullif({name}_n, 0))").alias(name) for name in MODELS])
+    quartiles = _quartiles(whole.where("not base_failed"))
     edges = []
     for (name, (_, _, least)), band in zip(MODELS.items(), BANDS):
         spread = f"greatest(({name}[2] - {name}[0]) / 2, {least})"
