@@ -130,8 +130,8 @@ class FolderTables:
     def loads(self, table: str, outcome: str | None = None) -> set[str]:
         """The loads that have a partition, from the names of the folders."""
         root = self._path(table)
-        found = {f"{root}/{day}/{load}" for day, _ in files.children(self.spark, root) if "=" in day
-                 for load, _ in files.children(self.spark, f"{root}/{day}")}
+        found = {f"{root}/{day}/{load}" for day in files.children(self.spark, root) if "=" in day
+                 for load in files.children(self.spark, f"{root}/{day}")}
         if outcome:
             found = {f for f in found if files.exists(self.spark, f"{f}/outcome={outcome}")}
         return {folder.rpartition("load_id=")[2] for folder in found}
@@ -167,7 +167,7 @@ class FolderTables:
 
     def recover(self) -> None:
         """Puts compacted days that are whole in the place of their loads."""
-        for name, _ in files.children(self.spark, f"{self.root}/_compact"):
+        for name in files.children(self.spark, f"{self.root}/_compact"):
             if not name.endswith(".ready"):
                 continue
             day = name.removesuffix(".ready")

@@ -74,15 +74,7 @@ def file_counts(lines: DataFrame) -> DataFrame:
 def skipped_names(spark: SparkSession, path: str) -> list[str]:
     """The files and folders under ``path`` that Spark's sources pass over: those with a
     name that begins with ``_`` or ``.``; a names-only listing."""
-    found, waiting = [], [path.rstrip("/")]
-    while waiting:
-        at = waiting.pop()
-        for name, is_folder in files.children(spark, at):
-            if files.hidden(name):
-                found.append(f"{at}/{name}")
-            elif is_folder:
-                waiting.append(f"{at}/{name}")
-    return sorted(found)
+    return [f"{path.rstrip('/')}/{name}" for name in files.hidden_below(spark, path.rstrip("/"))]
 
 
 def ingest_jsonl(spark: SparkSession, path: str, ingestion_ts: datetime | str | None = None,

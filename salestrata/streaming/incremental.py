@@ -20,20 +20,15 @@ _UNDATED = "[^d_.]*,d,d[^t]*,dt,dt[^=]*"
 log = logging.getLogger(__name__)
 
 
-def _literal(name: str) -> str:
-    """A name as a glob that matches it alone."""
-    return re.sub(r"([\\*?\[\]{},])", r"\\\1", name)
-
-
 def landing_days(layers: SalesLayers, landing: str) -> dict[str, str]:
     """The ``dt=`` folders by what follows the sign, be it a day or not; the rest of the
     landing folder under the empty name."""
-    names = [(name, is_folder) for name, is_folder in files.children(layers.tables.spark, landing)
-             if not files.hidden(name)]
-    dated = {name[3:]: f"{landing}/{_literal(name)}" for name, is_folder in names
-             if is_folder and name.startswith("dt=") and name != "dt="}
-    rest = [name for name, _ in names if name[3:] not in dated or not name.startswith("dt=")]
-    by_name = sorted(_literal(name) for name in rest if name.startswith(("dt=", "_", ".")))
+    spark = layers.tables.spark
+    names = [name for name in files.children(spark, landing) if not files.hidden(name)]
+    dated = {name[3:]: f"{landing}/{files.literal(name)}" for name in names
+             if name.startswith("dt=") and name != "dt=" and files.is_folder(spark, f"{landing}/{name}")}
+    rest = [name for name in names if name[3:] not in dated or not name.startswith("dt=")]
+    by_name = sorted(files.literal(name) for name in rest if name.startswith(("dt=", "_", ".")))
     undated = {"": f"{landing}/{{{','.join([_UNDATED, *by_name])}}}"} if rest else {}
     return {**undated, **dict(sorted(dated.items()))}
 
