@@ -129,10 +129,20 @@ def write_text(spark: SparkSession, file: str, text: str) -> None:
     stream.close()
 
 
+def replace_text(spark: SparkSession, file: str, text: str) -> None:
+    """Writes a small file beside an older one of that name and puts it in its place; cut short
+    in between, ``read_text`` finds the new one."""
+    write_text(spark, f"{file}.new", text)
+    remove(spark, file)
+    move(spark, f"{file}.new", file)
+
+
 def read_text(spark: SparkSession, file: str) -> str | None:
     system, path = _opened(spark, file)
     if not system.exists(path):
-        return None
+        system, path = _opened(spark, f"{file}.new")
+        if not system.exists(path):
+            return None
     size = int(system.getFileStatus(path).getLen())
     stream = system.open(path)
     try:

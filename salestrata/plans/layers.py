@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from datetime import datetime, timezone
 from typing import Protocol
@@ -46,6 +46,7 @@ LOAD = ("load_day", "load_id")
 UNDATED = "undated"
 _PROFILE = "salestrata.profile"
 COMPACTED = "compacted"
+TOGETHER = 500  # loads in one write
 _COMPACTED_TABLES = (RAW, STAGED, FACT)
 
 # table: (layer, columns, partition columns)
@@ -58,9 +59,9 @@ _TABLES = {
 
 
 def load_day(load_id: str) -> str:
-    """The day a load's name begins with, as in ``20260101-...``."""
-    named = re.match(r"([0-9]{8})-", load_id)
-    return named[1] if named else UNDATED
+    """The day a load's name begins with, as in ``20260101-...`` or ``2026-01-01-...``."""
+    named = re.match(r"([0-9]{8}|[0-9]{4}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12][0-9]|3[01]))-", load_id)
+    return named[1].replace("-", "") if named else UNDATED
 
 
 class Tables(Protocol):
@@ -68,7 +69,9 @@ class Tables(Protocol):
 
     def read(self, table: str) -> DataFrame: ...
     def read_load(self, table: str, load_id: str) -> DataFrame: ...
+    def read_loads(self, table: str, load_ids: Sequence[str]) -> DataFrame: ...
     def loads(self, table: str, outcome: str | None = None) -> set[str]: ...
+    def add_loads(self, table: str, rows: DataFrame) -> None: ...
     def replace(self, table: str, rows: DataFrame) -> None: ...
     def replace_load(self, table: str, load_id: str, rows: DataFrame) -> None: ...
     def profile(self) -> str | None: ...
@@ -127,14 +130,26 @@ class FolderTables:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(folder)
 
+    def read_loads(self, table: str, load_ids: Sequence[str]) -> DataFrame:
+        """The rows of some loads, with the load they are of; their folders alone are listed."""
+        schema = self._schema(table)
+        folders = [self._load_folder(table, load_id) for load_id in load_ids]
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("basePath", self._path(table)).parquet(*folders)
+
     def loads(self, table: str, outcome: str | None = None) -> set[str]:
         """The loads that have a partition, from the names of the folders."""
         root = self._path(table)
-        found = {f"{root}/{day}/{load}" for day in files.children(self.spark, root) if "=" in day
-                 for load in files.children(self.spark, f"{root}/{day}")}
         if outcome:
-            found = {f for f in found if files.exists(self.spark, f"{f}/outcome={outcome}")}
-        return {folder.rpartition("load_id=")[2] for folder in found}
+            return {path.split("/")[1].removeprefix("load_id=") for path in files.walk(self.spark, root)
+                    if path.split("/")[2:3] == [f"outcome={outcome}"]}
+        return {load.removeprefix("load_id=") for day in files.children(self.spark, root) if "=" in day
+                for load in files.children(self.spark, f"{root}/{day}")}
+
+    def add_loads(self, table: str, rows: DataFrame) -> None:
+        """Writes loads that have no partition yet, in one job; rows name their load."""
+        self._write(table, rows)
 
     def replace(self, table: str, rows: DataFrame) -> None:
         self._replace(table, rows, self._path(table))
@@ -239,6 +254,15 @@ class CatalogTables:
         return (self.read(table).where((F.col("load_day") == load_day(load_id)) & (F.col("load_id") == load_id))
                 .drop(*LOAD))
 
+    def read_loads(self, table: str, load_ids: Sequence[str]) -> DataFrame:
+        days = sorted({load_day(load_id) for load_id in load_ids})
+        return self.read(table).where(F.col("load_day").isin(days) & F.col("load_id").isin(list(load_ids)))
+
+    def add_loads(self, table: str, rows: DataFrame) -> None:
+        """Writes loads that have no partition yet, in one job; rows name their load."""
+        self._insert(table, rows)
+        self.spark.catalog.refreshTable(self.name(table))
+
     def loads(self, table: str, outcome: str | None = None) -> set[str]:
         named = [row[0] for row in self.spark.sql(f"SHOW PARTITIONS {self.name(table)}").collect()]
         wanted = f"/outcome={outcome}" if outcome else ""
@@ -248,16 +272,19 @@ class CatalogTables:
         described = self.spark.sql(f"DESCRIBE FORMATTED {self.name(table)}")
         return described.where("col_name = 'Location'").first().data_type
 
-    def _replace(self, table: str, rows: DataFrame, inside: str) -> None:
+    def _insert(self, table: str, rows: DataFrame) -> None:
         _, columns, partitions = _TABLES[table]
-        root = self._location(table)
-        before = files.data_files(self.spark, root + inside)
-        # A streaming batch has a session of its own, which knows its rows; this
-        # one has to be told that the files it may have listed are others now.
         with _dynamic_overwrite(rows.sparkSession):
             rows.select(*columns, *partitions).sparkSession.sql(
                 f"INSERT OVERWRITE TABLE {self.name(table)} PARTITION ({', '.join(partitions)}) "
                 "SELECT * FROM {rows}", rows=rows.select(*columns, *partitions))
+
+    def _replace(self, table: str, rows: DataFrame, inside: str) -> None:
+        root = self._location(table)
+        before = files.data_files(self.spark, root + inside)
+        # A streaming batch has a session of its own, which knows its rows; this
+        # one has to be told that the files it may have listed are others now.
+        self._insert(table, rows)
         for left in _unreplaced(before, files.data_files(self.spark, root + inside)):
             values = dict(part.split("=", 1) for part in left[len(root):].strip("/").split("/"))
             named = ", ".join(f"{key} = '{value}'" for key, value in values.items())
@@ -343,39 +370,60 @@ class SalesLayers:
     def _staged(self, raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         return staged_rows(classify_sales(raw, self.profile, self.on_overflow, keep), keep)
 
-    def stage_load(self, load_id: str) -> None:
-        """Classifies one load of RAW into its partitions of STAGING."""
+    @contextmanager
+    def _of_one_profile(self) -> Iterator[None]:
         made_with = self.tables.profile()
         if made_with and made_with != self.profile.name:
             raise ValueError(f"STAGING is of profile {made_with!r}; another takes a rebuild")
-        self.tables.replace_load(STAGED, load_id,
-                                 self._staged(self.tables.read_load(RAW, load_id)))
+        yield
         if not made_with:
             self.tables.set_profile(self.profile.name)
 
+    def stage_load(self, load_id: str) -> None:
+        """Classifies one load of RAW into its partitions of STAGING."""
+        with self._of_one_profile():
+            self.tables.replace_load(STAGED, load_id, self._staged(self.tables.read_load(RAW, load_id)))
+
+    def _stage_loads(self, load_ids: list[str]) -> None:
+        with self._of_one_profile():
+            self.tables.add_loads(STAGED, self._staged(self.tables.read_loads(RAW, load_ids), LOAD))
+
     def stage_pending(self) -> list[str]:
-        """Stages the loads that are in RAW and not in STAGING.  One that fails, as on an
-        amount too large, keeps no other from being staged; the failures are raised at the end."""
-        return self._each(self.stage_load, self.tables.loads(RAW) - self.tables.loads(STAGED))
+        """Stages the loads that are in RAW and not in STAGING, many in a job.  One that fails, as on
+        an amount too large, keeps no other from being staged; the failures are raised at the end."""
+        return self._together(self._stage_loads, self.tables.loads(RAW) - self.tables.loads(STAGED))
 
     def publish_load(self, load_id: str) -> None:
         """Puts the clean side of one load into its partition of the fact table."""
         clean = self.tables.read_load(STAGED, load_id).where(F.col("outcome") == "clean")
         self.tables.replace_load(FACT, load_id, clean.select(*FACT_COLUMNS))
 
+    def _publish_loads(self, load_ids: list[str]) -> None:
+        clean = self.tables.read_loads(STAGED, load_ids).where(F.col("outcome") == "clean")
+        self.tables.add_loads(FACT, clean.select(*FACT_COLUMNS, *LOAD))
+
     def publish_pending(self) -> list[str]:
-        """Publishes the loads that have clean rows in STAGING and no fact."""
-        return self._each(self.publish_load, self.tables.loads(STAGED, "clean") - self.tables.loads(FACT))
+        """Publishes the loads that have clean rows in STAGING and no fact, many in a job."""
+        return self._together(self._publish_loads, self.tables.loads(STAGED, "clean") - self.tables.loads(FACT))
 
     @staticmethod
-    def _each(step, load_ids: set[str]) -> list[str]:
+    def _together(step, load_ids: set[str]) -> list[str]:
+        """Takes a step for ``TOGETHER`` loads at a time.  A write that fails leaves nothing behind; it is
+        repeated for both halves of its loads, so those that make it fail are left by themselves after a
+        few halvings, and all others are written."""
         done, failed = [], {}
-        for load_id in sorted(load_ids):
+        ordered = sorted(load_ids)
+        waiting = [ordered[i:i + TOGETHER] for i in range(0, len(ordered), TOGETHER)][::-1]
+        while waiting:
+            some = waiting.pop()
             try:
-                step(load_id)
-                done.append(load_id)
-            except Exception as error:  # the next load must not wait for this one
-                failed[load_id] = error
+                step(some)
+                done += some
+            except Exception as error:  # the other loads must not wait for this one
+                if len(some) == 1:
+                    failed[some[0]] = error
+                else:
+                    waiting += [some[len(some) // 2:], some[:len(some) // 2]]
         if failed:
             raise LoadsFailed(failed, done)
         return done

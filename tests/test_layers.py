@@ -13,7 +13,7 @@ from salestrata import files
 from salestrata.catalog.results import raw_sales
 from salestrata.operators import classify_sales, clean_rows, reject_rows, reports
 from salestrata.plans import CatalogTables, FolderTables, SalesLayers
-from salestrata.plans.layers import LoadsFailed
+from salestrata.plans.layers import LoadsFailed, load_day
 from salestrata.schema import CLEAN_COLUMNS, FACT_COLUMNS, RAW_COLUMNS, REJECT_COLUMNS
 from salestrata.session import fresh_folder
 
@@ -344,3 +344,58 @@ def test_load_log_has_every_file_of_a_large_load(spark, tables):
     bad = [r.source_filename for r in log.where("source_filename is not null and n_bad = 1").collect()]
     assert sorted(bad) == [f"f{i:05d}" for i in range(7, 12_000, 1000)]
     assert [(r.n_lines, r.n_bad) for r in log.where("source_filename is null").collect()] == [(12_000, 12)]
+
+
+@pytest.mark.parametrize("load_id,day", [
+    ("20260105-a", "20260105"), ("2026-01-05-a", "20260105"), ("2026-13-05-a", "undated"), ("2026-01-32-a", "undated"),
+    ("2026-01-05", "undated"), ("2026-1-5-a", "undated"), ("backfill-a", "undated"), ("20260105_late-a", "undated")])
+def test_the_day_of_a_load(load_id, day):
+    assert load_day(load_id) == day
+
+
+def test_days_in_iso_form_are_pruned_and_compacted_by_day(spark):
+    tables = FolderTables(spark, fresh_folder(spark, "iso"))
+    tables.create()
+    layers = SalesLayers(tables)
+    for load_id in ("20260105-a", "2026-01-05-b", "backfill-c"):
+        layers.append_raw(raw_rows(spark, [event()]), load_id)
+    layers.stage_pending()
+    layers.publish_pending()
+    assert tables.read("raw_sales").where("load_day = '20260105'").count() == 2
+    tables.compact_day("20260105")
+    assert tables.loads("fact_sales") == {"20260105-compacted", "backfill-c"}
+    assert counts(layers) == (3, 3, 0, 3)
+
+
+def test_two_hundred_pending_loads_take_a_bounded_number_of_jobs(spark, tables):
+    layers = SalesLayers(tables)
+    poisoned = {"20260101-017", "20260101-140"}
+    values = F.concat(F.lit("20260101-"), F.format_string("%03d", F.col("id")))
+    feed = spark.range(200).withColumn("load_id", values)
+    text = F.when(F.col("load_id").isin(sorted(poisoned)), F.lit(event(total_amount=100000000))).otherwise(F.lit(event()))
+    rows = feed.select(F.localtimestamp().alias("ingestion_ts"), F.lit("f").alias("source_filename"),
+                       F.parse_json(text).alias("raw"), F.lit("20260101").alias("load_day"), "load_id")
+    tables.add_loads("raw_sales", rows)
+    assert len(tables.loads("raw_sales")) == 200
+
+    def jobs(step):
+        group = uuid.uuid4().hex
+        spark.sparkContext.setJobGroup(group, group)
+        try:
+            step()
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    def stage():
+        with pytest.raises(LoadsFailed) as raised:
+            layers.stage_pending()
+        assert set(raised.value.failed) == poisoned and len(raised.value.done) == 198
+    # halvings down to two loads: 2 * 2 * 8 writes at most, each a handful of jobs
+    assert jobs(stage) < 150
+    assert tables.loads("stg_sales") == tables.loads("raw_sales") - poisoned
+    assert jobs(lambda: layers.publish_pending()) < 12
+    assert counted(layers) == (200, 198, 0, 198)
+    rejecting = SalesLayers(tables, on_overflow="reject")
+    assert set(rejecting.stage_pending()) == poisoned
+    assert counted(layers) == (200, 198, 2, 198)

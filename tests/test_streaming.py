@@ -179,3 +179,41 @@ def test_every_name_in_the_landing_folder_is_loaded(place):
     land(landing, "dt=late.jsonl", event())
     load_new_files(layers, str(landing), checkpoint)
     assert layers.raw().count() == len(names) + 1
+
+
+def test_only_folders_with_other_names_start_a_stream(place, monkeypatch):
+    from salestrata.streaming import incremental
+    layers, landing, checkpoint = place
+    started = []
+    reads = incremental.read_lines
+    monkeypatch.setattr(incremental, "read_lines", lambda spark, path, **k: (started.append(path), reads(spark, path, **k))[1])
+    days = 50 if isinstance(layers.tables, FolderTables) else 8
+    for day in range(days):
+        land(landing, f"dt=202601{day:02d}/a.jsonl", event(event_id=str(day)))
+    land(landing, "loose.jsonl", event())
+    load_new_files(layers, str(landing), checkpoint, stage=False)
+    assert len(started) == days + 1 == layers.raw().count()
+    started.clear()
+    assert load_new_files(layers, str(landing), checkpoint, stage=False) == [] and started == []
+    late = land(landing, "dt=20260107/deep/late.jsonl", event())
+    os.utime(late, (1_000_000_000, 1_000_000_000))
+    assert len(load_new_files(layers, str(landing), checkpoint, stage=False)) == 1
+    assert len(started) == 1 and layers.raw().count() == days + 2
+    land(landing, "other/loose.jsonl", event())
+    started.clear()
+    load_new_files(layers, str(landing), checkpoint, stage=False)
+    assert len(started) == 1 and layers.raw().count() == days + 3
+
+
+def test_a_folder_whose_stream_failed_is_looked_at_again(place):
+    layers, landing, checkpoint = place
+    land(landing, "dt=20260101/a.jsonl", event())
+
+    class Stops(SalesLayers):
+        def append_lines(self, *args):
+            raise RuntimeError("lost before the load")
+
+    with pytest.raises(Exception, match="lost before"):
+        load_new_files(Stops(layers.tables), str(landing), checkpoint)
+    assert len(load_new_files(layers, str(landing), checkpoint)) == 1
+    assert totals(layers) == (1, 1, 0)
