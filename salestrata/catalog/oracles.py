@@ -7,6 +7,7 @@ from salestrata.catalog.events_feed import (
     DEVICES,
     FILE_FORMS,
     INGESTION_TS,
+    MESSY_LINES,
     NUMBER_FORMS,
     PAYMENT_METHODS,
     SOURCE_FILENAME,
@@ -183,6 +184,15 @@ UNION ALL
 SELECT '20260101', '20260101-messy', NULL, CAST(sum(n_lines) AS BIGINT), CAST(sum(n_records) AS BIGINT),
   CAST(sum(n_blank) AS BIGINT), CAST(sum(n_bad) AS BIGINT) FROM files"""
 
+def _messy(part: int) -> str:
+    """The kind or the text of the line that an event makes."""
+    whens = " ".join(f"WHEN {i} THEN " + (f"'{line[0]}'" if part == 0 else line[1].replace("cast(event_id % 3 as int)", "event_id % 3"))
+                     for i, line in enumerate(MESSY_LINES))
+    return f"CASE event_id % {len(MESSY_LINES)} {whens} END"
+
+
+_MESSY_KIND, _MESSY_TEXT = _messy(0), _messy(1)
+
 _ISO = "strftime(ts, '%Y-%m-%dT%H:%M:%S.%f')"
 # A time keeps its wall clock: the offset is cut off before the cast.
 _SAFE_TIME = (f"CASE WHEN regexp_matches(trim(text), '{_SHAPE}') THEN TRY_CAST("
@@ -260,6 +270,24 @@ SELECT folder, count(*) AS n_records, CAST(1 AS BIGINT) AS n_loads
 FROM events, (VALUES ('raw/sales/dt=20260101'), ('raw/sales/dt=20260102')) AS days(folder)
 GROUP BY folder""",
     "load_counts": _KINDS,
+    "bad_lines": f"""
+SELECT '20260101-messy' AS load_id, source_filename, count(*) AS n_lines, min(value) AS first_line,
+  CAST(sum(length(value)) AS BIGINT) AS n_chars
+FROM (SELECT {_MESSY_TEXT} AS value, {_MESSY_KIND} AS source_filename FROM events)
+WHERE source_filename IN ('broken', 'repeated key', 'two objects', 'trailing text', 'trailing comma',
+                          'two numbers', 'single quotes', 'not a number')
+GROUP BY source_filename""",
+    "reconciliation_by_load": _layers(literal=False) + f"""
+, sizes AS (
+  SELECT count(*) AS n, count(*) FILTER (WHERE reason IS NULL) AS clean,
+    (SELECT CAST(sum(n_records) AS BIGINT) FROM ({_KINDS}) WHERE source_filename IS NULL) AS messy
+  FROM classified)
+SELECT unnest(['20260101', '20260101', '20260102', '20260103']) AS load_day,
+  unnest(['20260101-a', '20260101-b', '20260102-c', '20260103-d']) AS load_id,
+  unnest([n, n, messy, n]) AS raw_rows, unnest([clean, clean, 0, clean]) AS clean_rows,
+  unnest([n - clean, n - clean, messy, n - clean]) AS reject_rows, unnest([0, 2 * clean, 0, clean]) AS fact_rows,
+  unnest([n, n, messy, NULL]) AS log_rows, unnest([FALSE, FALSE, TRUE, TRUE]) AS balanced
+FROM sizes""",
     "rebuild_after_failure": _layers(literal=False) + """
 SELECT TRUE AS failed, count(*) FILTER (WHERE reason IS NULL) AS clean_rows,
   count(*) FILTER (WHERE reason IS NOT NULL) AS reject_rows, count(*) FILTER (WHERE reason IS NULL) AS fact_rows

@@ -326,6 +326,35 @@ def _load_counts(spark, sf_dir):
     return layers.load_log()
 
 
+def _bad_lines(spark, sf_dir):
+    """The lines of the same feed that are no JSON value, as they came, summed up by file."""
+    layers = SalesLayers(FolderTables(spark, fresh_folder(spark, "bad")))
+    layers.append_lines(messy_lines(read_events(spark, sf_dir)), "20260101-messy", INGESTION_TS)
+    return layers.bad_lines().groupBy("load_id", "source_filename").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.min("value").alias("first_line"),
+        F.sum(F.length("value")).alias("n_chars"))
+
+
+def _reconciliation_by_load(spark, sf_dir):
+    """Three loads from lines, and one without a log.  The first is then missing from the fact and the second, of the
+    same size, is there twice: the totals balance, these two loads do not."""
+    layers = SalesLayers(FolderTables(spark, fresh_folder(spark, "by-load")))
+    layers.tables.create()
+    feed = sales_lines(read_events(spark, sf_dir))
+    for load_id in ("20260101-a", "20260101-b"):
+        layers.append_lines(feed, load_id, INGESTION_TS)
+    layers.append_lines(messy_lines(read_events(spark, sf_dir)), "20260102-c", INGESTION_TS)
+    layers.append_raw(raw_sales(spark, sf_dir), "20260103-d")
+    layers.rebuild_staging()
+    layers.rebuild_fact()
+    twice = layers.tables.read_load("fact_sales", "20260101-b")
+    aside = fresh_folder(spark, "twice")
+    twice.unionAll(twice).write.parquet(aside)
+    layers.tables.replace_load("fact_sales", "20260101-b", spark.read.parquet(aside))
+    layers.tables.replace_load("fact_sales", "20260101-a", twice.limit(0))
+    return layers.reconcile_loads()
+
+
 def _incremental_fact(spark, sf_dir):
     """Two loads published one by one; the second leaves the first one's files alone."""
     root = fresh_folder(spark, "fact")
@@ -391,6 +420,8 @@ def queries() -> dict[str, Query]:
         "incremental_fact": _incremental_fact,
         "rebuild_after_failure": _rebuild_after_failure,
         "load_counts": _load_counts,
+        "bad_lines": _bad_lines,
+        "reconciliation_by_load": _reconciliation_by_load,
         "catalog_tables": _catalog_tables,
     }
     return named

@@ -1,7 +1,7 @@
 """Operators on DataFrames: record splitting, extraction, quality rules, reports."""
 
 from salestrata.operators.quality import Rule, classify, rule_flags, sales_rules, split
-from salestrata.operators.reconcile import reconcile_layers
+from salestrata.operators.reconcile import reconcile_by_load, reconcile_layers
 from salestrata.operators.records import parse_text, strip_outer_array
 from salestrata.operators.staging import (
     classify_sales,
@@ -18,6 +18,7 @@ __all__ = [
     "clean_rows",
     "extract_event",
     "parse_text",
+    "reconcile_by_load",
     "reconcile_layers",
     "reject_rows",
     "rule_flags",

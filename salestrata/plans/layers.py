@@ -26,10 +26,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salestrata import files
-from salestrata.operators.reconcile import reconcile_layers
+from salestrata.operators.reconcile import reconcile_by_load, reconcile_layers
 from salestrata.operators.staging import classify_sales, staged_rows
 from salestrata.profiles import Profile, resolve_profile
 from salestrata.schema import (
+    BAD_COLUMNS,
     CLEAN_COLUMNS,
     FACT_COLUMNS,
     LOG_COLUMNS,
@@ -39,9 +40,9 @@ from salestrata.schema import (
     ddl,
 )
 from salestrata.session import fresh_folder
-from salestrata.sources.jsonl import file_counts, records_from_lines
+from salestrata.sources.jsonl import file_counts, records_from_sorted, sorted_lines
 
-RAW, STAGED, FACT, LOG = "raw_sales", "stg_sales", "fact_sales", "load_log"
+RAW, STAGED, FACT, LOG, BAD = "raw_sales", "stg_sales", "fact_sales", "load_log", "bad_lines"
 LOAD = ("load_day", "load_id")
 UNDATED = "undated"
 _PROFILE = "salestrata.profile"
@@ -53,6 +54,7 @@ _COMPACTED_TABLES = (RAW, STAGED, FACT)
 _TABLES = {
     RAW: ("raw", RAW_COLUMNS, [*LOAD]),
     LOG: ("raw", LOG_COLUMNS, [*LOAD]),
+    BAD: ("raw", BAD_COLUMNS, [*LOAD]),
     STAGED: ("staging", STAGED_COLUMNS, [*LOAD, "outcome"]),
     FACT: ("analytics", FACT_COLUMNS, [*LOAD]),
 }
@@ -341,30 +343,27 @@ class SalesLayers:
 
     def append_lines(self, lines: DataFrame, load_id: str | None = None,
                      ingestion_ts: datetime | str | None = None) -> str:
-        """Adds a load of ``(value, source_filename)`` lines to RAW, and to the load
-        log what each file held: its lines, records, blank and bad lines.  These are
-        counted by file in a second scan, however many files there are; the row for the
+        """Adds a load of ``(value, source_filename)`` lines to RAW, its bad lines to a table of
+        their own, and to the load log what each file held: its lines, records, blank and bad lines.
+
+        The text is read and parsed once: the parsed lines are written, a tenth of their size, and all
+        three tables are made from those.  The log has every file, however many there are; the row for the
         whole load is their sum, and the only one if a line is of no file."""
         if load_id and isinstance(self.tables, FolderTables) and self.tables.is_compacted(load_id):
             return load_id  # a batch run again after its load has become part of its day
-        load_id = self.append_raw(records_from_lines(lines, ingestion_ts), load_id)
-        by_file = file_counts(lines)
-        folder = fresh_folder(self.tables.spark, "counts")
-        by_file.write.parquet(folder)
-        by_file = self.tables.spark.read.schema(by_file.schema).parquet(folder)
-        counts = ("n_lines", "n_blank", "n_bad")
-        whole = by_file.agg(*[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in counts]).select(
-            F.lit(None).cast("string").alias("source_filename"), *counts)
-        unnamed = not by_file.where("source_filename is null").isEmpty()
-        lines_of_file = whole if unnamed else whole.union(by_file)
-        records = (self.tables.read_load(RAW, load_id).groupBy(F.col("source_filename").alias("file"))
-                   .agg(F.count(F.lit(1)).alias("n_records")))
-        total = records.agg(F.lit(None).cast("string").alias("file"), F.sum("n_records").alias("n_records"))
-        log = lines_of_file.join(records.where("file is not null").union(total),
-                                 F.col("source_filename").eqNullSafe(F.col("file")), "left")
-        self.tables.replace_load(LOG, load_id, log.select(
-            "source_filename", "n_lines", F.coalesce("n_records", F.lit(0)).cast("bigint").alias("n_records"),
-            "n_blank", "n_bad"))
+        folder = fresh_folder(self.tables.spark, "lines")
+        parsed = sorted_lines(lines).withColumn("n", F.size("records"))
+        parsed.write.partitionBy("kind").parquet(folder)
+        parsed = self.tables.spark.read.schema(parsed.schema).parquet(folder)
+        load_id = self.append_raw(records_from_sorted(parsed.where("kind = 'read'"), ingestion_ts), load_id)
+        self.tables.replace_load(BAD, load_id, parsed.where("kind = 'bad'").select(*BAD_COLUMNS))
+        by_file = file_counts(parsed)
+        whole = by_file.agg(*[F.coalesce(F.sum(name), F.lit(0)).cast("bigint").alias(name)
+                              for name in by_file.columns[1:]]).withColumn("source_filename", F.lit(None).cast("string"))
+        if parsed.where("source_filename is null").isEmpty():
+            whole = whole.unionByName(by_file)
+        self.tables.replace_load(LOG, load_id, whole.select(*LOG_COLUMNS))
+        files.remove(self.tables.spark, folder)
         return load_id
 
     def _staged(self, raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -443,6 +442,10 @@ class SalesLayers:
         """One row per load and file; the whole load's numbers where ``source_filename`` is NULL."""
         return self.tables.read(LOG).select(*LOAD, *LOG_COLUMNS)
 
+    def bad_lines(self) -> DataFrame:
+        """The lines that were counted as bad, as they came."""
+        return self.tables.read(BAD).select(*LOAD, *BAD_COLUMNS)
+
     def raw(self) -> DataFrame:
         return self.tables.read(RAW).select(*RAW_COLUMNS)
 
@@ -457,3 +460,17 @@ class SalesLayers:
 
     def reconcile(self) -> DataFrame:
         return reconcile_layers(self.raw(), self.clean(), self.rejects(), self.fact())
+
+    def reconcile_loads(self) -> DataFrame:
+        """The same load by load, with the load log beside it.  What the log says of loads that have
+        become one of their day counts for that one."""
+        staged, log = self.tables.read(STAGED), self.tables.read(LOG).where("source_filename is null")
+        raw = self.tables.read(RAW)
+        merged = raw.where(F.col("load_id").endswith(f"-{COMPACTED}")).select(
+            F.col("load_day").alias("merged_day"), F.col("load_id").alias("merged_id")).distinct()
+        own = raw.select(F.col("load_id").alias("own_id")).distinct()
+        log = (log.join(own, F.col("load_id") == F.col("own_id"), "left")
+               .join(merged, F.col("load_day") == F.col("merged_day"), "left")
+               .select("load_day", F.expr("if(own_id is null, coalesce(merged_id, load_id), load_id)").alias("load_id"), "n_records"))
+        return reconcile_by_load(raw, staged.where("outcome = 'clean'"), staged.where("outcome = 'reject'"),
+                                 self.tables.read(FACT), log, LOAD)

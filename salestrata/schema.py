@@ -35,6 +35,9 @@ STAGED_COLUMNS = {**EVENT_COLUMNS, "reason": "string", "raw": "variant", **LINEA
 LOG_COLUMNS = {"source_filename": "string", "n_lines": "bigint", "n_records": "bigint",
                "n_blank": "bigint", "n_bad": "bigint"}
 
+# One row per line that was not taken in, as it came.
+BAD_COLUMNS = {"source_filename": "string", "value": "string"}
+
 MONEY_TYPE = "decimal(10,2)"
 MONEY_COLUMNS = tuple(name for name, kind in EVENT_COLUMNS.items() if kind == MONEY_TYPE)
 

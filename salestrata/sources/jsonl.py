@@ -56,7 +56,7 @@ def records_from_lines(lines: DataFrame, ingestion_ts: datetime | str | None = N
     A line that is not one JSON value, is blank, or repeats a key gives no row
     and the load goes on.  ``observation`` counts them on the way, without a
     second pass: ``n_lines``, ``n_blank`` and ``n_bad`` (blank not included).
-    ``file_counts`` has them by file.
+    ``sorted_lines`` and ``file_counts`` have them by file.
     """
     parsed = _parsed(lines)
     if observation is not None:
@@ -65,10 +65,29 @@ def records_from_lines(lines: DataFrame, ingestion_ts: datetime | str | None = N
     return raw.withColumn("ingestion_ts", ingest_time(ingestion_ts)).select(*RAW_COLUMNS)
 
 
+def sorted_lines(lines: DataFrame) -> DataFrame:
+    """``(source_filename, kind, records, value)`` per line, parsed once: ``records`` is an array, empty
+    for a line without any; ``value`` is there for bad lines, whose ``kind`` is ``bad``."""
+    blank = F.rlike("value", F.lit(r"^\s*$"))
+    parsed = parse_text(lines.select("value", F.col("value").alias("line"), "source_filename", blank.alias("blank")))
+    taken = parsed.select("source_filename", "line", "blank", records().alias("records"))
+    kind = F.when(F.col("blank"), "blank").when(F.col("records").isNull(), "bad").otherwise("read")
+    return taken.select("source_filename", kind.alias("kind"), F.coalesce("records", F.array().cast("array<variant>")).alias("records"),
+                        F.when(kind == "bad", F.col("line")).alias("value"))
+
+
+def records_from_sorted(lines: DataFrame, ingestion_ts: datetime | str | None = None) -> DataFrame:
+    """RAW rows of such lines."""
+    rows = lines.select("source_filename", F.explode("records").alias("raw"))
+    return rows.withColumn("ingestion_ts", ingest_time(ingestion_ts)).select(*RAW_COLUMNS)
+
+
 def file_counts(lines: DataFrame) -> DataFrame:
-    """``(source_filename, n_lines, n_blank, n_bad)`` of all files, in a scan of its own."""
-    return _parsed(lines).groupBy("source_filename").agg(
-        *[F.count_if(kind).alias(name) for name, kind in _kinds().items()])
+    """``(source_filename, n_lines, n_records, n_blank, n_bad)`` of all files, from such lines.
+    Only the sizes of the record arrays are looked at."""
+    return lines.groupBy("source_filename").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.sum(F.col("n").cast("long")).alias("n_records"),
+        F.count_if(F.col("kind") == "blank").alias("n_blank"), F.count_if(F.col("kind") == "bad").alias("n_bad"))
 
 
 def skipped_names(spark: SparkSession, path: str) -> list[str]:

@@ -399,3 +399,52 @@ def test_two_hundred_pending_loads_take_a_bounded_number_of_jobs(spark, tables):
     rejecting = SalesLayers(tables, on_overflow="reject")
     assert set(rejecting.stage_pending()) == poisoned
     assert counted(layers) == (200, 198, 2, 198)
+
+
+def test_the_lines_of_a_load_are_read_once(spark, tables):
+    read = spark.sparkContext.accumulator(0)
+
+    def count(value):
+        read.add(1)
+        return value
+    seen = F.udf(count, "string").asNondeterministic()
+    lines = spark.createDataFrame([(event(), "a"), ("{bad", "a"), (" ", "b"), (f"[{event()}, 7]", "b"), ("[]", "c")],
+                                  "value string, source_filename string").select(seen("value").alias("value"), "source_filename")
+    layers = SalesLayers(tables)
+    layers.append_lines(lines, "20260101-a")
+    assert read.value == 5
+    assert sorted(tuple(r)[2:] for r in layers.load_log().where("source_filename is not null").collect()) == [
+        ("a", 2, 1, 0, 1), ("b", 2, 2, 1, 0), ("c", 1, 0, 0, 0)]
+    assert [tuple(r) for r in layers.bad_lines().collect()] == [("20260101", "20260101-a", "a", "{bad")]
+    assert layers.raw().count() == 3
+    layers.append_lines(spark.createDataFrame([(event(), "a")], "value string, source_filename string"), "20260101-a")
+    assert layers.bad_lines().count() == 0 and layers.raw().count() == 1
+
+
+def by_load(layers):
+    return {r.load_id: tuple(r)[2:] for r in layers.reconcile_loads().collect()}
+
+
+def test_reconciliation_by_load(spark, tables):
+    layers = SalesLayers(tables)
+    assert by_load(layers) == {}
+    lines = spark.createDataFrame([(event(), "a"), (event(quantity=0), "a"), ("{bad", "a")], "value string, source_filename string")
+    for load_id in ("20260101-a", "20260101-b"):
+        layers.append_lines(lines, load_id)
+    layers.append_raw(raw_rows(spark, [event()]), "20260102-c")
+    layers.append_lines(lines.where("value = '{bad'"), "20260103-none")
+    layers.stage_pending()
+    layers.publish_pending()
+    good = (2, 1, 1, 1, 2, True)
+    assert by_load(layers) == {"20260101-a": good, "20260101-b": good, "20260102-c": (1, 1, 0, 1, None, True),
+                               "20260103-none": (0, 0, 0, 0, 0, True)}
+    twice = tables.read_load("fact_sales", "20260101-b")
+    rows = spark.createDataFrame(twice.collect() * 2, twice.schema)
+    tables.replace_load("fact_sales", "20260101-b", rows)
+    tables.replace_load("fact_sales", "20260101-a", twice.limit(0))
+    assert layers.reconcile().first().balanced  # the totals can't tell
+    found = by_load(layers)
+    assert found["20260101-a"] == (2, 1, 1, 0, 2, False) and found["20260101-b"] == (2, 1, 1, 2, 2, False)
+    assert found["20260102-c"][-1]
+    tables.replace_load("raw_sales", "20260102-d", layers.raw().limit(1))  # rows that RAW has and STAGING has not
+    assert by_load(layers)["20260102-d"][-1] is False
