@@ -64,7 +64,7 @@ def arguments(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--max-files-per-batch", type=int)
     args = parser.parse_args(argv)
     needed = {"load": ["landing", "checkpoint"], "rebuild": [], "report": ["out"],
-              "compact": ["tables", "day"]}[args.step]
+              "compact": ["day"]}[args.step]
     missing = [f"--{name}" for name in needed if not getattr(args, name)]
     if missing:
         parser.error(f"{args.step} needs {' and '.join(missing)}")

@@ -76,6 +76,7 @@ class Tables(Protocol):
     def add_loads(self, table: str, rows: DataFrame) -> None: ...
     def replace(self, table: str, rows: DataFrame) -> None: ...
     def replace_load(self, table: str, load_id: str, rows: DataFrame) -> None: ...
+    def is_compacted(self, load_id: str) -> bool: ...
     def profile(self) -> str | None: ...
     def set_profile(self, name: str) -> None: ...
 
@@ -89,7 +90,52 @@ def _unreplaced(before: dict[str, frozenset[str]], after: dict[str, frozenset[st
     return [folder for folder, names in before.items() if after.get(folder) == names]
 
 
-class FolderTables:
+class _Compaction:
+    """Makes one load of all loads of a past day, table by table.
+
+    The new files are written aside and noted as ready before anything is
+    removed; ``recover`` takes a compaction that was cut short to its end.  The load
+    log and the bad lines keep their rows, by which a load that is run again later is known.
+    Readers should wait: between the removal and the move a day is missing.
+    """
+
+    def compact_day(self, day: str) -> None:
+        self.recover()
+        pending = {i for i in self.loads(RAW) - self.loads(STAGED) if load_day(i) == day}
+        if pending:
+            raise ValueError(f"loads of {day} are not staged yet: {sorted(pending)}")
+        for table in _COMPACTED_TABLES:
+            _, columns, partitions = _TABLES[table]
+            rows = self.read(table).where(F.col("load_day") == day).select(*columns, *partitions[len(LOAD):])
+            if any(load_day(i) == day for i in self.loads(table)):
+                (rows.write.mode("overwrite").partitionBy(*partitions[len(LOAD):])
+                 .parquet(f"{self._aside()}/{table}/{day}"))
+        files.write_text(self.spark, f"{self._aside()}/{day}.ready", f"{day}-{COMPACTED}")
+        self.recover()
+
+    def recover(self) -> None:
+        """Puts compacted days that are whole in the place of their loads."""
+        for name in files.children(self.spark, self._aside()):
+            if not name.endswith(".ready"):
+                continue
+            day = name.removesuffix(".ready")
+            merged = f"{day}-{COMPACTED}"
+            for table in _COMPACTED_TABLES:
+                written = f"{self._aside()}/{table}/{day}"
+                if files.exists(self.spark, written):
+                    self._drop_day(table, day)
+                    files.move(self.spark, written, self._load_folder(table, merged))
+                self._adopt(table, merged)
+            files.remove(self.spark, f"{self._aside()}/{name}")
+
+    def is_compacted(self, load_id: str) -> bool:
+        """Whether a load of the log has become part of its day."""
+        merged = f"{load_day(load_id)}-{COMPACTED}"
+        return (merged != load_id and self._has(RAW, merged) and self._has(LOG, load_id)
+                and not self._has(RAW, load_id))
+
+
+class FolderTables(_Compaction):
     """The tables as folders ``root/<layer>/<table>``, without a catalog."""
 
     def __init__(self, spark: SparkSession, root: str):
@@ -160,46 +206,17 @@ class FolderTables:
         self._replace(table, _of_load(rows, load_id), self._load_folder(table, load_id))
 
 
-    def compact_day(self, day: str) -> None:
-        """Makes one load of all loads of a past day, table by table.
+    def _aside(self) -> str:
+        return f"{self.root}/_compact"
 
-        The new files are written aside and noted as ready before anything is
-        removed; ``recover`` takes a compaction that was cut short to its end.  The load
-        log keeps its rows, by which a load that is run again later is known.  Readers
-        should wait: between the removal and the move a day is missing.
-        """
-        self.recover()
-        pending = {i for i in self.loads(RAW) - self.loads(STAGED) if load_day(i) == day}
-        if pending:
-            raise ValueError(f"loads of {day} are not staged yet: {sorted(pending)}")
-        merged = f"{day}-{COMPACTED}"
-        for table in _COMPACTED_TABLES:
-            _, columns, partitions = _TABLES[table]
-            rows = self.read(table).where(F.col("load_day") == day).select(*columns, *partitions[len(LOAD):])
-            if any(load_day(i) == day for i in self.loads(table)):
-                (rows.write.mode("overwrite").partitionBy(*partitions[len(LOAD):])
-                 .parquet(f"{self.root}/_compact/{table}/{day}"))
-        files.write_text(self.spark, f"{self.root}/_compact/{day}.ready", merged)
-        self.recover()
+    def _drop_day(self, table: str, day: str) -> None:
+        files.remove(self.spark, f"{self._path(table)}/load_day={day}")
 
-    def recover(self) -> None:
-        """Puts compacted days that are whole in the place of their loads."""
-        for name in files.children(self.spark, f"{self.root}/_compact"):
-            if not name.endswith(".ready"):
-                continue
-            day = name.removesuffix(".ready")
-            for table in _COMPACTED_TABLES:
-                written = f"{self.root}/_compact/{table}/{day}"
-                if files.exists(self.spark, written):
-                    files.remove(self.spark, f"{self._path(table)}/load_day={day}")
-                    files.move(self.spark, written, self._load_folder(table, f"{day}-{COMPACTED}"))
-            files.remove(self.spark, f"{self.root}/_compact/{name}")
+    def _adopt(self, table: str, load_id: str) -> None:
+        """Nothing: a folder is a partition by its place."""
 
-    def is_compacted(self, load_id: str) -> bool:
-        return (f"{load_day(load_id)}-{COMPACTED}" != load_id
-                and files.exists(self.spark, self._load_folder(RAW, f"{load_day(load_id)}-{COMPACTED}"))
-                and files.exists(self.spark, self._load_folder(LOG, load_id))
-                and not files.exists(self.spark, self._load_folder(RAW, load_id)))
+    def _has(self, table: str, load_id: str) -> bool:
+        return files.exists(self.spark, self._load_folder(table, load_id))
 
     def profile(self) -> str | None:
         """The profile that STAGING was made with, as the tables remember it."""
@@ -220,7 +237,7 @@ def _dynamic_overwrite(session: SparkSession) -> Iterator[None]:
         session.conf.set(key, before)
 
 
-class CatalogTables:
+class CatalogTables(_Compaction):
     """The tables in schemas ``raw``, ``staging`` and ``analytics``.
 
     ``stg_sales_clean`` and ``stg_sales_rejects`` are views, each one partition
@@ -300,6 +317,39 @@ class CatalogTables:
         self._replace(table, _of_load(rows, load_id), f"/load_day={load_day(load_id)}/load_id={load_id}")
 
 
+    def _aside(self) -> str:
+        return f"{self._location(RAW)}/_compact"  # a name that no reader of the table looks at
+
+    def _load_folder(self, table: str, load_id: str) -> str:
+        return f"{self._location(table)}/load_day={load_day(load_id)}/load_id={load_id}"
+
+    def _partitions(self, table: str, **values: str) -> list[str]:
+        """The partitions with these values, as specifications."""
+        wanted = ", ".join(f"{key} = '{value}'" for key, value in values.items())
+        shown = self.spark.sql(f"SHOW PARTITIONS {self.name(table)} PARTITION ({wanted})").collect()
+        return [", ".join("{} = '{}'".format(*part.split("=", 1)) for part in row[0].split("/")) for row in shown]
+
+    def _drop_day(self, table: str, day: str) -> None:
+        for named in self._partitions(table, load_day=day):
+            self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS PARTITION ({named})")
+        files.remove(self.spark, f"{self._location(table)}/load_day={day}")  # the empty folders above the partitions
+        self.spark.catalog.refreshTable(self.name(table))
+
+    def _adopt(self, table: str, load_id: str) -> None:
+        """Tells the catalog of the partitions in a load's folder."""
+        folder = self._load_folder(table, load_id)
+        named = f"load_day = '{load_day(load_id)}', load_id = '{load_id}'"
+        inner = _TABLES[table][2][len(LOAD):]
+        found = [named] if not inner else [f"{named}, {name.split('=')[0]} = '{name.split('=')[1]}'"
+                                           for name in files.children(self.spark, folder) if not files.hidden(name)]
+        if files.exists(self.spark, folder):
+            for partition in found:
+                self.spark.sql(f"ALTER TABLE {self.name(table)} ADD IF NOT EXISTS PARTITION ({partition})")
+        self.spark.catalog.refreshTable(self.name(table))
+
+    def _has(self, table: str, load_id: str) -> bool:
+        return bool(self._partitions(table, load_day=load_day(load_id), load_id=load_id))
+
     def profile(self) -> str | None:
         """The profile that STAGING was made with, as the tables remember it."""
         shown = self.spark.sql(f"SHOW TBLPROPERTIES {self.name(STAGED)}").where(F.col("key") == _PROFILE).first()
@@ -349,7 +399,7 @@ class SalesLayers:
         The text is read and parsed once: the parsed lines are written, a tenth of their size, and all
         three tables are made from those.  The log has every file, however many there are; the row for the
         whole load is their sum, and the only one if a line is of no file."""
-        if load_id and isinstance(self.tables, FolderTables) and self.tables.is_compacted(load_id):
+        if load_id and self.tables.is_compacted(load_id):
             return load_id  # a batch run again after its load has become part of its day
         folder = fresh_folder(self.tables.spark, "lines")
         parsed = sorted_lines(lines).withColumn("n", F.size("records"))

@@ -295,9 +295,7 @@ def test_loads_and_rebuilds_survive_dynamic_overwrite_mode(spark, tables):
         spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
 
 
-def test_a_day_becomes_one_load(spark, monkeypatch):
-    tables = FolderTables(spark, fresh_folder(spark, "compact"))
-    tables.create()
+def test_a_day_becomes_one_load(spark, tables, monkeypatch):
     layers = SalesLayers(tables)
 
     def lines(*texts):
@@ -321,6 +319,7 @@ def test_a_day_becomes_one_load(spark, monkeypatch):
     monkeypatch.setattr(files, "move", moved)
     tables.recover()
     assert counts(layers) == before == (3, 2, 1, 2)
+    assert by_load(layers) == {"20260101-compacted": (2, 1, 1, 1, 2, True), "20260102-c": (1, 1, 0, 1, 1, True)}
     for table in ("raw_sales", "stg_sales", "fact_sales"):
         assert tables.loads(table) == {"20260101-compacted", "20260102-c"}
     assert layers.stage_pending() == [] == layers.publish_pending()
@@ -335,6 +334,36 @@ def test_a_day_becomes_one_load(spark, monkeypatch):
     assert sorted(r.event_id for r in layers.fact().collect()) == ["1", "3", "4"]
 
 
+@pytest.mark.parametrize("call", range(1, 12))
+def test_a_compaction_cut_short_anywhere_is_taken_to_its_end(spark, monkeypatch, call):
+    tables = CatalogTables(spark, f"t{uuid.uuid4().hex[:8]}_")
+    tables.create()
+    layers = SalesLayers(tables)
+    for load_id, text in (("20260101-a", event(event_id="1")), ("20260101-b", event(quantity=0))):
+        layers.append_raw(raw_rows(spark, [text]), load_id)
+    layers.stage_pending()
+    layers.publish_pending()
+    done = []
+
+    def cut_short(step):
+        def take(*args, **kwargs):
+            done.append(step)
+            if len(done) == call:
+                raise OSError("lost")
+            return step(*args, **kwargs)
+        return take
+    with monkeypatch.context() as patched:
+        for owner, name in ((files, "write_text"), (files, "move"), (files, "remove"), (CatalogTables, "_drop_day"), (CatalogTables, "_adopt")):
+            patched.setattr(owner, name, cut_short(getattr(owner, name)))
+        with pytest.raises(OSError, match="lost"):
+            tables.compact_day("20260101")
+    tables.recover()
+    assert counts(layers) == (2, 1, 1, 1)
+    tables.compact_day("20260101")
+    assert tables.loads("raw_sales") == {"20260101-compacted"}
+    assert counts(layers) == (2, 1, 1, 1)
+
+
 def test_load_log_has_every_file_of_a_large_load(spark, tables):
     layers = SalesLayers(tables)
     text = F.expr("if(id % 1000 = 7, '{bad', '{}')").alias("value")
