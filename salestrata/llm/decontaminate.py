@@ -12,20 +12,24 @@ by equality; a candidate must leave room for the window in front of and behind
 the shingle within the document (position and length), must have the window's
 hash, and is then compared word by word.
 
-The windows are taken in blocks of at most ``BLOCK`` (window, item) pairs, whose
-number is counted first; only a block at a time is held in memory and sent to the
-tasks.  Each block is one pass over the documents, which adds to the hits of the pass before.
+The windows are written once, and the shingles of all of them counted in the documents,
+``COUNTED`` in a pass.  A benchmark of at most ``BLOCK`` (window, item) pairs is one index, sent to the
+tasks.  A larger one is cut into blocks of about that size.  The documents are then written once with a
+number; each block is a pass of its own that writes its hits, and its index is let go before the next is
+made, so a worker holds one at a time.  The hits of all passes are joined to the documents by their number.
 
 A null or empty text has no words and no hits.  An item with null or empty text has
 no window; one without an id makes hits but is not listed.  Repeated items count
 once, repeated documents each.  Other columns are not looked at.  Without
-benchmark items nothing is hit; without documents the result is empty.
+benchmark items nothing is hit; without documents the result is empty.  A long text takes some
+fifteen times its size in a task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +43,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from salestrata.llm.shared import columns, in_tasks
+from salestrata.llm.shared import columns, cut, in_tasks, stored
 from salestrata.llm.textkit import (
     ALNUM,
     Texts,
@@ -55,6 +59,7 @@ from salestrata.llm.textkit import (
 WINDOW = 10
 SHINGLE = 5
 BLOCK = 200_000
+COUNTED = 1 << 22
 _FILTER_BITS = 20
 
 
@@ -152,17 +157,43 @@ def _shingle_counts(wanted: dict[int, np.ndarray]):
     return batches
 
 
-def index_of(pairs: list, docs: DataFrame) -> Index:
-    """The index of a block of (window, item) rows, prefixes by rarity in ``docs``."""
+def _shingle_rows(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part in parts:
+        _, _, shingles = _window_shingles(part.column("window").to_pylist())
+        for n, (values, _, _) in shingles.items():
+            distinct = np.unique(values)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(distinct), n, dtype=np.int32)),
+                                              pa.array(distinct.view(np.int64))], names=["length", "shingle"])
+
+
+def _shingles(windows: DataFrame) -> DataFrame:
+    return in_tasks(windows.select("window"), _shingle_rows, "length int, shingle long").distinct()
+
+
+def shingle_counts(windows: DataFrame, docs: DataFrame, at_once: int = COUNTED) -> DataFrame:
+    """``(length, shingle, n)``: how often the shingles of the windows stand in the documents, if they do."""
+    wanted = cut(_shingles(windows))
+    passes = max(-(-wanted.count() // at_once), 1)
+    counted = []
+    for number in range(passes):
+        rows = wanted.where(f"pmod(xxhash64(length, shingle), {passes}) = {number}").toArrow()
+        lengths, values = rows.column("length").to_numpy(), rows.column("shingle").to_numpy().view(np.uint64)
+        by_length = {int(n): np.sort(values[lengths == n]) for n in np.unique(lengths)}
+        counted.append(cut(in_tasks(docs.select("text"), _shingle_counts(by_length), "length int, shingle long, n long")
+                           .groupBy("length", "shingle").agg(F.sum("n").alias("n"))))
+    return reduce(DataFrame.union, counted)
+
+
+def index_of(rows: DataFrame, counts: DataFrame) -> Index:
+    """The index of a block of (window, item) rows, prefixes by rarity."""
     by_window: dict[str, list[str]] = {}
-    for window, item in pairs:
+    for window, item in rows.collect():
         by_window.setdefault(window, []).extend([] if item is None else [item])
     windows = sorted(by_window)
     lengths, hashes, shingles = _window_shingles(windows)
     wanted = {n: np.unique(values) for n, (values, _, _) in shingles.items()}
     # As many rows as the block has distinct shingles, at most.
-    counted = (in_tasks(docs.select("text"), _shingle_counts(wanted), "length int, shingle long, n long")
-               .groupBy("length", "shingle").agg(F.sum("n").alias("n")).toArrow())
+    counted = counts.join(_shingles(rows), ["length", "shingle"]).toArrow()
     prefixes = {}
     for n, (values, window, offset) in shingles.items():
         here = counted.filter(pa.compute.equal(counted.column("length"), n))
@@ -230,21 +261,15 @@ def _matching(broadcast):
             change = np.zeros(len(hashes) + 1, dtype=np.int64)
             np.add.at(change, start, 1)
             np.add.at(change, start + index.lengths[window], -1)
-            before = block.column("spans")
-            base = np.repeat(words.first[:-1], before.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))
-            flat = before.flatten()
-            np.add.at(change, flat.field("first").to_numpy(zero_copy_only=False) + base, 1)
-            np.add.at(change, flat.field("end").to_numpy(zero_copy_only=False) + base, -1)
             hit = np.cumsum(change[:-1]) > 0
             row = np.searchsorted(words.first, start, side="right") - 1
-            items = [set(x) for x in block.column("items").to_pylist()]
+            items: list[set[str]] = [set() for _ in range(block.num_rows)]
             for r, w in zip(row.tolist(), window.tolist()):
                 items[r].update(index.items[w])
             yield pa.RecordBatch.from_arrays(
-                [block.column("document"), block.column("text"),
-                 pa.array(np.diff(words.first).astype(np.int64)), _runs(hit, words.first),
+                [block.column("document"), pa.array(np.diff(words.first).astype(np.int64)), _runs(hit, words.first),
                  pa.array([sorted(x) for x in items], pa.list_(pa.string()))],
-                names=["document", "text", "n_words", "spans", "items"])
+                names=["document", "n_words", "spans", "items"])
     return batches
 
 
@@ -266,31 +291,65 @@ def _runs(hit: np.ndarray, first: np.ndarray) -> pa.Array:
 def _word_counts(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for block in row_blocks(parts):
         counts = np.diff(words_of(texts_of(block.column("text")), ALNUM).first)
-        yield pa.RecordBatch.from_arrays(
-            [block.column(0), block.column(1), pa.array(counts.astype(np.int64)), *block.columns[3:]],
-            names=block.schema.names)
+        yield pa.RecordBatch.from_arrays([block.column("document"), pa.array(counts.astype(np.int64))],
+                                         names=["document", "n_words"])
+
+
+def _put_together(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The spans of several passes over a document as runs of hit words, its items once."""
+    for part in parts:
+        spans, items = [], []
+        for row in part.select(["spans", "items"]).to_pylist():
+            runs: list[list[int]] = []
+            for first, end in sorted((s["first"], s["end"]) for s in row["spans"]):
+                if runs and first <= runs[-1][1]:
+                    runs[-1][1] = max(end, runs[-1][1])
+                else:
+                    runs.append([first, end])
+            spans.append([{"first": a, "end": b} for a, b in runs])
+            items.append(sorted(set(row["items"])))
+        kind = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))
+        yield pa.RecordBatch.from_arrays([part.column("number"), pa.array(spans, kind), pa.array(items, pa.list_(pa.string()))],
+                                         names=["number", "spans", "items"])
+
+
+def _matched(rows: DataFrame, document: StructField, index) -> DataFrame:
+    """``(document, n_words, spans, items)`` of rows ``(document, text)`` against one index."""
+    return in_tasks(rows, _matching(index), StructType([
+        document, StructField("n_words", LongType()), StructField("spans", _SPANS), StructField("items", ArrayType(StringType()))]))
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, carry: list[str], block: int = BLOCK) -> DataFrame:
     """``(document struct of the carried columns, n_words, spans, items)`` per row;
     spans are runs of hit words, items the distinct ids of the occurring windows."""
     spark = docs.sparkSession
-    windows = benchmark_windows(benchmark)
+    windows = cut(benchmark_windows(benchmark))
     blocks = -(-windows.count() // block)
-    fields = docs.select(*columns(carry)).schema
-    schema = StructType([StructField("document", fields), StructField("text", StringType()),
-                         StructField("n_words", LongType()), StructField("spans", _SPANS),
-                         StructField("items", ArrayType(StringType()))])
-    found = docs.select(F.struct(*columns(carry)).alias("document"), "text",
-                        F.lit(0).cast("long").alias("n_words"),
-                        F.array().cast(_SPANS).alias("spans"), F.array().cast("array<string>").alias("items"))
+    document = StructField("document", docs.select(*columns(carry)).schema)
+    whole = docs.select(F.struct(*columns(carry)).alias("document"), "text")
+    no_hits = F.array().cast(_SPANS).alias("spans"), F.array().cast("array<string>").alias("items")
+    words = StructType([document, StructField("n_words", LongType())])
     if not blocks:
-        return in_tasks(found, _word_counts, schema).drop("text")
+        return in_tasks(whole, _word_counts, words).select("*", *no_hits)
+    counts = shingle_counts(windows, docs)
+    if blocks == 1:
+        return _matched(whole, document, spark.sparkContext.broadcast(index_of(windows, counts)))
+    whole = stored(whole.withColumn("number", F.monotonically_increasing_id()), "numbered")
+    found = []
     for number in range(blocks):
-        pairs = windows.where(f"pmod(xxhash64(window), {blocks}) = {number}").collect()  # a block of them
-        index = spark.sparkContext.broadcast(index_of([tuple(p) for p in pairs], docs))
-        found = in_tasks(found, _matching(index), schema)
-    return found.drop("text")
+        index = spark.sparkContext.broadcast(index_of(windows.where(f"pmod(xxhash64(window), {blocks}) = {number}"), counts))
+        own = _matched(whole.select(F.col("number").alias("document"), "text"), StructField("document", LongType()), index)
+        found.append(cut(own.where("size(spans) > 0").drop("n_words")))
+        index.unpersist()
+    together = reduce(DataFrame.union, found).groupBy(F.col("document").alias("number")).agg(
+        F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("items"))
+    hit = in_tasks(together, _put_together, StructType([StructField("number", LongType()), StructField("spans", _SPANS),
+                                                        StructField("items", ArrayType(StringType()))]))
+    numbered = whole.select(F.struct("document", "number").alias("document"), "text")
+    counted = in_tasks(numbered, _word_counts, StructType([StructField("document", numbered.schema["document"].dataType),
+                                                           StructField("n_words", LongType())]))
+    return counted.select("document.*", "n_words").join(hit, "number", "left").select(
+        "document", "n_words", *[F.coalesce(name, empty).alias(name) for name, empty in zip(("spans", "items"), no_hits)])
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

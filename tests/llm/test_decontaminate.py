@@ -72,3 +72,31 @@ def test_empty_tables(spark, case):
         assert len(found) == len(texts)
         assert not any(r.n_hit or r.contaminated or r.n_items for r in found)
         assert all(r.n_words == len(alnum_words(texts[r.doc_id])) for r in found)
+
+
+def test_a_worker_holds_one_block_at_a_time(spark, case, monkeypatch):
+    texts, items = case
+    docs = frame(spark, texts)
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    windows = decontaminate.benchmark_windows(benchmark).count()
+    plans = []
+    matched = decontaminate._matched
+
+    def noted(rows, document, index):
+        found = matched(rows, document, index)
+        plans.append(found._jdf.queryExecution().toString().split("== Physical Plan ==")[1])
+        return found
+    monkeypatch.setattr(decontaminate, "_matched", noted)
+    found = decontaminate.hits(docs, benchmark, ["doc_id"], block=-(-windows // 20))
+    assert len(plans) >= 20 and all(plan.count("MapInArrow") == 1 for plan in plans)
+    one = decontaminate.hits(docs, benchmark, ["doc_id"])
+    columns = ["document.doc_id", "n_words", "spans", F.array_sort("items").alias("items")]
+    assert sorted(map(str, found.select(*columns).collect())) == sorted(map(str, one.select(*columns).collect()))
+
+
+def test_shingles_are_counted_in_any_number_of_passes(spark, case):
+    texts, items = case
+    docs = frame(spark, texts)
+    windows = decontaminate.benchmark_windows(spark.createDataFrame(items, "item_id long, text string"))
+    one, many = (sorted(map(tuple, decontaminate.shingle_counts(windows, docs, n).collect())) for n in (1 << 22, 40))
+    assert one == many and len(one) > 100
