@@ -30,6 +30,7 @@ import base64
 import hashlib
 import re
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -101,11 +102,38 @@ class Template:
         """The formatted text."""
         return "".join(s if isinstance(s, str) else self.control_of[s[0]] for s in self._segments(ids))
 
+    def read_back(self, ids: np.ndarray, mask: np.ndarray) -> tuple[list[tuple[str, str]], str, int]:
+        """The turns, the text under the mask, unescaped, and the length of the formatted text; each
+        segment between reserved ids is decoded once."""
+        reserved = np.flatnonzero(ids >= self.first_reserved)
+        learnt = np.concatenate(([0], np.cumsum(mask > 0)))
+        segments: list[str | tuple[int]] = []
+        under: list[str] = []
+        low = n_chars = 0
+        for high in [*reserved.tolist(), len(ids)]:
+            if high > low:
+                text = self.encoding.decode_bytes(ids[low:high].tolist()).decode()
+                n_chars += len(text)
+                segments.append(text)
+                covered = learnt[high] - learnt[low]
+                if covered == high - low:
+                    under.append(unescape(text))
+                elif covered:
+                    raise ValueError("a mask ends within a segment")
+            if high < len(ids):
+                segments.append((int(ids[high]),))
+                n_chars += len(self.control_of[int(ids[high])])
+            low = high + 1
+        return list(self._turns(segments)), "".join(under), n_chars
+
     def turns(self, ids: np.ndarray) -> Iterator[tuple[str, str]]:
         """The turns that the ids stand for, unescaped."""
+        return self._turns(self._segments(ids))
+
+    def _turns(self, segments: Iterable[str | tuple[int]]) -> Iterator[tuple[str, str]]:
         role_of = {begin: role for role, begin in BEGIN.items()}
-        role, text, expected = None, "", None
-        for segment in self._segments(ids):
+        role, text = None, ""
+        for segment in segments:
             if isinstance(segment, str):
                 text = unescape(segment)
                 continue
@@ -133,9 +161,15 @@ class Template:
             low = i + 1
 
 
+@lru_cache(1)
+def template_of(ranks: str, pattern: str) -> Template:
+    """One for all tasks of a worker."""
+    return Template(ranks, pattern)
+
+
 def _paging(ranks: str, pattern: str):
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        template, part, page = Template(ranks, pattern), TaskContext.get().partitionId(), 0
+        template, part, page = template_of(ranks, pattern), TaskContext.get().partitionId(), 0
         conv, turns = None, []
 
         def closed():
@@ -173,7 +207,7 @@ _DIGESTS = ("conv_id long, n_turns long, turns_sha256 string, loss_chars long, l
 def _digesting(ranks: str, pattern: str):
     """Digests over pages in order; only running hashes are held between pages."""
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        template = Template(ranks, pattern)
+        template = template_of(ranks, pattern)
         done: list[tuple] = []
         conv, state = None, None
 
@@ -189,13 +223,12 @@ def _digesting(ranks: str, pattern: str):
                     if state is not None:
                         done.append(row())
                     conv, state = own, [0, hashlib.sha256(), 0, hashlib.sha256(), 0]
-                for role, text in template.turns(ids):
-                    state[0] += 1
-                    state[1].update(f"{role}\n{text}\n".encode())
-                learnt = template.learnt(ids, mask)
+                turns, learnt, n_chars = template.read_back(ids, mask)
+                state[0] += len(turns)
+                state[1].update("".join([f"{role}\n{text}\n" for role, text in turns]).encode())
                 state[2] += len(learnt)
                 state[3].update(learnt.encode())
-                state[4] += len(template.render(ids))
+                state[4] += n_chars
             yield _digest_batch(done)
             done = []
         if state is not None:
