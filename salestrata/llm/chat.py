@@ -31,6 +31,7 @@ import hashlib
 import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +51,7 @@ OTHER, OTHER_END = "[ROLE]", "[/ROLE]"
 LEARNT = "assistant"
 
 PAGE = 256
+_PAGES_AT_ONCE, _IDS = 64, 1 << 18  # pages in a batch, ids after which it ends
 _CONTROL = re.compile("|".join(f"{re.escape(c[0])}(?={re.escape(c[1:])})" for c in CONTROLS))
 _ESCAPED = re.compile(r"\\(.)", re.DOTALL)
 _PAGES = "conv_id long, part int, page int, n_turns int, ids array<int>, loss_mask array<byte>"
@@ -88,15 +90,14 @@ class Template:
                 learnt.append(len(segments))
             segments += [escape(text), self.reserved[END.get(role, LAST)]]
         texts = [i for i, s in enumerate(segments) if isinstance(s, str)]
-        encoded = self.encoding.encode_ordinary_batch([segments[i] for i in texts], num_threads=1)
         parts: list[list[int]] = [[s] if isinstance(s, int) else [] for s in segments]
-        for i, ids in zip(texts, encoded):
-            parts[i] = ids
+        for i in texts:
+            parts[i] = self.encoding.encode_ordinary(segments[i])
         ends = np.cumsum([len(p) for p in parts])
         change = np.zeros(int(ends[-1]) + 1, dtype=np.int64)
         np.add.at(change, ends[learnt] - [len(parts[i]) for i in learnt] if learnt else [], 1)
         np.add.at(change, ends[learnt] if learnt else [], -1)
-        return np.fromiter((i for p in parts for i in p), dtype=np.int32), np.cumsum(change[:-1]).astype(np.int8)
+        return np.array(list(chain.from_iterable(parts)), dtype=np.int32), np.cumsum(change[:-1]).astype(np.int8)
 
     def render(self, ids: np.ndarray) -> str:
         """The formatted text."""
@@ -171,27 +172,40 @@ def _paging(ranks: str, pattern: str):
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         template, part, page = template_of(ranks, pattern), TaskContext.get().partitionId(), 0
         conv, turns = None, []
+        done: list[tuple] = []
 
-        def closed():
-            ids, mask = template.page(turns)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([conv], pa.int64()), pa.array([part], pa.int32()), pa.array([page], pa.int32()),
-                 pa.array([len(turns)], pa.int32()), pa.array([ids], pa.list_(pa.int32())),
-                 pa.array([mask], pa.list_(pa.int8()))],
-                names=["conv_id", "part", "page", "n_turns", "ids", "loss_mask"])
+        def close() -> None:
+            nonlocal page
+            done.append((conv, page, len(turns), *template.page(turns)))
+            page += 1
 
         for rows in parts:
             for own, role, text in zip(*(rows.column(c).to_pylist() for c in ("conv_id", "role", "text"))):
                 if turns and (own != conv or len(turns) == PAGE):
-                    yield closed()
-                    page, turns = page + 1, []
+                    close()
+                    turns = []
+                    if len(done[-1][3]) > _IDS or len(done) == _PAGES_AT_ONCE:
+                        yield _page_batch(part, done)
+                        done = []
                 conv = own
                 turns.append((role, text))
         if turns:
-            yield closed()
+            close()
+        if done:
+            yield _page_batch(part, done)
     return batches
 
 
+def _page_batch(part: int, pages: list[tuple]) -> pa.RecordBatch:
+    convs, numbers, sizes, ids, masks = zip(*pages)
+    offsets = np.concatenate(([0], np.cumsum([len(i) for i in ids]))).astype(np.int32)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(convs, pa.int64()), pa.array([part] * len(pages), pa.int32()), pa.array(numbers, pa.int32()),
+         pa.array(sizes, pa.int32()), pa.ListArray.from_arrays(offsets, np.concatenate(ids)),
+         pa.ListArray.from_arrays(offsets, np.concatenate(masks))],
+        names=["conv_id", "part", "page", "n_turns", "ids", "loss_mask"])
+
+
 def format_chats(conversations: DataFrame, ranks: str, pattern: str) -> DataFrame:
     """``(conv_id, part, page, n_turns, ids, loss_mask)`` from rows of ``(conv_id, turn, role, text)``."""
     rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), "turn",
