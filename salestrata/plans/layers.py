@@ -4,7 +4,7 @@ All tables are partitioned by ``load_day`` and ``load_id``; the day is the date
 the load's name begins with.  STAGING is one table for both sides of the split,
 partitioned further by ``outcome``: one scan of RAW writes both.
 
-A write replaces the partitions it has rows for.  Spark writes the new files
+A write of loads replaces the partitions it has rows for.  Spark writes the new files
 beside the old ones and puts them in their place when all of them are whole, so a
 write that fails leaves the table as it was.  Partitions that were to be replaced
 and got no row are dropped after that.  A load that failed half way, or a streaming
@@ -47,6 +47,7 @@ LOAD = ("load_day", "load_id")
 UNDATED = "undated"
 _PROFILE = "salestrata.profile"
 COMPACTED = "compacted"
+_READY = ".ready"
 TOGETHER = 500  # loads in one write
 _COMPACTED_TABLES = (RAW, STAGED, FACT)
 
@@ -136,7 +137,14 @@ class _Compaction:
 
 
 class FolderTables(_Compaction):
-    """The tables as folders ``root/<layer>/<table>``, without a catalog."""
+    """The tables as folders ``root/<layer>/<table>``, without a catalog.
+
+    A rebuild writes a new generation of its table, ``root/_generations/<table>/<number>``, beside the one
+    that is read, and notes it as ready when it is whole: a reader sees all of the old one or all of the
+    new one.  The one before is kept until the next rebuild, for readers that have begun.  ``path`` is where
+    a table is read now; until its first rebuild that is its own folder.  A load goes into the
+    generation read when it is written; one that a rebuild has passed by is pending again.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -145,19 +153,33 @@ class FolderTables(_Compaction):
     def create(self) -> None:
         """Empty tables, so that they can be read before the first load."""
         for table in _TABLES:
-            if not files.exists(self.spark, self._path(table)):
+            if not files.exists(self.spark, self._home(table)):
                 self._write(table, self.spark.createDataFrame([], self._schema(table)))
 
-    def _path(self, table: str) -> str:
+    def _home(self, table: str) -> str:
         return f"{self.root}/{_TABLES[table][0]}/{table}"
 
+    def _generations(self, table: str) -> str:
+        return f"{self.root}/_generations/{table}"
+
+    def _current(self, table: str) -> int:
+        """The last generation that is whole; 0 is the table's own folder."""
+        return max((int(name.removesuffix(_READY)) for name in files.children(self.spark, self._generations(table))
+                    if name.endswith(_READY)), default=0)
+
+    def _generation(self, table: str, number: int) -> str:
+        return f"{self._generations(table)}/{number:09d}" if number else self._home(table)
+
+    def path(self, table: str) -> str:
+        return self._generation(table, self._current(table))
+
     def _schema(self, table: str, skipped: int = 0) -> str:
         _, columns, partitions = _TABLES[table]
         return ddl({**columns, **dict.fromkeys(partitions[skipped:], "string")})
 
     def _write(self, table: str, rows: DataFrame) -> None:
         (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*_TABLES[table][2]).parquet(self._path(table)))
+         .partitionBy(*_TABLES[table][2]).parquet(self.path(table)))
 
     def _replace(self, table: str, rows: DataFrame, folder: str) -> None:
         before = files.data_files(self.spark, folder)
@@ -166,10 +188,10 @@ class FolderTables(_Compaction):
             files.remove(self.spark, left)
 
     def _load_folder(self, table: str, load_id: str) -> str:
-        return f"{self._path(table)}/load_day={load_day(load_id)}/load_id={load_id}"
+        return f"{self.path(table)}/load_day={load_day(load_id)}/load_id={load_id}"
 
     def read(self, table: str) -> DataFrame:
-        return self.spark.read.schema(self._schema(table)).parquet(self._path(table))
+        return self.spark.read.schema(self._schema(table)).parquet(self.path(table))
 
     def read_load(self, table: str, load_id: str) -> DataFrame:
         # The folder itself: no listing of the loads before it.
@@ -180,15 +202,15 @@ class FolderTables(_Compaction):
 
     def read_loads(self, table: str, load_ids: Sequence[str]) -> DataFrame:
         """The rows of some loads, with the load they are of; their folders alone are listed."""
-        schema = self._schema(table)
-        folders = [self._load_folder(table, load_id) for load_id in load_ids]
+        schema, root = self._schema(table), self.path(table)
+        folders = [f"{root}/load_day={load_day(load_id)}/load_id={load_id}" for load_id in load_ids]
         if not folders:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).option("basePath", self._path(table)).parquet(*folders)
+        return self.spark.read.schema(schema).option("basePath", root).parquet(*folders)
 
     def loads(self, table: str, outcome: str | None = None) -> set[str]:
         """The loads that have a partition, from the names of the folders."""
-        root = self._path(table)
+        root = self.path(table)
         if outcome:
             return {path.split("/")[1].removeprefix("load_id=") for path in files.walk(self.spark, root)
                     if path.split("/")[2:3] == [f"outcome={outcome}"]}
@@ -200,7 +222,17 @@ class FolderTables(_Compaction):
         self._write(table, rows)
 
     def replace(self, table: str, rows: DataFrame) -> None:
-        self._replace(table, rows, self._path(table))
+        before = self._current(table)
+        folder = self._generation(table, before + 1)
+        rows.write.mode("overwrite").partitionBy(*_TABLES[table][2]).parquet(folder)
+        files.write_text(self.spark, f"{folder}{_READY}", "")
+        for number in range(max(before - 2, 1), before):  # of which no reader is left
+            files.remove(self.spark, f"{self._generation(table, number)}{_READY}")
+            files.remove(self.spark, self._generation(table, number))
+        if before:
+            for name in files.children(self.spark, self._home(table)):
+                if name.startswith(f"{LOAD[0]}="):
+                    files.remove(self.spark, f"{self._home(table)}/{name}")
 
     def replace_load(self, table: str, load_id: str, rows: DataFrame) -> None:
         self._replace(table, _of_load(rows, load_id), self._load_folder(table, load_id))
@@ -210,7 +242,7 @@ class FolderTables(_Compaction):
         return f"{self.root}/_compact"
 
     def _drop_day(self, table: str, day: str) -> None:
-        files.remove(self.spark, f"{self._path(table)}/load_day={day}")
+        files.remove(self.spark, f"{self.path(table)}/load_day={day}")
 
     def _adopt(self, table: str, load_id: str) -> None:
         """Nothing: a folder is a partition by its place."""
@@ -220,10 +252,10 @@ class FolderTables(_Compaction):
 
     def profile(self) -> str | None:
         """The profile that STAGING was made with, as the tables remember it."""
-        return files.read_text(self.spark, f"{self._path(STAGED)}/_profile")
+        return files.read_text(self.spark, f"{self._home(STAGED)}/_profile")
 
     def set_profile(self, name: str) -> None:
-        files.write_text(self.spark, f"{self._path(STAGED)}/_profile", name)
+        files.write_text(self.spark, f"{self._home(STAGED)}/_profile", name)
 
 
 @contextmanager
