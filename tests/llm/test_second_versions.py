@@ -1,0 +1,169 @@
+"""The scores of the classifiers computed a second time, in plain Python, from the models' numbers."""
+
+from __future__ import annotations
+
+import math
+import re
+from collections import Counter
+
+import pytest
+
+from cases import DATA, EDGE_TEXTS, alnum_words, frame, lowered, spaced_words
+from salestrata.llm import language_id, toxicity, weak_quality
+from salestrata.llm.ngram_vectors import BUCKETS
+
+CLOSE = 1e-6
+MASK = (1 << 64) - 1
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(f"{DATA}/sf0.01/documents.parquet")
+
+
+@pytest.fixture(scope="module")
+def texts(docs):
+    return EDGE_TEXTS + [r.text for r in docs.orderBy("doc_id").limit(200).collect()]
+
+
+def buckets(data: bytes) -> Counter:
+    """The hashed one- to three-byte n-grams of some bytes."""
+    found: Counter = Counter()
+    for n in (1, 2, 3):
+        for i in range(len(data) - n + 1):
+            value = ((int.from_bytes(data[i:i + n], "big") + (n << 24)) * 0x9E3779B1) & 0xFFFFFFFF
+            value = ((value ^ value >> 15) * 0x85EBCA77) & 0xFFFFFFFF
+            found[value >> 20] += 1
+    return found
+
+
+def unit(vector: dict[int, float]) -> dict[int, float]:
+    norm = math.sqrt(sum(v * v for v in vector.values()))
+    return {k: v / norm for k, v in vector.items()} if norm else vector
+
+
+def language_vector(text: str, weights) -> dict[int, float]:
+    runs = re.findall(rb"[a-zA-Z\x80-\xff]+", (text or "").lower().encode())
+    spaced = b" " + b" ".join(runs) + b" " if runs else b""
+    return unit({b: math.log1p(n) * float(weights[b]) for b, n in buckets(spaced).items()})
+
+
+def test_language_cosine_score_and_rejection(spark, docs, texts):
+    model = language_id.fit(docs)
+    found = {r.doc_id: r for r in language_id.identify(frame(spark, texts), model).collect()}
+    for i, text in enumerate(texts):
+        if not any(c.isalpha() for c in text or ""):
+            assert (found[i].lang_pred, found[i].score, found[i].rejected) == ("und", 0, True)
+            continue
+        vector = language_vector(text, model.weights)
+        cosines = [sum(v * float(center[b]) for b, v in vector.items()) for center in model.vectors]
+        best = max(range(len(cosines)), key=lambda k: (round(cosines[k], 6), -k))
+        assert found[i].score == pytest.approx(max(cosines), abs=CLOSE)
+        assert found[i].lang_pred == model.languages[best]
+        distance, limit = 1 - cosines[best], language_id.SLACK * model.radii[best]
+        if abs(distance - limit) > CLOSE:
+            assert found[i].rejected == (distance > max(limit, CLOSE))
+
+
+def test_centroids_are_the_means_of_their_clusters(spark, docs):
+    model = language_id.fit(docs)
+    train = docs.where(f"text is not null and lang is not null and not {language_id.HELD_OUT}").selectExpr(
+        "doc_id as of_id", "lang", "text")
+    sample: dict[str, list] = {}
+    for r in language_id.training_sample(train, language_id.SAMPLE).collect():
+        sample.setdefault(r.lang, []).append(language_vector(r.text, model.weights))
+    for lang, vectors in sample.items():
+        centers = [(c, r) for c, r, of in zip(model.vectors, model.radii, model.languages) if of == lang]
+        members: dict[int, list] = {}
+        for v in vectors:
+            near = [sum(x * float(c[b]) for b, x in v.items()) for c, _ in centers]
+            members.setdefault(near.index(max(near)), []).append((v, max(near)))
+        assert len(members) == len(centers) <= language_id.CENTROIDS
+        for k, own in members.items():
+            total: Counter = Counter()
+            for v, _ in own:
+                total.update(v)
+            mean = unit(total)
+            # the last step of the clustering may still have moved a few members
+            assert sum(x * float(centers[k][0][b]) for b, x in mean.items()) > 0.999
+            assert max(1 - cosine for _, cosine in own) >= centers[k][1] - 0.05
+
+
+def mix(value: int) -> int:
+    value = ((value ^ value >> 30) * 0xBF58476D1CE4E5B9) & MASK
+    value = ((value ^ value >> 27) * 0x94D049BB133111EB) & MASK
+    return value ^ value >> 31
+
+
+def span_hash(raw: bytes) -> int:
+    golden = 0x9E3779B97F4A7C15
+    blocks = [int.from_bytes(raw[i:i + 8], "little") for i in range(0, len(raw), 8)]
+    value = mix((len(raw) * golden & MASK) ^ blocks[0])
+    for block in blocks[1:]:
+        value = mix(((value + golden) & MASK) ^ block)
+    return value
+
+
+def test_severity_is_the_sum_over_the_thresholds(spark, docs, texts):
+    model = toxicity.fit(docs, spark.read.parquet(f"{DATA}/sf0.01/labels.parquet"))
+    weight = dict(zip(map(int, model.words), map(float, model.weights)))
+    assert len(weight) > 10 and list(model.thresholds) == sorted(model.thresholds)
+    rows = {r.doc_id: r for r in toxicity.judge(frame(spark, texts), model, ["doc_id"]).select(
+        "document.doc_id", "severity", "p_toxic").collect()}
+    above_none = 0
+    for i, text in enumerate(texts):
+        present = set()
+        for word in alnum_words(lowered(text or "")):
+            raw = word.encode()
+            present.add(span_hash(raw) & ~3)
+            for kind, n in enumerate((4, 5), start=1):
+                if len(raw) >= n:
+                    present.add((mix((span_hash(raw[:n]) + n) & MASK) & ~3) | kind)
+        score = sum(weight.get(h, 0.0) for h in present)
+        shares = [1 / (1 + math.exp(t - score)) for t in model.thresholds]
+        assert rows[i].severity == pytest.approx(sum(shares), abs=CLOSE)
+        assert rows[i].p_toxic == pytest.approx(shares[0], abs=CLOSE)
+        above_none += score != 0
+    assert above_none > 20
+
+
+def shares_of(text: str) -> dict[str, float]:
+    """What the labellers look at, by its definition."""
+    data = (text or "").encode()
+    words = spaced_words(text)
+    n = max(len(words), 1)
+    windows = [tuple(words[i:i + 8]) for i in range(len(words) - 7)]
+    often = Counter(windows)
+    repeated = {i + j for i, w in enumerate(windows) if often[w] > 1 for j in range(8)}
+    lines = [x for x in (text or "").split("\n") if spaced_words(x)]
+    letters = sum(0x41 <= b <= 0x5A or 0x61 <= b <= 0x7A or b >= 0x80 for b in data)
+    ink = max(sum(b not in (0x20, 9, 10, 11, 12, 13) for b in data), 1)
+    return {
+        "symbols": sum((text or "").count(c) for c in "#*$%&|<>") / n, "repeats": len(repeated) / n,
+        "same words": 1 - len(set(words)) / n, "capitals": sum(0x41 <= b <= 0x5A for b in data) / max(letters, 1),
+        "marks": sum(b in b"!?" for b in data) / n, "lines": (len(lines) - len(set(lines))) / (data.count(b"\n") + 1),
+        "other characters": 1 - letters / ink, "stretch": abs(sum(map(len, words)) / n - 6) / 6}
+
+
+def test_posterior_and_score_from_votes_and_weights(spark, docs, texts):
+    distinct = weak_quality.distinct_texts(docs)
+    model = weak_quality.label_model(distinct)
+    weights = weak_quality.scorer(docs, distinct, model)
+    shared = spark.sparkContext.broadcast((model, weights))
+    rows = {r.doc_id: r for r in weak_quality.in_tasks(
+        frame(spark, texts).select("doc_id", "text"), weak_quality._scoring(shared),
+        "doc_id long, votes string, posterior double, score double, good boolean").collect()}
+    for i, text in enumerate(texts):
+        seen = shares_of(text)
+        said = ["-" if seen[name] >= least else "0" for name, least in weak_quality.FAULTS.items()] + [
+            "+" if all(seen[m] <= most for m, most in limits.items()) else "0" for limits in weak_quality.PLAIN.values()]
+        assert rows[i].votes == "".join(said), repr(text)
+        chance = [float(p) for p in model.prior]
+        for j, vote in enumerate(said):
+            chance = [c * float(model.vote[k, j, "-0+".index(vote)]) for k, c in enumerate(chance)]
+        assert rows[i].posterior == pytest.approx(chance[1] / sum(chance), abs=CLOSE)
+        vector = unit({b: math.log1p(n) for b, n in buckets((text or "").encode()).items()})
+        linear = sum(v * float(weights[b]) for b, v in vector.items()) + float(weights[BUCKETS])
+        # the operator works in single precision: the logit is close to a few millionths of its terms
+        assert rows[i].score == pytest.approx(1 / (1 + math.exp(-linear)), abs=2e-5)
+        assert rows[i].good == (rows[i].score >= 0.5)
