@@ -21,7 +21,8 @@ over tasks; the result has pages of at most ``PAGE`` turns of one conversation,
 
 A null text is empty, a null role is the empty role, and both read back so.  A
 null conv_id is a conversation of its own.  Repeated rows are turns each, other
-columns are not looked at, and an empty table gives an empty result.
+columns are not looked at, and an empty table gives an empty result.  A page holds whole texts,
+however long.
 """
 
 from __future__ import annotations

@@ -19,7 +19,8 @@ letters share no n-gram with any language gets the first language by name, with
 score 0, and is rejected; of equally near centroids the one of the first language by name, then of the least
 radius, counts.  If nothing can be learnt, every text is ``und``.  A null doc_id is held out
 by no remainder: it is in the training part.  Repeated rows are judged each, other
-columns are not looked at, and an empty table gives an empty result.
+columns are not looked at, and an empty table gives an empty result.  A text of any length is judged whole in one
+task; it takes some seventy times its size there.
 """
 
 from __future__ import annotations

@@ -12,7 +12,8 @@ and of the detections taken; the score is the highest weight of any, 0.5 for a b
 phrase alone, 0 for nothing.
 
 A null text is empty and has no words and no label.  Repeated rows are scanned
-each, other columns are not looked at, and an empty table gives an empty result.
+each, other columns are not looked at, and an empty table gives an empty result.  A text
+of any length is scanned whole in one task.
 """
 
 from __future__ import annotations

@@ -10,7 +10,8 @@ The result is that of the library's ``encode`` of the whole text with an end id,
 and of its ``decode`` of all ids.  The model must not change, trim or join what it
 reads beyond marking spaces (checked when it is loaded).  A null text counts as
 empty: the end id alone.  Repeated rows are encoded each, other columns are not
-looked at, and an empty table gives an empty result.
+looked at, and an empty table gives an empty result.  A text of any length is encoded whole in
+one task; it takes some forty times its size there.
 """
 
 from __future__ import annotations

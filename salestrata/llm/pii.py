@@ -22,7 +22,8 @@ then being that nothing is there.  An added span must beat its tokens being outs
 
 A null or empty text has no spans.  Repeated rows are answered each, among equal
 segmentations the one with the earlier and more outside tokens counts, other columns are not looked at, and an
-empty table gives an empty result.  A long text takes some ten times its size in a task.
+empty table gives an empty result.  A text of any length is read whole in one task, a stretch of any length
+with ``MAX_TOKENS`` places held.
 """
 
 from __future__ import annotations
@@ -452,6 +453,7 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
 def _added(model: Model, texts, runs, spans) -> list[tuple[int, int, int, int]]:
     """``(row, start, end, kind)`` of the model's spans that overlap none of the rules'."""
     out = []
+    furthest = np.maximum.accumulate(spans.end)  # of the rules' spans up to each
     for row, low, high in stretches(texts, runs):
         items = tokens(texts.data[low:high].tobytes())
         found = model.spans(items)
@@ -460,8 +462,8 @@ def _added(model: Model, texts, runs, spans) -> list[tuple[int, int, int, int]]:
         edges = low + np.concatenate(([0], np.cumsum([len(t) for t in items])))
         for first, end, label in found:
             a, b = int(edges[first]), int(edges[end])
-            near = slice(*np.searchsorted(spans.start, (a - 2 * (high - low), b)))
-            if not (spans.end[near] > a).any():
+            before = int(np.searchsorted(spans.start, b))
+            if not before or furthest[before - 1] <= a:
                 out.append((row, a, b, label - 1))
     return out
 

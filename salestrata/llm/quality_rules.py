@@ -21,6 +21,7 @@ A null or empty text has no words and fails the base rules; its perplexity is
 null.  A text too short for a model is not judged by it.  A null language counts as
 ``und``.  Repeated rows are judged alike, each on its own row.  Other columns of the
 input are not looked at, whatever their names.  An empty table gives an empty result.
+A text of any length is judged whole in one task; it takes some sixty times its size there.
 """
 
 from __future__ import annotations

@@ -20,7 +20,8 @@ all documents whole.
 A null or empty text has no words and is scored by the thresholds alone.  Labels
 that are null are left out, a document labelled twice is toxic if either says so.
 Without both classes nothing is learnt, and every score is zero.  Repeated rows
-are scored each.  Other columns are not looked at.
+are scored each.  Other columns are not looked at.  A text of any length is scored whole
+in one task.
 """
 
 from __future__ import annotations

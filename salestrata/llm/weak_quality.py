@@ -18,6 +18,7 @@ its count if that is more.  So a text of many copies is in for certain, with its
 A null or empty text gets the votes of a text without words; its n-gram vector is zero.
 If all votes agree, the labels are the posteriors of that one pattern.  Repeated rows are
 judged each, other columns are not looked at, and an empty table gives an empty result.
+A text of any length is judged whole in one task; it takes some seventy times its size there.
 """
 
 from __future__ import annotations

@@ -1,0 +1,74 @@
+"""One text of some MB among short ones: whole results from each operator."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+from tokenizers import Tokenizer
+
+from cases import alnum_words, frame, spaced_words
+from salestrata.llm import (
+    alignment,
+    decontaminate,
+    license_scan,
+    pieces,
+    pii,
+    quality_rules,
+    simhash,
+    token_files,
+)
+from salestrata.llm.shared import new_folder
+
+BPE = public_tokenizers.path("byte_bpe_50k.json")
+MODEL = public_tokenizers.path("piece_bpe_32k.model")
+
+
+@pytest.fixture(scope="module")
+def texts():
+    rng = random.Random(4)
+    words = ["".join(rng.choices("abcdefgéhijklmnop", k=rng.randrange(1, 9))) for _ in range(3000)]
+    long = " ".join(rng.choices(words, k=400_000)) + " a@b.org under the MIT license"
+    return ["short one", long, None, "a" * 500_000, "short one"]
+
+
+def test_tokens(spark, texts):
+    folder = new_folder(spark, "long")
+    token_files.write(frame(spark, texts[:3]), BPE, folder)
+    encoder = Tokenizer.from_file(BPE)
+    for r in token_files.digests(spark, folder).collect():
+        ids = encoder.encode(texts[r.doc_id] or "", add_special_tokens=False).ids + [0]
+        assert (r.n_tokens, r.ids_crc32) == (len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes()))
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    for r in pieces.token_digests(frame(spark, texts[:3]), MODEL).collect():
+        ids = library.encode(texts[r.doc_id] or "") + [library.eos_id()]
+        assert r.n_tokens == len(ids)
+        assert r.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+
+
+def test_alignment_in_parts_is_that_of_the_whole(spark, texts):
+    docs = frame(spark, texts[:3])
+    one, many = (sorted((r.doc_id, r.n_a, r.n_b, r.n_groups, r.n_links, r.groups_sha256, sorted(zip(r.pairs, r.links)))
+                        for r in alignment.align(docs, BPE, MODEL, part).collect()) for part in (1 << 30, 100_000))
+    assert one == many and one[1][4] > 400_000
+
+
+def test_counts_and_spans(spark, texts):
+    docs = frame(spark, texts)
+    by_id = {r.doc_id: r for r in quality_rules.quality_rules(docs).collect()}
+    assert [by_id[i].n_words for i in range(5)] == [len(spaced_words(t)) for t in texts]
+    benchmark = spark.createDataFrame([(1, " ".join(texts[1].split()[200_000:200_030])), (2, "short one")], "item_id long, text string")
+    hits = {r.doc_id: r for r in decontaminate.decontaminate(docs, benchmark).collect()}
+    assert hits[1].n_words == len(alnum_words(texts[1])) and hits[1]["items"] == ["1"] and hits[1].n_hit >= 30
+    assert [hits[i].contaminated for i in (0, 2, 3, 4)] == [True, False, False, True]
+    found = {r.doc_id: r.spans for r in pii.personal_data(docs, pii.fit([])).collect()}
+    at = texts[1].index("a@b.org")
+    assert found == {0: "", 1: f"email:{at}:{at + 7}", 2: "", 3: "", 4: ""}
+    assert {r.doc_id for r in license_scan.license_scan(docs).where("n_base > 0").collect()} == {1}
+    groups = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs).collect()}
+    assert groups[0] == groups[4] == 0 and len(groups) == 5

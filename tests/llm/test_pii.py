@@ -180,6 +180,12 @@ def test_documents(spark, model):
     assert "ip:" in rows[len(texts) - 2].spans
 
 
+def test_no_span_is_added_within_a_rule_span_of_any_length(spark, model):
+    text = "+1" + " " * 3000 + "(" * 40 + "427 555 5262 5 then"
+    row = pii.personal_data(frame(spark, [text]), model).first()
+    assert row.base_spans == brute(text) == row.spans and row.n_phone == 1
+
+
 def test_the_sample_is_bounded_and_the_same_however_rows_lie(spark):
     docs = frame(spark, [f"mail n{i}@host{i}.org now" for i in range(300)] * 3)
     one = pii.training_stretches(docs.repartition(1), 20)
