@@ -30,7 +30,7 @@ from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from salestrata.llm.hash_table import SortedHashTable
 from salestrata.llm.shared import cut, in_tasks, small_side
-from salestrata.llm.textkit import BLOCK_BYTES, Texts, mix, row_blocks, texts_of
+from salestrata.llm.textkit import BLOCK_BYTES, Texts, mix, overlapping, row_blocks, texts_of
 
 ORDER = 4
 # Entries of a table that a worker holds, 16 bytes each and a directory.
@@ -74,21 +74,22 @@ def _count_blocks(batches: Iterator[pa.RecordBatch], order: int,
                   view: Callable[[Texts], Texts]) -> Iterator[pa.RecordBatch]:
     for block in row_blocks(batches, limit=BLOCK_BYTES):
         codes, names = _language_codes(block.column("lang"))
-        packed, counts = grams(view(texts_of(block.column("text"))), order)
-        keyed = np.sort(packed.astype(np.uint64)
-                        | np.repeat(codes.astype(np.uint64) << np.uint64(32), counts))
-        first = np.flatnonzero(np.concatenate(([True], keyed[1:] != keyed[:-1]))) if len(keyed) else np.zeros(0, int)
-        distinct = keyed[first]
-        yield pa.RecordBatch.from_arrays([
-            pa.array(names, pa.string()).take(pa.array(distinct >> np.uint64(32))),
-            pa.array((distinct & np.uint64(0xFFFFFFFF)).astype(np.int64)),
-            pa.array(np.diff(np.append(first, len(keyed))).astype(np.int64)),
-        ], names=["lang", "gram", "n"])
+        for part in overlapping(view(texts_of(block.column("text"))), order - 1):
+            packed, counts = grams(part, order)
+            keyed = np.sort(packed.astype(np.uint64)
+                            | np.repeat(codes.astype(np.uint64) << np.uint64(32), counts))
+            first = np.flatnonzero(np.concatenate(([True], keyed[1:] != keyed[:-1]))) if len(keyed) else np.zeros(0, int)
+            distinct = keyed[first]
+            yield pa.RecordBatch.from_arrays([
+                pa.array(names, pa.string()).take(pa.array(distinct >> np.uint64(32))),
+                pa.array((distinct & np.uint64(0xFFFFFFFF)).astype(np.int64)),
+                pa.array(np.diff(np.append(first, len(keyed))).astype(np.int64)),
+            ], names=["lang", "gram", "n"])
 
 
 def count_grams(texts: DataFrame, order: int = ORDER, view: Callable[[Texts], Texts] | None = None) -> DataFrame:
     """``(lang, gram, n)``: exact counts over all rows of ``(lang, text)``.  Each
-    block of rows is counted in its task first; only its sums are shuffled."""
+    block of rows, or part of a long text, is counted in its task first; only its sums are shuffled."""
     return (in_tasks(texts.select("lang", "text"), _counting(order, view), "lang string, gram long, n long")
             .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
 
@@ -221,10 +222,10 @@ def scores(texts: DataFrame, order: int = ORDER, view: Callable[[Texts], Texts]
     return Scores(order, table, entries.where(~often).select("lang", "gram", _whole("value")) if least else None)
 
 
-def held_sums(order: int, held: tuple[SortedHashTable, np.ndarray], texts: Texts,
-              seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray, pa.ListArray]:
-    """Per row: the sum over its n-grams that are held, in ``UNIT``-ths, the number of all its n-grams,
-    and the others, each once: ``(gram, times)``."""
+def _held_sums(order: int, held: tuple[SortedHashTable, np.ndarray], texts: Texts,
+               seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Per row the sum over the n-grams that are held and the number of all; then the others, row and
+    n-gram in one number, and how often each is there."""
     packed, counts = grams(texts, order)
     table, values = held
     row = table.find(hash_keys(packed, order, np.repeat(seeds, counts)))
@@ -235,10 +236,25 @@ def held_sums(order: int, held: tuple[SortedHashTable, np.ndarray], texts: Texts
     last = np.cumsum(counts)
     owner = np.repeat(np.arange(len(counts), dtype=np.uint64), counts)[missing]
     open_, times = np.unique(owner << np.uint64(32) | packed[missing].astype(np.uint64), return_counts=True)
+    return total[last] - total[last - counts], counts, open_, times
+
+
+def held_sums(order: int, held: tuple[SortedHashTable, np.ndarray], texts: Texts,
+              seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray, pa.ListArray]:
+    """Per row: the sum over its n-grams that are held, in ``UNIT``-ths, the number of all its n-grams,
+    and the others, each once: ``(gram, times)``.  A long text is the sum of its parts."""
+    parts = [_held_sums(order, held, part, seeds) for part in overlapping(texts, order - 1)]
+    total, counts = (sum(part[i] for part in parts) for i in (0, 1))
+    if len(parts) == 1:
+        _, _, open_, times = parts[0]
+    else:
+        open_, at = np.unique(np.concatenate([part[2] for part in parts]), return_inverse=True)
+        times = np.zeros(len(open_), dtype=np.int64)
+        np.add.at(times, at, np.concatenate([part[3] for part in parts]))
     offsets = np.searchsorted(open_ >> np.uint64(32), np.arange(len(counts) + 1, dtype=np.uint64)).astype(np.int32)
     pairs = pa.StructArray.from_arrays([pa.array((open_ & np.uint64(0xFFFFFFFF)).astype(np.int64)),
                                         pa.array(times.astype(np.int64))], names=["gram", "times"])
-    return total[last] - total[last - counts], counts, pa.ListArray.from_arrays(offsets, pairs)
+    return total, counts, pa.ListArray.from_arrays(offsets, pairs)
 
 
 OPEN = ArrayType(StructType([StructField("gram", LongType()), StructField("times", LongType())]))

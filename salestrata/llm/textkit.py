@@ -17,6 +17,8 @@ import pyarrow.compute as pc
 
 # A block of rows holds at most so many text bytes, or a single row.
 BLOCK_BYTES = 2 << 20
+# What is several times its bytes is made of so many bytes of a text at a time.
+PIECE_BYTES = 4 << 20
 
 _MIX_1 = np.uint64(0x9E3779B97F4A7C15)
 _MIX_2 = np.uint64(0xBF58476D1CE4E5B9)
@@ -169,6 +171,30 @@ def row_sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     return total[first[1:]] - total[first[:-1]]
 
 
+def set_counts(mask: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """How many of ``mask[offsets[i]:offsets[i + 1]]`` are set, without a number per byte."""
+    counts = np.zeros(len(offsets) - 1, dtype=np.int64)
+    filled = np.flatnonzero(np.diff(offsets))
+    if len(filled) == 1:
+        counts[filled] = np.count_nonzero(mask[offsets[filled[0]]:offsets[filled[0] + 1]])
+    elif len(filled):
+        counts[filled] = np.add.reduceat(mask[:offsets[-1]], offsets[filled], dtype=np.int64)
+    return counts
+
+
+def overlapping(texts: Texts, spare: int, piece: int | None = None) -> Iterator[Texts]:
+    """The block as it is; a single text of more than ``piece`` bytes in parts of that size, each with
+    the first ``spare`` bytes of the next: every run of up to ``spare`` + 1 bytes is in one part."""
+    piece = piece or PIECE_BYTES
+    size = int(texts.offsets[-1])
+    if len(texts) != 1 or size <= piece + spare:
+        yield texts
+        return
+    for low in range(0, size - spare, piece):
+        high = min(low + piece + spare, size)
+        yield Texts(texts.data[low:high], np.array([0, high - low], dtype=np.int64))
+
+
 def covered(starts: np.ndarray, length: int, size: int) -> np.ndarray:
     """Which of ``size`` positions lie in ``[start, start + length)`` of any start."""
     change = np.zeros(size + 1, dtype=np.int64)

@@ -4,25 +4,34 @@ from __future__ import annotations
 
 import hashlib
 import random
+import tracemalloc
 import zlib
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from cases import alnum_words, frame, spaced_words
+from cases import EDGE_TEXTS, alnum_words, frame, spaced_words
 from salestrata.llm import (
     alignment,
     decontaminate,
+    kneser_ney,
+    language_id,
     license_scan,
+    ngram_vectors,
     pieces,
     pii,
     quality_rules,
     simhash,
+    textkit,
     token_files,
+    weak_quality,
 )
+from salestrata.llm.hash_table import SortedHashTable
 from salestrata.llm.shared import new_folder
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -72,3 +81,90 @@ def test_counts_and_spans(spark, texts):
     assert {r.doc_id for r in license_scan.license_scan(docs).where("n_base > 0").collect()} == {1}
     groups = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs).collect()}
     assert groups[0] == groups[4] == 0 and len(groups) == 5
+
+
+ODD = ["a", "bc", " ", "  ", "\n", "é", "▁", "\U0001f600", "中", "The", "\t", "</s>", "<0x41>", "\x00", "9"]
+
+
+@pytest.fixture(scope="module")
+def odd_texts():
+    rng = random.Random(6)
+    return [t or "" for t in EDGE_TEXTS] + ["".join(rng.choices(ODD, k=rng.randrange(1, 50))) for _ in range(300)]
+
+
+@pytest.mark.parametrize("piece", [1, 2, 3, 7, 20])
+def test_ngram_counts_in_parts_are_those_of_the_whole(odd_texts, monkeypatch, piece):
+    for letters in (False, True):
+        whole = np.concatenate([c for _, c in ngram_vectors.counts(pa.array(odd_texts), letters)])
+        monkeypatch.setattr(textkit, "PIECE_BYTES", piece)
+        for text, counts in zip(odd_texts, whole):
+            [(first, found)] = ngram_vectors.counts(pa.array([text]), letters)
+            assert first == 0 and (found[0] == counts).all()
+        monkeypatch.undo()
+
+
+@pytest.mark.parametrize("piece", [1, 2, 5, 30])
+@pytest.mark.parametrize("view,order", [(None, 4), (quality_rules.shapes, 3)])
+def test_language_model_in_parts_is_that_of_the_whole(odd_texts, monkeypatch, piece, view, order):
+    seeds = kneser_ney.language_seeds(["en"])
+    seen = view or (lambda texts: texts)
+    packed, _ = kneser_ney.grams(seen(textkit.texts_of(pa.array(odd_texts))), order)
+    keys = np.unique(kneser_ney.hash_keys(packed, order, seeds[0]))[::2]  # half of them are open
+    held = SortedHashTable(keys), np.arange(len(keys), dtype=np.int32)
+
+    def of(text):
+        total, n, open_ = kneser_ney.held_sums(order, held, seen(textkit.texts_of(pa.array([text]))), seeds)
+        batch = pa.RecordBatch.from_pydict({"lang": pa.array(["en"]), "text": pa.array([text])})
+        counted = Counter()
+        for part in kneser_ney._counting(order, view)(iter([batch])):
+            for row in part.to_pylist():
+                counted[row["lang"], row["gram"]] += row["n"]
+        return total.tolist(), n.tolist(), open_.to_pylist(), counted
+
+    whole = [of(text) for text in odd_texts]
+    monkeypatch.setattr(textkit, "PIECE_BYTES", piece)
+    assert [of(text) for text in odd_texts] == whole
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 20])
+def test_pieces_in_parts_are_those_of_the_library(odd_texts, monkeypatch, size):
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    processor, table = pieces.piece_encoder(MODEL)
+    monkeypatch.setattr(pieces, "BLOCK_BYTES", size)
+    for text in odd_texts:
+        ids, decoded = pieces._long_text(processor, table, pa.array([text]), True)
+        wanted = library.encode(text) + [library.eos_id()]
+        assert (ids.to_pylist(), decoded) == ([wanted], [library.decode(wanted)])
+
+
+def test_fingerprints_in_parts_are_those_of_the_whole(odd_texts, monkeypatch):
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(odd_texts))), "text": odd_texts})
+    whole = [b.to_pydict() for b in simhash._fingerprints(iter([batch]))]
+    for size in (1, 3):
+        monkeypatch.setattr(simhash, "_HASHES", size)
+        assert [b.to_pydict() for b in simhash._fingerprints(iter([batch]))] == whole
+
+
+def _sums_of(texts):
+    quality_rules.measure(texts)
+
+
+def _grams_of(texts):
+    batch = pa.RecordBatch.from_pydict({"lang": ["en"], "text": texts})
+    for view, order in ((None, 4), (quality_rules.shapes, 3)):
+        for _ in kneser_ney._counting(order, view)(iter([batch])):
+            pass
+
+
+@pytest.mark.parametrize("work", [_sums_of, _grams_of, weak_quality.measures,
+                                  lambda t: list(weak_quality._vectors(t)), lambda t: list(language_id.counts_of(t))])
+def test_memory_of_a_long_text(monkeypatch, work):
+    monkeypatch.setattr(textkit, "PIECE_BYTES", 1 << 17)
+    rng = random.Random(7)
+    words = ["".join(rng.choices("abcdefghijklm", k=rng.randrange(2, 9))) for _ in range(3000)]
+    column = pa.array([" ".join(rng.choices(words, k=1_400_000))])
+    tracemalloc.start()
+    work(column)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 16 * column.nbytes
