@@ -8,6 +8,9 @@ that a worker meets is encoded once with the library; the ids of a text are
 those of its chunks in order.  The string of an added token in a text is that token, as
 for the library: texts are cut in front of and behind it first.  With ``plain`` it is
 text like any other (the library's ``encode_special_tokens``).
+
+A single text of more than ``PART_BYTES`` is encoded in parts of that size, cut where chunks are.
+Text without any such place, as in scripts without spaces, is one chunk of any length.
 """
 
 from __future__ import annotations
@@ -15,6 +18,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -22,7 +26,7 @@ import pyarrow as pa
 from tokenizers import Tokenizer
 
 from salestrata.llm.chunk_table import ChunkTable
-from salestrata.llm.textkit import texts_of
+from salestrata.llm.textkit import Texts, texts_of
 
 # Kinds of bytes, and the pairs of kinds with a cut between them.
 _OTHER, _WHITE, _LETTER, _MARK, _PRINTED, _HIGH = range(6)
@@ -37,11 +41,23 @@ _CUT[[8 * _LETTER + _WHITE, 8 * _MARK + _WHITE, 8 * _PRINTED + _WHITE]] = True
 _CUT[8 * _LETTER + _MARK] = True  # an apostrophe is no mark: it may begin a piece with letters of its own
 _LATIN = 0xC3  # first byte of U+00C0 to U+00FF, none of which is white space
 BLOCK_BYTES = 8 << 20
+PART_BYTES = 4 << 20
+_LOOK = 1 << 16  # bytes searched for a cut at a time
 _TOGETHER = 256  # chunks in one text for the library
 _TEXTS = 32  # texts in one call
 MOST = 600_000
 
 
+def _cuts(data: np.ndarray, low: int, high: int) -> np.ndarray:
+    """The places from ``low``, at least 1, to before ``high`` where a chunk begins."""
+    kind = _KIND[data[low - 1:high]]
+    before, here = kind[:-1], kind[1:]
+    cut = _CUT[(before << 3) | here]
+    wide = np.flatnonzero((here == _WHITE) & (before == _HIGH))
+    cut[wide[data[wide + low - 2] == _LATIN]] = True
+    return np.flatnonzero(cut) + low
+
+
 @lru_cache(1)
 def chunk_tokenizer(path: str, plain: bool = False) -> ChunkTokenizer:
     """One for all tasks of a worker, so that its table serves all of them."""
@@ -106,22 +122,48 @@ class ChunkTokenizer:
             out[np.repeat(offsets[members] - (np.cumsum(n) - n), n) + np.arange(len(ids))] = ids
         return out, lengths
 
-    def _added_in(self, texts) -> list[tuple[int, int]]:
+    def _added_in(self, texts: Texts) -> list[tuple[int, int]]:
         """Where the strings of added tokens stand; none begins in one text and ends in another."""
         if self.added is None or not self.added.search(texts.data):
             return []
         at = texts.offsets.tolist()
         return [(m.start(), m.end()) for a, b in zip(at[:-1], at[1:]) for m in self.added.finditer(texts.data, a, b)]
 
+    def _parts(self, texts: Texts) -> Iterator[Texts]:
+        """One text in parts of ``PART_BYTES`` or little more, each of whole chunks and added tokens."""
+        size = int(texts.offsets[-1])
+        begins, ends = np.array(self._added_in(texts), dtype=np.int64).reshape(-1, 2).T
+        low = 0
+        while low < size:
+            high, at = size, low + PART_BYTES
+            while at < size:
+                until = min(at + _LOOK, size)
+                found = _cuts(texts.data, at, until)
+                around = np.searchsorted(begins, found) - 1  # the last added token that begins before
+                if len(begins):
+                    found = found[(around < 0) | (ends[around] <= found)]
+                    edges = np.concatenate((begins, ends))
+                    found = np.union1d(found, edges[(edges >= at) & (edges < until)])
+                if len(found):
+                    high = int(found[0])
+                    break
+                at = until
+            yield Texts(texts.data[low:high], np.array([0, high - low], dtype=np.int64))
+            low = high
+
     def encode(self, column) -> tuple[np.ndarray, np.ndarray]:
         """The ids of a block of texts, one after the other, and how many each has."""
         texts = texts_of(column)
+        if len(texts) != 1 or texts.offsets[-1] <= PART_BYTES:
+            return self._encode(texts)
+        ids = np.concatenate([self._encode(part)[0] for part in self._parts(texts)])
+        return ids, np.array([len(ids)], dtype=np.int64)
+
+    def _encode(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
         data = texts.data[:texts.offsets[-1]]
-        kind = _KIND[data]
         cut = np.zeros(len(data) + 1, dtype=bool)
-        cut[1:-1] = _CUT[(kind[:-1] << 3) | kind[1:]]
-        high = np.flatnonzero((kind[1:] == _WHITE) & (kind[:-1] == _HIGH)) + 1
-        cut[high[data[high - 2] == _LATIN]] = True
+        if len(data) > 1:
+            cut[_cuts(data, 1, len(data))] = True
         for low, end in self._added_in(texts):
             cut[low:end] = False
             cut[[low, end]] = True

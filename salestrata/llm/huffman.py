@@ -10,6 +10,7 @@ MAX_BITS = 20
 CHECKPOINT = 128  # ids from one bit-offset checkpoint to the next
 
 _PAD = 8
+_STEP = 1 << 20
 
 
 def code_lengths(counts: np.ndarray, limit: int = MAX_BITS) -> np.ndarray:
@@ -77,26 +78,32 @@ class Codebook:
 
 
 def encode(book: Codebook, ids: np.ndarray, every: int = CHECKPOINT) -> tuple[bytes, np.ndarray]:
-    """The bit stream of the ids, and the bit offset of every ``every``-th id."""
+    """The bit stream of the ids, and the bit offset of every ``every``-th id.  Codes are put into their
+    places ``_STEP`` ids at a time."""
     if not len(ids):
         return b"", np.zeros(0, dtype=np.uint64)
-    length = book.lengths[ids].astype(np.int64)
-    if not length.all():
+    lengths = book.lengths[ids]
+    if not lengths.all():
         raise ValueError("an id without a code")
-    end = np.cumsum(length)
-    start = end - length
-    code = book.codes[ids]
-    word = start >> 6
-    room = 64 - (start & 63) - length  # below 0: the code runs into the next word
-    here = np.where(room >= 0, code << np.maximum(room, 0).astype(np.uint64),
-                    code >> np.maximum(-room, 0).astype(np.uint64))
-    words = np.zeros((int(end[-1]) >> 6) + 2, dtype=np.uint64)
-    first = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
-    words[word[first]] = np.bitwise_or.reduceat(here, first)
-    over = np.flatnonzero(room < 0)
-    words[word[over] + 1] |= code[over] << (64 + room[over]).astype(np.uint64)
-    size = (int(end[-1]) + 7) >> 3
-    return words.astype(">u8").tobytes()[:size], start[::every].astype(np.uint64)
+    bits = int(lengths.sum(dtype=np.int64))
+    words = np.zeros((bits >> 6) + 2, dtype=np.uint64)
+    checkpoints, before = [], 0
+    for low in range(0, len(ids), _STEP):
+        length = lengths[low:low + _STEP].astype(np.int64)
+        end = before + np.cumsum(length)
+        start = end - length
+        code = book.codes[ids[low:low + _STEP]]
+        word = start >> 6
+        room = 64 - (start & 63) - length  # below 0: the code runs into the next word
+        here = np.where(room >= 0, code << np.maximum(room, 0).astype(np.uint64),
+                        code >> np.maximum(-room, 0).astype(np.uint64))
+        first = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
+        words[word[first]] |= np.bitwise_or.reduceat(here, first)
+        over = np.flatnonzero(room < 0)
+        words[word[over] + 1] |= code[over] << (64 + room[over]).astype(np.uint64)
+        checkpoints.append(start[-low % every::every].astype(np.uint64))
+        before = int(end[-1])
+    return words.astype(">u8").tobytes()[:(bits + 7) >> 3], np.concatenate(checkpoints)
 
 
 def decode(book: Codebook, table: tuple[np.ndarray, np.ndarray], stream: bytes,

@@ -18,7 +18,9 @@ from tokenizers import Tokenizer
 from cases import EDGE_TEXTS, alnum_words, frame, spaced_words
 from salestrata.llm import (
     alignment,
+    bpe_chunks,
     decontaminate,
+    huffman,
     kneser_ney,
     language_id,
     license_scan,
@@ -168,3 +170,31 @@ def test_memory_of_a_long_text(monkeypatch, work):
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 16 * column.nbytes
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 20])
+@pytest.mark.parametrize("plain", [False, True])
+def test_byte_pieces_in_parts_are_those_of_the_library(odd_texts, monkeypatch, size, plain):
+    library = Tokenizer.from_file(BPE)
+    library.encode_special_tokens = plain
+    chunked = bpe_chunks.ChunkTokenizer(BPE, plain)
+    monkeypatch.setattr(bpe_chunks, "PART_BYTES", size)
+    monkeypatch.setattr(bpe_chunks, "_LOOK", 2)
+    rng = random.Random(8)
+    marked = ["".join(rng.choices([*ODD, "<|endoftext|>", "<|endoftext|", "é ", "it's"], k=30)) for _ in range(200)]
+    for text in [*odd_texts, *marked, "<|endoftext|>" * 9]:
+        ids, counts = chunked.encode(pa.array([text]))
+        wanted = library.encode(text, add_special_tokens=False).ids
+        assert (ids.tolist(), counts.tolist()) == (wanted, [len(wanted)]), repr(text)
+
+
+@pytest.mark.parametrize("step", [1, 2, 5, 127, 128, 300])
+def test_codes_in_steps_are_those_of_the_whole(monkeypatch, step):
+    ids = np.array(random.Random(9).choices(range(900), range(1, 901), k=2000), dtype=np.uint16)
+    book = huffman.Codebook(huffman.code_lengths(np.bincount(ids)))
+    whole = [huffman.encode(book, ids, every) for every in (1, 3, 128)]
+    monkeypatch.setattr(huffman, "_STEP", step)
+    for every, (stream, checkpoints) in zip((1, 3, 128), whole):
+        found = huffman.encode(book, ids, every)
+        assert found[0] == stream and found[1].tolist() == checkpoints.tolist()
+        assert (huffman.decode(book, book.table(), *found, len(ids), every) == ids).all()
