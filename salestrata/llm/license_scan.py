@@ -13,7 +13,7 @@ phrase alone, 0 for nothing.
 
 A null text is empty and has no words and no label.  Repeated rows are scanned
 each, other columns are not looked at, and an empty table gives an empty result.  A text
-of any length is scanned whole in one task.
+of any length is scanned whole in one task, its words in parts; it takes some ten times its size there.
 """
 
 from __future__ import annotations
@@ -32,6 +32,7 @@ from salestrata.llm.shared import in_tasks
 from salestrata.llm.textkit import (
     ALNUM,
     Texts,
+    at_gaps,
     row_blocks,
     span_hashes,
     texts_of,
@@ -60,10 +61,18 @@ def _rules_by_keyword() -> dict[str, list[tuple[int, Rule]]]:
     return grouped
 
 
+@lru_cache(1)
+def _keywords() -> list[tuple[str, bytes, bool]]:
+    """The keywords, their bytes, and whether they have a mark, which only the text as it stands can have."""
+    return [(k, k.encode(), k.encode().translate(_SPACED) != k.encode()) for k in _rules_by_keyword()]
+
+
 def found_keywords(text: bytes) -> list[str]:
-    """The keywords that the text has, as it stands or with its words joined by a space."""
-    plain = b" ".join(text.translate(_SPACED).split())
-    return [k for k in _rules_by_keyword() if (raw := k.encode()) in plain or raw in text]
+    """The keywords that the text has: those with a mark as it stands, the others with its words joined by a space."""
+    plain = text.translate(_SPACED)
+    while b"  " in plain:
+        plain = plain.replace(b"  ", b" ")
+    return [k for k, raw, marked in _keywords() if raw in (text if marked else plain)]
 
 
 def detect(text: bytes) -> list[tuple[int, int, str, int]]:
@@ -108,21 +117,30 @@ def _phrase_hashes() -> dict[int, list[tuple[np.uint64, str]]]:
 
 
 def _places(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str]]:
-    """Words per row, and row, word and label of each place of a phrase."""
-    words = words_of(texts, ALNUM)
-    hashes = span_hashes(texts.data, words.starts, words.ends)
-    at, labels = [np.zeros(0, dtype=np.int64)], []
-    for n, wanted in _phrase_hashes().items():
-        windows = window_hashes(hashes, n)
-        for value, label in wanted:
-            start = np.flatnonzero(windows == value)
-            row = np.searchsorted(words.first, start, side="right") - 1
-            start = start[start + n <= words.first[row + 1]]
-            at.append(start)
-            labels += [label] * len(start)
-    start = np.concatenate(at)
-    row = np.searchsorted(words.first, start, side="right") - 1
-    return np.diff(words.first), row, start - words.first[row], labels
+    """Words per row, and row, word and label of each place of a phrase.  A long text is
+    read in parts; the last words of a part stand in front of the next one's."""
+    phrases = _phrase_hashes()
+    spare = max(phrases) - 1
+    counts, before = np.zeros(len(texts), dtype=np.int64), np.zeros(0, dtype=np.uint64)
+    rows, places, labels = [], [np.zeros(0, dtype=np.int64)], []
+    for part in at_gaps(texts, ALNUM):
+        words = words_of(part, ALNUM)
+        seen = len(before)
+        hashes = np.concatenate((before, span_hashes(part.data, words.starts, words.ends)))
+        for n, wanted in phrases.items():
+            windows = window_hashes(hashes, n)
+            for value, label in wanted:
+                start = np.flatnonzero(windows == value) - seen
+                start = start[start + n > 0]  # the others lie in the part before
+                row = np.searchsorted(words.first, np.maximum(start, 0), side="right") - 1
+                inside = start + n <= words.first[row + 1]
+                start, row = start[inside], row[inside]
+                rows.append(row)
+                places.append(start - words.first[row] + counts[row])
+                labels += [label] * len(start)
+        counts += np.diff(words.first)
+        before = hashes[max(len(hashes) - spare, 0):]
+    return counts, np.concatenate([np.zeros(0, dtype=np.int64), *rows]), np.concatenate(places), labels
 
 
 def _scanning(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

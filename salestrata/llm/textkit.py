@@ -25,6 +25,7 @@ _MIX_2 = np.uint64(0xBF58476D1CE4E5B9)
 _MIX_3 = np.uint64(0x94D049BB133111EB)
 _TAIL_MASK = np.array([(1 << (8 * n)) - 1 for n in range(9)], dtype=np.uint64)
 _BLOCK = 8
+_LOOK = 1 << 16  # bytes searched for a gap at a time
 
 # Bytes that are part of a word.  Both classes are the same in UTF-8 bytes and in
 # code points, as every byte of a non-ASCII character is 0x80 or more.
@@ -195,6 +196,27 @@ def overlapping(texts: Texts, spare: int, piece: int | None = None) -> Iterator[
         yield Texts(texts.data[low:high], np.array([0, high - low], dtype=np.int64))
 
 
+def at_gaps(texts: Texts, word_bytes: np.ndarray, piece: int | None = None) -> Iterator[Texts]:
+    """The block as it is; a single text of more than ``piece`` bytes in parts of that size or little more,
+    each cut in front of a byte that is of no word."""
+    piece = piece or PIECE_BYTES
+    size = int(texts.offsets[-1])
+    if len(texts) != 1 or size <= piece:
+        yield texts
+        return
+    low = 0
+    while low < size:
+        high = low + piece
+        while high < size and len(gap := word_bytes[texts.data[high:high + _LOOK]]):
+            if not gap.all():
+                high += int(np.argmin(gap))
+                break
+            high += len(gap)
+        high = min(high, size)
+        yield Texts(texts.data[low:high + _BLOCK], np.array([0, high - low], dtype=np.int64))
+        low = high
+
+
 def covered(starts: np.ndarray, length: int, size: int) -> np.ndarray:
     """Which of ``size`` positions lie in ``[start, start + length)`` of any start."""
     change = np.zeros(size + 1, dtype=np.int64)

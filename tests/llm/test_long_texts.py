@@ -198,3 +198,23 @@ def test_codes_in_steps_are_those_of_the_whole(monkeypatch, step):
         found = huffman.encode(book, ids, every)
         assert found[0] == stream and found[1].tolist() == checkpoints.tolist()
         assert (huffman.decode(book, book.table(), *found, len(ids), every) == ids).all()
+
+
+@pytest.mark.parametrize("size", [1, 2, 5, 17])
+def test_license_places_in_parts_are_those_of_the_whole(odd_texts, monkeypatch, size):
+    rng = random.Random(10)
+    some = ["gnu", "general", "public", "license", "apache", "cc", "by", "mit", "é", "MIT-License", "--", "\n\n", " "]
+    texts = [*odd_texts, *[rng.choice([" ", "  ", "/", "\n"]).join(rng.choices(some, k=40)) for _ in range(300)],
+             "gnu general public license " * 3, "cc by" + " " * 100 + "cc by"]
+
+    def of(text):
+        count, row, word, labels = license_scan._places(textkit.texts_of(pa.array([text]), lower=True))
+        return count.tolist(), sorted(zip(row.tolist(), word.tolist(), labels))
+
+    whole = [of(text) for text in texts]
+    assert sum(len(places) for _, places in whole) > 100
+    monkeypatch.setattr(textkit, "PIECE_BYTES", size)
+    monkeypatch.setattr(textkit, "_LOOK", 2)
+    assert [of(text) for text in texts] == whole
+    for (count, _), text in zip(whole, texts):
+        assert count == [len(alnum_words(text))]
