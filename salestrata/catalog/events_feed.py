@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from salestrata.session import spread
+
 # What every derived line says about its origin.
 SOURCE_FILENAME = "raw/sales/dt=20260101/sales_20260101T000000Z_1.jsonl"
 INGESTION_TS = "2026-01-01 00:00:00"
@@ -34,7 +36,9 @@ def _pick(values: tuple[str, ...], index: str) -> str:
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    """The table, dealt out where it lies in a few large row groups: what is made of it goes
+    on in the scan's tasks, up to the files of RAW and of the layers after it."""
+    return spread(spark.read.parquet(f"{sf_dir}/events.parquet"), "event_id", "ts")
 
 
 def sales_events(events: DataFrame) -> DataFrame:

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from salestrata import files
 
@@ -33,6 +34,9 @@ LOAD_CONF = {
     "spark.sql.files.openCostInBytes": "256k",
 }
 
+# Rows that a task may hold before it is worth a shuffle to deal them out.
+LARGE_TASK = 250_000
+
 _local_folders: list[tempfile.TemporaryDirectory] = []
 
 
@@ -68,3 +72,17 @@ def fresh_folder(spark: SparkSession, label: str) -> str:
     parent = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
     files.remove_at_exit(spark, parent)
     return f"{parent}/data"
+
+
+def spread(rows: DataFrame, *keys: str) -> DataFrame:
+    """The same rows; dealt out by ranges of their keys if the largest task of the scan holds more than twice its share.
+
+    Spark cannot split a row group, so a table of a few large ones keeps as few cores busy, whatever
+    follows without a shuffle.  The rows of each task are counted from the footers.  Ranges keep
+    neighbours together, which compress better in the files written from them."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    by_task = rows.select(F.spark_partition_id().alias("task")).groupBy("task").agg(F.count(F.lit(1)).alias("n"))
+    largest, total = by_task.agg(F.coalesce(F.max("n"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    if largest <= max(LARGE_TASK, 2 * total / cores):
+        return rows
+    return rows.repartitionByRange(2 * cores, *keys)

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
-from salestrata import files
-from salestrata.session import SESSION_CONF, fresh_folder, shared_folder
+from salestrata import files, session
+from salestrata.catalog.events_feed import read_events
+from salestrata.session import SESSION_CONF, fresh_folder, shared_folder, spread
 
 
 class Session:
@@ -36,3 +38,25 @@ def test_a_folder_of_its_own_in_local_mode_only():
 def test_session_settings(spark):
     for key, value in SESSION_CONF.items():
         assert spark.conf.get(key) == value
+
+
+def rows_by_task(rows):
+    return [row["count"] for row in rows.groupBy(F.spark_partition_id().alias("task")).count().collect()]
+
+
+def test_a_table_of_one_large_row_group_is_dealt_out(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "LARGE_TASK", 100, raising=False)
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    events.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    dealt = read_events(spark, str(tmp_path))
+    sizes = rows_by_task(dealt)
+    assert len(sizes) > 8 and max(sizes) < sum(sizes) / 4
+    assert dealt.exceptAll(events).isEmpty() and events.exceptAll(dealt).isEmpty()
+
+
+def test_a_small_or_even_table_is_read_as_it_lies(spark, monkeypatch):
+    small = spark.range(1000).coalesce(1)
+    assert spread(small, "id") is small
+    monkeypatch.setattr(session, "LARGE_TASK", 100)
+    even, empty = spark.range(0, 4000, 1, 8), spark.range(0)
+    assert spread(even, "id") is even and spread(empty, "id") is empty
