@@ -13,7 +13,8 @@ from conftest import TESTDATA
 from helpers import as_tuples
 
 import __spark_entry__ as contract
-from salestrata import catalog
+from salestrata import catalog, files, session
+from salestrata.catalog import results
 
 QUERIES = catalog.queries()
 ORACLES = catalog.oracle_sql()
@@ -86,3 +87,13 @@ def test_known_reports(at_sf001):
         ("affiliate", 1998, D("298912.86")), ("email", 2001, D("292461.17")),
         ("paid_search", 1834, D("288123.21")), ("social", 1833, D("273816.73")),
         ("organic", 1834, D("268915.90"))]
+
+
+def test_incremental_fact_over_one_large_row_group(spark, duck, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "LARGE_TASK", 100, raising=False)
+    monkeypatch.setattr(results, "fresh_folder", lambda *_: f"{tmp_path}/layers")
+    spark.read.parquet(f"{TESTDATA}/sf0.001/events.parquet").coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    got = QUERIES["incremental_fact"](spark, str(tmp_path))
+    raw = files.data_files(spark, f"{tmp_path}/layers/raw/raw_sales/load_day=20260101/load_id=20260101-first")
+    assert sum(map(len, raw.values())) > 8  # a file for each of the tasks that parsed the lines
+    assert sorted(map(tuple, got.collect())) == sorted(duck.sql(ORACLES["incremental_fact"]).fetchall())
