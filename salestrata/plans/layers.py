@@ -39,7 +39,7 @@ from salestrata.schema import (
     STAGED_COLUMNS,
     ddl,
 )
-from salestrata.session import fresh_folder
+from salestrata.session import fresh_folder, open_files
 from salestrata.sources.jsonl import file_counts, records_from_sorted, sorted_lines
 
 RAW, STAGED, FACT, LOG, BAD = "raw_sales", "stg_sales", "fact_sales", "load_log", "bad_lines"
@@ -109,8 +109,9 @@ class _Compaction:
             _, columns, partitions = _TABLES[table]
             rows = self.read(table).where(F.col("load_day") == day).select(*columns, *partitions[len(LOAD):])
             if any(load_day(i) == day for i in self.loads(table)):
-                (rows.write.mode("overwrite").partitionBy(*partitions[len(LOAD):])
-                 .parquet(f"{self._aside()}/{table}/{day}"))
+                with open_files(rows.sparkSession):
+                    (rows.write.mode("overwrite").partitionBy(*partitions[len(LOAD):])
+                     .parquet(f"{self._aside()}/{table}/{day}"))
         files.write_text(self.spark, f"{self._aside()}/{day}.ready", f"{day}-{COMPACTED}")
         self.recover()
 
@@ -178,8 +179,9 @@ class FolderTables(_Compaction):
         return ddl({**columns, **dict.fromkeys(partitions[skipped:], "string")})
 
     def _write(self, table: str, rows: DataFrame) -> None:
-        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*_TABLES[table][2]).parquet(self.path(table)))
+        with open_files(rows.sparkSession):
+            (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy(*_TABLES[table][2]).parquet(self.path(table)))
 
     def _replace(self, table: str, rows: DataFrame, folder: str) -> None:
         before = files.data_files(self.spark, folder)
@@ -224,7 +226,8 @@ class FolderTables(_Compaction):
     def replace(self, table: str, rows: DataFrame) -> None:
         before = self._current(table)
         folder = self._generation(table, before + 1)
-        rows.write.mode("overwrite").partitionBy(*_TABLES[table][2]).parquet(folder)
+        with open_files(rows.sparkSession):
+            rows.write.mode("overwrite").partitionBy(*_TABLES[table][2]).parquet(folder)
         files.write_text(self.spark, f"{folder}{_READY}", "")
         for number in range(max(before - 2, 1), before):  # of which no reader is left
             files.remove(self.spark, f"{self._generation(table, number)}{_READY}")
@@ -325,7 +328,7 @@ class CatalogTables(_Compaction):
 
     def _insert(self, table: str, rows: DataFrame) -> None:
         _, columns, partitions = _TABLES[table]
-        with _dynamic_overwrite(rows.sparkSession):
+        with _dynamic_overwrite(rows.sparkSession), open_files(rows.sparkSession):
             rows.select(*columns, *partitions).sparkSession.sql(
                 f"INSERT OVERWRITE TABLE {self.name(table)} PARTITION ({', '.join(partitions)}) "
                 "SELECT * FROM {rows}", rows=rows.select(*columns, *partitions))
@@ -435,7 +438,8 @@ class SalesLayers:
             return load_id  # a batch run again after its load has become part of its day
         folder = fresh_folder(self.tables.spark, "lines")
         parsed = sorted_lines(lines).withColumn("n", F.size("records"))
-        parsed.write.partitionBy("kind").parquet(folder)
+        with open_files(parsed.sparkSession):
+            parsed.write.partitionBy("kind").parquet(folder)
         parsed = self.tables.spark.read.schema(parsed.schema).parquet(folder)
         load_id = self.append_raw(records_from_sorted(parsed.where("kind = 'read'"), ingestion_ts), load_id)
         self.tables.replace_load(BAD, load_id, parsed.where("kind = 'bad'").select(*BAD_COLUMNS))

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,15 +16,12 @@ from salestrata import files
 # timeZone: results do not depend on it (all times are zone-free), but the
 #   default of the ingest time does.
 # ansi: an amount too large for its column must fail the write, not turn NULL.
-# maxConcurrentOutputFileWriters: the clean/reject split writes two folders per
-#   task; with two open writers it needs no sort before the write.
 # codec: zstd made the tables a third smaller than the default for about five
 #   percent more time to write.
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
-    "spark.sql.maxConcurrentOutputFileWriters": "2",
     "spark.sql.parquet.compression.codec": "zstd",
 }
 
@@ -34,8 +34,15 @@ LOAD_CONF = {
     "spark.sql.files.openCostInBytes": "256k",
 }
 
-# Rows that a task may hold before it is worth a shuffle to deal them out.
+# Rows that a task may hold before it is worth a shuffle to deal them out, and how much longer
+# than with even tasks a scan may then take.
 LARGE_TASK = 250_000
+UNEVEN = 1.25
+
+# Folders that a task writes side by side: the three kinds of a load's lines, or both sides of
+# the split.  Spark begins to sort as soon as so many are open, so it is one more.
+OPEN_FILES = 4
+_OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
 
 _local_folders: list[tempfile.TemporaryDirectory] = []
 
@@ -74,15 +81,30 @@ def fresh_folder(spark: SparkSession, label: str) -> str:
     return f"{parent}/data"
 
 
+@contextmanager
+def open_files(session: SparkSession) -> Iterator[None]:
+    """For partitioned writes, whatever the session's settings: a task's rows go straight into their
+    folders.  Else Spark sorts them all first, to have one file open at a time, and large tasks spill.
+    Past ``OPEN_FILES`` folders in a task it sorts the rest."""
+    before = session.conf.get(_OPEN_FILES)
+    session.conf.set(_OPEN_FILES, max(int(before), OPEN_FILES))
+    try:
+        yield
+    finally:
+        session.conf.set(_OPEN_FILES, before)
+
+
 def spread(rows: DataFrame, *keys: str) -> DataFrame:
-    """The same rows; dealt out by ranges of their keys if the largest task of the scan holds more than twice its share.
+    """The same rows; dealt out by ranges of their keys if the tasks of the scan are large and leave cores idle: too few
+    of them, one far larger than the rest, or a last round of a few.
 
     Spark cannot split a row group, so a table of a few large ones keeps as few cores busy, whatever
     follows without a shuffle.  The rows of each task are counted from the footers.  Ranges keep
     neighbours together, which compress better in the files written from them."""
     cores = rows.sparkSession.sparkContext.defaultParallelism
     by_task = rows.select(F.spark_partition_id().alias("task")).groupBy("task").agg(F.count(F.lit(1)).alias("n"))
-    largest, total = by_task.agg(F.coalesce(F.max("n"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
-    if largest <= max(LARGE_TASK, 2 * total / cores):
+    largest, total, tasks = by_task.agg(F.coalesce(F.max("n"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0)),
+                                        F.count(F.lit(1))).first()
+    if largest <= LARGE_TASK or max(largest, math.ceil(tasks / cores) * total / tasks) <= UNEVEN * total / cores:
         return rows
     return rows.repartitionByRange(2 * cores, *keys)
